@@ -22,6 +22,8 @@ from pyspark.sql import functions as F
 SLICE_BYTES = 2 << 20
 #: Rows whose size is proven by a count may be broadcast up to this many.
 BROADCAST_ROWS = 2_000_000
+#: The same for rows with a payload, in bytes.
+BROADCAST_BYTES = 48 << 20
 #: The largest id; it stands for a null id in orderings, so null ids come last.
 NO_ID = np.iinfo(np.int64).max
 
@@ -43,11 +45,14 @@ def shared_dir(spark: SparkSession) -> str:
     return at.rstrip("/")
 
 
-def save(df: DataFrame, name: str) -> DataFrame:
-    """Write a table to the shared folder and read it back: cuts lineage, survives lost executors."""
+def save(df: DataFrame, name: str, by: str | None = None) -> DataFrame:
+    """Write a table to the shared folder and read it back: cuts lineage, survives lost executors.
+
+    `by` names a column of few values; a filter on it then reads only its files.
+    """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/leafmill-{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    (df.write.partitionBy(by) if by else df.write).parquet(path)
     back = spark.read.schema(df.schema).parquet(path)
     back.leafmill_path = path
     return back
@@ -72,6 +77,12 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def join_measured(left: DataFrame, right: DataFrame, on, how: str, payload: str) -> DataFrame:
+    """Join with a saved side whose bytes are summed first: broadcast below BROADCAST_BYTES, else shuffle."""
+    size = right.agg(F.sum(F.length(payload)), F.count("*")).first()
+    return left.join(F.broadcast(right) if (size[0] or 0) + 64 * size[1] <= BROADCAST_BYTES else right, on, how)
+
+
 def join_small(left: DataFrame, right: DataFrame, on, how: str, rows: int) -> DataFrame:
     """Join with a side whose rows were counted: broadcast below BROADCAST_ROWS, else shuffle."""
     return left.join(F.broadcast(right) if rows <= BROADCAST_ROWS else right, on, how)
@@ -291,8 +302,13 @@ def exchange(messages: DataFrame, owners: int, answer: Callable[[list[bytes]], l
             )
 
     replies = messages.repartition(owners, "owner").mapInArrow(own, REPLY)
-    grouped = replies.groupBy("chunk").agg(F.sort_array(F.collect_list(F.struct("owner", "reply"))).alias("replies"))
-    return save(grouped, name)
+    return save(replies.groupBy("chunk").agg(F.sort_array(F.collect_list(F.struct("owner", "reply"))).alias("replies")), name)
+
+
+def join_replies(states: DataFrame, replies: DataFrame) -> DataFrame:
+    """Bring each chunk its replies; broadcast where their summed size is small."""
+    total = replies.select(F.aggregate("replies", F.lit(0), lambda a, r: a + F.length(r["reply"]) + 24).alias("n")).agg(F.sum("n")).first()[0]
+    return states.join(F.broadcast(replies) if (total or 0) <= BROADCAST_BYTES else replies, "chunk")
 
 
 def repeated_marks(payloads: list[bytes]) -> list[bytes]:
@@ -317,3 +333,110 @@ def repeated_marks(payloads: list[bytes]) -> list[bytes]:
 def emit(schema: list[tuple[str, pa.DataType]], *columns) -> pa.RecordBatch:
     arrays = [c if isinstance(c, pa.Array) else pa.array(c, t) for (_, t), c in zip(schema, columns, strict=True)]
     return pa.RecordBatch.from_arrays(arrays, [n for n, _ in schema])
+
+
+# ---------------------------------------------------------------- repeated anchors
+
+#: Anchors of one chunk.
+CHUNK_ANCHORS = 1 << 20
+ROUTED = "kind string, owner int, chunk long, payload binary"
+ROUTED_ARROW = [("kind", pa.string()), ("owner", pa.int32()), ("chunk", pa.int64()), ("payload", pa.binary())]
+
+
+def routed(kind: str, owners: list[int], chunk: int, payloads: list[bytes]) -> pa.RecordBatch:
+    n = len(owners)
+    return emit(ROUTED_ARROW, [kind] * n, owners, [chunk] * n, payloads)
+
+
+def keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """doc_id, text and the text's 64-bit hash; id and hash together name a text."""
+    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(text_col, F.lit("")).alias("text"), F.xxhash64(text_col).alias("thash"))
+
+
+def texts_of(batch: pa.RecordBatch) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """Slices of a batch's texts: (from, to, bytes, offsets in them)."""
+    buf, off = text_bytes(batch.column("text"))
+    for a, b in slices(off):
+        yield a, b, buf[off[a] : off[b]], off[a : b + 1] - off[a]
+
+
+def repeated_anchors(docs: DataFrame, anchors, bits: int, name: str, owners: int | None = None) -> DataFrame:
+    """Which anchors of each text occur anywhere else: saved rows doc_id, thash, marks (a bitmap).
+
+    anchors(bytes, offsets) gives fingerprints of `bits` bits in text order and
+    their number in each text. Only compressed sorted fingerprints and bitmaps
+    are exchanged; texts without a repeated anchor give no row.
+    """
+    owners = owners or parts(docs.sparkSession)
+
+    def scan(batches):
+        import pickle
+
+        chunk = chunk_ids()
+        held: list[tuple] = []
+        n = 0
+
+        def flush():
+            ids, thash, counts, prints = (np.concatenate(x) for x in zip(*held, strict=True))
+            seen, back, times = np.unique(prints, return_inverse=True, return_counts=True)
+            cuts = list(by_owner(seen, bits, owners))
+            k = next(chunk)
+            yield routed("state", [-1], k, [pickle.dumps((ids, thash, counts, back.astype(np.uint32), np.packbits(times > 1), cuts))])
+            if cuts:
+                yield routed("message", [o for o, _, _ in cuts], k, [rice_encode(seen[a:b]) for _, a, b in cuts])
+
+        for batch in batches:
+            ids, thash = ids_of(batch.column("doc_id")), batch.column("thash").to_numpy(zero_copy_only=False)
+            for a, b, buf, starts in texts_of(batch):
+                prints, counts = anchors(buf, starts)
+                held.append((ids[a:b], thash[a:b], counts.astype(np.int32), prints))
+                n += len(prints)
+                if n >= CHUNK_ANCHORS:
+                    yield from flush()
+                    held.clear()
+                    n = 0
+        if n:
+            yield from flush()
+
+    def receive(batches):
+        import pickle
+
+        for batch in batches:
+            for payload, replies in zip(batch.column("payload").to_pylist(), batch.column("replies").to_pylist(), strict=True):
+                ids, thash, counts, back, local, cuts = pickle.loads(payload)
+                marks = np.unpackbits(local, count=cuts[-1][2]).astype(bool)
+                told = {r["owner"]: r["reply"] for r in replies}
+                for o, a, b in cuts:
+                    marks[a:b] |= np.unpackbits(np.frombuffer(told[o], np.uint8), count=b - a).astype(bool)
+                each = marks[back]
+                ends = np.cumsum(counts, dtype=np.int64)
+                total = np.concatenate([[0], np.cumsum(each)])
+                any_ = np.flatnonzero(total[ends] > total[ends - counts])
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        ids_back(ids[any_]),
+                        pa.array(thash[any_], pa.int64()),
+                        pa.array([np.packbits(each[ends[i] - counts[i] : ends[i]]).tobytes() for i in any_], pa.binary()),
+                    ],
+                    ["doc_id", "thash", "marks"],
+                )
+
+    rows = save(docs.mapInArrow(scan, ROUTED), f"{name}-anchors", by="kind")
+    replies = exchange(rows.where("kind = 'message'").select("owner", "chunk", "payload"), owners, repeated_marks, f"{name}-replies")
+    states = rows.where("kind = 'state'").select("chunk", "payload")
+    marks = join_replies(states, replies).mapInArrow(receive, "doc_id long, thash long, marks binary")
+    out = save(marks.dropDuplicates(["doc_id", "thash"]), f"{name}-marks")
+    drop_saved(rows)
+    drop_saved(replies)
+    return out
+
+
+def with_marks(docs: DataFrame, marks: DataFrame) -> DataFrame:
+    """doc_id, text and marks (null: no repeated anchor)."""
+    m = marks.withColumnsRenamed({"doc_id": "m_id", "thash": "m_hash"})
+    on = F.col("doc_id").eqNullSafe(F.col("m_id")) & (F.col("thash") == F.col("m_hash"))
+    return join_measured(docs, m, on, "left", "marks").select("doc_id", "text", "marks")
+
+
+def unmark(marks: bytes, n: int) -> np.ndarray:
+    return np.unpackbits(np.frombuffer(marks, np.uint8), count=n).astype(bool)

@@ -10,6 +10,7 @@ from . import kit
 from .exact_dedup import exact_groups
 from .mixing import ORACLE as MIX_SQL
 from .mixing import mix_sources
+from .substring_dedup import substring_dedup
 
 
 def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -20,6 +21,10 @@ def op3_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_sources(kit.read(spark, sf_dir, "documents"))
 
 
+def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup(kit.read(spark, sf_dir, "documents"))
+
+
 EXACT_SQL = r"""
 WITH n AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS t FROM documents),
 g AS (SELECT t, min(doc_id) AS keep_id, count(*) AS group_size FROM n GROUP BY t)
