@@ -8,8 +8,10 @@ from pyspark.sql import DataFrame, SparkSession
 
 from . import kit
 from .exact_dedup import exact_groups
+from .language_id import identify_language
 from .mixing import ORACLE as MIX_SQL
 from .mixing import mix_sources
+from .quality import classify_quality
 from .substring_dedup import substring_dedup
 
 
@@ -21,10 +23,18 @@ def op3_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_sources(kit.read(spark, sf_dir, "documents"))
 
 
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return classify_quality(kit.read(spark, sf_dir, "documents"), kit.read(spark, sf_dir, "labels"))
+
+
 def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup(kit.read(spark, sf_dir, "documents"))
 
 
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return identify_language(kit.read(spark, sf_dir, "documents"))
+
+
 EXACT_SQL = r"""
 WITH n AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS t FROM documents),
 g AS (SELECT t, min(doc_id) AS keep_id, count(*) AS group_size FROM n GROUP BY t)
