@@ -26,7 +26,7 @@ from . import kit
 #: Weights of the sources in turn, and the share of all words.
 WEIGHTS, SHARE, MAX_EPOCHS = (3, 1, 2), 1.5, 2
 WORD = r"[^\x20\x09-\x0D]+"
-BLOCK_ROWS = 20_000
+BLOCK_ROWS = 2_000
 
 
 def sized(docs: DataFrame, id_col: str, text_col: str, source_col: str) -> DataFrame:
