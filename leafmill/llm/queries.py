@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from . import kit
 from .exact_dedup import exact_groups
+from .jaccard_join import jaccard_components
 from .language_id import identify_language
 from .mixing import ORACLE as MIX_SQL
 from .mixing import mix_sources
@@ -31,6 +32,10 @@ def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup(kit.read(spark, sf_dir, "documents"))
 
 
+def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_components(kit.read(spark, sf_dir, "documents"))
+
+
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify_language(kit.read(spark, sf_dir, "documents"))
 
