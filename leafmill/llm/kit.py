@@ -167,12 +167,13 @@ def ranges_hash(values: np.ndarray, s: np.ndarray, e: np.ndarray, base: int = _B
     return mix((acc[e] - acc[s]) * down[s] + (e - s).astype(U64))
 
 
-def word_bounds(buf: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def word_bounds(buf: np.ndarray, starts: np.ndarray, inside: np.ndarray = _NONWS) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Starts and ends of the words (runs outside \\x20, \\x09-\\x0D) and the first word of each text.
 
-    `starts` are the offsets of the texts in buf, with the end as last item.
+    `starts` are the offsets of the texts in buf, with the end as last item;
+    `inside` says which bytes belong to words.
     """
-    solid = _NONWS[buf]
+    solid = inside[buf]
     inner = starts[1:-1]
     inner = inner[(inner > 0) & (inner < len(buf))]
     before = np.empty_like(solid)

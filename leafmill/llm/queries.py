@@ -7,12 +7,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from . import kit
+from .decontaminate import find_leaks
 from .exact_dedup import exact_groups
+from .html_extract import extract_pages
 from .jaccard_join import jaccard_components
 from .language_id import identify_language
 from .mixing import ORACLE as MIX_SQL
 from .mixing import mix_sources
 from .quality import classify_quality
+from .quotes import format_chats
 from .substring_dedup import substring_dedup
 
 
@@ -20,6 +23,10 @@ def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_groups(kit.read(spark, sf_dir, "documents"))
 
 
+def op2_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract_pages(kit.read(spark, sf_dir, "pages"))
+
+
 def op3_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_sources(kit.read(spark, sf_dir, "documents"))
 
@@ -36,6 +43,14 @@ def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(kit.read(spark, sf_dir, "documents"))
 
 
+def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return find_leaks(kit.read(spark, sf_dir, "documents"), kit.read(spark, sf_dir, "benchmark"))
+
+
+def op9_format_chats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return format_chats(kit.read(spark, sf_dir, "conversations"))
+
+
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify_language(kit.read(spark, sf_dir, "documents"))
 
