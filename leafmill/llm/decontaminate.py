@@ -171,15 +171,14 @@ class Items:
             yield best
 
 
-def find_leaks(docs: DataFrame, benchmark: DataFrame, id_col="doc_id", text_col="text", item_col="item_id", item_text="text", similarity: float = SIMILARITY) -> DataFrame:
-    """doc_id, item_id, item_words, distance, position: a row for each item that a document holds."""
+def _leaks(docs: DataFrame, benchmark: DataFrame, id_col: str, text_col: str, item_col="item_id", item_text="text", similarity: float = SIMILARITY) -> DataFrame:
     items = benchmark.select(F.col(item_col).cast("long").alias("item_id"), F.col(item_text).alias("text")).where("text is not null")
     blocks = max(1, -(-items.count() // ITEMS_AT_ONCE))
-    slim = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    slim = kit.keyed(docs, id_col, text_col)
     out = None
     for block in range(blocks):
         rows = items.where(F.pmod(F.xxhash64("text"), F.lit(blocks)) == block).orderBy("item_id", "text").collect()
-        part = slim.mapInArrow(_scan(Items([(r.item_id, r.text) for r in rows], similarity)), "doc_id long, item_id long, item_words long, distance long, position long")
+        part = slim.mapInArrow(_scan(Items([(r.item_id, r.text) for r in rows], similarity)), "doc_id long, thash long, item_id long, item_words long, distance long, position long")
         out = part if out is None else out.unionByName(part)
     return out
 
@@ -187,20 +186,24 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, id_col="doc_id", text_col=
 def _scan(items: Items):
     def scan(batches):
         for batch in batches:
-            ids = kit.ids_of(batch.column("doc_id"))
+            ids, thash = kit.ids_of(batch.column("doc_id")), batch.column("thash").to_numpy(zero_copy_only=False)
             for a, _, buf, starts in kit.texts_of(batch):
                 rows = list(items.hits(*words_of(buf, starts)))
                 if rows:
                     cols = list(zip(*rows, strict=True))
                     yield pa.RecordBatch.from_arrays(
-                        [kit.ids_back(ids[a + np.array(cols[0])]), *(pa.array(c, pa.int64()) for c in cols[1:])],
-                        ["doc_id", "item_id", "item_words", "distance", "position"],
+                        [kit.ids_back(ids[a + np.array(cols[0])]), pa.array(thash[a + np.array(cols[0])]), *(pa.array(c, pa.int64()) for c in cols[1:])],
+                        ["doc_id", "thash", "item_id", "item_words", "distance", "position"],
                     )
 
     return scan
 
 
-def decontaminate(docs: DataFrame, benchmark: DataFrame, id_col="doc_id", **options) -> DataFrame:
+def find_leaks(docs: DataFrame, benchmark: DataFrame, id_col="doc_id", text_col="text", **options) -> DataFrame:
+    """doc_id, item_id, item_words, distance, position: a row for each item that a document holds."""
+    return _leaks(docs, benchmark, id_col, text_col, **options).drop("thash")
+
+
+def decontaminate(docs: DataFrame, benchmark: DataFrame, id_col="doc_id", text_col="text", **options) -> DataFrame:
     """The rows of docs that hold no item."""
-    hit = kit.save(find_leaks(docs, benchmark, id_col, **options).select(F.col("doc_id").alias("hit_id")).distinct(), "leaks")
-    return kit.join_small(docs, hit, docs[id_col].eqNullSafe(hit["hit_id"]), "left_anti", hit.count())
+    return kit.without(docs, _leaks(docs, benchmark, id_col, text_col, **options), id_col, text_col)

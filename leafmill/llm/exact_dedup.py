@@ -39,30 +39,28 @@ def normal(text: bytes) -> bytes:
     return (b" " if text[0] in _SPACE else b"") + b" ".join(words) + (b" " if text[-1] in _SPACE else b"")
 
 
-def _pack(id_col: str, text_col: str, chunk_rows: int):
+def _pack(chunk_rows: int):
     def pack(batches):
         chunk = kit.chunk_ids()
-        ids, shas, n = [], [], 0
+        ids, hashes, shas, n = [], [], [], 0
 
         def out():
             sha = np.frombuffer(b"".join(shas), np.uint8).reshape(-1, 32)
             prints = sha[:, :8].copy().view(">u8").ravel().astype(np.uint64)
             order = np.argsort(prints, kind="stable")
-            who = np.concatenate(ids)[order]
-            return pa.RecordBatch.from_arrays(
-                [pa.array([next(chunk)], pa.int64()), pa.array([who.tobytes()], pa.binary()), pa.array([sha[order].tobytes()], pa.binary())],
-                ["chunk", "ids", "shas"],
-            )
+            packed = (np.concatenate(ids)[order], np.concatenate(hashes)[order], sha[order])
+            return pa.RecordBatch.from_arrays([pa.array([next(chunk)], pa.int64()), *(pa.array([x.tobytes()], pa.binary()) for x in packed)], ["chunk", "ids", "hashes", "shas"])
 
         for batch in batches:
-            buf, off = kit.text_bytes(batch.column(text_col))
+            buf, off = kit.text_bytes(batch.column("text"))
             view = memoryview(buf)
             shas.append(b"".join(hashlib.sha256(normal(bytes(view[off[i] : off[i + 1]]))).digest() for i in range(len(off) - 1)))
-            ids.append(kit.ids_of(batch.column(id_col)))
+            ids.append(kit.ids_of(batch.column("doc_id")))
+            hashes.append(batch.column("thash").to_numpy(zero_copy_only=False))
             n += batch.num_rows
             if n >= chunk_rows:
                 yield out()
-                ids, shas, n = [], [], 0
+                ids, hashes, shas, n = [], [], [], 0
         if n:
             yield out()
 
@@ -91,7 +89,7 @@ def _send(owners: int):
 def _receive(owners: int):
     def receive(batches):
         for batch in batches:
-            for ids, shas, replies in zip(*(batch.column(c).to_pylist() for c in ("ids", "shas", "replies")), strict=True):
+            for ids, hashes, shas, replies in zip(*(batch.column(c).to_pylist() for c in ("ids", "hashes", "shas", "replies")), strict=True):
                 all_prints = _prints(shas)
                 prints, back, n = np.unique(all_prints, return_inverse=True, return_counts=True)
                 marks = n > 1
@@ -101,29 +99,28 @@ def _receive(owners: int):
                 yield pa.RecordBatch.from_arrays(
                     [
                         kit.ids_back(np.frombuffer(ids, np.int64)),
+                        pa.array(np.frombuffer(hashes, np.int64)),
                         pa.array([shas[i : i + 32].hex() for i in range(0, len(shas), 32)], pa.string()),
                         pa.array(marks[back]),
                     ],
-                    ["doc_id", "text_sha256", "suspect"],
+                    ["doc_id", "thash", "text_sha256", "suspect"],
                 )
 
     return receive
 
 
-def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", owners: int | None = None, chunk_rows: int = CHUNK_ROWS) -> DataFrame:
-    """One row per document: doc_id, keep_id, group_size, kept, text_sha256."""
+def _groups(docs: DataFrame, id_col: str, text_col: str, owners: int | None = None, chunk_rows: int = CHUNK_ROWS) -> DataFrame:
     spark = docs.sparkSession
     owners = owners or kit.parts(spark)
-    slim = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    chunks = kit.save(slim.mapInArrow(_pack("doc_id", "text", chunk_rows), "chunk long, ids binary, shas binary"), "digests")
+    slim = kit.keyed(docs, id_col, text_col)
+    chunks = kit.save(slim.mapInArrow(_pack(chunk_rows), "chunk long, ids binary, hashes binary, shas binary"), "digests")
     replies = kit.exchange(chunks.select("chunk", "shas").mapInArrow(_send(owners), kit.MESSAGE), owners, kit.repeated_marks, "marks")
-    flagged = kit.save(
-        chunks.join(replies, "chunk").mapInArrow(_receive(owners), "doc_id long, text_sha256 string, suspect boolean"), "flagged"
-    )
+    flagged = chunks.join(replies, "chunk").mapInArrow(_receive(owners), "doc_id long, thash long, text_sha256 string, suspect boolean")
+    flagged = kit.save(flagged, "flagged")
     suspects = flagged.where("suspect").select(F.col("doc_id").alias("suspect_id")).distinct()
     texts = kit.join_small(slim, suspects, F.col("doc_id").eqNullSafe(F.col("suspect_id")), "left_semi", suspects.count())
     same = (
-        texts.withColumn("normal", F.regexp_replace(F.coalesce("text", F.lit("")), WS, " "))
+        texts.withColumn("normal", F.regexp_replace("text", WS, " "))
         .groupBy("normal")
         .agg(F.min("doc_id").alias("keep_id"), F.count("*").alias("group_size"))
         .where("group_size > 1")
@@ -137,11 +134,15 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         F.coalesce("group_size", F.lit(1)).cast("long").alias("group_size"),
         F.col("doc_id").eqNullSafe(keep).alias("kept"),
         "text_sha256",
+        "thash",
     )
 
 
+def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """One row per document: doc_id, keep_id, group_size, kept, text_sha256."""
+    return _groups(docs, id_col, text_col, **options).drop("thash")
+
+
 def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """The rows of docs that stay: of equal texts, the one with the smallest id."""
-    groups = exact_groups(docs, id_col, text_col, **options)
-    gone = kit.save(groups.where("not kept").select(F.col("doc_id").alias("gone_id")).distinct(), "gone")
-    return kit.join_small(docs, gone, docs[id_col].eqNullSafe(gone["gone_id"]), "left_anti", gone.count())
+    return kit.without(docs, _groups(docs, id_col, text_col, **options).where("not kept"), id_col, text_col)

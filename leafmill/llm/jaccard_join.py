@@ -384,13 +384,21 @@ def jaccard_classes(docs: DataFrame, id_col="doc_id", text_col="text", k: int =
     return sets, links
 
 
-def jaccard_components(docs: DataFrame, id_col="doc_id", text_col="text", **options) -> DataFrame:
-    """doc_id, n_shingles, component_id of every row."""
+def _components(docs: DataFrame, id_col: str, text_col: str, **options) -> DataFrame:
     sets, links = jaccard_classes(docs, id_col, text_col, **options)
     root = kit.save(graph.components(links), "jaccard-roots")
-    linked = root.count()
-    full = kit.join_small(sets, root.withColumnRenamed("node", "cls"), "cls", "left", linked)
-    full = full.select("doc_id", "n", F.when(F.col("n") > 0, F.coalesce("root", "cls")).alias("root"))
+    full = kit.join_small(sets, root.withColumnRenamed("node", "cls"), "cls", "left", root.count())
+    full = full.select("doc_id", "thash", "n", F.when(F.col("n") > 0, F.coalesce("root", "cls")).alias("root"))
     full = kit.save(full, "jaccard-full")
     least = full.where("root is not null").groupBy("root").agg(F.min("doc_id").alias("least"), F.count("*").alias("m")).where("m > 1").drop("m")
-    return full.join(least, "root", "left").select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("least", "doc_id").alias("component_id"))
+    return full.join(least, "root", "left").select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("least", "doc_id").alias("component_id"), "thash")
+
+
+def jaccard_components(docs: DataFrame, id_col="doc_id", text_col="text", **options) -> DataFrame:
+    """doc_id, n_shingles, component_id of every row."""
+    return _components(docs, id_col, text_col, **options).drop("thash")
+
+
+def jaccard_dedup(docs: DataFrame, id_col="doc_id", text_col="text", **options) -> DataFrame:
+    """The rows of docs that stay: of each component, the document with the smallest id."""
+    return kit.without(docs, _components(docs, id_col, text_col, **options).where("not doc_id <=> component_id"), id_col, text_col)

@@ -354,6 +354,13 @@ def keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(text_col, F.lit("")).alias("text"), F.xxhash64(text_col).alias("thash"))
 
 
+def without(docs: DataFrame, gone: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """The rows of docs whose id and text hash are not in gone (doc_id, thash)."""
+    out = save(gone.select(F.col("doc_id").alias("gone_id"), F.col("thash").alias("gone_hash")).distinct(), "gone")
+    on = docs[id_col].cast("long").eqNullSafe(out["gone_id"]) & (F.xxhash64(docs[text_col]) == out["gone_hash"])
+    return join_small(docs, out, on, "left_anti", out.count())
+
+
 def texts_of(batch: pa.RecordBatch) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """Slices of a batch's texts: (from, to, bytes, offsets in them)."""
     buf, off = text_bytes(batch.column("text"))

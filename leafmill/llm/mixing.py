@@ -36,7 +36,7 @@ def sized(docs: DataFrame, id_col: str, text_col: str, source_col: str) -> DataF
         F.col(source_col).cast("string").alias("source"),
         F.regexp_count(text, F.lit(WORD)).cast("long").alias("size"),
         F.md5(F.coalesce(F.col(id_col).cast("string"), F.lit("")).cast("binary")).alias("key"),
-        F.xxhash64(text).alias("tie"),
+        F.xxhash64(text_col).alias("tie"),
     )
 
 
@@ -61,7 +61,7 @@ def targets(sizes: DataFrame, weights=WEIGHTS, share: float = SHARE, max_epochs:
 
 def mix_sources(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
-    weights=WEIGHTS, share: float = SHARE, max_epochs: int = MAX_EPOCHS, block_rows: int = BLOCK_ROWS,
+    weights=WEIGHTS, share: float = SHARE, max_epochs: int = MAX_EPOCHS, block_rows: int = BLOCK_ROWS, keep_tie: bool = False,
 ) -> DataFrame:
     """doc_id, size, source_size, target, taken: words the mix takes of each document, repeats counted."""
     sizes = kit.save(sized(docs, id_col, text_col, source_col), "sizes")
@@ -80,9 +80,18 @@ def mix_sources(
     plan = starts.join(aim, F.col("b_source").eqNullSafe(F.col("a_source"))).drop("a_source", "block_size")
     local = rows.withColumn("local", F.coalesce(F.sum("size").over(inside), F.lit(0)))
     out = local.join(plan, F.col("source").eqNullSafe(F.col("b_source")) & (F.col("block") == F.col("b_block")))
+    rest = [c for c in ("tie",) if keep_tie]
     left = F.floor("target").cast("long") - F.col("start") - F.col("local")
     taken = sum((F.greatest(F.lit(0), F.least(F.col("size"), left - F.col("source_size") * e)) for e in range(max_epochs)), F.lit(0))
-    return out.select("doc_id", "size", "source_size", "target", taken.cast("long").alias("taken"))
+    return out.select("doc_id", "size", "source_size", "target", taken.cast("long").alias("taken"), *rest)
+
+
+def mixed_corpus(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **options) -> DataFrame:
+    """The mix itself: source and text of every document that it takes, with size, source_size, target and taken."""
+    rows = kit.save(mix_sources(docs, id_col, text_col, source_col, keep_tie=True, **options).where("taken > 0").distinct(), "mix")
+    slim = docs.select(F.col(id_col).cast("long").alias("m_id"), F.col(source_col).alias("source"), F.col(text_col).alias("text"))
+    on = F.col("m_id").eqNullSafe(F.col("doc_id")) & (F.xxhash64("text") == F.col("tie"))
+    return kit.join_small(slim, rows, on, "inner", rows.count()).select("doc_id", "source", "text", "size", "source_size", "target", "taken")
 
 
 ORACLE = r"""

@@ -198,23 +198,37 @@ def train(docs: DataFrame, labels: DataFrame, id_col="doc_id", text_col="text",
 
 
 def score_quality(docs: DataFrame, model, id_col="doc_id", text_col="text", columns=()) -> DataFrame:
-    """doc_id, score and the named columns of docs, for every row."""
+    """doc_id, quality_score and the named other columns of docs (not the text), for every row."""
     weights, link, prior = model
 
     def run(batches):
         for batch in batches:
             s = [score_texts(buf, starts, weights, link, prior) for _, _, buf, starts in kit.texts_of(batch)]
-            keep = [i for i, name in enumerate(batch.schema.names) if name != "text" or "text" in columns]
-            yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in keep), pa.array(np.concatenate(s or [np.zeros(0)]), pa.float64())], [*(batch.schema.names[i] for i in keep), "score"])
+            keep = [n for n in batch.schema.names if n != "text"]
+            yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in keep), pa.array(np.concatenate(s or [np.zeros(0)]), pa.float64())], [*keep, "quality_score"])
 
-    slim = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"), *(c for c in columns if c not in ("doc_id", "text")))
-    schema = slim.schema if "text" in columns else slim.drop("text").schema
-    return slim.mapInArrow(run, schema.add("score", "double"))
+    slim = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"), *columns)
+    return slim.mapInArrow(run, slim.drop("text").schema.add("quality_score", "double"))
+
+
+def quality_filter(docs: DataFrame, labels: DataFrame, id_col="doc_id", text_col="text", label_col="quality", threshold: float = 0.5, **options) -> DataFrame:
+    """The rows of docs with a score of at least threshold, all columns as they are."""
+    weights, link, prior = train(docs, labels, id_col, text_col, label_col, **options)
+    at = docs.columns.index(text_col)
+
+    def run(batches):
+        for batch in batches:
+            text = pa.RecordBatch.from_arrays([batch.column(at)], ["text"])
+            s = [score_texts(buf, starts, weights, link, prior) for _, _, buf, starts in kit.texts_of(text)]
+            yield batch.filter(pa.array(np.concatenate(s or [np.zeros(0)]) >= threshold))
+
+    return docs.mapInArrow(run, docs.schema)
 
 
 def classify_quality(docs: DataFrame, labels: DataFrame, id_col="doc_id", text_col="text", label_col="quality", folds=FOLDS, test_fold=TEST_FOLD, max_train=MAX_TRAIN) -> DataFrame:
     """doc_id, held_out, score, predicted for every document."""
     model = train(docs, labels, id_col, text_col, label_col, folds, test_fold, max_train)
+    score = F.col("quality_score")
     return score_quality(docs, model, id_col, text_col).select(
-        "doc_id", F.coalesce(fold("doc_id", folds) == test_fold, F.lit(False)).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted")
+        "doc_id", F.coalesce(fold("doc_id", folds) == test_fold, F.lit(False)).alias("held_out"), score.alias("score"), (score >= 0.5).cast("int").alias("predicted")
     )
