@@ -17,6 +17,7 @@ from .mixing import mix_sources
 from .quality import classify_quality
 from .quotes import format_chats
 from .substring_dedup import substring_dedup
+from .suffix_dedup import suffix_dedup
 
 
 def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -39,6 +40,10 @@ def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup(kit.read(spark, sf_dir, "documents"))
 
 
+def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup(kit.read(spark, sf_dir, "documents"))
+
+
 def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(kit.read(spark, sf_dir, "documents"))
 
