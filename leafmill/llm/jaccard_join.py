@@ -46,6 +46,8 @@ PRINT_BITS = 48
 HOT_MAX, HOT_TEXTS = 50_000, 6
 #: Shingles of a group (or of a block of a large group).
 GROUP_SHINGLES = 1 << 20
+#: Bits of a class's name that lists carry: five bytes; classes that share them are only compared in vain.
+LABEL_BITS = 40
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 
@@ -90,6 +92,21 @@ def must_share(n: np.ndarray, percent: int) -> np.ndarray:
     return extra(least_overlap(n, percent), percent)
 
 
+def _labels(names: np.ndarray) -> np.ndarray:
+    return names >> (63 - LABEL_BITS)
+
+
+def _pack(labels: np.ndarray) -> bytes:
+    return np.ascontiguousarray(labels.astype("<i8").view(np.uint8).reshape(-1, 8)[:, : LABEL_BITS // 8]).tobytes()
+
+
+def _unpack(data: bytes) -> np.ndarray:
+    short = np.frombuffer(data, np.uint8).reshape(-1, LABEL_BITS // 8)
+    out = np.zeros((len(short), 8), np.uint8)
+    out[:, : LABEL_BITS // 8] = short
+    return out.view("<i8").ravel().astype(np.int64)
+
+
 def _survey(k: int):
     """Size and name of each text's set, and shingles that many texts of a slice have."""
 
@@ -129,7 +146,7 @@ def _prefixes(k: int, percent: int, hot: np.ndarray, owners: int):
 
         def flush():
             names, sizes, counts, prints = (np.concatenate(x) for x in zip(*held, strict=True))
-            whose = np.repeat(names, counts)
+            whose = np.repeat(_labels(names), counts)
             seen, back = np.unique(prints, return_inverse=True)
             low = np.full(len(seen), np.iinfo(np.int64).max)
             high = np.zeros(len(seen), np.int64)
@@ -140,7 +157,7 @@ def _prefixes(k: int, percent: int, hot: np.ndarray, owners: int):
             yield kit.routed("state", [-1], c, [pickle.dumps((names, sizes, counts, back.astype(np.uint32), cuts))])
             yield kit.routed(
                 "message", [o for o, _, _ in cuts], c,
-                [pickle.dumps((kit.rice_encode(seen[a:b]), low[a:b], np.flatnonzero(high[a:b] > low[a:b]).astype(np.uint32))) for _, a, b in cuts],
+                [pickle.dumps((kit.rice_encode(seen[a:b]), _pack(low[a:b]), np.flatnonzero(high[a:b] > low[a:b]).astype(np.uint32))) for _, a, b in cuts],
             )
 
         for batch in batches:
@@ -178,8 +195,8 @@ def _pivots(payloads: list[bytes]) -> list[bytes]:
     for p in payloads:
         a, b, c = pickle.loads(p)
         prints.append(kit.rice_decode(a))
-        low.append(b)
-        flag = np.zeros(len(b), bool)
+        low.append(_unpack(b))
+        flag = np.zeros(len(low[-1]), bool)
         flag[c] = True
         many.append(flag)
     sizes = [len(p) for p in prints]
@@ -195,7 +212,8 @@ def _pivots(payloads: list[bytes]) -> list[bytes]:
     out, at = [], 0
     for n in sizes:
         r = run[at : at + n]
-        out.append(pickle.dumps((np.packbits(marked[r]), pivot[r][marked[r]])))
+        names, which = np.unique(pivot[r][marked[r]], return_inverse=True)
+        out.append(pickle.dumps((np.packbits(marked[r]), _pack(names), which.astype(np.uint16 if len(names) < 1 << 16 else np.uint32))))
         at += n
     return out
 
@@ -211,10 +229,10 @@ def _members(percent: int):
                 marked, pivot = np.zeros(total, bool), np.zeros(total, np.int64)
                 told = {r["owner"]: r["reply"] for r in replies}
                 for o, a, b in cuts:
-                    bits, low = pickle.loads(told[o])
+                    bits, low, which = pickle.loads(told[o])
                     here = np.unpackbits(bits, count=b - a).astype(bool)
                     marked[a:b] = here
-                    pivot[np.flatnonzero(here) + a] = low
+                    pivot[np.flatnonzero(here) + a] = _unpack(low)[which]
                 doc = np.repeat(np.arange(len(names)), counts)
                 use = marked[back]
                 need = must_share(sizes, percent)
@@ -391,7 +409,8 @@ def _components(docs: DataFrame, id_col: str, text_col: str, **options) -> DataF
     full = full.select("doc_id", "thash", "n", F.when(F.col("n") > 0, F.coalesce("root", "cls")).alias("root"))
     full = kit.save(full, "jaccard-full")
     least = full.where("root is not null").groupBy("root").agg(F.min("doc_id").alias("least"), F.count("*").alias("m")).where("m > 1").drop("m")
-    return full.join(least, "root", "left").select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("least", "doc_id").alias("component_id"), "thash")
+    least = kit.save(least, "jaccard-least")
+    return kit.join_small(full, least, "root", "left", least.count()).select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("least", "doc_id").alias("component_id"), "thash")
 
 
 def jaccard_components(docs: DataFrame, id_col="doc_id", text_col="text", **options) -> DataFrame:
