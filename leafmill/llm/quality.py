@@ -152,7 +152,7 @@ def fit(x: np.ndarray, first: np.ndarray, label: np.ndarray, steps: int = 160, l
 
 def score_texts(buf: np.ndarray, starts: np.ndarray, weights: np.ndarray, link: np.ndarray, prior: float) -> np.ndarray:
     x, size, first = line_features(buf, starts)
-    if not len(x):
+    if not len(x) or not weights.any():
         return np.full(len(starts) - 1, prior)
     p, _, _ = forward_backward(with_neighbours(x, first) @ weights, link, first)
     total = np.concatenate([[0], np.cumsum(size)])

@@ -38,7 +38,7 @@ from . import kit
 
 WINDOW = 20
 #: Perfect difference sets by their modulus.
-COVERS = {3: (0, 1), 7: (0, 1, 3), 13: (0, 1, 3, 9)}
+COVERS = {1: (0,), 3: (0, 1), 7: (0, 1, 3), 13: (0, 1, 3, 9)}
 PRINT_BITS = 48
 #: Windows of one chunk.
 CHUNK_WINDOWS = 1 << 19
@@ -46,11 +46,11 @@ _SECOND = 0xC2B2AE3D27D4EB4F
 
 
 def cover_of(window: int) -> tuple[int, np.ndarray, int]:
-    """The largest cover whose anchors still have half a window, its residues, and the anchor's words."""
-    v = max(m for m in COVERS if m == 3 or window - m + 1 >= max(3, window // 3))
+    """The largest cover whose anchors still have a third of a window, its residues, and the anchor's words."""
+    v = max(m for m in COVERS if window - m + 1 >= max(1, window // 3))
     on = np.zeros(v, bool)
     on[list(COVERS[v])] = True
-    return v, on, max(1, window - v + 1)
+    return v, on, window - v + 1
 
 
 def _anchor_places(first: np.ndarray, on: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
