@@ -46,7 +46,7 @@ def packet_blocks(packets: DataFrame) -> DataFrame:
 
 def read_records(spark: SparkSession, path: str, schema: str, numbers: list[int] | None = None) -> DataFrame:
     """Question records of a file that is a list or an object with `questions`; by number, only those asked for."""
-    text = spark.read.option("wholetext", True).text(path)
+    text = spark.read.text(path, wholetext=True)
     root = F.trim("value")
     rows = F.when(F.startswith(root, F.lit("[")), root).otherwise(F.get_json_object(root, "$.questions"))
     out = text.select(F.explode(F.from_json(rows, f"array<struct<{schema_colons(schema)}>>")).alias("r")).select("r.*")
@@ -74,7 +74,7 @@ def two_keys(items: DataFrame, *columns: str) -> DataFrame:
 
 def unified_images(spark: SparkSession, path: str) -> DataFrame:
     """Image rows of article manifests in any known shape, as IMAGE."""
-    raw = spark.read.option("wholetext", True).text(path).select(F.col("value").alias("m"))
+    raw = spark.read.text(path, wholetext=True).select(F.col("value").alias("m"))
     get = lambda c, *paths: F.coalesce(*(F.get_json_object(c, p) for p in paths))
     items = F.from_json(get("m", "$.images", "$.image_assets", "$.assets"), "array<string>")
     d = raw.select("m", F.posexplode(items).alias("at", "i"))
