@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import arrays as A
+from ..functions import geometry as G
 from ..functions import text as T
 from .tables import last_wins, top_k
 
@@ -93,3 +94,34 @@ def candidate_sets(a: DataFrame, b: DataFrame, key: str, value: str) -> DataFram
     """(key, candidates): sorted distinct values of both sources."""
     both = a.select(key, value).unionByName(b.select(key, value)).where(F.col(value).isNotNull()).distinct()
     return both.groupBy(key).agg(F.array_sort(F.collect_list(value)).alias("candidates"))
+
+
+RANGES = "struct<question_ranges:array<struct<question_no:string,start_label:string,end_label:string,visual_labels:array<string>,confidence:string,reason:string>>,noise_blocks:array<string>,risks:array<string>>"
+
+
+def parse_ranges(responses: DataFrame, blocks: DataFrame, run: str = "run_id", column: str = "response") -> DataFrame:
+    """Question ranges of model responses: (run, question_no, start_label, end_label, visual_labels, confidence, reason, valid, ordinal).
+
+    Numbers that are none go; visual labels are kept where they are known;
+    a range is valid when both its ends are; order is by start page and label.
+    """
+    raw = responses.select(run, F.posexplode(F.from_json(column, RANGES)["question_ranges"]).alias("_i", "x")).select(run, "_i", "x.*")
+    raw = raw.withColumn("question_no", F.col("question_no").try_cast("int")).where("question_no is not null")
+    known = blocks.select(run, "label").distinct()
+    seen = raw.select(run, "_i", F.posexplode("visual_labels").alias("_j", "label")).join(known, [run, "label"], "left_semi").groupBy(run, "_i")
+    seen = seen.agg(F.transform(F.array_sort(F.collect_list(F.struct("_j", "label"))), lambda x: x["label"]).alias("_seen"))
+    out = raw.join(seen, [run, "_i"], "left")
+    for end in ("start_label", "end_label"):
+        k = known.select(run, F.col("label").alias(end), F.lit(True).alias(f"_{end}"))
+        out = out.join(k, [run, end], "left")
+    page = F.regexp_extract("start_label", r"-V(\d+)", 1).try_cast("int")
+    return out.select(
+        run, "question_no", "start_label", "end_label", F.coalesce("_seen", F.array().cast("array<string>")).alias("visual_labels"), G.confidence(F.col("confidence")).alias("confidence"), "reason",
+        (F.col("_start_label").isNotNull() & F.col("_end_label").isNotNull()).alias("valid"), (F.row_number().over(Window.partitionBy(run).orderBy(page.asc_nulls_last(), "start_label", "_i")) - 1).alias("ordinal"),
+    )
+
+
+def label_forms(rows: DataFrame, key: str = "label") -> DataFrame:
+    """Rows once under their label, its question form and its answer form, so that either side finds them."""
+    forms = F.array_distinct(F.array(F.col(key), T.relabel(F.col(key), "Q"), T.relabel(F.col(key), "A")))
+    return rows.withColumn("form", F.explode(forms))

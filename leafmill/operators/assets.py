@@ -100,3 +100,40 @@ def sync(bank: DataFrame, alignment: DataFrame, key: str = "question_no", fields
     j = bank.join(side, bank[key] == side["_key"], "left")
     new = j.select(*(F.when(F.col("_key").isNotNull(), F.col(f"_{c}")).otherwise(F.col(c)).alias(c) if c in fields else F.col(c) for c in bank.columns))
     return new, changed_fields(bank, alignment, key, fields).where("size(changed) > 0")
+
+
+TABLES = "struct<tables:array<struct<label:string,role:string,entries:array<struct<question_no:string,answer_text:string,confidence:string,reason:string>>,confidence:string,reason:string>>,risks:array<string>>"
+TABLE_ROLES = ("answer_key_table", "rubric_table", "noise", "uncertain")
+
+
+def asset_contexts(assets: DataFrame, candidates: DataFrame, prefill: DataFrame, mode: str, run: str = "run_id") -> DataFrame:
+    """What a model is asked about a page's assets: (run, stream, page, assets), candidates ranked, prefilled roles kept only where allowed; pages without an asset give no row.
+
+    assets: run, stream, page, label, kind; candidates: run, label, question_no,
+    rank, distance; prefill: run, label, role, option_label.
+    """
+    near = candidates.groupBy(run, "label").agg(F.array_sort(F.collect_list(F.struct("rank", "question_no", "distance"))).alias("candidates"))
+    j = assets.join(near, [run, "label"], "left").join(prefill, [run, "label"], "left").withColumn("allowed", allowed_roles(F.lit(mode), F.col("stream")))
+    j = j.withColumn("role", F.when(F.array_contains("allowed", F.col("role")), F.col("role")))
+    return j.groupBy(run, "stream", "page").agg(F.array_sort(F.collect_list(F.struct("label", "kind", "role", "option_label", "candidates"))).alias("assets"))
+
+
+def table_contexts(blocks: DataFrame, candidates: DataFrame, run: str = "run_id", limit: int = 2200) -> DataFrame:
+    """Answer tables of a page for a model: (run, page, tables) with label, candidates and excerpt; pages without tables give no row."""
+    t = blocks.where(T.asset_kind(F.col("label"), F.col("type"), F.col("figure_id")) == "table").join(candidates, [run, "label"], "left")
+    row = F.struct("label", F.coalesce("candidates", F.array().cast("array<int>")).alias("candidates"), T.excerpt(F.col("text"), limit).alias("text"))
+    return t.groupBy(run, "page").agg(F.array_sort(F.collect_list(row)).alias("tables"))
+
+
+def table_entries(responses: DataFrame, candidates: DataFrame, run: str = "run_id", column: str = "response") -> DataFrame:
+    """Entries of answer-key tables in model responses: (run, label, role, question_no, answer_text, confidence, ordinal).
+
+    Unknown roles are uncertain and have no entries; where a table has
+    candidates, other questions go; numbers that are none go.
+    """
+    t = responses.select(run, F.posexplode(F.from_json(column, TABLES)["tables"]).alias("_i", "t")).select(run, "_i", "t.*")
+    role = F.when(F.col("role").isin(*TABLE_ROLES), F.col("role")).otherwise("uncertain")
+    e = t.withColumn("role", role).where("role = 'answer_key_table'").select(run, "label", "role", "_i", F.posexplode("entries").alias("_j", "e"))
+    e = e.withColumn("question_no", F.col("e.question_no").try_cast("int")).where("question_no is not null").join(candidates, [run, "label"], "left")
+    e = e.where(F.coalesce(F.size("candidates") <= 0, F.lit(True)) | F.array_contains("candidates", F.col("question_no")))
+    return e.select(run, "label", "role", "question_no", T.strip(F.col("e.answer_text")).alias("answer_text"), G.confidence(F.col("e.confidence")).alias("confidence"), F.struct("_i", "_j").alias("ordinal"))

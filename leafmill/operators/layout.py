@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions import geometry as G
 from ..functions import text as T
 
 
@@ -128,3 +129,15 @@ def page_roles(pages: DataFrame, doc: str = "run_id") -> DataFrame:
 def pipeline_mode(forced: Column, has_answers: Column, interleaved: Column) -> Column:
     chosen = F.when(has_answers, "paper_plus_answer_file").when(interleaved, "mixed").otherwise("pure_paper")
     return F.when((forced != "auto") & forced.isNotNull(), forced).otherwise(chosen)
+
+
+def crop_boxes(labels: DataFrame, blocks: DataFrame, run: str = "run_id", margin: int = 8, width: int = 1000, height: int = 1000) -> DataFrame:
+    """(run, question_no, stream, page, image, x1, y1, x2, y2): the box around a question's labels on each page; empty boxes go."""
+    found = labels.join(blocks.select(run, "label", "stream", "page", "image", "bbox"), [run, "label"])
+    box = G.union_box(*(F.col("bbox")[i] for i in range(4)), margin, width, height)
+    return found.groupBy(run, "question_no", "stream", "page", "image").agg(box.alias("b")).where("b is not null").select(run, "question_no", "stream", "page", "image", "b.*")
+
+
+def page_extents(blocks: DataFrame, keys: Sequence[str], bottom: Column, gap: float = 80.0, least: float = 1000.0) -> DataFrame:
+    """(keys, extent): the lowest edge of a page and a gap, at least a page's height."""
+    return blocks.groupBy(*keys).agg(F.greatest(F.lit(least), F.max(bottom) + gap).alias("extent"))

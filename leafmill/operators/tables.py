@@ -138,3 +138,11 @@ def longest_first(df: DataFrame, keys: Sequence[str], item: str, weight: str, bi
 def pending(work: DataFrame, done: DataFrame, key: str) -> DataFrame:
     """Work whose result is not stored yet."""
     return work.join(done.select(key).distinct(), key, "left_anti")
+
+
+def select_known(df: DataFrame, key: str, wanted: Sequence[str]) -> DataFrame:
+    """Rows of the wanted keys; a wanted key without a row is an error when the rows are read."""
+    asked = df.sparkSession.createDataFrame([(w,) for w in wanted], f"_wanted {df.schema[key].dataType.simpleString()}")
+    j = asked.join(df, asked["_wanted"] == df[key], "left")
+    lost = F.raise_error(F.concat(F.lit("unknown key: "), F.col("_wanted").cast("string"))).cast(df.schema[key].dataType)
+    return j.withColumn(key, F.when(F.col(key).isNull(), lost).otherwise(F.col(key))).drop("_wanted")

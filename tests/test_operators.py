@@ -160,6 +160,29 @@ def test_alignment(spark):
     assert sorted(rows(align.first_found(c, listing, ["run_id"]))) == [("r", "b.pdf", True), ("s", "c.pdf", False)]
 
 
+def test_parsed_ranges(spark):
+    text = json.dumps({"question_ranges": [{"question_no": "2", "start_label": "Q-V02-B01", "end_label": "nope"}, {"question_no": 1, "start_label": "Q-V01-B01", "end_label": "Q-V02-B01", "visual_labels": ["x", "Q-V02-B01"], "confidence": 3}, {"question_no": "x"}]})
+    r = spark.createDataFrame([("r", text)], "run_id string, response string")
+    b = spark.createDataFrame([("r", "Q-V01-B01"), ("r", "Q-V02-B01")], "run_id string, label string")
+    got = {x.question_no: (x.valid, x.visual_labels, x.confidence, x.ordinal) for x in align.parse_ranges(r, b).collect()}
+    assert got == {1: (True, ["Q-V02-B01"], 1.0, 0), 2: (False, [], 0.0, 1)}
+    assert sorted(x.form for x in align.label_forms(b.limit(1)).collect()) == ["A-V01-B01", "Q-V01-B01"]
+
+
+def test_known_keys(spark):
+    df = spark.createDataFrame([("a", 1), ("b", 2)], "k string, v int")
+    assert sorted(rows(tables.select_known(df, "k", ["b"]))) == [("b", 2)]
+    with pytest.raises(Exception, match="unknown key"):
+        tables.select_known(df, "k", ["a", "z"]).collect()
+
+
+def test_crops(spark):
+    labels = spark.createDataFrame([("r", 1, "a"), ("r", 1, "b"), ("r", 2, "lost")], "run_id string, question_no int, label string")
+    b = spark.createDataFrame([("r", x, "question", 1, "p.png", box) for x, box in (("a", [10.0, 10.0, 20.0, 20.0]), ("b", [15.0, 30.0, 40.0, 50.0]))], "run_id string, label string, stream string, page int, image string, bbox array<double>")
+    assert rows(layout.crop_boxes(labels, b)) == [("r", 1, "question", 1, "p.png", 2, 2, 48, 58)]
+    assert rows(layout.page_extents(b, ["page"], F.col("bbox")[3])) == [(1, 1000.0)]
+
+
 # ---------------------------------------------------------------- records
 
 
@@ -257,6 +280,28 @@ def test_attach_and_sync(spark):
     assert tuple(roles) == ("rubric_table", "stem_figure", 9, 5)
 
 
+def test_contexts_and_tables(spark):
+    a = spark.createDataFrame([("r", "answer", 1, "A-P1", "image")], "run_id string, stream string, page int, label string, kind string")
+    c = spark.createDataFrame([("r", "A-P1", 2, 2, 5), ("r", "A-P1", 1, 1, 0)], "run_id string, label string, question_no int, rank int, distance int")
+    p = spark.createDataFrame([("r", "A-P1", "stem_figure", None)], "run_id string, label string, role string, option_label string")
+    got = assets.asset_contexts(a, c, p, "paper_plus_answer_file").first().assets[0]
+    assert got.role is None and [x.question_no for x in got.candidates] == [1, 2]
+    sets = spark.createDataFrame([("r", "T1", [1, 2])], "run_id string, label string, candidates array<int>")
+    b = spark.createDataFrame([("r", 1, "T1", "table", None, "x  y"), ("r", 1, "B1", "text", None, "z")], "run_id string, page int, label string, type string, figure_id string, text string")
+    assert [(t.label, t.candidates, t.text) for t in assets.table_contexts(b, sets).first().tables] == [("T1", [1, 2], "x y")]
+    answer = json.dumps({"tables": [{"label": "T1", "role": "answer_key_table", "entries": [{"question_no": "1", "answer_text": " A ", "confidence": "2"}, {"question_no": 9, "answer_text": "B"}, {"question_no": "?"}]}, {"label": "T2", "role": "odd", "entries": [{"question_no": 1}]}]})
+    got = assets.table_entries(spark.createDataFrame([("r", answer)], "run_id string, response string"), sets)
+    assert rows(got.select("label", "question_no", "answer_text", "confidence")) == [("T1", 1, "A", 1.0)]
+
+
+def test_normalise(spark):
+    df = parsed(spark, {"question_no": 3, "question_type": "single_choice", "stem_latex": ["3. pick ( )", "$a<blank>$"], "options_latex": {"A": ["(A) 1"], "B": ["B. 2"], "C": [], "D": []}, "answer_latex": ["A"]})
+    r = records.normalise(df).first()
+    assert r.stem_latex[0].startswith("pick <choice_blank>") and r.options_latex.A == ["1"] and r.options_latex.B == ["2"] and r.answer_latex == ["$A$"]
+    assert [i.type for i in r.issues] == ["blank_token_moved_out_of_math"]
+    assert spark.range(1).select(records.context_text(F.array(F.lit("a"), F.lit(" "), F.lit("b  c"))).alias("x")).first().x == "a\nb c"
+
+
 # ---------------------------------------------------------------- budget
 
 
