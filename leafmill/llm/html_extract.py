@@ -36,13 +36,24 @@ BLOCK = frozenset(
 )
 DROP = frozenset("head nav footer aside form script style noscript template iframe object svg canvas button select option textarea input menu dialog audio video".split())
 CONTENT = frozenset(("article", "main"))
-HINT = re.compile(
-    r"(?:^|[\s_-])(?:ads?|advert\w*|adsense|banner|sponsor\w*|promo\w*|nav|navbar|navigation|menu|breadcrumbs?|header|masthead|footer|foot|side|sidebar|aside|"
-    r"widgets?|cookies?|consent|notice|alert|popup|modal|newsletter|subscribe|share|social|related|recommend\w*|comments?|disqus|replies|respond|login|signup|search)(?:$|[\s_-])"
+BOILERPLATE = frozenset(
+    "ad ads advert adverts advertisement advertising adsense banner sponsor sponsored promo promotion nav navbar navigation menu breadcrumb breadcrumbs header masthead "
+    "footer foot side sidebar aside widget widgets cookie cookies consent notice notices alert popup modal newsletter subscribe share sharing social related recommended "
+    "recommendations comment comments disqus reply replies respond login signup search".split()
 )
+PROPER = frozenset("content article main post entry story maincontent".split())
+NEGATION = frozenset("no not has with without hide hidden".split())
 SPACES = re.compile(r"\s+")
 
 
+def is_boilerplate(names: str) -> bool:
+    """Whether class, id and role name boilerplate: a word of one of the names does, none is negated, and no name is a content word itself."""
+    tokens = [[w for w in re.split(r"[-_:]+", t) if w] for t in names.lower().split()]
+    if any(len(t) == 1 and t[0] in PROPER for t in tokens):
+        return False
+    return any(t and t[0] not in NEGATION and any(w in BOILERPLATE for w in t) for t in tokens)
+
+
 class Lines(HTMLParser):
     """Collects [text, tags, characters in links, dropped, in an article] lines."""
 
@@ -61,9 +72,9 @@ class Lines(HTMLParser):
         self.text, self.linked = [], 0
 
     def enter(self, tag: str, attrs) -> None:
-        hint = " ".join(v.lower() for k, v in attrs if v and k in ("class", "id", "role"))
+        hint = " ".join(v for k, v in attrs if v and k in ("class", "id", "role"))
         content = tag in CONTENT
-        drop = tag in DROP or (tag == "header" and not self.inside) or (bool(hint) and not content and tag not in ("html", "body") and bool(HINT.search(hint)))
+        drop = tag in DROP or (tag == "header" and not self.inside) or (bool(hint) and not content and tag not in ("html", "body") and is_boilerplate(hint))
         self.open.append((tag, drop, content))
         self.dropped += drop
         self.inside += content
