@@ -146,7 +146,9 @@ def html_rows(spark, d):
     return markup.elements(table(spark, d, "pages"), ["page_id"], "html", "li")
 
 
-@query()
+@query("""SELECT page_id, 1 AS table_no, 1 AS "row", i::INT AS col, 'td' AS tag, 2 AS colspan, 1 AS rowspan,
+  trim(regexp_replace(replace(replace(replace(regexp_replace(raw[i], '<[^>]+>', '', 'g'), '&lt;', '<'), '&gt;', '>'), '&amp;', '&'), '\\s+', ' ', 'g')) AS text
+FROM (SELECT page_id, raw, unnest(range(1, len(raw) + 1)) AS i FROM (SELECT page_id, regexp_extract_all(html, '(?is)<li\\b[^>]*>(.*?)</li>', 1) AS raw FROM pages))""")
 def html_tables(spark, d):
     """Cells of tables; pages here hold none, so list items are put into one."""
     row = F.concat(F.lit("<table><tr>"), F.array_join(F.transform(F.regexp_extract_all("html", F.lit(r"(?is)<li\b[^>]*>(.*?)</li>")), lambda x: F.concat(F.lit("<td colspan='2'>"), x, F.lit("</td>"))), ""), F.lit("</tr></table>"))
