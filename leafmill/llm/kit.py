@@ -7,7 +7,9 @@ memory follows the longest text, never the partition.
 
 from __future__ import annotations
 
+import atexit
 import contextlib
+import shutil
 import tempfile
 import uuid
 from collections.abc import Callable, Iterable, Iterator
@@ -19,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Bytes of text that one vectorised pass holds.
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 19
 #: Rows whose size is proven by a count may be broadcast up to this many.
 BROADCAST_ROWS = 2_000_000
 #: The same for rows with a payload, in bytes.
@@ -38,7 +40,11 @@ def shared_dir(spark: SparkSession) -> str:
     """The folder all executors share; a local one is set only where the session names none."""
     at = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not at:
-        at = "file://" + tempfile.mkdtemp(prefix="leafmill-shared-")
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+        own = tempfile.mkdtemp(prefix="leafmill-shared-")
+        atexit.register(shutil.rmtree, own, ignore_errors=True)
+        at = f"file://{own}"
         spark.conf.set("spark.checkpoint.dir", at)
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(at)
@@ -290,19 +296,28 @@ def exchange(messages: DataFrame, owners: int, answer: Callable[[list[bytes]], l
     """
 
     def own(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[int, list[tuple[int, bytes]]] = {}
-        for batch in batches:
-            for o, c, p in zip(*(batch.column(x).to_pylist() for x in ("owner", "chunk", "payload")), strict=True):
-                held.setdefault(o, []).append((c, p))
-        for o in sorted(held):
-            told = held.pop(o)
-            replies = answer([p for _, p in told])
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([c for c, _ in told], pa.int64()), pa.array([o] * len(told), pa.int32()), pa.array(replies, pa.binary())],
-                ["chunk", "owner", "reply"],
+        now, chunks, payloads = None, [], []
+
+        def reply() -> pa.RecordBatch:
+            replies = answer(payloads)
+            return pa.RecordBatch.from_arrays(
+                [pa.array(chunks, pa.int64()), pa.array([now] * len(chunks), pa.int32()), pa.array(replies, pa.binary())], ["chunk", "owner", "reply"]
             )
 
-    replies = messages.repartition(owners, "owner").mapInArrow(own, REPLY)
+        for batch in batches:
+            for i in range(batch.num_rows):
+                o, c, p = (batch.column(x)[i].as_py() for x in ("owner", "chunk", "payload"))
+                if o != now and chunks:
+                    yield reply()
+                    chunks, payloads = [], []
+                now = o
+                chunks.append(c)
+                payloads.append(p)
+        if chunks:
+            yield reply()
+
+    # Sorted, so a task holds the payloads of one owner at a time.
+    replies = messages.repartition(owners, "owner").sortWithinPartitions("owner").mapInArrow(own, REPLY)
     return save(replies.groupBy("chunk").agg(F.sort_array(F.collect_list(F.struct("owner", "reply"))).alias("replies")), name)
 
 

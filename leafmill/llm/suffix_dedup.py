@@ -42,9 +42,11 @@ from pyspark.sql import functions as F
 from . import kit
 
 LENGTH, PRINT_BITS = 200, 48
-BATCH, SPLIT = 1 << 20, 4 << 20
+BATCH, SPLIT = 1 << 18, 2 << 20
+#: Owners of segments for each shuffle partition: segments are long, so an owner has few.
+OWNERS = 4
 #: Bytes of waiting texts in one chunk.
-CHUNK_BYTES = 8 << 20
+CHUNK_BYTES = 4 << 20
 _LOW = np.uint64((1 << 24) - 1)
 
 
@@ -77,7 +79,8 @@ def choose(buf: np.ndarray, starts: np.ndarray, length: int):
     least = np.minimum(back[s], ahead[s + w - 1])
     place = s + ((least - s.astype(np.uint64)) & _LOW).astype(np.int64)
     head = np.flatnonzero(np.concatenate([[True], (place[1:] != place[:-1]) | (doc[1:] != doc[:-1])]))
-    return place[head], grams[place[head]], doc[head], s[head], np.diff(np.append(head, len(s)))
+    # The smallest hashes are small: mixed again, they spread over all owners.
+    return place[head], kit.mix(grams[place[head]]), doc[head], s[head], np.diff(np.append(head, len(s)))
 
 
 def anchors(length: int):
@@ -92,7 +95,11 @@ def anchors(length: int):
 
 
 def sort_suffixes(text: np.ndarray, length: int) -> np.ndarray:
-    """Suffixes in the order of their first `length` symbols (9 bits each), ties by place."""
+    """Suffixes in the order of their first `length` symbols (9 bits each); ties in any order.
+
+    Intervals of strings of up to `length` symbols have the same ends whatever
+    the order of ties, so the search is not affected.
+    """
     n = len(text)
     key = np.zeros(n, np.uint64)
     h = min(7, length)
@@ -100,7 +107,7 @@ def sort_suffixes(text: np.ndarray, length: int) -> np.ndarray:
     for j in range(h):
         key |= padded[j : j + n] << np.uint64(9 * (6 - j))
     while True:
-        order = np.argsort(key, kind="stable")
+        order = np.argsort(key)
         ordered = key[order]
         new = np.concatenate([[False], ordered[1:] != ordered[:-1]])
         if h >= length or new.sum() == n - 1:
@@ -168,6 +175,7 @@ def _split(members: list[int], segments: list[bytes], weights: np.ndarray, place
     """A hot anchor's segments, divided by offset range and by the bytes all windows of the range share."""
     span = length - gram_of(length) + 1
     flags = {i: np.zeros(len(segments[i]) - length + 1, bool) for i in members}
+    todo: list[dict[bytes, list]] = []
     for a in range(0, span, -(-span // parts)):
         b = min(span, a + -(-span // parts))
         buckets: dict[bytes, dict[bytes, list]] = {}
@@ -178,13 +186,32 @@ def _split(members: list[int], segments: list[bytes], weights: np.ndarray, place
                 continue
             # Windows at [p - b + 1, p - a] all hold the bytes [p - a, p - b + 1 + length).
             buckets.setdefault(s[p - a : p - b + 1 + length], {}).setdefault(s[lo : hi + length], []).append((i, lo))
-        for sub in buckets.values():
-            texts = list(sub)
-            w = np.array([min(2, sum(weights[i] for i, _ in sub[t])) for t in texts])
-            found = repeated_starts(texts, w, length) if len(texts) > 1 else [np.full(len(texts[0]) - length + 1, w[0] >= 2)]
-            for t, again in zip(texts, found, strict=True):
-                for i, lo in sub[t]:
-                    flags[i][lo : lo + len(again)] |= again
+        todo.extend(buckets.values())
+    # Each window start is in one range, so buckets may share a batch: no window counts twice.
+    batch: list[tuple[bytes, int, list]] = []
+    held = 0
+
+    def flush():
+        found = repeated_starts([t for t, _, _ in batch], np.array([w for _, w, _ in batch]), length)
+        for (_, _, who), again in zip(batch, found, strict=True):
+            for i, lo in who:
+                flags[i][lo : lo + len(again)] = again
+
+    for sub in todo:
+        rows = [(t, min(2, sum(weights[i] for i, _ in who)), who) for t, who in sub.items()]
+        if len(rows) == 1:
+            t, w, who = rows[0]
+            for i, lo in who:
+                flags[i][lo : lo + len(t) - length + 1] = w >= 2
+            continue
+        batch += rows
+        held += sum(len(t) for t, _, _ in rows)
+        if held > BATCH:
+            flush()
+            batch.clear()
+            held = 0
+    if batch:
+        flush()
     return [flags[i] for i in members]
 
 
@@ -198,8 +225,9 @@ def _answer(length: int):
         places: list[int] = []
         groups: dict[int, list[int]] = {}
         sent = []
-        for p in payloads:
+        for turn, p in enumerate(payloads):
             prints, at, twice, size, blob = pickle.loads(p)
+            payloads[turn] = p = None
             mine, end = [], 0
             for x, o, t, n in zip(prints.tolist(), at.tolist(), twice.tolist(), size.tolist(), strict=True):
                 s = blob[end : end + n]
@@ -290,15 +318,17 @@ def _chunks(length: int, owners: int):
                         done.append((ids[a + i], int(starts[i + 1] - starts[i]), hashlib.sha256(data[starts[i] : starts[i + 1]]).hexdigest()))
                 if not busy:
                     continue
-                place, grams, doc, first, many = choose(buf, starts, length)
-                cut = np.searchsorted(doc, np.arange(b - a + 1))
-                for i in busy:
-                    x, y = cut[i], cut[i + 1]
+                own = b"".join(data[starts[i] : starts[i + 1]] for i in busy)
+                begin = np.concatenate([[0], np.cumsum([starts[i + 1] - starts[i] for i in busy])])
+                place, grams, doc, first, many = choose(np.frombuffer(own, np.uint8), begin, length)
+                cut = np.searchsorted(doc, np.arange(len(busy) + 1))
+                for at, i in enumerate(busy):
+                    x, y = cut[at], cut[at + 1]
                     on = np.flatnonzero(kit.unmark(marks[a + i], y - x)) + x
                     segs, lows = [], []
                     for j in on.tolist():
                         s, m = int(first[j]), int(many[j])
-                        seg = data[s : s + m + length - 1]
+                        seg = own[s : s + m + length - 1]
                         k = index.setdefault(seg, len(index))
                         if k == len(prints):
                             prints.append(int(grams[j]) >> (64 - PRINT_BITS))
@@ -307,7 +337,7 @@ def _chunks(length: int, owners: int):
                         else:
                             twice[k] = True
                         segs.append(k)
-                        lows.append(s - int(starts[i]))
+                        lows.append(s - int(begin[at]))
                     docs.append((int(ids[a + i]), data[starts[i] : starts[i + 1]], np.array(segs, np.int32), np.array(lows, np.int64)))
                     held += int(starts[i + 1] - starts[i])
                     if held >= CHUNK_BYTES:
@@ -362,6 +392,7 @@ def suffix_dedup(docs: DataFrame, id_col="doc_id", text_col="text", length: int
     owners = owners or kit.parts(docs.sparkSession)
     slim = kit.keyed(docs, id_col, text_col)
     marks = kit.repeated_anchors(slim, anchors(length), PRINT_BITS, "suffix", owners)
+    owners *= OWNERS
     rows = kit.with_marks(slim, marks).mapInArrow(_chunks(length, owners), kit.ROUTED + ", doc_id long, n_bytes long, kept_sha256 string")
     rows = kit.save(rows, "suffix-segments", by="kind")
     zero = F.lit(0).cast("long")
