@@ -43,9 +43,9 @@ from . import graph, kit
 K, PERCENT = 4, 85
 PRINT_BITS = 48
 #: Entries of the list of frequent shingles, and what makes one: texts of a slice that have it.
-HOT_MAX, HOT_TEXTS = 50_000, 6
+HOT_MAX, HOT_TEXTS = 50_000, 3
 #: Shingles of a group (or of a block of a large group).
-GROUP_SHINGLES = 1 << 20
+GROUP_SHINGLES = 1 << 17
 #: Bits of a class's name that lists carry: five bytes; classes that share them are only compared in vain.
 LABEL_BITS = 40
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -175,7 +175,8 @@ def _prefixes(k: int, percent: int, hot: np.ndarray, owners: int):
                 order = np.lexsort((prints, common, doc))
                 rank = np.arange(len(prints)) - off[:-1][doc]
                 keep = (rank < take[doc]) & fresh[doc]
-                part = prints[order][keep] >> np.uint64(64 - PRINT_BITS)
+                # Prefixes hold the smallest hashes: mixed again, they spread over all owners.
+                part = kit.mix(prints[order][keep]) >> np.uint64(64 - PRINT_BITS)
                 got = np.bincount(doc[keep], minlength=len(size))
                 held.append((name[fresh], size[fresh], got[fresh], part))
                 n += len(part)
