@@ -3,17 +3,22 @@
 Texts are words (runs of letters, digits and non-ASCII bytes, A-Z lowered), so
 punctuation glued to a passage does not hide it. The CGK embedding walks along
 a sequence: at step j it reads the word under its pointer and moves on when
-that word's random bit for step j is 1. Two sequences a few edits apart fall
-back into step, so edit distance becomes Hamming distance between the words
-read. One walk from each word of a document embeds the windows of all item
-sizes, as a window's walk only ends sooner.
-
-LSH: each repetition samples SAMPLES steps of one of WALKS independent walks,
-within the steps that an item of the length class surely fills; windows whose
-sampled words equal an item's are candidates. Candidates are verified: the
-item's exact edit distance, in words, to the best stretch around the window
-must be at most (1 - similarity) of the item's words. Verbatim passages always
-collide; REPEATS x WALKS repetitions make the recall on edited ones (tested).
+that word's random bit for step j is 1; at the end of the sequence it stays.
+
+Recall: an item of m words in which k edits are allowed is cut into k + 1
+segments of nearly equal length that span it. Wherever the edits lie, one
+segment has none (an edit touches one segment at most), so its walk reads the
+same words in the document and collides in every sampled step: one repetition
+a segment gives a recall of 1 at the stated similarity, for items of any
+length and for edits of any kind and place.
+
+LSH: the key of a segment is SAMPLES of the 2n steps of its walk, one from
+each part; a walk from each word of a document embeds the windows of all
+segment lengths at once (at a similarity of 0.8 up to 5 words; a longer segment
+is keyed by its first MAX_SEGMENT words). Windows whose keys equal a segment's
+are candidates. Candidates are verified: the item's exact edit distance, in
+words, to the best stretch around the window must be at most (1 - similarity)
+of the item's words.
 
 Items are a checked size: more than ITEMS_AT_ONCE go in blocks, a pass each.
 Documents stay where they are; only hits leave a task.
@@ -33,8 +38,7 @@ from pyspark.sql import functions as F
 from . import kit
 
 SIMILARITY, MIN_WORDS = 0.8, 4
-WALKS, REPEATS, SAMPLES = 4, 4, 3
-MAX_STEPS = 48
+SAMPLES, MAX_SEGMENT = 6, 8
 ITEMS_AT_ONCE = 20_000
 _INSIDE = np.zeros(256, bool)
 for _a, _b in ((48, 58), (65, 91), (97, 123), (128, 256)):
@@ -49,39 +53,36 @@ def words_of(buf: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return kit.ranges_hash(_LOWER[buf], s, e), first
 
 
-def length_class(n: int) -> int:
-    """The largest power of two that is at most n."""
-    return 1 << (n.bit_length() - 1)
+def segments(n: int, edits: int) -> list[tuple[int, int]]:
+    """(offset, length) of the edits + 1 segments that span n words; edits < n."""
+    cuts = [n * i // (edits + 1) for i in range(edits + 2)]
+    return [(a, b - a) for a, b in zip(cuts, cuts[1:], strict=False)]
 
 
 class Plan:
-    """Random choices of the walks and of the sampled steps, the same everywhere."""
+    """Random choices of the walk and of the sampled steps of each window length, the same everywhere."""
 
-    def __init__(self, classes: list[int], seed: int = 7):
+    def __init__(self, lengths: list[int], seed: int = 7):
         rng = np.random.default_rng(seed)
-        self.steps = min(MAX_STEPS, 2 * max(classes))
-        self.turn = rng.integers(1, 1 << 63, (WALKS, self.steps), np.uint64) * np.uint64(2) + np.uint64(1)
-        self.sampled: dict[tuple[int, int], list[int]] = {}
-        for c in classes:
-            end = min(MAX_STEPS, 2 * c)
-            for r in range(WALKS * REPEATS):
-                cuts = np.linspace(0, end, SAMPLES + 1).astype(int)
-                self.sampled[c, r] = [int(rng.integers(a, max(b, a + 1))) for a, b in zip(cuts, cuts[1:], strict=False)]
-
-    def keys(self, words: np.ndarray, at: np.ndarray, wanted: list[tuple[int, int]]):
-        """((class, repetition), key of the walk from each position), one after another."""
-        for w in range(WALKS):
-            mine = [x for x in wanted if x[1] % WALKS == w]
-            keys = {x: np.zeros(len(at), np.uint64) for x in mine}
-            p = at.copy()
-            for j in range(1 + max((max(self.sampled[x]) for x in mine), default=-1)):
-                read = words[p]
-                for x in mine:
-                    if j in self.sampled[x]:
-                        keys[x] = keys[x] * np.uint64(0x9E3779B97F4A7C15) + read
-                p += ((read * self.turn[w, j]) >> np.uint64(63)).astype(p.dtype)
-            for x in mine:
-                yield x, keys[x]
+        self.steps = 2 * max(lengths)
+        self.turn = rng.integers(1, 1 << 63, self.steps, np.uint64) * np.uint64(2) + np.uint64(1)
+        self.sampled: dict[int, set[int]] = {}
+        for n in lengths:
+            cuts = np.linspace(0, 2 * n, SAMPLES + 1).astype(int)
+            self.sampled[n] = {int(rng.integers(a, max(b, a + 1))) for a, b in zip(cuts, cuts[1:], strict=False)}
+
+    def keys(self, words: np.ndarray, at: np.ndarray, wanted: list[int]) -> dict[int, np.ndarray]:
+        """By window length the keys of the walks from each position; words go on for self.steps behind the last."""
+        keys = {n: np.zeros(len(at), np.uint64) for n in wanted}
+        p = at.copy()
+        for j in range(1 + max(max(self.sampled[n]) for n in wanted)):
+            read = words[p]
+            for n in wanted:
+                if j in self.sampled[n]:
+                    keys[n] *= np.uint64(0x9E3779B97F4A7C15)
+                    keys[n] += read if j < n else words[np.minimum(p, at + (n - 1))]
+            p += ((read * self.turn[j]) >> np.uint64(63)).astype(p.dtype)
+        return keys
 
 
 class Items:
@@ -89,35 +90,39 @@ class Items:
         data = [t.encode() for _, t in rows]
         starts = np.concatenate([[0], np.cumsum([len(d) for d in data])]).astype(np.int64)
         words, first = words_of(np.frombuffer(b"".join(data), np.uint8), starts)
-        every = [(i, words[a:b]) for (i, _), a, b in zip(rows, first, first[1:], strict=False)]
-        self.items = [(i, w) for i, w in every if len(w) >= MIN_WORDS]
+        every = [(i, words[a:b], a) for (i, _), a, b in zip(rows, first.tolist(), first[1:].tolist(), strict=False)]
+        self.items = [(i, w) for i, w, _ in every if len(w) >= MIN_WORDS]
         self.allowed = [int((1 - similarity) * len(w) + 1e-9) for _, w in self.items]
-        classes = sorted({length_class(len(w)) for _, w in self.items})
-        self.plan = Plan(classes) if classes else None
+        base = [a for _, w, a in every if len(w) >= MIN_WORDS]
+        cut: dict[int, list[tuple[int, int]]] = {}
+        for k, (_, w) in enumerate(self.items):
+            for offset, n in segments(len(w), min(self.allowed[k], len(w) - 1)):
+                cut.setdefault(min(n, MAX_SEGMENT), []).append((k, offset))
+        self.plan = Plan(sorted(cut)) if cut else None
         self.tables = {}
-        pad = np.zeros(MAX_STEPS + 1, np.uint64)
-        for c in classes:
-            own = [k for k, (_, w) in enumerate(self.items) if length_class(len(w)) == c]
-            flat = np.concatenate([np.concatenate([self.items[k][1], pad]) for k in own])
-            size = np.array([len(self.items[k][1]) + len(pad) for k in own])
-            for x, keys in self.plan.keys(flat, np.cumsum(size) - size, [(c, r) for r in range(WALKS * REPEATS)]):
-                order = np.argsort(keys)
-                near = np.zeros(1 << 16, bool)
-                near[(keys >> np.uint64(48)).astype(np.int64)] = True
-                self.tables[x] = (keys[order], np.array(own)[order], near)
+        for n, own in cut.items():
+            whose, offset = np.array(own).T
+            padded = np.concatenate([words, np.zeros(self.plan.steps, np.uint64)])
+            keys = self.plan.keys(padded, np.array(base)[whose] + offset, [n])[n]
+            order = np.argsort(keys)
+            bits = min(24, max(16, (16 * len(keys)).bit_length()))
+            near = np.zeros(1 << bits, bool)
+            near[(keys >> np.uint64(64 - bits)).astype(np.int64)] = True
+            self.tables[n] = (keys[order], whose[order], offset[order], near, np.uint64(64 - bits))
         self.masks: dict[int, dict[int, int]] = {}
 
     def candidates(self, words: np.ndarray) -> np.ndarray:
-        """Distinct (position, item) rows that collide in some repetition."""
-        padded = np.concatenate([words, np.zeros(MAX_STEPS + 1, np.uint64)])
+        """Distinct (position of the window, item, presumed start of the item) rows whose keys collide."""
+        padded = np.concatenate([words, np.zeros(self.plan.steps, np.uint64)])
         found = []
-        for x, keys in self.plan.keys(padded, np.arange(len(words), dtype=np.int32), list(self.tables)):
-            table, whose, near = self.tables[x]
-            p = np.flatnonzero(near[(keys >> np.uint64(48)).astype(np.int32)])
+        for n, keys in self.plan.keys(padded, np.arange(len(words), dtype=np.int32), list(self.tables)).items():
+            table, whose, offset, near, shift = self.tables[n]
+            p = np.flatnonzero(near[(keys >> shift).astype(np.int32)])
             lo, hi = np.searchsorted(table, keys[p], "left"), np.searchsorted(table, keys[p], "right")
-            n = hi - lo
-            at = np.repeat(lo - np.cumsum(n) + n, n) + np.arange(n.sum())
-            found.append(np.stack([np.repeat(p, n), whose[at]], 1))
+            count = hi - lo
+            at = np.repeat(lo - np.cumsum(count) + count, count) + np.arange(count.sum())
+            p = np.repeat(p, count)
+            found.append(np.stack([p, whose[at], p - offset[at]], 1))
         return np.unique(np.concatenate(found), axis=0)
 
     def distance(self, k: int, text: list[int]) -> tuple[int, int]:
@@ -151,19 +156,19 @@ class Items:
             return
         pairs = self.candidates(words)
         doc = np.searchsorted(first, pairs[:, 0], "right") - 1
-        order = np.lexsort((pairs[:, 0], pairs[:, 1], doc))
-        last, checked, best = None, -1, None
-        for d, (p, k) in zip(doc[order].tolist(), pairs[order].tolist(), strict=True):
+        order = np.lexsort((pairs[:, 2], pairs[:, 1], doc))
+        last, checked, best = None, None, None
+        for d, (_, k, p) in zip(doc[order].tolist(), pairs[order].tolist(), strict=True):
             if (d, k) != last:
                 if best:
                     yield best
-                last, checked, best = (d, k), -1, None
+                last, checked, best = (d, k), p, None
             if p < checked or (best and best[3] == 0):
                 continue
             m, room = len(self.items[k][1]), self.allowed[k]
             lo = max(int(first[d]), p - room - 1)
             hi = min(int(first[d + 1]), p + m + 2 * room + 2)
-            checked = p + 1 + room // 2
+            checked = p + room + 2
             score, end = self.distance(k, words[lo:hi].tolist())
             if score <= room and (best is None or score < best[3]):
                 best = (d, self.items[k][0], m, score, max(0, lo + end - m - int(first[d])))

@@ -187,6 +187,25 @@ def test_leaks(spark):
     assert decontaminate.find_leaks(spark.createDataFrame([], SCHEMA), bench).count() == 0
 
 
+def test_leaks_wherever_the_edits_lie(spark):
+    rng = random.Random(11)
+    items = [(i, " ".join(words(rng, n, 50_000))) for i, n in enumerate((4, 5, 9, 14, 25, 49, 60, 100, 160))]
+    rows, want = [], {}
+    for i, text in items:
+        m = len(text.split())
+        k = m // 5
+        places = {"head": range(k), "tail": range(m - k, m), "third": rng.sample(range(max(k, m // 3)), k), "spread": range(2, m, 5)[:k]}
+        for at in (set(p) for p in places.values()):
+            for edit in (lambda w: ["edited"], lambda w: [], lambda w: ["added", w]):
+                passage = [x for j, w in enumerate(text.split()) for x in (edit(w) if j in at else [w])]
+                want[len(rows), i] = len(at)
+                rows.append((len(rows), " ".join([*words(rng, 30, 50_000), *passage, *words(rng, 30, 50_000)]), "en", "s"))
+    got = decontaminate.find_leaks(frame(spark, rows), spark.createDataFrame(items, "item_id long, text string")).collect()
+    found = {(r.doc_id, r.item_id): r.distance for r in got}
+    assert set(found) == set(want)
+    assert all(d <= want[x] for x, d in found.items())
+
+
 def decontaminate_words(t):
     import re
 
