@@ -1,7 +1,9 @@
 """Benchmark decontamination: CGK embedding, bit-sampling LSH, exact edit verification.
 
 Texts are words (runs of letters, digits and non-ASCII bytes, A-Z lowered), so
-punctuation glued to a passage does not hide it. The CGK embedding walks along
+punctuation glued to a passage does not hide it. In scripts written without
+spaces every character is a word, and full-width and general punctuation
+separates like ASCII punctuation. The CGK embedding walks along
 a sequence: at step j it reads the word under its pointer and moves on when
 that word's random bit for step j is 1; at the end of the sequence it stays.
 
@@ -23,8 +25,9 @@ of the item's words.
 Items are a checked size: more than ITEMS_AT_ONCE go in blocks, a pass each.
 Documents stay where they are; only hits leave a task.
 
-Defined results: null or blank texts and items of fewer than MIN_WORDS words
-have no hits; equal items each hit; null ids come out as null; an empty table
+Defined results: null or blank texts and items without any word have no hits;
+items too short for an edit (fewer than 5 words at 0.8) are found by exact
+match of their words; equal items each hit; null ids come out as null; an empty table
 gives no rows; other columns are not read.
 """
 
@@ -37,7 +40,7 @@ from pyspark.sql import functions as F
 
 from . import kit
 
-SIMILARITY, MIN_WORDS = 0.8, 4
+SIMILARITY = 0.8
 SAMPLES, MAX_SEGMENT = 6, 8
 ITEMS_AT_ONCE = 20_000
 _INSIDE = np.zeros(256, bool)
@@ -45,11 +48,52 @@ for _a, _b in ((48, 58), (65, 91), (97, 123), (128, 256)):
     _INSIDE[_a:_b] = True
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
+#: First and last code points of scripts without spaces between words: Thai and Lao, Tibetan, Myanmar, Khmer, Tai,
+#: kana and Bopomofo, Han, Yi, half-width kana, kana and Han beyond the first plane.
+UNSPACED = (
+    (0x0E00, 0x0EFF), (0x0F00, 0x0FFF), (0x1000, 0x109F), (0x1780, 0x17FF), (0x1950, 0x19DF), (0x1A20, 0x1AAF), (0x2E80, 0x2FDF), (0x3005, 0x3007), (0x3021, 0x3029),
+    (0x3031, 0x303C), (0x3041, 0x312F), (0x31A0, 0x31FF), (0x3400, 0x4DBF), (0x4E00, 0x9FFF), (0xA000, 0xA4CF), (0xA9E0, 0xA9FF), (0xAA60, 0xAADF), (0xF900, 0xFAFF),
+    (0xFF66, 0xFF9F), (0x1AFF0, 0x1B16F), (0x20000, 0x3FFFF),
+)
+#: The same of punctuation and spaces outside ASCII that stand between words.
+BETWEEN = (
+    (0x2000, 0x200A), (0x2010, 0x2029), (0x202F, 0x205F), (0x3000, 0x3004), (0x3008, 0x3020), (0x302A, 0x3030), (0x303D, 0x303F), (0x30FB, 0x30FB),
+    (0xFE30, 0xFE4F), (0xFF01, 0xFF0F), (0xFF1A, 0xFF20), (0xFF3B, 0xFF40), (0xFF5B, 0xFF65),
+)
+
+
+def _within(points: np.ndarray, ranges) -> np.ndarray:
+    edges = np.array(ranges)
+    at = np.searchsorted(edges[:, 0], points, "right") - 1
+    return (at >= 0) & (points <= edges[at, 1])
 
 
 def words_of(buf: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Word hashes and the first word of each text."""
     s, e, first = kit.word_bounds(buf, starts, _INSIDE)
+    # Characters of three and four bytes; nothing below U+0800 is unspaced.
+    lead = np.flatnonzero(buf >= 0xE0)
+    size = 3 + (buf[lead] >= 0xF0)
+    whole = lead + size <= len(buf)
+    lead, size = lead[whole], size[whole]
+    if len(lead):
+        b = buf[lead[:, None] + np.arange(3)].astype(np.int64) & 0x3F
+        last = buf[lead + size - 1].astype(np.int64) & 0x3F
+        points = np.where(size == 3, (b[:, 0] & 0xF) << 12 | b[:, 1] << 6 | b[:, 2], (b[:, 0] & 7) << 18 | b[:, 1] << 12 | b[:, 2] << 6 | last)
+        between = _within(points, BETWEEN)
+        single = _within(points, UNSPACED) & ~between
+        apart = single | between
+        if apart.any():
+            # A character that stands apart ends the word before it and starts the next; punctuation is then left out.
+            cuts = np.unique(np.concatenate([s, lead[apart], (lead + size)[apart]]))
+            ends = np.unique(np.concatenate([e, lead[apart], (lead + size)[apart]]))
+            # Pieces of words lie between neighbouring cuts inside one word.
+            word = np.searchsorted(s, cuts, "right") - 1
+            s = cuts[(word >= 0) & (cuts < e[word])]
+            e = ends[np.searchsorted(ends, s, "right")]
+            keep = ~np.isin(s, lead[between])
+            s, e = s[keep], e[keep]
+            first = np.searchsorted(s, starts)
     return kit.ranges_hash(_LOWER[buf], s, e), first
 
 
@@ -91,9 +135,9 @@ class Items:
         starts = np.concatenate([[0], np.cumsum([len(d) for d in data])]).astype(np.int64)
         words, first = words_of(np.frombuffer(b"".join(data), np.uint8), starts)
         every = [(i, words[a:b], a) for (i, _), a, b in zip(rows, first.tolist(), first[1:].tolist(), strict=False)]
-        self.items = [(i, w) for i, w, _ in every if len(w) >= MIN_WORDS]
+        self.items = [(i, w) for i, w, _ in every if len(w)]
         self.allowed = [int((1 - similarity) * len(w) + 1e-9) for _, w in self.items]
-        base = [a for _, w, a in every if len(w) >= MIN_WORDS]
+        base = [a for _, w, a in every if len(w)]
         cut: dict[int, list[tuple[int, int]]] = {}
         for k, (_, w) in enumerate(self.items):
             for offset, n in segments(len(w), min(self.allowed[k], len(w) - 1)):

@@ -206,6 +206,18 @@ def test_leaks_wherever_the_edits_lie(spark):
     assert all(d <= want[x] for x, d in found.items())
 
 
+def test_leaks_in_scripts_without_spaces_and_short_items(spark):
+    han, thai = "若函数在区间上单调递增，则实数的取值范围是多少？", "ประเทศไทยมีกี่จังหวัด"
+    items = [(1, han), (2, thai), (3, "two words"), (4, "single"), (5, "东京"), (6, "！？"), (7, "若函数在区间上单调递增，则整数的取值范围是什么？")]
+    rows = [
+        (1, f"前文说明{han}后文", "zh", "s"), (2, f"ก่อน{thai}หลัง", "th", "s"), (3, "here Two, WORDS are", "en", "s"), (4, "not two wordsmiths", "en", "s"), (5, "(single)", "en", "s"),
+        (6, "在东京都", "ja", "s"), (7, "东和京", "ja", "s"), (8, "别的文字，没有题目。", "zh", "s"), (9, "two words，single", "en", "s"), (10, "singles ！？", "en", "s"),
+    ]
+    got = decontaminate.find_leaks(frame(spark, rows), spark.createDataFrame(items, "item_id long, text string")).collect()
+    assert {(r.doc_id, r.item_id) for r in got} == {(1, 1), (1, 7), (2, 2), (3, 3), (5, 4), (6, 5), (9, 3), (9, 4)}
+    assert {(r.item_id, r.distance) for r in got if r.doc_id == 1} == {(1, 0), (7, 3)}
+
+
 def decontaminate_words(t):
     import re
 
