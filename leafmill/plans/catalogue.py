@@ -157,7 +157,7 @@ def html_tables(spark, d):
 
 @query()
 def math_segments(spark, d):
-    docs = table(spark, d, "documents").where(F.contains("text", F.lit("$")))
+    docs = table(spark, d, "documents")
     return docs.select("doc_id", F.posexplode(M.segments("text")).alias("pos", "s")).select("doc_id", "pos", "s.is_math", "s.segment")
 
 

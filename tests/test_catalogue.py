@@ -40,6 +40,15 @@ def test_runs(spark, name):
     assert catalogue.queries()[name](spark, SF).count() >= 0
 
 
+def test_math_segments_covers_every_text(spark, tmp_path):
+    texts = {1: "no math here", 2: r"so \(x + 1\) and \[y\] end", 3: "costs $a$ each", 4: "open $ only", 5: "", 6: None}
+    spark.createDataFrame(list(texts.items()), "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = sorted(catalogue.queries()["math_segments"](spark, str(tmp_path)).collect())
+    assert {i: "".join(r.segment for r in got if r.doc_id == i) for i in (1, 2, 3, 4)} == {i: texts[i] for i in (1, 2, 3, 4)}
+    assert [(r.doc_id, r.segment) for r in got if r.is_math] == [(2, r"\(x + 1\)"), (2, r"\[y\]"), (3, "$a$")]
+    assert {r.doc_id for r in got} == {1, 2, 3, 4}
+
+
 def test_entry(spark):
     df = entry.entry(spark)
     assert df.columns == ["source", "n_docs", "n_blocks", "n_closed", "compact_chars"]
