@@ -8,9 +8,17 @@ message; a quote joins the message it repeats:
 
 - the last earlier message of its conversation that holds the passage, found
   by one ordered pass over each (conversation, hash) and not by pairs;
-- else the first message of any conversation that holds it.
+- else the first message, by conversation and turn, of any other conversation
+  that holds it. Conversation ids are no time order, so it may sort after.
+
+A passage under MIN_PASSAGE characters says little by itself: it links only
+within its conversation, and only if it is all of the quote or all of the
+message it repeats.
 
 A message replies to the message of its longest linked passage of depth 1.
+Such links may close a cycle across conversations. The first message of a
+cycle, in the order of (conversation, turn), then takes its longest passage
+whose source sorts before it, or none; its quotes still count as linked.
 Reply paths come from pointer doubling over the links, so a thread of n
 replies takes log2 n rounds; a conversation sorted by reply_path is in reply
 order, and its formatted rows joined are the chat without quotes. Rows are
@@ -35,7 +43,7 @@ from . import kit
 MARK = re.compile(r"^((?:[ \t]*>)+)[ \t]?(.*)$")
 ATTRIBUTION = re.compile(r"^.{0,200}\b(?:wrote|writes|said|schrieb|a écrit|escribió)\b.{0,20}:\s*$", re.IGNORECASE)
 SPACES = re.compile(r"\s+")
-#: Passages of fewer characters link nothing: "ok" is no quotation.
+#: Passages of fewer characters link only within their conversation.
 MIN_PASSAGE = 12
 
 
@@ -76,7 +84,7 @@ def normal(text: str) -> str:
 def passages(text: str) -> set[str]:
     """The whole text, its paragraphs and its lines, normalised."""
     every = [text, *re.split(r"\n\s*\n", text), *text.split("\n")]
-    return {p for p in map(normal, every) if len(p) >= MIN_PASSAGE}
+    return {p for p in map(normal, every) if p}
 
 
 def _parse_rows(batches):
@@ -86,10 +94,9 @@ def _parse_rows(batches):
             own, quotes = parse(text.as_py())
             body.append(own)
             n_quotes.append(len(quotes))
-            hashes = [(0, p) for p in sorted(passages(own))]
-            hashes += [(depth, p) for depth, q in quotes for p in sorted(passages(q))]
-            told.append([{"depth": d, "passage": p} for d, p in hashes])
-        kind = pa.list_(pa.struct([("depth", pa.int32()), ("passage", pa.string())]))
+            each = [(d, normal(t), sorted(passages(t))) for d, t in [(0, own), *quotes]]
+            told.append([{"depth": d, "passage": p, "whole": p == whole} for d, whole, found in each for p in found])
+        kind = pa.list_(pa.struct([("depth", pa.int32()), ("passage", pa.string()), ("whole", pa.bool_())]))
         yield pa.RecordBatch.from_arrays(
             [*(batch.column(c) for c in ("conv_id", "turn", "role")), pa.array(body, pa.string()), pa.array(n_quotes, pa.int64()), pa.array(told, kind)],
             ["conv_id", "turn", "role", "body", "n_quotes", "told"],
@@ -98,26 +105,70 @@ def _parse_rows(batches):
 
 def link_quotes(messages: DataFrame) -> DataFrame:
     """(conv_id, turn, parent_conv, parent_turn, n_linked) of the messages whose quotes were found."""
+    n = F.length("p.passage")
+    # A short passage is hashed with its conversation, so it never meets others'.
+    place = F.when(n < MIN_PASSAGE, F.concat(F.coalesce(F.col("conv_id").cast("string"), F.lit("")), F.lit("\n"))).otherwise(F.lit(""))
     hashed = messages.select("conv_id", "turn", F.explode("told").alias("p")).select(
-        "conv_id", "turn", F.col("p.depth").alias("depth"), F.length("p.passage").alias("n"), F.sha2(F.col("p.passage").cast("binary"), 256).alias("hash")
+        "conv_id", "turn", F.col("p.depth").alias("depth"), "p.whole", n.alias("n"), F.sha2(F.concat(place, F.col("p.passage")).cast("binary"), 256).alias("hash")
     )
     quoted = hashed.where("depth > 0").select("hash").distinct()
     # Only passages that someone quotes go on.
     rows = hashed.join(quoted, "hash", "left_semi")
     before = Window.partitionBy("conv_id", "hash").orderBy("turn").rangeBetween(Window.unboundedPreceding, -1)
-    near = rows.withColumn("near", F.last(F.when(F.col("depth") == 0, F.col("turn")), ignorenulls=True).over(before)).where("depth > 0")
-    origin = rows.where("depth = 0").groupBy("hash").agg(F.min(F.struct("conv_id", "turn")).alias("origin"))
+    last = lambda which: F.last(F.when(which, F.col("turn")), ignorenulls=True).over(before)
+    held = F.col("depth") == 0
+    near = rows.withColumns({"any": last(held), "all": last(held & F.col("whole"))}).where("depth > 0")
+    near = near.withColumn("near", F.when((F.col("n") >= MIN_PASSAGE) | F.col("whole"), F.col("any")).otherwise(F.col("all")))
+    # The first holders in the first two conversations: one of them is not the quote's own.
+    holders = rows.where(held & (F.col("n") >= MIN_PASSAGE)).groupBy("hash", "conv_id").agg(F.min("turn").alias("turn"))
+    ranked = holders.withColumn("rank", F.row_number().over(Window.partitionBy("hash").orderBy("conv_id"))).where("rank <= 2")
+    at = lambda k: F.min(F.when(F.col("rank") == k, F.struct("conv_id", "turn")))
+    origin = ranked.groupBy("hash").agg(at(1).alias("first"), at(2).alias("second"))
+    fits = lambda c: F.col(c).isNotNull() & (~F.col(f"{c}.conv_id").eqNullSafe(F.col("conv_id")) | (F.col(c) < F.struct("conv_id", "turn")))
     found = near.join(origin, "hash", "left").select(
         "conv_id", "turn", "depth", "n",
-        F.when(F.col("near").isNotNull(), F.struct("conv_id", F.col("near").alias("turn")))
-        .when(F.col("origin") < F.struct("conv_id", "turn"), F.col("origin")).alias("source"),
+        F.when(F.col("near").isNotNull(), F.struct("conv_id", F.col("near").alias("turn"))).when(fits("first"), F.col("first")).when(fits("second"), F.col("second")).alias("source"),
     ).where("source is not null")
-    best = F.max(F.when(F.col("depth") == 1, F.struct("n", "source")))["source"]
-    return found.groupBy("conv_id", "turn").agg(best.alias("parent"), F.count("*").alias("n_linked")).select(
+    best = lambda which: F.max(F.when((F.col("depth") == 1) & which, F.struct("n", "source")))["source"]
+    links = found.groupBy("conv_id", "turn").agg(best(F.lit(True)).alias("parent"), best(F.col("source") < F.struct("conv_id", "turn")).alias("ordered"), F.count("*").alias("n_linked"))
+    return break_cycles(kit.save(links, "quote-links")).select(
         "conv_id", "turn", F.col("parent.conv_id").alias("parent_conv"), F.col("parent.turn").alias("parent_turn"), "n_linked"
     )
 
 
+def break_cycles(links: DataFrame) -> DataFrame:
+    """The first message of every cycle takes its ordered parent; a message is changed at most once.
+
+    After as many jumps as there are messages still on a path, doubled each
+    round, a path has ended or stands on a cycle: where the jumps land is the
+    cycle, and the smallest message they passed from there is its first.
+    """
+    me = F.struct("conv_id", "turn")
+    while True:
+        # A cycle needs a link to a later message; no link, no cycle.
+        if not links.where(F.col("parent") > me).take(1):
+            return links
+        named = links.where("parent.conv_id is not null and parent.turn is not null and conv_id is not null and turn is not null")
+        state = kit.save(named.select(me.alias("at"), F.col("parent").alias("to"), F.least(me, F.col("parent")).alias("least")), "quote-cycles")
+        alive, jumps = state.count(), 1
+        while alive and jumps < alive:
+            ahead = state.select(F.col("at").alias("to"), F.col("to").alias("next"), F.col("least").alias("other"))
+            new = kit.save(state.join(ahead, "to").select("at", F.col("next").alias("to"), F.least("least", "other").alias("least")), "quote-cycles")
+            kit.drop_saved(state)
+            state, jumps = new, 2 * jumps
+            alive = state.count()
+        on = state.select(F.col("to").alias("at")).distinct()
+        cut = state.join(on, "at", "left_semi").where("at = least").select(F.col("at.conv_id").alias("conv_id"), F.col("at.turn").alias("turn"), F.lit(True).alias("cut"))
+        if alive == 0 or not cut.take(1):
+            kit.drop_saved(state)
+            return links
+        new = links.join(cut, ["conv_id", "turn"], "left").select("conv_id", "turn", F.when(F.col("cut"), F.col("ordered")).otherwise(F.col("parent")).alias("parent"), "ordered", "n_linked")
+        new = kit.save(new, "quote-links")
+        kit.drop_saved(state)
+        kit.drop_saved(links)
+        links = new
+
+
 def reply_paths(links: DataFrame) -> DataFrame:
     """(conv_id, turn, root_conv, path) of the messages with a parent; path lists (conversation, turn) from the root down."""
     key = lambda c, t: F.concat(F.format_string("%020d", c), F.lit("."), F.format_string("%010d", t))
@@ -151,9 +202,9 @@ def format_chats(conversations: DataFrame, conv_col="conv_id", turn_col="turn",
         F.col(conv_col).cast("long").alias("conv_id"), F.col(turn_col).cast("long").alias("turn"),
         F.coalesce(F.col(role_col).cast("string"), F.lit("unknown")).alias("role"), F.col(text_col).cast("string").alias("text"),
     )
-    parsed = kit.save(slim.mapInArrow(_parse_rows, "conv_id long, turn long, role string, body string, n_quotes long, told array<struct<depth:int,passage:string>>"), "quote-messages")
+    parsed = kit.save(slim.mapInArrow(_parse_rows, "conv_id long, turn long, role string, body string, n_quotes long, told array<struct<depth:int,passage:string,whole:boolean>>"), "quote-messages")
     messages = parsed.drop("told")
-    links = kit.save(link_quotes(parsed), "quote-links")
+    links = link_quotes(parsed)
     paths = reply_paths(links)
     tag = lambda df, p: df.withColumnsRenamed({"conv_id": f"{p}_conv", "turn": f"{p}_turn"})
     on = lambda p: F.col("conv_id").eqNullSafe(F.col(f"{p}_conv")) & F.col("turn").eqNullSafe(F.col(f"{p}_turn"))

@@ -282,6 +282,29 @@ def test_quotes(spark):
     assert quotes.format_chats(df.limit(0)).count() == 0
 
 
+def test_quotes_of_later_conversations_and_short_ones(spark):
+    a, b, c, d = (f"a sentence that conversation {x} begins with" for x in "abcd")
+    rows = [
+        (1, 0, "user", f"> {b}\nAs somebody wrote elsewhere."), (5, 0, "user", b),
+        # a cycle of three across conversations, with a tail, and a cycle whose first message has an ordered passage too
+        (11, 0, "user", f"{a}\n> {c} again"), (12, 0, "user", f"{b} again\n> {a}"), (13, 0, "user", f"{c} again\n> {b} again"), (10, 0, "user", f"> {b} again"),
+        (20, 0, "user", "short but ordered"), (21, 0, "user", f"{d}\n> {d} once more\n\n> short but ordered"), (22, 0, "user", f"{d} once more\n> {d}"),
+        (30, 0, "user", "Sounds good"), (30, 1, "user", "好的"), (30, 2, "user", "> Sounds good\nFine."), (30, 3, "user", "> 好的\n谢谢"), (30, 4, "user", "Yes.\nSee you on Monday then."),
+        (30, 5, "user", "> Yes.\nGreat."), (31, 0, "user", "> Sounds good\nNot said here."), (31, 1, "user", "> later on"), (31, 2, "user", "later on"),
+        (32, 0, "user", "> nothing earlier holds this line\nSo?"), (32, 1, "user", "nothing earlier holds this line"),
+    ]
+    got = quotes.format_chats(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")).collect()
+    assert len(got) == len(rows)
+    by = {(r.conv_id, r.turn): r for r in got}
+    parent = {k: (r.parent_conv, r.parent_turn) for k, r in by.items()}
+    assert parent[1, 0] == (5, 0) and by[1, 0].n_linked == 1 and by[1, 0].chat_id == 5
+    assert parent[11, 0] == (None, None) and parent[12, 0] == (11, 0) and parent[13, 0] == (12, 0) and parent[10, 0] == (12, 0)
+    assert {by[k, 0].chat_id for k in (10, 11, 12, 13)} == {11} and by[11, 0].n_linked == 1
+    assert parent[21, 0] == (20, 0) and parent[22, 0] == (21, 0)
+    assert parent[30, 2] == (30, 0) and parent[30, 3] == (30, 1) and parent[30, 5] == (30, 4)
+    assert {parent[31, 0], parent[31, 1], parent[32, 0]} == {(None, None)}
+
+
 def test_long_threads(spark):
     rows = [(1, i, "user", (f"> message number {i - 1:04d} of the thread\n" if i else "") + f"message number {i:04d} of the thread") for i in range(37)]
     got = quotes.format_chats(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")).collect()
