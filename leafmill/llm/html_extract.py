@@ -9,9 +9,10 @@ beside content lines is carried by them.
 
 What a page says about itself comes first: lines in menus, headers, footers,
 asides, forms, scripts and the like, by element or by class and id, have ratio
-0 and are never content; where a page marks its article, only the article's
-lines can be, and they are clustered with the article's level as a floor, so
-a one-word paragraph is not lost.
+0 and are never content; where a page marks its article, the mark decides:
+every line of the article outside such blocks is content, at any ratio, so
+neither a one-word paragraph nor a list of links is lost. Ratios, smoothing
+and clusters select on pages without a mark.
 
 Defined results: a null or empty page, or one without content, gives an empty
 text; repeated rows each give a row; an empty table gives no rows.
@@ -146,7 +147,9 @@ def smooth(x: list[float], sigma: float = SIGMA) -> list[float]:
 def content(lines: list[list], sigma: float = SIGMA, share: float = SHARE) -> list[str]:
     """The texts of the content lines, in page order."""
     marked = any(inside and not dropped for _, _, _, dropped, inside in lines)
-    may = [not dropped and (inside or not marked) for _, _, _, dropped, inside in lines]
+    if marked:
+        return [text for text, _, _, dropped, inside in lines if inside and not dropped]
+    may = [not dropped for _, _, _, dropped, _ in lines]
     ratio = [max(0, len(t) - 2 * linked) / max(1, tags) if ok else 0.0 for (t, tags, linked, _, _), ok in zip(lines, may, strict=True)]
     if not any(ratio):
         return []
@@ -154,8 +157,6 @@ def content(lines: list[list], sigma: float = SIGMA, share: float = SHARE) -> li
     mean = sum(level) / len(level)
     spread = math.sqrt(sum((v - mean) ** 2 for v in level) / len(level))
     threshold = min(share * spread, share * max(level)) if spread else 0.0
-    if marked:
-        threshold = min([threshold, *(v for v, ok in zip(level, may, strict=True) if ok)])
     return [line[0] for line, v, ok in zip(lines, level, may, strict=True) if ok and v >= threshold and v > 0]
 
 

@@ -246,6 +246,16 @@ def test_html(spark):
     assert html_extract.extract_pages(df.limit(0)).count() == 0
 
 
+def test_links_inside_an_article_stay():
+    items = [f"Reference number {i}" for i in range(15)]
+    listed = "<ul>" + "".join(f"<li><a href='/{x}'>{x}</a></li>" for x in items) + "</ul>"
+    nav = "<nav><a href='/'>Home</a></nav>"
+    assert html_extract.extract(f"{nav}<article><p>Before the list stands a paragraph.</p>{listed}<p>After it as well.</p><aside>Not this</aside></article>").split("\n") == [
+        "Before the list stands a paragraph.", *items, "After it as well."
+    ]
+    assert html_extract.extract(f"{nav}<main>{listed}</main><p>outside</p>").split("\n") == items
+
+
 def test_boilerplate_names():
     for name in ("ad", "top-banner", "site_footer wide", "main-menu", "article-share", "Comments"):
         assert html_extract.is_boilerplate(name)
