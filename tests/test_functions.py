@@ -137,3 +137,12 @@ def test_lint(spark):
     assert [r.reasons for r in got] == [
         ["math_relation_outside_math"], ["left_right_count_mismatch"], ["math_condition_split_across_text_connector"], [], [], [], ["latex_command_outside_math", "subsup_outside_math"]
     ]
+
+
+def test_match_ratio_finds_text_after_the_cut():
+    import pandas as pd
+
+    from leafmill.functions import mathtext
+
+    long = "".join(f"word{i}" for i in range(100))
+    assert list(mathtext.match_ratio.func(pd.Series([long + "the passage held", "short"]), pd.Series(["the passage held", "short"]))) == [1.0, 0.0]
