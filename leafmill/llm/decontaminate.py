@@ -94,7 +94,7 @@ def words_of(buf: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarra
             keep = ~np.isin(s, lead[between])
             s, e = s[keep], e[keep]
             first = np.searchsorted(s, starts)
-    return kit.ranges_hash(_LOWER[buf], s, e), first
+    return kit.bytes_hash(_LOWER[buf], s, e), first
 
 
 def segments(n: int, edits: int) -> list[tuple[int, int]]:

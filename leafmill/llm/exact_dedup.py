@@ -118,7 +118,8 @@ def _groups(docs: DataFrame, id_col: str, text_col: str, owners: int | None = No
     flagged = chunks.join(replies, "chunk").mapInArrow(_receive(owners), "doc_id long, thash long, text_sha256 string, suspect boolean")
     flagged = kit.save(flagged, "flagged")
     suspects = flagged.where("suspect").select(F.col("doc_id").alias("suspect_id")).distinct()
-    texts = kit.join_small(slim, suspects, F.col("doc_id").eqNullSafe(F.col("suspect_id")), "left_semi", suspects.count())
+    suspects = kit.save(suspects, "suspects")
+    texts = kit.join_small(slim, suspects, F.col("doc_id").eqNullSafe(F.col("suspect_id")), "left_semi")
     same = (
         texts.withColumn("normal", F.regexp_replace("text", WS, " "))
         .groupBy("normal")
@@ -128,7 +129,7 @@ def _groups(docs: DataFrame, id_col: str, text_col: str, owners: int | None = No
     )
     same = kit.save(same, "groups")
     keep = F.when(F.col("group_size").isNotNull(), F.col("keep_id")).otherwise(F.col("doc_id"))
-    return kit.join_small(flagged.drop("suspect"), same, "text_sha256", "left", same.count()).select(
+    return kit.join_small(flagged.drop("suspect"), same, "text_sha256", "left").select(
         "doc_id",
         keep.alias("keep_id"),
         F.coalesce("group_size", F.lit(1)).cast("long").alias("group_size"),

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import atexit
 import contextlib
+import hashlib
 import shutil
 import tempfile
 import uuid
@@ -22,10 +23,8 @@ from pyspark.sql import functions as F
 
 #: Bytes of text that one vectorised pass holds.
 SLICE_BYTES = 1 << 19
-#: Rows whose size is proven by a count may be broadcast up to this many.
-BROADCAST_ROWS = 2_000_000
-#: The same for rows with a payload, in bytes.
-BROADCAST_BYTES = 48 << 20
+#: A side is broadcast while its measured bytes are at most this many.
+BROADCAST_BYTES = 32 << 20
 #: The largest id; it stands for a null id in orderings, so null ids come last.
 NO_ID = np.iinfo(np.int64).max
 
@@ -83,15 +82,24 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
-def join_measured(left: DataFrame, right: DataFrame, on, how: str, payload: str) -> DataFrame:
-    """Join with a saved side whose bytes are summed first: broadcast below BROADCAST_BYTES, else shuffle."""
-    size = right.agg(F.sum(F.length(payload)), F.count("*")).first()
-    return left.join(F.broadcast(right) if (size[0] or 0) + 64 * size[1] <= BROADCAST_BYTES else right, on, how)
+def small(df: DataFrame) -> DataFrame:
+    """A saved side, marked for broadcast where its summed bytes are at most BROADCAST_BYTES; else it is shuffled."""
+    width = F.lit(16)
+    for f in df.schema:
+        kind = f.dataType.typeName()
+        if kind in ("string", "binary"):
+            width += F.coalesce(F.octet_length(f.name), F.lit(0)) + 16
+        elif kind in ("array", "map", "struct"):
+            width += F.coalesce(F.octet_length(F.to_json(F.struct(f.name))), F.lit(0)) + 32
+        else:
+            width += 8
+    size = df.agg(F.sum(width.cast("long"))).first()[0] or 0
+    return F.broadcast(df) if size <= BROADCAST_BYTES else df
 
 
-def join_small(left: DataFrame, right: DataFrame, on, how: str, rows: int) -> DataFrame:
-    """Join with a side whose rows were counted: broadcast below BROADCAST_ROWS, else shuffle."""
-    return left.join(F.broadcast(right) if rows <= BROADCAST_ROWS else right, on, how)
+def join_small(left: DataFrame, right: DataFrame, on, how: str) -> DataFrame:
+    """Join with a saved side: broadcast while its measured bytes are few, else shuffle."""
+    return left.join(small(right), on, how)
 
 
 # ---------------------------------------------------------------- text access
@@ -137,6 +145,11 @@ def ids_back(ids: np.ndarray) -> pa.Array:
 _NONWS = np.ones(256, bool)
 _NONWS[[0x20, *range(0x09, 0x0E)]] = False
 _POWERS: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+#: Bytes of a lane, and what a last lane of so many bytes keeps.
+_LANE = 8
+_KEEP = np.array([0, *((1 << 8 * i) - 1 for i in range(1, 9))], U64)
+#: Longer byte strings are digested one by one.
+_LONG = 512
 
 
 def powers(base: int, n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -153,7 +166,7 @@ def powers(base: int, n: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def mix(x: np.ndarray) -> np.ndarray:
-    """Finaliser of splitmix64: every input bit reaches every output bit."""
+    """Finaliser of splitmix64: a bijection in which every input bit reaches every output bit."""
     x = x ^ (x >> U64(30))
     x = x * U64(0xBF58476D1CE4E5B9)
     x ^= x >> U64(27)
@@ -162,8 +175,11 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
-def ranges_hash(values: np.ndarray, s: np.ndarray, e: np.ndarray, base: int = _BASE_A) -> np.ndarray:
-    """64-bit hash of values[s[i]:e[i]] for all i; the same sequence has the same hash anywhere."""
+def rolling_hash(values: np.ndarray, s: np.ndarray, e: np.ndarray, base: int = _BASE_A) -> np.ndarray:
+    """Polynomial hash modulo 2**64 of values[s[i]:e[i]]: cheap at every position, but it has structured collisions.
+
+    Only to choose places or features from; what it finds equal must be compared.
+    """
     up, down = powers(base, len(values) + 1)
     acc = np.zeros(len(values) + 1, U64)
     v = values.astype(U64)
@@ -173,6 +189,30 @@ def ranges_hash(values: np.ndarray, s: np.ndarray, e: np.ndarray, base: int = _B
     return mix((acc[e] - acc[s]) * down[s] + (e - s).astype(U64))
 
 
+def _fold(h: np.ndarray, x: np.ndarray, base: int) -> np.ndarray:
+    """Take one more value into a hash. The rounds are not linear in any modulus, so no structure cancels out."""
+    return mix((h ^ (h >> U64(29))) * U64(base) ^ mix(x + U64(base >> 1)))
+
+
+def bytes_hash(buf: np.ndarray, s: np.ndarray, e: np.ndarray, base: int = _BASE_A) -> np.ndarray:
+    """64-bit hash of each byte string buf[s[i]:e[i]], eight bytes a round; long strings by BLAKE2b."""
+    padded = np.concatenate([buf, np.zeros(_LANE, np.uint8)])
+    lanes = np.ndarray((len(buf) + 1,), "<u8", padded.data, 0, (1,))
+    size = e - s
+    out = mix(size.astype(U64) ^ U64(base))
+    live = np.flatnonzero((size > 0) & (size <= _LONG))
+    at = s[live]
+    while len(live):
+        left = e[live] - at
+        out[live] = _fold(out[live], lanes[at].astype(U64) & _KEEP[np.minimum(left, _LANE)], base)
+        on = left > _LANE
+        live, at = live[on], at[on] + _LANE
+    key = base.to_bytes(8, "little")
+    for i in np.flatnonzero(size > _LONG).tolist():
+        out[i] = int.from_bytes(hashlib.blake2b(buf[s[i] : e[i]].tobytes(), digest_size=8, key=key).digest(), "little")
+    return out
+
+
 def word_bounds(buf: np.ndarray, starts: np.ndarray, inside: np.ndarray = _NONWS) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Starts and ends of the words (runs outside \\x20, \\x09-\\x0D) and the first word of each text.
 
@@ -198,12 +238,23 @@ def word_bounds(buf: np.ndarray, starts: np.ndarray, inside: np.ndarray = _NONWS
 def word_hashes(buf: np.ndarray, starts: np.ndarray, base: int = _BASE_A):
     """(hash of each word, first word of each text, word starts, word ends)."""
     s, e, first = word_bounds(buf, starts)
-    return ranges_hash(buf, s, e, base), first, s, e
+    return bytes_hash(buf, s, e, base), first, s, e
 
 
 def gram_hashes(words: np.ndarray, at: np.ndarray, k: int, base: int = _BASE_B) -> np.ndarray:
-    """Hash of the k words from each position of `at`."""
-    return ranges_hash(words, at, at + k, base)
+    """Hash of the k words from each position of `at`: by runs of 1, 2, 4 ... words, which overlapping grams share."""
+    out = np.full(len(at), k, U64)
+    if not len(at):
+        return out
+    run, size, done = mix(words ^ U64(base)), 1, 0
+    while True:
+        if k & size:
+            out = _fold(out, run[at + done], base)
+            done += size
+        size *= 2
+        if size > k:
+            return out
+        run = _fold(run[: len(run) - size // 2], run[size // 2 :], base + 2 * size)
 
 
 def positions(first: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -373,7 +424,7 @@ def without(docs: DataFrame, gone: DataFrame, id_col: str, text_col: str) -> Dat
     """The rows of docs whose id and text hash are not in gone (doc_id, thash)."""
     out = save(gone.select(F.col("doc_id").alias("gone_id"), F.col("thash").alias("gone_hash")).distinct(), "gone")
     on = docs[id_col].cast("long").eqNullSafe(out["gone_id"]) & (F.xxhash64(docs[text_col]) == out["gone_hash"])
-    return join_small(docs, out, on, "left_anti", out.count())
+    return join_small(docs, out, on, "left_anti")
 
 
 def texts_of(batch: pa.RecordBatch) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
@@ -455,10 +506,10 @@ def repeated_anchors(docs: DataFrame, anchors, bits: int, name: str, owners: int
 
 
 def with_marks(docs: DataFrame, marks: DataFrame) -> DataFrame:
-    """doc_id, text and marks (null: no repeated anchor)."""
+    """doc_id, thash, text and marks (null: no repeated anchor)."""
     m = marks.withColumnsRenamed({"doc_id": "m_id", "thash": "m_hash"})
     on = F.col("doc_id").eqNullSafe(F.col("m_id")) & (F.col("thash") == F.col("m_hash"))
-    return join_measured(docs, m, on, "left", "marks").select("doc_id", "text", "marks")
+    return join_small(docs, m, on, "left").select("doc_id", "thash", "text", "marks")
 
 
 def unmark(marks: bytes, n: int) -> np.ndarray:

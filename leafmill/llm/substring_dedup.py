@@ -9,19 +9,23 @@ alike, wherever they start.
 1. Anchors are exchanged as compressed fingerprints; those that occur
    elsewhere come back marked (kit.repeated_anchors).
 2. Extension: a window can repeat only if an anchor inside it is marked. Each
-   marked anchor is extended to all windows around it, which are hashed whole,
-   with 96 bits.
-3. Texts with such windows are range-partitioned by id, so a chunk lies
-   wholly before or after another. A chunk sends each window hash once; the
-   owner of the hash marks it for all chunks but the first. Inside a chunk the
-   first occurrence is known.
+   marked anchor is extended to all windows around it; their words are read
+   from the text and digested whole (BLAKE2b, 128 bits). Fingerprints thus only
+   choose what is looked at; equal digests of whole windows decide.
+3. Texts with such windows are range-partitioned by id and text hash, so a
+   chunk lies wholly before or after another. A chunk sends each digest once;
+   its owner marks it for all chunks but the first. Inside a chunk the first
+   occurrence is known.
 
 No pair is ever listed: the work is linear in the number of windows, and a hot
 window costs its owner one entry a chunk.
 
 Defined results: a null text has no words; null ids come last; rows that share
-an id are one document's, ordered by position only, so copies of a row do not
-remove each other; an empty table gives no rows; other columns are not read.
+an id count one after another, by the hash of their texts; equal rows (id and
+text) count as one document, so they do not remove each other; equal texts
+under two ids: the later loses all its windows; an empty table gives no rows;
+other columns are not read, whatever their names. Very long texts are handled
+whole: memory follows the longest text, and a chunk holds one text at least.
 """
 
 from __future__ import annotations
@@ -41,8 +45,7 @@ WINDOW = 20
 COVERS = {1: (0,), 3: (0, 1), 7: (0, 1, 3), 13: (0, 1, 3, 9)}
 PRINT_BITS = 48
 #: Windows of one chunk.
-CHUNK_WINDOWS = 1 << 19
-_SECOND = 0xC2B2AE3D27D4EB4F
+CHUNK_WINDOWS = 1 << 18
 
 
 def cover_of(window: int) -> tuple[int, np.ndarray, int]:
@@ -114,67 +117,77 @@ def _split(window: int):
                 n = len(done)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(["done"] * n), kit.ids_back(np.array([d[0] for d in done])), pa.array([d[1] for d in done], pa.int64()),
-                     pa.array([d[2] for d in done]), pa.nulls(n, pa.string()), pa.nulls(n, pa.binary())],
-                    ["kind", "doc_id", "n_words", "kept_sha256", "text", "marks"],
+                     pa.array([d[2] for d in done]), pa.nulls(n, pa.int64()), pa.nulls(n, pa.string()), pa.nulls(n, pa.binary())],
+                    ["kind", "doc_id", "n_words", "kept_sha256", "thash", "text", "marks"],
                 )
             if waiting:
                 w, n = pa.array(waiting), len(waiting)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(["wait"] * n), batch.column("doc_id").take(w), pa.nulls(n, pa.int64()), pa.nulls(n, pa.string()),
-                     batch.column("text").take(w), batch.column("marks").take(w)],
-                    ["kind", "doc_id", "n_words", "kept_sha256", "text", "marks"],
+                     batch.column("thash").take(w), batch.column("text").take(w), batch.column("marks").take(w)],
+                    ["kind", "doc_id", "n_words", "kept_sha256", "thash", "text", "marks"],
                 )
 
     return split
 
 
+def digests(text: bytes, s: np.ndarray, e: np.ndarray, start: np.ndarray, window: int) -> np.ndarray:
+    """128-bit BLAKE2b of the words of each window, joined by one space: rows of two uint64."""
+    joined = b" ".join([text[a:b] for a, b in zip(s.tolist(), e.tolist(), strict=True)])
+    at = np.concatenate([[0], np.cumsum(e - s + 1)])
+    spans = zip(at[start].tolist(), (at[start + window] - 1).tolist(), strict=True)
+    raw = b"".join([hashlib.blake2b(joined[a:b], digest_size=16).digest() for a, b in spans])
+    return np.frombuffer(raw, np.uint64).reshape(-1, 2)
+
+
 def _windows(window: int, owners: int):
-    """Sorted texts to chunks: window hashes for their owners, and the state to apply the answers to."""
+    """Sorted texts to chunks: window digests for their owners, and the state to apply the answers to."""
 
     def scan(batches):
         chunk = kit.chunk_ids()
-        held: list[tuple] = []
-        n, last = 0, None
+        held: list[list] = []
+        n = 0
 
         def flush():
-            one, two, ids, rel, docs = [], [], [], [], []
-            for doc_id, text, marks in held:
+            found, seq, docs = [], [], []
+            for i, (doc_id, _, text, marks, times) in enumerate(held):
                 buf = np.frombuffer(text, np.uint8)
-                words, first, s, e = kit.word_hashes(buf, np.array([0, len(buf)]))
+                s, e, first = kit.word_bounds(buf, np.array([0, len(buf)]))
                 start, _ = candidates(first, [marks], window)
-                other = kit.ranges_hash(buf, s, e, _SECOND)
-                one.append(kit.gram_hashes(words, start, window))
-                two.append(kit.gram_hashes(other, start, window, _SECOND) & np.uint64(0xFFFFFFFF))
-                ids.append(np.full(len(start), doc_id))
-                rel.append(start)
-                docs.append((doc_id, text, start.astype(np.int32)))
-            one, two, ids, rel = (np.concatenate(x) for x in (one, two, ids, rel))
-            order = np.lexsort((rel, ids, two, one))
+                found.append(digests(text, s, e, start, window))
+                seq.append(np.full(len(start), i, np.int32))
+                docs.append((doc_id, text, marks, times))
+            found, seq = np.concatenate(found), np.concatenate(seq)
+            one, two = found[:, 0], found[:, 1]
+            # The sort is stable, so the first of equal digests is the first in text order.
+            order = np.lexsort((two, one))
             new = np.ones(len(order), bool)
             new[1:] = (one[order][1:] != one[order][:-1]) | (two[order][1:] != two[order][:-1])
             lead = np.flatnonzero(new)
-            rank = np.cumsum(new) - 1
-            head = order[lead][rank]
-            later = np.empty(len(order), bool)
-            later[order] = (ids[order] != ids[head]) | (rel[order] != rel[head])
+            later = np.ones(len(order), bool)
+            later[order[lead]] = False
             back = np.empty(len(order), np.uint32)
-            back[order] = rank
-            one, two = one[order][lead], two[order][lead].astype(np.uint32)
+            back[order] = np.cumsum(new) - 1
+            one, two = one[order][lead], two[order][lead]
             cuts = list(kit.by_owner(one, 64, owners))
             k = next(chunk)
             yield kit.routed("state", [-1], k, [pickle.dumps((docs, back, np.packbits(later), cuts))])
-            where = np.array([held[0][0]], np.int64).tobytes()
+            where = held[0][:2]
             yield kit.routed("message", [o for o, _, _ in cuts], k, [pickle.dumps((where, kit.rice_encode(one[a:b]), two[a:b].tobytes())) for _, a, b in cuts])
 
         for batch in batches:
-            for doc_id, text, marks in zip(kit.ids_of(batch.column("doc_id")).tolist(), batch.column("text").cast(pa.binary()).to_pylist(), batch.column("marks").to_pylist(), strict=True):
-                if n >= CHUNK_WINDOWS and doc_id != last:
+            ids, hashes = kit.ids_of(batch.column("doc_id")).tolist(), batch.column("thash").to_pylist()
+            for i in range(batch.num_rows):
+                text = batch.column("text")[i].as_py().encode("utf-8", "surrogatepass")
+                if held and held[-1][:2] == [ids[i], hashes[i]] and held[-1][2] == text:
+                    held[-1][4] += 1
+                    continue
+                if n >= CHUNK_WINDOWS:
                     yield from flush()
                     held.clear()
                     n = 0
-                held.append((doc_id, text, marks))
+                held.append([ids[i], hashes[i], text, batch.column("marks")[i].as_py(), 1])
                 n += len(text) // 6
-                last = doc_id
         if held:
             yield from flush()
 
@@ -183,15 +196,16 @@ def _windows(window: int, owners: int):
 
 def _after_first(payloads: list[bytes]) -> list[bytes]:
     """Owner's answer: for each chunk a bitmap of the windows that an earlier chunk holds."""
-    where, one, two = [], [], []
+    ids, hashes, one, two = [], [], [], []
     for p in payloads:
-        w, a, b = pickle.loads(p)
+        (doc_id, thash), a, b = pickle.loads(p)
         one.append(kit.rice_decode(a))
-        two.append(np.frombuffer(b, np.uint32))
-        where.append(np.full(len(one[-1]), np.frombuffer(w, np.int64)[0]))
+        two.append(np.frombuffer(b, np.uint64))
+        ids.append(np.full(len(one[-1]), doc_id, np.int64))
+        hashes.append(np.full(len(one[-1]), thash, np.int64))
     sizes = [len(x) for x in one]
-    one, two, where = np.concatenate(one), np.concatenate(two), np.concatenate(where)
-    order = np.lexsort((where, two, one))
+    ids, hashes, one, two = (np.concatenate(x) for x in (ids, hashes, one, two))
+    order = np.lexsort((hashes, ids, two, one))
     later = np.zeros(len(order), bool)
     later[order[1:]] = (one[order][1:] == one[order][:-1]) & (two[order][1:] == two[order][:-1])
     out, at = [], 0
@@ -210,16 +224,17 @@ def _apply(window: int):
                 gone = np.concatenate([kit.unmark(told[o], b - a) for o, a, b in cuts])
                 dup = np.unpackbits(later, count=len(back)).astype(bool) | gone[back]
                 rows, at = [], 0
-                for doc_id, text, start in docs:
+                for doc_id, text, marks, times in docs:
                     buf = np.frombuffer(text, np.uint8)
-                    s, e, _ = kit.word_bounds(buf, np.array([0, len(buf)]))
+                    s, e, first = kit.word_bounds(buf, np.array([0, len(buf)]))
+                    start, _ = candidates(first, [marks], window)
                     hit = start[dup[at : at + len(start)]]
                     at += len(start)
                     cover = np.zeros(len(s) + 1, np.int32)
                     np.add.at(cover, hit, 1)
                     np.subtract.at(cover, hit + window, 1)
                     keep = np.cumsum(cover)[:-1] == 0
-                    rows.append((doc_id, len(s), int((~keep).sum()), _digest(memoryview(text), s[keep], e[keep])))
+                    rows += [(doc_id, len(s), int((~keep).sum()), _digest(memoryview(text), s[keep], e[keep]))] * times
                 yield pa.RecordBatch.from_arrays(
                     [kit.ids_back(np.array([r[0] for r in rows])), *(pa.array([r[i] for r in rows], t) for i, t in ((1, pa.int64()), (2, pa.int64()), (3, pa.string())))],
                     ["doc_id", "n_words", "n_removed", "kept_sha256"],
@@ -234,11 +249,12 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     owners = owners or kit.parts(spark)
     slim = kit.keyed(docs, id_col, text_col)
     marks = kit.repeated_anchors(slim, anchors(window), PRINT_BITS, "substring", owners)
-    rows = kit.with_marks(slim, marks).mapInArrow(_split(window), "kind string, doc_id long, n_words long, kept_sha256 string, text string, marks binary")
+    rows = kit.with_marks(slim, marks).mapInArrow(_split(window), "kind string, doc_id long, n_words long, kept_sha256 string, thash long, text string, marks binary")
     rows = kit.save(rows, "substring-split", by="kind")
     done = rows.where("kind = 'done'").select("doc_id", "n_words", F.lit(0).cast("long").alias("n_removed"), "kept_sha256")
-    waiting = rows.where("kind = 'wait'").select("doc_id", "text", "marks")
-    ranged = waiting.repartitionByRange(owners, F.col("doc_id").asc_nulls_last()).sortWithinPartitions(F.col("doc_id").asc_nulls_last())
+    waiting = rows.where("kind = 'wait'").select("doc_id", "thash", "text", "marks")
+    order = (F.col("doc_id").asc_nulls_last(), F.col("thash"))
+    ranged = waiting.repartitionByRange(owners, *order).sortWithinPartitions(*order)
     chunks = kit.save(ranged.mapInArrow(_windows(window, owners), kit.ROUTED), "substring-windows", by="kind")
     replies = kit.exchange(chunks.where("kind = 'message'").select("owner", "chunk", "payload"), owners, _after_first, "substring-first")
     states = chunks.where("kind = 'state'").select("chunk", "payload")

@@ -65,7 +65,7 @@ def choose(buf: np.ndarray, starts: np.ndarray, length: int):
     if n < length or not (size >= length).any():
         return none, np.zeros(0, np.uint64), none, none, none
     at = np.arange(n - k + 1)
-    grams = kit.ranges_hash(buf, at, at + k)
+    grams = kit.rolling_hash(buf, at, at + k)
     key = (grams & ~_LOW) | (at.astype(np.uint64) & _LOW)
     blocks = -(-len(key) // w)
     grid = np.full(blocks * w, np.iinfo(np.uint64).max, np.uint64)
