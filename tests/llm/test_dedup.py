@@ -210,3 +210,58 @@ def test_empty_tables(spark):
     none = spark.createDataFrame([], SCHEMA)
     for f in (exact_dedup.exact_groups, exact_dedup.exact_dedup, substring_dedup.substring_dedup, suffix_dedup.suffix_dedup, jaccard_join.jaccard_components, jaccard_join.jaccard_dedup):
         assert f(none).count() == 0
+
+
+def cancelling(n=2048):
+    """Two strings whose polynomial hashes modulo 2**64 are equal for every odd base."""
+    t = "".join("ab"[bin(i).count("1") & 1] for i in range(n))
+    return t, t.translate(str.maketrans("ab", "ba"))
+
+
+def test_structured_words_do_not_collide(spark):
+    t, u = cancelling()
+    shared = " ".join(f"w{i}" for i in range(19))
+    docs = frame(spark, [(1, f"{shared} {t}", "en", "s"), (2, f"{shared} {u}", "en", "s"), (3, f"{shared} {t}", "en", "s")])
+    assert {r.doc_id: r.n_removed for r in substring_dedup.substring_dedup(docs).collect()} == {1: 0, 2: 0, 3: 20}
+    alone = frame(spark, [(1, t, "en", "s"), (2, u, "en", "s"), (3, t, "en", "s")])
+    assert {r.doc_id: r.component_id for r in jaccard_join.jaccard_components(alone).collect()} == {1: 1, 2: 2, 3: 1}
+    for n in (8, 16, 64, 512, 513, 4096):
+        data = np.frombuffer("".join(cancelling(n)).encode(), np.uint8)
+        a, b = kit.bytes_hash(data, np.array([0, n]), np.array([n, 2 * n]))
+        assert a != b
+
+
+def test_hashes_are_of_the_words_alone():
+    rng = np.random.default_rng(2)
+    data = rng.integers(97, 99, 4000).astype(np.uint8)
+    s = rng.integers(0, 3900, 3000)
+    e = s + rng.integers(1, 40, 3000)
+    h = kit.bytes_hash(data, s, e)
+    names = [data[a:b].tobytes() for a, b in zip(s, e, strict=True)]
+    assert len(set(names)) == len(set(zip(names, h.tolist(), strict=True))) == len(set(h.tolist()))
+    words_ = h[:500]
+    for k in (1, 2, 3, 7, 20):
+        at = np.arange(500 - k + 1)
+        g = kit.gram_hashes(words_, at, k)
+        want = {}
+        for i in at:
+            want.setdefault(tuple(words_[i : i + k]), g[i])
+            assert want[tuple(words_[i : i + k])] == g[i] == kit.gram_hashes(words_[i : i + k], np.array([0]), k)[0]
+        assert len(set(g.tolist())) == len(want)
+
+
+def test_a_group_of_many_blocks(spark):
+    """Near copies of one text in many blocks, some of them linked only to members of other blocks."""
+    rng = random.Random(12)
+    base = words(rng, 100)
+    rows = []
+    for i in range(60):
+        copy = list(base)
+        for j in range(i % 7):
+            copy[(17 * j + i) % 100] = f"x{i}-{j}"
+        rows.append((i, " ".join(copy), "en", "s"))
+    other = words(rng, 60) + base[:40]
+    rows += [(100 + i, " ".join([*other[: 55 + i], *(f"y{j}" for j in range(i))]), "en", "s") for i in range(20)]
+    for shingles in (120, 400):
+        got = jaccard_join.jaccard_components(frame(spark, rows), k=2, percent=70, owners=3, group_shingles=shingles)
+        assert rows_of(got.select("doc_id", "n_shingles", "component_id")) == jaccard_want(rows, 2, 70)
