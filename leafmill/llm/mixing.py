@@ -2,18 +2,25 @@
 
 Each document gets a hash-random key. Within a source the key's leading bits
 name a block, so blocks are ranges of the key in order and equal in size, and
-a hot source has as many blocks as it needs. Block totals (a few rows a
-source) give each block's offset, a window over one block the rest of the
-prefix sum. A source is cut where its prefix sum reaches its budget; what
-passes its size goes on into the next epoch, at most `max_epochs` in all.
+a hot source has as many blocks as it needs. Totals of blocks, and of runs of
+RUN blocks, give each block's offset, so no window spans more than RUN blocks
+or the runs of a source; a window over one block gives the rest of the prefix
+sum. A source is cut where its prefix sum reaches its budget; what passes its
+size goes on into the next epoch, at most `max_epochs` in all.
 
 Targets: sources by code point, null last, weigh WEIGHTS in turn and share
 `share` times all words; a target stops at max_epochs times its source and
 what is over is shared again by weight (water-filling, in closed form).
 
-Defined results: a null text has no words; null sources are one source; rows
-that share an id are mixed each by its own size, in an order that the text's
-hash settles; an empty table gives no rows.
+Texts ride along with their rows, so the corpus is cut in the same pass and no
+row is looked up again: repeated rows stay as many as they are, each with what
+the mix takes of it, even where a budget cuts between them.
+
+Defined results: a null or blank text has no words; null sources are one
+source, null ids are an id like any other; rows that share an id are mixed each
+by its own size, in an order that the text's hash settles (equal rows tie, and
+it does not matter which of them a cut falls on); a very long text counts
+whole; an empty table gives no rows; other columns may have any names.
 """
 
 from __future__ import annotations
@@ -26,10 +33,12 @@ from . import kit
 #: Weights of the sources in turn, and the share of all words.
 WEIGHTS, SHARE, MAX_EPOCHS = (3, 1, 2), 1.5, 2
 WORD = r"[^\x20\x09-\x0D]+"
-BLOCK_ROWS = 2_000
+BLOCK_ROWS = 1_000
+#: Blocks of a run.
+RUN = 4_096
 
 
-def sized(docs: DataFrame, id_col: str, text_col: str, source_col: str) -> DataFrame:
+def sized(docs: DataFrame, id_col: str, text_col: str, source_col: str, with_text: bool = False) -> DataFrame:
     text = F.coalesce(F.col(text_col), F.lit(""))
     return docs.select(
         F.col(id_col).cast("long").alias("doc_id"),
@@ -37,6 +46,7 @@ def sized(docs: DataFrame, id_col: str, text_col: str, source_col: str) -> DataF
         F.regexp_count(text, F.lit(WORD)).cast("long").alias("size"),
         F.md5(F.coalesce(F.col(id_col).cast("string"), F.lit("")).cast("binary")).alias("key"),
         F.xxhash64(text_col).alias("tie"),
+        *((F.col(text_col).alias("text"),) if with_text else ()),
     )
 
 
@@ -59,39 +69,44 @@ def targets(sizes: DataFrame, weights=WEIGHTS, share: float = SHARE, max_epochs:
     return s.select("source", "source_size", F.least(F.col("cap").cast("double"), grown).alias("target"))
 
 
-def mix_sources(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
-    weights=WEIGHTS, share: float = SHARE, max_epochs: int = MAX_EPOCHS, block_rows: int = BLOCK_ROWS, keep_tie: bool = False,
-) -> DataFrame:
-    """doc_id, size, source_size, target, taken: words the mix takes of each document, repeats counted."""
+def _mix(docs, id_col, text_col, source_col, weights, share, max_epochs, block_rows, with_text) -> DataFrame:
     sizes = kit.save(sized(docs, id_col, text_col, source_col), "sizes")
     blocks = max(1, sizes.count() // block_rows)
     lead = F.conv(F.substring("key", 1, 8), 16, 10).cast("long")
-    rows = sizes.withColumn("block", F.shiftright(lead * blocks, 32))
-    aim = targets(sizes, weights, share, max_epochs)
-    before = Window.partitionBy("source").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    place = lambda df: df.withColumn("block", F.shiftright(lead * blocks, 32))
+    aim = kit.save(targets(sizes, weights, share, max_epochs).withColumnRenamed("source", "a_source"), "targets")
+    upto = lambda keys, by: Window.partitionBy(*keys).orderBy(by).rowsBetween(Window.unboundedPreceding, -1)
+    before = lambda c, keys, by: F.coalesce(F.sum(c).over(upto(keys, by)), F.lit(0))
+    totals = place(sizes).groupBy("source", "block").agg(F.sum("size").alias("block_size")).withColumn("run", F.floor(F.col("block") / RUN))
+    runs = totals.groupBy("source", "run").agg(F.sum("block_size").alias("run_size")).withColumn("run_start", before("run_size", ["source"], "run"))
+    runs = runs.withColumnsRenamed({"source": "r_source", "run": "r_run"})
+    starts = totals.withColumn("inner", before("block_size", ["source", "run"], "block"))
+    starts = starts.join(runs, F.col("source").eqNullSafe(F.col("r_source")) & (F.col("run") == F.col("r_run")))
+    starts = starts.select(F.col("source").alias("b_source"), F.col("block").alias("b_block"), (F.col("inner") + F.col("run_start")).alias("start"))
+    plan = starts.join(aim, F.col("b_source").eqNullSafe(F.col("a_source"))).drop("a_source")
+    rows = place(sized(docs, id_col, text_col, source_col, True) if with_text else sizes)
     inside = Window.partitionBy("source", "block").orderBy("key", "doc_id", "size", "tie").rowsBetween(Window.unboundedPreceding, -1)
-    starts = (
-        rows.groupBy("source", "block").agg(F.sum("size").alias("block_size"))
-        .withColumn("start", F.coalesce(F.sum("block_size").over(before), F.lit(0)))
-        .withColumnsRenamed({"source": "b_source", "block": "b_block"})
-    )
-    aim = aim.withColumnRenamed("source", "a_source")
-    plan = starts.join(aim, F.col("b_source").eqNullSafe(F.col("a_source"))).drop("a_source", "block_size")
     local = rows.withColumn("local", F.coalesce(F.sum("size").over(inside), F.lit(0)))
     out = local.join(plan, F.col("source").eqNullSafe(F.col("b_source")) & (F.col("block") == F.col("b_block")))
-    rest = [c for c in ("tie",) if keep_tie]
     left = F.floor("target").cast("long") - F.col("start") - F.col("local")
     taken = sum((F.greatest(F.lit(0), F.least(F.col("size"), left - F.col("source_size") * e)) for e in range(max_epochs)), F.lit(0))
-    return out.select("doc_id", "size", "source_size", "target", taken.cast("long").alias("taken"), *rest)
+    return out.select("doc_id", "source", *(("text",) if with_text else ()), "size", "source_size", "target", taken.cast("long").alias("taken"))
 
 
-def mixed_corpus(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **options) -> DataFrame:
-    """The mix itself: source and text of every document that it takes, with size, source_size, target and taken."""
-    rows = kit.save(mix_sources(docs, id_col, text_col, source_col, keep_tie=True, **options).where("taken > 0").distinct(), "mix")
-    slim = docs.select(F.col(id_col).cast("long").alias("m_id"), F.col(source_col).alias("source"), F.col(text_col).alias("text"))
-    on = F.col("m_id").eqNullSafe(F.col("doc_id")) & (F.xxhash64("text") == F.col("tie"))
-    return kit.join_small(slim, rows, on, "inner", rows.count()).select("doc_id", "source", "text", "size", "source_size", "target", "taken")
+def mix_sources(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
+    weights=WEIGHTS, share: float = SHARE, max_epochs: int = MAX_EPOCHS, block_rows: int = BLOCK_ROWS,
+) -> DataFrame:
+    """doc_id, size, source_size, target, taken: words the mix takes of each document, repeats counted."""
+    return _mix(docs, id_col, text_col, source_col, weights, share, max_epochs, block_rows, False).drop("source")
+
+
+def mixed_corpus(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
+    weights=WEIGHTS, share: float = SHARE, max_epochs: int = MAX_EPOCHS, block_rows: int = BLOCK_ROWS,
+) -> DataFrame:
+    """The mix itself: source and text of every row that it takes, with size, source_size, target and taken."""
+    return _mix(docs, id_col, text_col, source_col, weights, share, max_epochs, block_rows, True).where("taken > 0")
 
 
 ORACLE = r"""
