@@ -5,28 +5,32 @@ neighbouring lines; labels of neighbours are tied by transition weights. A
 document's score is the mean of its lines' marginals P(good), from the
 forward-backward recursions, weighted by line length.
 
-The field is fitted on the driver from at most ``max_train`` labelled
-documents, whole, chosen by the hash of their ids (a documented bound; a
-training document gives its label to its lines). Scoring covers all rows and
-whole texts and ships only the weights.
+The field is fitted on the driver from at most ``max_train`` labelled rows,
+whole, chosen by the hash of their ids and as long as they have at most
+``max_lines`` lines together (documented bounds, so what the driver holds is
+bounded in bytes; a row of over a tenth of ``max_lines`` is no training row, and
+a training document gives its label to its lines). Scoring covers all rows and whole texts
+and ships only the weights.
 
 Features see text alone: never labels, language, source or id. Defined results:
 a null or blank text has no line and gets the share of good training documents
 as its score; without training documents every score is 0.5; a null id is not
 held out and never learned from; of repeated labels of one id the lower counts;
-an empty table gives no rows.
+repeated rows are scored each, alike; a score of just 0.5 is good; a very long
+text is scored whole; an empty table gives no rows; other columns may have any
+names.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import kit
 
-FOLDS, TEST_FOLD, MAX_TRAIN = 3, 1, 4000
+FOLDS, TEST_FOLD, MAX_TRAIN, MAX_LINES = 3, 1, 4000, 400_000
 N_BASE = 14
 
 
@@ -69,7 +73,7 @@ def line_features(buf: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.n
     word = (size - space) / (space + 1)
     first = np.searchsorted(begin, starts)
     doc = np.repeat(np.arange(len(starts) - 1), np.diff(first))
-    prints = kit.ranges_hash(buf, begin, end) ^ kit.mix(doc.astype(np.uint64))
+    prints = kit.bytes_hash(buf, begin, end) ^ kit.mix(doc.astype(np.uint64))
     order = np.argsort(prints, kind="stable")
     again = np.zeros(len(begin), np.float32)
     again[order[1:]] = prints[order][1:] == prints[order][:-1]
@@ -165,7 +169,7 @@ def fold(id_col: str, folds: int):
     return F.pmod(F.crc32(F.col(id_col).cast("string").cast("binary")), F.lit(folds))
 
 
-def train(docs: DataFrame, labels: DataFrame, id_col="doc_id", text_col="text", label_col="quality", folds=FOLDS, test_fold=TEST_FOLD, max_train=MAX_TRAIN):
+def train(docs: DataFrame, labels: DataFrame, id_col="doc_id", text_col="text", label_col="quality", folds=FOLDS, test_fold=TEST_FOLD, max_train=MAX_TRAIN, max_lines=MAX_LINES):
     """Weights, transitions and the share of good documents, from the training folds."""
     pick = (
         labels.where(F.col(id_col).isNotNull() & F.col(label_col).isNotNull() & (fold(id_col, folds) != test_fold))
@@ -175,16 +179,23 @@ def train(docs: DataFrame, labels: DataFrame, id_col="doc_id", text_col="text",
 
     def features(batches):
         for batch in batches:
-            y = batch.column("label").to_pylist()
+            y, key = batch.column("label").to_pylist(), batch.column("key")
             for a, b, buf, starts in kit.texts_of(batch):
                 x, _, first = line_features(buf, starts)
                 rows = [x[first[i] : first[i + 1]].tobytes() for i in range(b - a)]
-                yield pa.RecordBatch.from_arrays([pa.array(y[a:b], pa.int32()), pa.array(rows, pa.binary())], ["label", "x"])
+                yield pa.RecordBatch.from_arrays([key.slice(a, b - a), pa.array(y[a:b], pa.int32()), pa.array(np.diff(first), pa.int64()), pa.array(rows, pa.binary())], ["key", "label", "lines", "x"])
 
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     # At most max_train rows: a proven size.
-    rows = rows.join(F.broadcast(pick), F.col("doc_id") == F.col("l_id")).select("label", "text")
-    got = sorted((r.label, bytes(r.x)) for r in rows.mapInArrow(features, "label int, x binary").collect())
+    rows = rows.join(F.broadcast(pick), F.col("doc_id") == F.col("l_id"))
+    rows = rows.select(F.concat_ws(".", F.md5(F.col("doc_id").cast("string").cast("binary")), F.hex(F.xxhash64("text"))).alias("key"), "label", "text")
+    # Rows of a repeated id count each: cut again, then by lines.
+    rows = kit.save(rows.mapInArrow(features, "key string, label int, lines long, x binary").where(F.col("lines") <= max_lines // 10).orderBy("key", "label").limit(max_train), "quality-sample")
+    upto = rows.select("key", "lines").withColumn("total", F.sum("lines").over(Window.orderBy("key").rowsBetween(Window.unboundedPreceding, 0)))
+    keys = upto.where(F.col("total") <= max_lines).select("key").distinct()
+    fits = rows.join(F.broadcast(keys), "key", "left_semi")
+    got = sorted((r.label, bytes(r.x)) for r in fits.select("label", "x").collect())
+    kit.drop_saved(rows)
     if not got:
         return np.zeros(3 * N_BASE), np.zeros((2, 2)), 0.5
     prior = float(np.mean([y for y, _ in got]))
