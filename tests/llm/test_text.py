@@ -1,7 +1,6 @@
 """Mixing, quality, language, decontamination, HTML and quotation linking."""
 
 import collections
-import hashlib
 import random
 import zlib
 
@@ -55,6 +54,17 @@ def test_mixing(spark):
     assert mixed.agg(F.sum("taken")).first()[0] == sum(total.values())
 
 
+def test_mixing_keeps_repeated_rows_apart(spark):
+    """Copies of a row that a budget cuts between stay as many rows as they are."""
+    text = " ".join(words(random.Random(1), 10))
+    rows = [(1, text, "en", "a")] * 4 + [(2, "one two three", "en", "b"), (3, text + " more", "en", None), (None, text, None, "a"), (4, None, "en", "a"), (4, "", "en", "c")]
+    docs = frame(spark, rows)
+    plan, mixed = mixing.mix_sources(docs).where("taken > 0").collect(), mixing.mixed_corpus(docs).collect()
+    key = lambda r: (r.doc_id, r.size, r.source_size, r.target, r.taken)
+    assert sorted(map(key, plan), key=repr) == sorted(map(key, mixed), key=repr)
+    assert len({r.taken for r in mixed if r.doc_id == 1}) >= 1 and all(len(WORD.findall(r.text)) == r.size for r in mixed)
+
+
 def quality_rows(n=160):
     rng = random.Random(2)
     rows, labels = [], []
@@ -108,17 +118,59 @@ def test_forward_backward_by_enumeration():
 
 
 def test_segmentations_are_summed():
-    table = language_id.Pieces(["▁", "a", "b", "ab", "▁a", "ba"])
-    probs = np.array([[0.1], [0.2], [0.3], [0.15], [0.05], [0.2], [0.0]])
-    points = np.frombuffer("abab".encode("utf-32-le"), np.uint32)
-    m, n = language_id.matrix(points, np.array([0, 0]), np.array([4, 1]))
-    p = dict(zip("▁ a b ab ▁a ba".split(), probs[:, 0], strict=False))
+    names = ["▁", "a", "b", "ab", "▁a", "ba", "▁ababa", "abababababab"]
+    table = language_id.Pieces(names)
+    probs = np.array([[0.1], [0.2], [0.3], [0.15], [0.05], [0.2], [0.1], [0.02]])
+    logs = language_id.log_table(probs)
+    p = dict(zip(names, probs[:, 0], strict=True)) | {"c": language_id.UNSEEN}
+    cases = ["abab", "a", "ababa", "abcba", "ab" * 9, "b" * 3]
+    points = np.frombuffer("".join(cases).encode("utf-32-le"), np.uint32)
+    e = np.cumsum([len(w) for w in cases])
+    s = e - [len(w) for w in cases]
 
     def total(word):
         return sum(p[x] * (total(word[len(x) :]) if word[len(x) :] else 1) for x in p if word.startswith(x))
 
-    got = language_id.word_logs(table, probs, m, n)[:, 0]
-    assert np.allclose(got, np.log([total("▁abab"), total("▁a")]))
+    want = [np.log(total("▁" + w)) for w in cases]
+    assert np.allclose(language_id.word_logs(table, logs, points, s, e)[:, 0], want)
+    lattice = language_id.Lattice(table, points, s, e)
+    assert np.allclose(lattice.backward(logs)[lattice.first, 0], np.array(want)[lattice.order])
+    # A long word neither underflows nor is cut: its sum obeys the recursion of its alphabet.
+    long = np.full(5000, ord("b"), np.uint32)
+    got = language_id.word_logs(table, logs, long, np.array([0]), np.array([5000]))[0, 0]
+    assert np.isclose(got, np.log(0.1) + 5000 * np.log(0.3))
+
+
+def expected_counts(table, names, p, word):
+    """Expected number of each piece in a word, by listing its segmentations."""
+    found = collections.Counter()
+    total = 0.0
+
+    def walk(rest, used, chance):
+        nonlocal total
+        if not rest:
+            total += chance
+            for x in used:
+                found[x] += chance
+        for x in names:
+            if rest.startswith(x):
+                walk(rest[len(x) :], [*used, x], chance * p[x])
+
+    walk("▁" + word, [], 1.0)
+    return {x: v / total for x, v in found.items()}
+
+
+def test_one_round_of_fitting_by_enumeration():
+    names = sorted(["▁", "a", "b", "ab", "▁a", "ba"])
+    table, p = language_id.Pieces(names), dict.fromkeys(["▁", "a", "b", "ab", "▁a", "ba"], 1 / 6)
+    words_, counts = ["abab", "b", "baab"], np.array([[2.0, 0], [1, 1], [0, 3]])
+    got = language_id.fit(table, words_, counts, rounds=1)
+    for g in (0, 1):
+        total = np.full(6, 0.01)
+        for w, n in zip(words_, counts[:, g], strict=True):
+            for x, v in expected_counts(table, names, p, w).items():
+                total[names.index(x)] += n * v
+        assert np.allclose(got[:, g], total / total.sum())
 
 
 def test_language(spark):
@@ -136,6 +188,9 @@ def test_language(spark):
             assert (r.lang_pred, r.score) == ("und", 0.0)
         elif r.doc_id is not None and r.doc_id < 90:
             assert r.lang_pred == rows[r.doc_id][2]
+    rare = [(700 + i, "кот и дом", "ru", "s") for i in range(4)]
+    few = language_id.identify_language(frame(spark, rows + rare), per_lang=10).collect()
+    assert {r.lang_pred for r in few if r.doc_id >= 700} == {"ru"}
     assert language_id.identify_language(spark.createDataFrame([], SCHEMA)).count() == 0
     nothing = language_id.identify_language(spark.createDataFrame([(1, "word", None, None)], SCHEMA)).first()
     assert (nothing.lang_pred, nothing.score) == ("und", 0.0)
@@ -351,7 +406,3 @@ def test_pipeline(spark, tmp_path):
     assert ids[4] <= ids[3] and docs.agg(F.sum("taken")).first()[0] > 0
     ran = corpus_pipeline.run(spark, str(tmp_path))
     assert {r.doc_id for r in ran.collect()} == ids[4]
-
-
-def test_hash_is_stable():
-    assert hashlib.sha256(b"a b").hexdigest().startswith("c8687a08")
