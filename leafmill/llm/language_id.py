@@ -129,7 +129,8 @@ class Pieces:
             at, node = at[ok], self.next[j[ok]]
             if size > 1:
                 hit = self.piece[node] < self.n
-                yield size, at[hit], self.piece[node[hit]]
+                if hit.any():
+                    yield size, at[hit], self.piece[node[hit]]
             if not len(at):
                 break
 
