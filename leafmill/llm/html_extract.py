@@ -3,19 +3,30 @@
 The standard library's parser reads a page in pieces and its events build
 lines: a line ends wherever a block element starts or ends. A line's ratio is
 its characters per tag, with what stands in links taken off. Ratios are
-smoothed with a Gaussian over neighbouring lines; lines above a share of the
-spread of the smoothed ratios form clusters, and a short line between or
-beside content lines is carried by them.
-
-What a page says about itself comes first: lines in menus, headers, footers,
-asides, forms, scripts and the like, by element or by class and id, have ratio
-0 and are never content; where a page marks its article, the mark decides:
-every line of the article outside such blocks is content, at any ratio, so
-neither a one-word paragraph nor a list of links is lost. Ratios, smoothing
-and clusters select on pages without a mark.
+smoothed with a Gaussian over neighbouring lines, so a short line is lifted by
+the prose around it, and two-means clustering of the smoothed ratios gives the
+threshold between prose and the rest.
+
+Structure is a feature, not the decision:
+
+- elements that HTML itself defines as no prose (scripts, styles, menus,
+  footers, asides, controls ...) give lines of ratio 0;
+- a block whose class, id or role hints at boilerplate has its lines weighed
+  by HINT, unless it holds more than half of the page's prose: then the hint is
+  wrong and is dropped (a wrapper named after a sidebar, a page in one form);
+- a region, the innermost element that holds MASS of the characters of the
+  lines above the threshold, is where the article is. A page's <article> or
+  <main> counts as an element like others, only that nothing outside of the
+  marked ones is searched while they hold any prose.
+
+Selected are the lines of the region above the threshold, and those that they
+carry: lines in the region without a hint, when the region is an element of
+its own inside the body, or lines that share their block with selected ones.
 
 Defined results: a null or empty page, or one without content, gives an empty
-text; repeated rows each give a row; an empty table gives no rows.
+text; ties of the innermost region go to the first in page order; repeated rows
+each give a row; a very long page is parsed in pieces and kept whole; an empty
+table gives no rows; other columns are not read, whatever their names.
 """
 
 from __future__ import annotations
@@ -29,63 +40,77 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 PIECE = 1 << 16
-SIGMA, SHARE = 1.5, 0.5
+#: Width of the smoothing in lines, weight of hinted lines, and what share of the prose a region holds.
+SIGMA, HINT, MASS = 1.5, 0.1, 0.7
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 BLOCK = frozenset(
     "address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 "
     "head header hgroup hr html li main menu nav noscript ol option p pre section select summary table tbody td template tfoot th thead title tr ul".split()
 )
-DROP = frozenset("head nav footer aside form script style noscript template iframe object svg canvas button select option textarea input menu dialog audio video".split())
+#: Elements that are no prose by the definition of HTML.
+DROP = frozenset("head nav footer aside script style noscript template iframe object svg canvas button select option textarea input label legend menu dialog audio video".split())
 CONTENT = frozenset(("article", "main"))
+#: Elements that lines stand in, but that are no place for an article of several lines.
+SMALL = frozenset("html body p h1 h2 h3 h4 h5 h6 li dt dd pre blockquote figcaption caption hgroup address tr ul ol dl".split())
+#: Words of class names that hint at boilerplate, and words that may stand beside them.
 BOILERPLATE = frozenset(
     "ad ads advert adverts advertisement advertising adsense banner sponsor sponsored promo promotion nav navbar navigation menu breadcrumb breadcrumbs header masthead "
-    "footer foot side sidebar aside widget widgets cookie cookies consent notice notices alert popup modal newsletter subscribe share sharing social related recommended "
-    "recommendations comment comments disqus reply replies respond login signup search".split()
+    "footer foot sidebar aside widget widgets cookie cookies consent notice notices alert popup modal newsletter subscribe share sharing social related recommended "
+    "recommendations comment comments disqus reply replies respond login signup search form".split()
 )
-PROPER = frozenset("content article main post entry story maincontent".split())
-NEGATION = frozenset("no not has with without hide hidden".split())
+BESIDE = frozenset("top bottom left right side site page main article post user reader readers box block bar area list section inner outer links posts articles stories text".split())
 SPACES = re.compile(r"\s+")
 
 
 def is_boilerplate(names: str) -> bool:
-    """Whether class, id and role name boilerplate: a word of one of the names does, none is negated, and no name is a content word itself."""
-    tokens = [[w for w in re.split(r"[-_:]+", t) if w] for t in names.lower().split()]
-    if any(len(t) == 1 and t[0] in PROPER for t in tokens):
-        return False
-    return any(t and t[0] not in NEGATION and any(w in BOILERPLATE for w in t) for t in tokens)
+    """Whether a class, id or role hints at boilerplate: one of the names is made of such words and of words that may stand beside them."""
+    tokens = [{w for w in re.split(r"[-_:]+", t) if w} for t in names.lower().split()]
+    return any(t & BOILERPLATE and t <= BOILERPLATE | BESIDE for t in tokens)
+
+
+class Line:
+    """A line: text, tags since the last one, characters in links, ids of the open blocks and of those that may be a region, innermost hint, whether it may be content."""
+
+    __slots__ = ("around", "hint", "linked", "marked", "may", "path", "tags", "text")
+
+    def __init__(self, text, tags, linked, path, around, hint, may, marked):
+        self.text, self.tags, self.linked, self.path, self.around = text, tags, linked, path, around
+        self.hint, self.may, self.marked = hint, may, marked
 
 
 class Lines(HTMLParser):
-    """Collects [text, tags, characters in links, dropped, in an article] lines."""
+    """Collects the lines of a page."""
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
-        self.open: list[tuple[str, bool, bool]] = []
-        self.lines: list[list] = []
+        #: Open elements: tag, id, id of the innermost hinted one or None, in a dropped one, in a marked one.
+        self.open: list[tuple[str, int, int | None, bool, bool]] = []
+        self.lines: list[Line] = []
         self.text: list[str] = []
-        self.tags = self.linked = self.links = self.dropped = self.inside = 0
+        self.tags = self.linked = self.links = self.elements = 0
 
     def cut(self) -> None:
         text = SPACES.sub(" ", "".join(self.text)).strip()
         if text:
-            self.lines.append([text, self.tags, min(self.linked, len(text)), self.dropped > 0, self.inside > 0])
+            _, _, hint, dropped, marked = self.open[-1] if self.open else ("", 0, None, False, False)
+            blocks = [(t, i) for t, i, *_ in self.open if t in BLOCK]
+            around = tuple(i for t, i in blocks[:-1] if t not in SMALL)
+            self.lines.append(Line(text, self.tags, min(self.linked, len(text)), tuple(i for _, i in blocks), around, hint, not dropped, marked))
             self.tags = 0
         self.text, self.linked = [], 0
 
     def enter(self, tag: str, attrs) -> None:
-        hint = " ".join(v for k, v in attrs if v and k in ("class", "id", "role"))
-        content = tag in CONTENT
-        drop = tag in DROP or (tag == "header" and not self.inside) or (bool(hint) and not content and tag not in ("html", "body") and is_boilerplate(hint))
-        self.open.append((tag, drop, content))
-        self.dropped += drop
-        self.inside += content
+        _, _, hint, dropped, marked = self.open[-1] if self.open else ("", 0, None, False, False)
+        self.elements += 1
+        names = " ".join(v for k, v in attrs if v and k in ("class", "id", "role"))
+        if tag == "form" or (names and tag not in CONTENT and tag not in ("html", "body") and is_boilerplate(names)):
+            hint = self.elements
+        dropped = dropped or tag in DROP or (tag == "header" and not marked)
+        self.open.append((tag, self.elements, hint, dropped, marked or tag in CONTENT))
         self.links += tag == "a"
 
     def leave(self) -> None:
-        tag, drop, content = self.open.pop()
-        self.dropped -= drop
-        self.inside -= content
-        self.links -= tag == "a"
+        self.links -= self.open.pop()[0] == "a"
 
     def handle_starttag(self, tag, attrs):
         if tag in BLOCK:
@@ -118,7 +143,7 @@ class Lines(HTMLParser):
         if tag in BLOCK:
             self.cut()
         self.tags += 1
-        if any(t == tag for t, _, _ in self.open):
+        if any(t == tag for t, *_ in self.open):
             while True:
                 done = self.open[-1][0] == tag
                 self.leave()
@@ -126,7 +151,7 @@ class Lines(HTMLParser):
                     break
 
     def handle_data(self, data):
-        if self.dropped and self.open and self.open[-1][0] in ("script", "style"):
+        if self.open and self.open[-1][0] in ("script", "style"):
             return
         self.text.append(data)
         if self.links:
@@ -144,20 +169,57 @@ def smooth(x: list[float], sigma: float = SIGMA) -> list[float]:
     return out
 
 
-def content(lines: list[list], sigma: float = SIGMA, share: float = SHARE) -> list[str]:
+def two_means(x: list[float]) -> float:
+    """The threshold between a lower and an upper cluster: the middle of their means, iterated from the extremes."""
+    cut = (min(x) + max(x)) / 2
+    for _ in range(64):
+        low, high = [v for v in x if v < cut], [v for v in x if v >= cut]
+        new = (sum(low) / len(low) + sum(high) / len(high)) / 2 if low and high else cut
+        if new == cut:
+            break
+        cut = new
+    return cut
+
+
+def content(lines: list[Line], sigma: float = SIGMA, hint: float = HINT, mass: float = MASS) -> list[str]:
     """The texts of the content lines, in page order."""
-    marked = any(inside and not dropped for _, _, _, dropped, inside in lines)
-    if marked:
-        return [text for text, _, _, dropped, inside in lines if inside and not dropped]
-    may = [not dropped for _, _, _, dropped, _ in lines]
-    ratio = [max(0, len(t) - 2 * linked) / max(1, tags) if ok else 0.0 for (t, tags, linked, _, _), ok in zip(lines, may, strict=True)]
+    may = [x.may for x in lines]
+    if any(x.may and x.marked and len(x.text) > x.linked for x in lines):
+        may = [x.may and x.marked for x in lines]
+    prose = [len(x.text) if ok else 0 for x, ok in zip(lines, may, strict=True)]
+    # A hint at what holds most of the prose is wrong.
+    held: dict[int, int] = {}
+    for x, n in zip(lines, prose, strict=True):
+        if x.hint is not None:
+            for i in x.path:
+                held[i] = held.get(i, 0) + n
+    hinted = [x.hint is not None and 2 * held.get(x.hint, 0) <= sum(prose) for x in lines]
+    ratio = [
+        (hint if h else 1.0) * max(0, len(x.text) - 2 * x.linked) / max(1, x.tags) if ok else 0.0
+        for x, ok, h in zip(lines, may, hinted, strict=True)
+    ]
     if not any(ratio):
-        return []
+        # No prose at all: what is marked as the article is all there is.
+        return [x.text for x, ok, h in zip(lines, may, hinted, strict=True) if ok and not h and x.marked]
     level = smooth(ratio, sigma)
-    mean = sum(level) / len(level)
-    spread = math.sqrt(sum((v - mean) ** 2 for v in level) / len(level))
-    threshold = min(share * spread, share * max(level)) if spread else 0.0
-    return [line[0] for line, v, ok in zip(lines, level, may, strict=True) if ok and v >= threshold and v > 0]
+    cut = two_means([v for v, ok in zip(level, may, strict=True) if ok])
+    core = [ok and not h and v >= cut for v, ok, h in zip(level, may, hinted, strict=True)]
+    if not any(core):
+        core = [ok and v >= cut for v, ok in zip(level, may, strict=True)]
+        hinted = [False] * len(lines)
+    inside: dict[int, int] = {}
+    for x, on in zip(lines, core, strict=True):
+        for i in x.around if on else ():
+            inside[i] = inside.get(i, 0) + len(x.text)
+    total = sum(len(x.text) for x, on in zip(lines, core, strict=True) if on)
+    # Elements are numbered in page order; of nested ones that hold enough, the innermost has the largest number.
+    region = max((i for i, n in inside.items() if n >= mass * total), default=0)
+    blocks = {x.path[-1] for x, on in zip(lines, core, strict=True) if on and x.path}
+    return [
+        x.text
+        for x, ok, h, on in zip(lines, may, hinted, core, strict=True)
+        if (not region or region in x.path) and (on or (ok and not h and (region or (x.path and x.path[-1] in blocks))))
+    ]
 
 
 def extract(html: str | None) -> str:

@@ -314,10 +314,64 @@ def test_links_inside_an_article_stay():
 def test_boilerplate_names():
     for name in ("ad", "top-banner", "site_footer wide", "main-menu", "article-share", "Comments"):
         assert html_extract.is_boilerplate(name)
-    for name in ("", "no-sidebar page", "content header", "story", "shadow", "loading", "article-body"):
+    for name in ("", "no-sidebar page", "story", "shadow", "loading", "article-body", "content-sidebar-wrap", "related-work", "text"):
         assert not html_extract.is_boilerplate(name)
 
 
+PROSE = [f"Paragraph {i} of the main text, which has a good many words in it so that its ratio of text to tags is high." for i in range(6)]
+
+
+def test_wrong_hints_do_not_lose_the_article():
+    paragraphs = "".join(f"<p>{x}</p>" for x in PROSE)
+    menu = "<nav><a href='/'>Home</a></nav>"
+    want = "\n".join(PROSE)
+    for page in (
+        f"<body><form id='aspnetForm'>{menu}<div class='body'>{paragraphs}</div></form></body>",
+        f"<body>{menu}<div class='content-sidebar-wrap'>{paragraphs}</div></body>",
+        f"<body>{menu}<div class='sidebar'>{paragraphs}</div></body>",
+        f"<body>{menu}<article>{paragraphs}<div class='ad'>Buy this now, it is a very good offer.</div><form>Mail <input></form></article></body>",
+    ):
+        assert html_extract.extract(page) == want
+    related = "<div class='related-work'><h2>Related work</h2><p>Others have written of this before, and at length.</p></div>"
+    assert html_extract.extract(f"<article>{paragraphs}{related}</article>").split("\n")[-2:] == ["Related work", "Others have written of this before, and at length."]
+
+
+def test_ratios_smoothing_and_clusters_select():
+    """No mark and no hint: dense lines are the article; a short line between them is carried by smoothing."""
+    links = "".join(f"<p><a href='/{i}'>Link {i}</a></p>" for i in range(12))
+    page = f"<body>{links}" + "".join(f"<p>{x}</p>" for x in PROSE[:3]) + "<p>Yes.</p>" + "".join(f"<p>{x}</p>" for x in PROSE[3:]) + f"{links}</body>"
+    got = html_extract.extract(page).split("\n")
+    assert [x for x in got if not x.startswith("Link")] == [*PROSE[:3], "Yes.", *PROSE[3:]]
+    parser = html_extract.Lines()
+    parser.feed(page)
+    parser.close()
+    assert "Yes." not in html_extract.content(parser.lines, sigma=0.01)
+
+
+def level_by_definition(ratio, sigma):
+    n, r = len(ratio), int(np.ceil(3 * sigma))
+    weight = lambda d: np.exp(-(d * d) / (2 * sigma * sigma)) if abs(d) <= r else 0.0
+    return [sum(weight(i - j) * ratio[j] for j in range(n)) / sum(weight(i - j) for j in range(n)) for i in range(n)]
+
+
+def test_smoothing_and_threshold_by_definition():
+    rng = np.random.default_rng(3)
+    for n in (1, 2, 7, 60):
+        x = rng.random(n).tolist()
+        assert np.allclose(html_extract.smooth(x), level_by_definition(x, html_extract.SIGMA))
+        cut = html_extract.two_means(x)
+        low, high = [v for v in x if v < cut], [v for v in x if v >= cut]
+        if low and high:
+            assert np.isclose(cut, (np.mean(low) + np.mean(high)) / 2)
+
+
+def test_long_pages():
+    paragraphs = [f"Paragraph number {i} " + "with several words of plain text in it " * (i % 9 + 1) for i in range(2000)]
+    page = "<body><nav><a href='/'>Home</a></nav><article>" + "".join(f"<p>{x}</p>" for x in paragraphs) + "</article><footer>end</footer></body>"
+    assert len(page) > 2 * html_extract.PIECE
+    assert html_extract.extract(page) == "\n".join(x.strip() for x in paragraphs)
+
+
 def test_quote_parsing():
     body, found = quotes.parse("Hi\n\nOn Monday Bo wrote:\n> first line\n> second\n> > deeper one here\nMy answer.\n>> nested")
     assert body == "Hi\nMy answer." or body == "Hi\n\nMy answer."
