@@ -15,7 +15,7 @@ from .language_id import identify_language
 from .mixing import ORACLE as MIX_SQL
 from .mixing import mix_sources
 from .quality import classify_quality
-from .quotes import format_chats
+from .quotes import build_chats
 from .substring_dedup import substring_dedup
 from .suffix_dedup import suffix_dedup
 
@@ -53,7 +53,7 @@ def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_format_chats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return format_chats(kit.read(spark, sf_dir, "conversations"))
+    return build_chats(kit.read(spark, sf_dir, "conversations"))
 
 
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -19,15 +19,24 @@ A message replies to the message of its longest linked passage of depth 1.
 Such links may close a cycle across conversations. The first message of a
 cycle, in the order of (conversation, turn), then takes its longest passage
 whose source sorts before it, or none; its quotes still count as linked.
-Reply paths come from pointer doubling over the links, so a thread of n
-replies takes log2 n rounds; a conversation sorted by reply_path is in reply
-order, and its formatted rows joined are the chat without quotes. Rows are
-never gathered: a conversation may be of any length.
+
+A chat is all trees of replies whose roots lie in one conversation: roots by
+turn, a reply behind what it replies to, replies to one message by conversation
+and turn. The trees are numbered without paths: an Euler tour (enter a message,
+its replies one by one, leave it) is a linked list, and pointer doubling ranks
+it, so a thread of n replies takes log2 n rounds of n rows. ``build_chats``
+writes each chat in parts of PART messages in that order, without quotes, so
+no chat is gathered in one row or task, however long it is.
+
+Windows by turn go in two levels (blocks of turns, then inside a block), so a
+phrase that a whole conversation repeats is no single task.
 
 Defined results: a null text has no words; a null role is ``unknown``; a null
-conversation or turn comes first; rows that share conversation and turn are
-formatted each, and a link to them is to their turn; an empty table gives no
-rows; other columns are not read.
+conversation or turn comes before all others and is no other's; rows that share
+conversation and turn are formatted each, next to each other, and a link to
+them is to their turn; negative numbers sort as numbers; a very long text is
+parsed whole; an empty table gives no rows; other columns are not read,
+whatever their names.
 """
 
 from __future__ import annotations
@@ -45,6 +54,10 @@ ATTRIBUTION = re.compile(r"^.{0,200}\b(?:wrote|writes|said|schrieb|a écrit|escr
 SPACES = re.compile(r"\s+")
 #: Passages of fewer characters link only within their conversation.
 MIN_PASSAGE = 12
+#: Stands for a null conversation or turn, before all others.
+FIRST = -(1 << 62)
+#: Binary logarithms of the turns of a block and of the conversations of a block of replies, and messages of a part.
+TURNS, CONVERSATIONS, PART = 10, 10, 256
 
 
 def parse(text: str | None) -> tuple[str, list[tuple[int, str]]]:
@@ -103,37 +116,45 @@ def _parse_rows(batches):
         )
 
 
+def before(df: DataFrame, keys: list[str], by: str, columns: dict, agg, width: int) -> DataFrame:
+    """df with, for each row, agg of the columns over the rows of its keys with a smaller `by`: inside blocks of 2**width, then over blocks."""
+    rows = df.withColumns({**columns, "_block": F.shiftright(by, width)})
+    inside = Window.partitionBy(*keys, "_block").orderBy(by).rangeBetween(Window.unboundedPreceding, -1)
+    blocks = rows.groupBy(*keys, "_block").agg(*(agg(c).alias(c) for c in columns))
+    over = Window.partitionBy(*keys).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    ahead = blocks.select(*keys, "_block", *(agg(c).over(over).alias(f"_{c}") for c in columns))
+    both = lambda c: F.greatest(agg(c).over(inside), f"_{c}") if agg is F.max else F.coalesce(agg(c).over(inside), F.lit(0)) + F.coalesce(f"_{c}", F.lit(0))
+    return rows.join(ahead, [*keys, "_block"]).withColumns({c: both(c) for c in columns}).drop("_block", *(f"_{c}" for c in columns))
+
+
 def link_quotes(messages: DataFrame) -> DataFrame:
-    """(conv_id, turn, parent_conv, parent_turn, n_linked) of the messages whose quotes were found."""
+    """(conv_id, turn, parent, ordered, n_linked) of the messages whose quotes were found, saved; no null ids."""
     n = F.length("p.passage")
     # A short passage is hashed with its conversation, so it never meets others'.
-    place = F.when(n < MIN_PASSAGE, F.concat(F.coalesce(F.col("conv_id").cast("string"), F.lit("")), F.lit("\n"))).otherwise(F.lit(""))
+    place = F.when(n < MIN_PASSAGE, F.concat(F.col("conv_id").cast("string"), F.lit("\n"))).otherwise(F.lit(""))
     hashed = messages.select("conv_id", "turn", F.explode("told").alias("p")).select(
         "conv_id", "turn", F.col("p.depth").alias("depth"), "p.whole", n.alias("n"), F.sha2(F.concat(place, F.col("p.passage")).cast("binary"), 256).alias("hash")
     )
     quoted = hashed.where("depth > 0").select("hash").distinct()
     # Only passages that someone quotes go on.
-    rows = hashed.join(quoted, "hash", "left_semi")
-    before = Window.partitionBy("conv_id", "hash").orderBy("turn").rangeBetween(Window.unboundedPreceding, -1)
-    last = lambda which: F.last(F.when(which, F.col("turn")), ignorenulls=True).over(before)
+    rows = kit.save(hashed.join(quoted, "hash", "left_semi"), "quote-passages")
     held = F.col("depth") == 0
-    near = rows.withColumns({"any": last(held), "all": last(held & F.col("whole"))}).where("depth > 0")
+    near = before(rows, ["conv_id", "hash"], "turn", {"any": F.when(held, F.col("turn")), "all": F.when(held & F.col("whole"), F.col("turn"))}, F.max, TURNS).where("depth > 0")
     near = near.withColumn("near", F.when((F.col("n") >= MIN_PASSAGE) | F.col("whole"), F.col("any")).otherwise(F.col("all")))
     # The first holders in the first two conversations: one of them is not the quote's own.
     holders = rows.where(held & (F.col("n") >= MIN_PASSAGE)).groupBy("hash", "conv_id").agg(F.min("turn").alias("turn"))
-    ranked = holders.withColumn("rank", F.row_number().over(Window.partitionBy("hash").orderBy("conv_id"))).where("rank <= 2")
-    at = lambda k: F.min(F.when(F.col("rank") == k, F.struct("conv_id", "turn")))
-    origin = ranked.groupBy("hash").agg(at(1).alias("first"), at(2).alias("second"))
-    fits = lambda c: F.col(c).isNotNull() & (~F.col(f"{c}.conv_id").eqNullSafe(F.col("conv_id")) | (F.col(c) < F.struct("conv_id", "turn")))
+    one = holders.groupBy("hash").agg(F.min(F.struct("conv_id", "turn")).alias("first"))
+    two = holders.join(one, "hash").where(F.col("conv_id") != F.col("first.conv_id")).groupBy("hash").agg(F.min(F.struct("conv_id", "turn")).alias("second"))
+    origin = one.join(two, "hash", "left")
+    me = F.struct("conv_id", "turn")
+    fits = lambda c: F.col(c).isNotNull() & ((F.col(f"{c}.conv_id") != F.col("conv_id")) | (F.col(c) < me))
     found = near.join(origin, "hash", "left").select(
         "conv_id", "turn", "depth", "n",
         F.when(F.col("near").isNotNull(), F.struct("conv_id", F.col("near").alias("turn"))).when(fits("first"), F.col("first")).when(fits("second"), F.col("second")).alias("source"),
     ).where("source is not null")
     best = lambda which: F.max(F.when((F.col("depth") == 1) & which, F.struct("n", "source")))["source"]
-    links = found.groupBy("conv_id", "turn").agg(best(F.lit(True)).alias("parent"), best(F.col("source") < F.struct("conv_id", "turn")).alias("ordered"), F.count("*").alias("n_linked"))
-    return break_cycles(kit.save(links, "quote-links")).select(
-        "conv_id", "turn", F.col("parent.conv_id").alias("parent_conv"), F.col("parent.turn").alias("parent_turn"), "n_linked"
-    )
+    links = found.groupBy("conv_id", "turn").agg(best(F.lit(True)).alias("parent"), best(F.col("source") < me).alias("ordered"), F.count("*").alias("n_linked"))
+    return break_cycles(kit.save(links, "quote-links"))
 
 
 def break_cycles(links: DataFrame) -> DataFrame:
@@ -148,7 +169,7 @@ def break_cycles(links: DataFrame) -> DataFrame:
         # A cycle needs a link to a later message; no link, no cycle.
         if not links.where(F.col("parent") > me).take(1):
             return links
-        named = links.where("parent.conv_id is not null and parent.turn is not null and conv_id is not null and turn is not null")
+        named = links.where("parent is not null")
         state = kit.save(named.select(me.alias("at"), F.col("parent").alias("to"), F.least(me, F.col("parent")).alias("least")), "quote-cycles")
         alive, jumps = state.count(), 1
         while alive and jumps < alive:
@@ -169,51 +190,83 @@ def break_cycles(links: DataFrame) -> DataFrame:
         links = new
 
 
-def reply_paths(links: DataFrame) -> DataFrame:
-    """(conv_id, turn, root_conv, path) of the messages with a parent; path lists (conversation, turn) from the root down."""
-    key = lambda c, t: F.concat(F.format_string("%020d", c), F.lit("."), F.format_string("%010d", t))
-    state = kit.save(
-        links.where("parent_conv is not null and parent_turn is not null")
-        .select("conv_id", "turn", F.col("parent_conv").alias("up_conv"), F.col("parent_turn").alias("up_turn"), F.array(key(F.col("parent_conv"), F.col("parent_turn"))).alias("above")),
-        "quote-paths",
+def siblings(links: DataFrame) -> DataFrame:
+    """(conv_id, turn, parent, next, head): the next reply to the same parent, and whether a reply is the first; in blocks of conversations."""
+    me = F.struct("conv_id", "turn")
+    rows = links.select("conv_id", "turn", "parent", me.alias("me"), F.shiftright("conv_id", CONVERSATIONS).alias("block"))
+    inside, over = Window.partitionBy("parent", "block").orderBy("me"), Window.partitionBy("parent").orderBy("block")
+    blocks = rows.groupBy("parent", "block").agg(F.min("me").alias("least"))
+    blocks = blocks.select("parent", "block", F.lead("least").over(over).alias("later"), F.when(F.row_number().over(over) == 1, F.col("least")).alias("start"))
+    rows = rows.withColumn("next", F.lead("me").over(inside)).join(blocks, ["parent", "block"])
+    return rows.select("conv_id", "turn", "parent", F.coalesce("next", "later").alias("next"), F.coalesce(F.col("me") == F.col("start"), F.lit(False)).alias("head"))
+
+
+def number_replies(links: DataFrame) -> DataFrame:
+    """(conv_id, turn, root_conv, root_turn, place, depth) of all messages in trees of more than one: place counts from the root, 0, in reply order."""
+    linked = kit.save(siblings(links.where("parent is not null")), "quote-siblings")
+    first = linked.where("head").select(F.col("parent.conv_id").alias("conv_id"), F.col("parent.turn").alias("turn"), F.struct("conv_id", "turn").alias("child"))
+    nodes = linked.select("conv_id", "turn", "parent", "next").unionByName(
+        first.join(linked, ["conv_id", "turn"], "left_anti").select("conv_id", "turn", F.lit(None).cast("struct<conv_id:long,turn:long>").alias("parent"), F.lit(None).cast("struct<conv_id:long,turn:long>").alias("next"))
+    )
+    nodes = nodes.join(first, ["conv_id", "turn"], "left")
+    state = lambda at, up: F.struct(at["conv_id"].alias("conv_id"), at["turn"].alias("turn"), F.lit(up).alias("up"))
+    me = F.struct("conv_id", "turn")
+    enter = nodes.select(state(me, 0).alias("at"), F.coalesce(F.when(F.col("child").isNotNull(), state(F.col("child"), 0)), state(me, 1)).alias("to"), F.lit(1).cast("long").alias("down"), F.lit(0).cast("long").alias("up"))
+    leave = nodes.select(
+        state(me, 1).alias("at"),
+        F.when(F.col("next").isNotNull(), state(F.col("next"), 0)).when(F.col("parent").isNotNull(), state(F.col("parent"), 1)).otherwise(state(me, 1)).alias("to"),
+        F.lit(0).cast("long").alias("down"), F.when(F.col("parent").isNull() & F.col("next").isNull(), 0).otherwise(1).cast("long").alias("up"),
     )
-    while state.take(1):
-        up = state.select(F.col("conv_id").alias("c"), F.col("turn").alias("t"), F.col("up_conv").alias("uc"), F.col("up_turn").alias("ut"), F.col("above").alias("more"))
-        joined = state.join(up, (F.col("up_conv") == F.col("c")) & (F.col("up_turn") == F.col("t")), "left")
-        new = kit.save(
-            joined.select(
-                "conv_id", "turn", F.when(F.col("c").isNotNull(), F.col("uc")).otherwise(F.col("up_conv")).alias("up_conv"),
-                F.when(F.col("c").isNotNull(), F.col("ut")).otherwise(F.col("up_turn")).alias("up_turn"),
-                F.when(F.col("c").isNotNull(), F.concat("more", "above")).otherwise(F.col("above")).alias("above"),
-                F.col("c").isNotNull().alias("moved"),
-            ),
-            "quote-paths",
-        )
-        kit.drop_saved(state)
-        state = new.drop("moved")
-        if not new.where("moved").take(1):
+    # A list ends where a root is left; that state points to itself.
+    tour = kit.save(enter.unionByName(leave), "quote-tour")
+    while tour.take(1):
+        ahead = tour.select(F.col("at").alias("to"), F.col("to").alias("then"), F.col("down").alias("d"), F.col("up").alias("u"))
+        new = kit.save(tour.join(ahead, "to").select("at", F.col("then").alias("to"), (F.col("down") + F.col("d")).alias("down"), (F.col("up") + F.col("u")).alias("up"), (F.col("then") != F.col("to")).alias("moved")), "quote-tour")
+        kit.drop_saved(tour)
+        tour, done = new.drop("moved"), not new.where("moved").take(1)
+        if done:
             break
-    return state.select("conv_id", "turn", F.col("up_conv").alias("root_conv"), F.concat_ws("/", F.concat("above", F.array(key(F.col("conv_id"), F.col("turn"))))).alias("path"))
+    # What a message has ahead of it, itself included: the later it stands, the less; the deeper, the more is left than entered.
+    rest = tour.where("at.up = 0").select(F.col("at.conv_id").alias("conv_id"), F.col("at.turn").alias("turn"), F.col("to.conv_id").alias("root_conv"), F.col("to.turn").alias("root_turn"), "down", "up")
+    size = rest.where("conv_id = root_conv and turn = root_turn").select("root_conv", "root_turn", F.col("down").alias("size"))
+    return rest.join(size, ["root_conv", "root_turn"]).select("conv_id", "turn", "root_conv", "root_turn", (F.col("size") - F.col("down")).alias("place"), (F.col("up") - F.col("down") + 1).alias("depth"))
 
 
 def format_chats(conversations: DataFrame, conv_col="conv_id", turn_col="turn", role_col="role", text_col="text") -> DataFrame:
-    """A row a message: chat_id, reply_path (its order in the chat), conv_id, turn, role, parent_conv, parent_turn, n_quotes, n_linked, formatted."""
+    """A row a message: chat_id, position (its place in the chat, from 0), conv_id, turn, depth, role, parent_conv, parent_turn, n_quotes, n_linked, formatted."""
+    number = lambda c: F.coalesce(F.col(c).cast("long"), F.lit(FIRST))
     slim = conversations.select(
-        F.col(conv_col).cast("long").alias("conv_id"), F.col(turn_col).cast("long").alias("turn"),
-        F.coalesce(F.col(role_col).cast("string"), F.lit("unknown")).alias("role"), F.col(text_col).cast("string").alias("text"),
-    )
+        number(conv_col).alias("conv_id"), number(turn_col).alias("turn"), F.coalesce(F.col(role_col).cast("string"), F.lit("unknown")).alias("role"), F.col(text_col).cast("string").alias("text")
+    )
     parsed = kit.save(slim.mapInArrow(_parse_rows, "conv_id long, turn long, role string, body string, n_quotes long, told array<struct<depth:int,passage:string,whole:boolean>>"), "quote-messages")
-    messages = parsed.drop("told")
     links = link_quotes(parsed)
-    paths = reply_paths(links)
-    tag = lambda df, p: df.withColumnsRenamed({"conv_id": f"{p}_conv", "turn": f"{p}_turn"})
-    on = lambda p: F.col("conv_id").eqNullSafe(F.col(f"{p}_conv")) & F.col("turn").eqNullSafe(F.col(f"{p}_turn"))
-    rows = links.count()
-    out = kit.join_small(messages, tag(links, "l"), on("l"), "left", rows)
-    out = kit.join_small(out, tag(paths, "p"), on("p"), "left", rows)
-    own = F.concat(F.format_string("%020d", F.coalesce("conv_id", F.lit(0))), F.lit("."), F.format_string("%010d", F.coalesce("turn", F.lit(0))))
+    placed = kit.save(number_replies(links), "quote-places")
+    told = kit.save(links.select("conv_id", "turn", F.col("parent.conv_id").alias("parent_conv"), F.col("parent.turn").alias("parent_turn"), "n_linked"), "quote-told")
+    # Places in a chat: how many messages its earlier trees have, then the place in the tree.
+    keys = parsed.groupBy("conv_id", "turn").agg(F.count("*").alias("copies"))
+    keys = kit.join_small(keys, placed, ["conv_id", "turn"], "left").select(
+        "conv_id", "turn", "copies", F.coalesce("root_conv", "conv_id").alias("chat"), F.coalesce("root_turn", "turn").alias("root"), F.coalesce("place", F.lit(0)).alias("place"), F.coalesce("depth", F.lit(0)).alias("depth")
+    )
+    keys = kit.save(keys, "quote-keys")
+    trees = before(keys.groupBy("chat", "root").agg(F.sum("copies").alias("size")), ["chat"], "root", {"start": F.col("size")}, F.sum, TURNS).select("chat", "root", "start")
+    inner = before(keys, ["chat", "root"], "place", {"inner": F.col("copies")}, F.sum, TURNS)
+    keys = inner.join(trees, ["chat", "root"]).select("conv_id", "turn", "chat", "depth", (F.col("start") + F.col("inner")).alias("start"))
+    same = Window.partitionBy("conv_id", "turn").orderBy("role", F.xxhash64("body"))
+    out = parsed.drop("told").withColumn("copy", F.row_number().over(same) - 1).join(keys, ["conv_id", "turn"])
+    out = kit.join_small(out, told, ["conv_id", "turn"], "left")
+    back = lambda c: F.when(F.col(c) != FIRST, F.col(c))
     return out.select(
-        F.coalesce("root_conv", "conv_id").alias("chat_id"), F.coalesce("path", own).alias("reply_path"), "conv_id", "turn", "role", "parent_conv", "parent_turn",
-        "n_quotes", F.coalesce("n_linked", F.lit(0)).cast("long").alias("n_linked"),
+        back("chat").alias("chat_id"), (F.col("start") + F.col("copy")).alias("position"), back("conv_id").alias("conv_id"), back("turn").alias("turn"), "depth", "role",
+        back("parent_conv").alias("parent_conv"), back("parent_turn").alias("parent_turn"), "n_quotes", F.coalesce("n_linked", F.lit(0)).cast("long").alias("n_linked"),
         F.concat(F.lit("<|"), F.col("role"), F.lit("|>\n"), F.col("body"), F.lit("\n<|end|>\n")).alias("formatted"),
     )
+
+
+def build_chats(conversations: DataFrame, conv_col="conv_id", turn_col="turn", role_col="role", text_col="text", part: int = PART) -> DataFrame:
+    """The conversations: chat_id, part (from 0), n_messages, n_quotes, n_linked, text; a chat is its parts' texts in order."""
+    rows = format_chats(conversations, conv_col, turn_col, role_col, text_col)
+    # A group holds at most `part` messages.
+    each = F.sort_array(F.collect_list(F.struct("position", "formatted")))
+    return rows.groupBy("chat_id", F.floor(F.col("position") / part).alias("part")).agg(
+        F.count("*").alias("n_messages"), F.sum("n_quotes").alias("n_quotes"), F.sum("n_linked").alias("n_linked"), F.array_join(F.transform(each, lambda x: x["formatted"]), "").alias("text")
+    )

@@ -396,8 +396,12 @@ def test_quotes(spark):
     assert parent[3, 0] == parent[2, 1] == parent[1, 0] == (None, None)
     assert (by[3, 0].n_quotes, by[3, 0].n_linked) == (1, 0)
     assert by[2, 1].formatted == "<|unknown|>\n\n<|end|>\n" and by[1, 4].formatted == "<|assistant|>\nYes, quite sure.\n<|end|>\n"
-    chat = [(r.conv_id, r.turn) for r in sorted((r for r in by.values() if r.chat_id == 1), key=lambda r: r.reply_path)]
-    assert chat == [(1, 0), (1, 2), (2, 0), (1, 1), (1, 3), (1, 4)]
+    chat = [(r.conv_id, r.turn) for r in sorted((r for r in got.collect() if r.chat_id == 1), key=lambda r: r.position)]
+    assert chat == [(1, 0), (1, 0), (1, 2), (2, 0), (1, 1), (1, 3), (1, 4)]
+    assert {(r.conv_id, r.turn): r.depth for r in got.collect() if r.chat_id == 1} == {(1, 0): 0, (1, 2): 1, (2, 0): 1, (1, 1): 0, (1, 3): 1, (1, 4): 2}
+    built = quotes.build_chats(df, part=3).orderBy("part").collect()
+    assert sum(r.n_messages for r in built) == len(rows) and max(r.n_messages for r in built) <= 3
+    assert "".join(r.text for r in built if r.chat_id == 1) == "".join(r.formatted for r in sorted((r for r in got.collect() if r.chat_id == 1), key=lambda r: r.position))
     assert quotes.format_chats(df.limit(0)).count() == 0
 
 
@@ -427,7 +431,83 @@ def test_quotes_of_later_conversations_and_short_ones(spark):
 def test_long_threads(spark):
     rows = [(1, i, "user", (f"> message number {i - 1:04d} of the thread\n" if i else "") + f"message number {i:04d} of the thread") for i in range(37)]
     got = quotes.format_chats(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")).collect()
-    assert {r.turn: r.reply_path.count("/") for r in got} == {i: i for i in range(37)}
+    assert {r.turn: (r.depth, r.position) for r in got} == {i: (i, i) for i in range(37)}
+
+
+def chats_want(rows):
+    """Positions and parents by brute force: every quote is compared with every message."""
+    first = -(1 << 62)
+    keys = [(first if c is None else c, first if t is None else t) for c, t, *_ in rows]
+    own, quoted = {}, collections.defaultdict(list)
+    for key, (*_, text) in zip(keys, rows, strict=True):
+        body, found = quotes.parse(text)
+        own.setdefault(key, []).append((quotes.normal(body), quotes.passages(body)))
+        for depth, q in found:
+            quoted[key] += [(depth, p, p == quotes.normal(q)) for p in quotes.passages(q)]
+    parent, n_linked = {}, collections.Counter()
+    for key, found in quoted.items():
+        best = []
+        for depth, p, whole in found:
+            short = len(p) < quotes.MIN_PASSAGE
+            fits = lambda k: any(p in ps and (not short or whole or p == w) for w, ps in own[k])  # noqa: E731, B023
+            near = [k for k in own if k[0] == key[0] and k[1] < key[1] and fits(k)]
+            other = [] if short or near else sorted(k for k in own if fits(k) and (k[0] != key[0]))
+            source = max(near) if near else other[0] if other else None
+            if source:
+                n_linked[key] += 1
+                if depth == 1:
+                    best.append((len(p), source))
+        if best:
+            parent[key] = max(best)[1]
+    def root(k):
+        seen = set()
+        while k in parent:
+            assert k not in seen, "the fixture has no cycles"
+            seen.add(k)
+            k = parent[k]
+        return k
+    children = collections.defaultdict(list)
+    for k in sorted(set(keys)):
+        if k in parent:
+            children[parent[k]].append(k)
+    chats = collections.defaultdict(list)
+    def walk(k, chat, depth):
+        chats[chat].extend([(k, depth)] * len(own[k]))
+        for c in children[k]:
+            walk(c, chat, depth + 1)
+    for k in sorted(set(keys)):
+        if k not in parent:
+            walk(k, k[0], 0)
+    null = lambda x: None if x == first else x
+    return sorted(
+        ((null(chat), i, null(k[0]), null(k[1]), depth, *map(null, parent.get(k, (first, first))), n_linked[k]) for chat, found in chats.items() for i, (k, depth) in enumerate(found)), key=repr
+    )
+
+
+def test_chats_by_brute_force(spark):
+    """Nested quotes, a phrase that many repeat, quotes across conversations, nulls, negative ids and repeated rows."""
+    rng = random.Random(21)
+    said: dict = {}
+    rows = []
+    for conv in (-3, 1, 2, 7, 2500, None):
+        for turn in (None, *range(-1, 12)) if conv in (1, None) else range(14):
+            line = "the one phrase that everybody here repeats" if rng.random() < 0.2 else " ".join(words(rng, rng.randrange(1, 9), 3000))
+            text = line
+            earlier = [k for k in said if k[0] == conv]
+            if earlier and rng.random() < 0.6:
+                quote = said[rng.choice(earlier)]
+                mark = "> > " if rng.random() < 0.2 else "> "
+                text = f"{mark}{quote}\n{line}"
+            elif conv in (7, 2500) and rng.random() < 0.5:
+                text = f"> {said[rng.choice([k for k in said if k[0] == 2])]}\n{line}"
+            said[conv, turn] = line
+            rows.append((conv, turn, "user", text))
+    rows += rows[3:6]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").repartition(3)
+    got = quotes.format_chats(df).select("chat_id", "position", "conv_id", "turn", "depth", "parent_conv", "parent_turn", "n_linked")
+    want = chats_want(rows)
+    assert rows_of(got) == want
+    assert sum(r[4] > 0 for r in want) > 15 and max(r[4] for r in want) >= 2
 
 
 def test_pipeline(spark, tmp_path):
