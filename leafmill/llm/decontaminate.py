@@ -27,8 +27,10 @@ Documents stay where they are; only hits leave a task.
 
 Defined results: null or blank texts and items without any word have no hits;
 items too short for an edit (fewer than 5 words at 0.8) are found by exact
-match of their words; equal items each hit; null ids come out as null; an empty table
-gives no rows; other columns are not read.
+match of their words; equal items each hit; of several places at one distance
+the first counts; repeated rows hit each, alike; null ids come out as null; a
+very long text is searched whole; an empty table gives no rows; other columns
+are not read, whatever their names.
 """
 
 from __future__ import annotations
@@ -136,6 +138,7 @@ class Items:
         words, first = words_of(np.frombuffer(b"".join(data), np.uint8), starts)
         every = [(i, words[a:b], a) for (i, _), a, b in zip(rows, first.tolist(), first[1:].tolist(), strict=False)]
         self.items = [(i, w) for i, w, _ in every if len(w)]
+        self.lists = [w.tolist() for _, w in self.items]
         self.allowed = [int((1 - similarity) * len(w) + 1e-9) for _, w in self.items]
         base = [a for _, w, a in every if len(w)]
         cut: dict[int, list[tuple[int, int]]] = {}
@@ -201,19 +204,30 @@ class Items:
         pairs = self.candidates(words)
         doc = np.searchsorted(first, pairs[:, 0], "right") - 1
         order = np.lexsort((pairs[:, 2], pairs[:, 1], doc))
-        last, checked, best = None, None, None
-        for d, (_, k, p) in zip(doc[order].tolist(), pairs[order].tolist(), strict=True):
+        doc, (_, item, at) = doc[order], pairs[order].T
+        # Candidates of one text and item whose stretches touch are verified as one stretch.
+        room = np.array(self.allowed)[item]
+        apart = np.ones(len(doc), bool)
+        apart[1:] = (doc[1:] != doc[:-1]) | (item[1:] != item[:-1]) | (at[1:] - at[:-1] > room[1:] + 1)
+        head = np.flatnonzero(apart)
+        tail = np.append(head[1:], len(doc)) - 1
+        last, best = None, None
+        for d, k, p, q in zip(doc[head].tolist(), item[head].tolist(), at[head].tolist(), at[tail].tolist(), strict=True):
             if (d, k) != last:
                 if best:
                     yield best
-                last, checked, best = (d, k), p, None
-            if p < checked or (best and best[3] == 0):
+                last, best = (d, k), None
+            if best and best[3] == 0:
                 continue
             m, room = len(self.items[k][1]), self.allowed[k]
-            lo = max(int(first[d]), p - room - 1)
-            hi = min(int(first[d + 1]), p + m + 2 * room + 2)
-            checked = p + room + 2
-            score, end = self.distance(k, words[lo:hi].tolist())
+            lo = max(int(first[d]), p - room)
+            hi = min(int(first[d + 1]), q + m + 2 * room)
+            text = words[lo:hi].tolist()
+            have = set(text)
+            # Each word of the item that the stretch lacks costs an edit.
+            if sum(w not in have for w in self.lists[k]) > room:
+                continue
+            score, end = self.distance(k, text)
             if score <= room and (best is None or score < best[3]):
                 best = (d, self.items[k][0], m, score, max(0, lo + end - m - int(first[d])))
         if best:
