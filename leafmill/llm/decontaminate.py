@@ -202,6 +202,8 @@ class Items:
         if self.plan is None or not len(words):
             return
         pairs = self.candidates(words)
+        if not len(pairs):
+            return
         doc = np.searchsorted(first, pairs[:, 0], "right") - 1
         order = np.lexsort((pairs[:, 2], pairs[:, 1], doc))
         doc, (_, item, at) = doc[order], pairs[order].T
