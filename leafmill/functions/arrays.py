@@ -58,3 +58,13 @@ def limit_items(a: Column, n: int) -> Column:
 def count_maps(a: Column) -> Column:
     """Distinct items and their counts as a map."""
     return F.map_from_entries(F.transform(F.array_sort(F.array_distinct(a)), lambda k: F.struct(k.alias("key"), F.size(F.filter(a, lambda x: x == k)).alias("value"))))
+
+
+def page_numbers(pages: Column) -> Column:
+    """Distinct positive page numbers in order."""
+    return F.array_sort(F.array_distinct(F.filter(pages, lambda p: p > 0)))
+
+
+def display_name(models: Column) -> Column:
+    """Models of several workers as one name: the one, or all joined by +."""
+    return F.array_join(models, "+")

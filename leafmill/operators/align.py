@@ -125,3 +125,27 @@ def label_forms(rows: DataFrame, key: str = "label") -> DataFrame:
     """Rows once under their label, its question form and its answer form, so that either side finds them."""
     forms = F.array_distinct(F.array(F.col(key), T.relabel(F.col(key), "Q"), T.relabel(F.col(key), "A")))
     return rows.withColumn("form", F.explode(forms))
+
+
+def require(rows: DataFrame, found: str, keys: Sequence[str], what: str) -> DataFrame:
+    """Rows as they are; a row whose `found` is null or empty is an error when the rows are read."""
+    none = F.col(found).isNull()
+    if rows.schema[found].dataType.typeName() == "array":
+        none = none | (F.size(found) == 0)
+    name = F.concat_ws(" ", F.lit(f"no {what} for"), *(F.col(k).cast("string") for k in keys))
+    return rows.withColumn(found, F.when(none, F.raise_error(name).cast(rows.schema[found].dataType)).otherwise(F.col(found)))
+
+
+def groups_of_stream(groups: DataFrame, answers: DataFrame, stream: str, run: str = "run_id") -> DataFrame:
+    """(run, question_no, labels) of a stream: the question's own labels, or for answers the distinct labels of its answer rows in order."""
+    if stream != "answer":
+        return groups.select(run, "question_no", "labels")
+    named = answers.select(run, "question_no", "ordinal", F.posexplode("labels").alias("_i", "label")).groupBy(run, "question_no")
+    listed = F.array_sort(F.collect_list(F.struct("ordinal", "_i", "label")))
+    return named.agg(A.ordered_distinct(F.transform(listed, lambda x: x["label"])).alias("labels"))
+
+
+def nearest_questions(assets: DataFrame, blocks: DataFrame, distance: Column, run: str = "run_id", k: int = 6) -> DataFrame:
+    """For each asset (run, asset) the k nearest questions by the least distance of their blocks: (.., question_no, distance, rank)."""
+    least = assets.join(blocks, run).withColumn("_d", distance).groupBy(run, "asset", "question_no").agg(F.min("_d").alias("distance"))
+    return top_k(least, [run, "asset"], [F.col("distance"), F.col("question_no")], k)

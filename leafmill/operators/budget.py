@@ -41,9 +41,17 @@ def bucket_of(model: Column, limits: Column) -> Column:
 
 
 def trailing_usage(events: DataFrame, keys, ts: str, tokens: str, seconds: int, name: str = "used") -> DataFrame:
-    """Tokens of the key in the closed window of `seconds` before each event, itself included."""
-    w = Window.partitionBy(*keys).orderBy(F.unix_micros(F.col(ts).cast("timestamp"))).rangeBetween(-seconds * 1_000_000, 0)
-    return events.withColumn(name, F.sum(tokens).over(w))
+    """Tokens of the key in the closed window of `seconds` before each event, itself included.
+
+    Time is cut into spans of one window, and an event counts in its own span
+    and in the next, so a key with many events is many tasks.
+    """
+    width = seconds * 1_000_000
+    micros = F.unix_micros(F.col(ts).cast("timestamp"))
+    own = events.withColumns({"_t": micros, "_span": F.floor(micros / width), "_own": F.lit(True)})
+    both = own.withColumn("_where", F.explode(F.array(F.struct(F.col("_span").alias("span"), F.lit(True).alias("own")), F.struct((F.col("_span") + 1).alias("span"), F.lit(False).alias("own")))))
+    w = Window.partitionBy(*keys, "_where.span").orderBy("_t").rangeBetween(-width, 0)
+    return both.withColumn(name, F.sum(tokens).over(w)).where("_where.own").drop("_t", "_span", "_own", "_where")
 
 
 def usage(reservations: DataFrame) -> DataFrame:

@@ -22,11 +22,11 @@ def flatten_packets(packets: DataFrame, keys: Sequence[str] = ("run_id",)) -> Da
     return rows.select(*keys, "packet_page", "packet_order", "b.*").where(T.strip(F.coalesce("label", F.lit(""))) != "")
 
 
-def flatten_tree(docs: DataFrame, keys: Sequence[str], depth: int = 6, skip=("image_body", "chart_body")) -> DataFrame:
+def flatten_tree(docs: DataFrame, keys: Sequence[str], depth: int = 8, skip=("image_body", "chart_body")) -> DataFrame:
     """Leaf lines of a layout tree held as JSON: (keys, page, path, type, text), by path in reading order.
 
     `tree` is a JSON array of pages with preproc_blocks; a block has lines with
-    spans, or blocks of its own down to `depth` levels.
+    spans, or blocks of its own down to `depth` levels; deeper ones are an error.
     """
     node = "array<string>"
     level = docs.select(*keys, F.posexplode(F.from_json("tree", node)).alias("page", "p")).select(
@@ -41,6 +41,10 @@ def flatten_tree(docs: DataFrame, keys: Sequence[str], depth: int = 6, skip=("im
         level = level.select(*keys, "page", "path", F.posexplode(F.from_json(F.get_json_object("b", "$.blocks"), node)).alias("k", "c")).select(
             *keys, "page", F.concat("path", F.array("k")).alias("path"), F.col("c").alias("b")
         )
+    deeper = level.where(~F.coalesce(F.get_json_object("b", "$.type").isin(*skip), F.lit(False)))
+    # The message reads the block, so it is raised for blocks that are there and nowhere else.
+    lost = F.raise_error(F.concat(F.lit(f"the layout has blocks below level {depth}: "), F.substring("b", 1, 40))).cast("string")
+    leaves = leaves.unionByName(deeper.select(*keys, "page", "path", F.lit(None).cast("string").alias("type"), F.lit(0).alias("j"), lost.alias("l")))
     spans = F.from_json(F.get_json_object("l", "$.spans"), "array<struct<type:string,content:string,html:string>>")
     words = F.array_join(F.transform(spans, lambda s: F.coalesce(T.span_content(s["type"], s["content"], s["html"]), F.lit(""))), " ")
     out = leaves.select(*keys, "page", F.concat("path", F.array("j")).alias("path"), "type", T.collapse(words).alias("text"))
@@ -138,6 +142,27 @@ def crop_boxes(labels: DataFrame, blocks: DataFrame, run: str = "run_id", margin
     return found.groupBy(run, "question_no", "stream", "page", "image").agg(box.alias("b")).where("b is not null").select(run, "question_no", "stream", "page", "image", "b.*")
 
 
+def required_crops(labels: DataFrame, blocks: DataFrame, run: str = "run_id", **options) -> DataFrame:
+    """crop_boxes, but a label without a block, or a question without a box, is an error when the rows are read."""
+    known = blocks.select(run, "label").distinct().withColumn("_known", F.lit(True))
+    name = F.concat(F.lit("no block for "), F.col("label"))
+    checked = labels.join(known, [run, "label"], "left").withColumn("label", F.when(F.col("_known"), F.col("label")).otherwise(F.raise_error(name).cast("string"))).drop("_known")
+    boxes = crop_boxes(checked, blocks, run, **options)
+    asked = checked.groupBy(run, "question_no").agg(F.count("label").alias("_asked"))
+    j = asked.join(boxes, [run, "question_no"], "left")
+    lost = F.raise_error(F.concat(F.lit("no box for question "), F.col("question_no").cast("string"))).cast("long")
+    return j.withColumn("x1", F.when(F.col("x1").isNull(), lost).otherwise(F.col("x1"))).drop("_asked")
+
+
+def reading_distance(a_page: Column, a_top: Column, a_bottom: Column, b_page: Column, b_top: Column, b_bottom: Column, page_height: float = 1000.0) -> Column:
+    """(distance, side) from block a to block b along the reading path: before, after or overlap; a page between counts its height."""
+    start_a, end_a = (a_page * page_height + y for y in (a_top, a_bottom))
+    start_b, end_b = (b_page * page_height + y for y in (b_top, b_bottom))
+    side = F.when(end_b <= start_a, "before").when(start_b >= end_a, "after").otherwise("overlap")
+    gap = F.greatest(start_a - end_b, start_b - end_a, F.lit(0.0))
+    return F.struct(gap.alias("distance"), side.alias("side"))
+
+
 def page_extents(blocks: DataFrame, keys: Sequence[str], bottom: Column, gap: float = 80.0, least: float = 1000.0) -> DataFrame:
     """(keys, extent): the lowest edge of a page and a gap, at least a page's height."""
     return blocks.groupBy(*keys).agg(F.greatest(F.lit(least), F.max(bottom) + gap).alias("extent"))

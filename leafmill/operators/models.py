@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import hashlib
 import json
+import time
 from collections.abc import Iterator
 from typing import Protocol
 
@@ -15,6 +16,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions import text as T
 from .tables import pending
 
 RESULT = "status string, error string, response string, attempts int"
@@ -41,31 +43,60 @@ class FixtureClient:
         return answer
 
 
-class Retryable(Exception):
-    """A failure worth another attempt."""
+class EchoClient:
+    """Answers with the messages themselves."""
 
+    def complete(self, messages: str) -> str:
+        return messages
+
+
+class RateLimited(Exception):
+    """The service asks to slow down."""
+
+
+class Transient(Exception):
+    """A failure of the service that may pass."""
+
+
+# Attempts after a failure of each class, and the seconds between them.
+RETRIES = {RateLimited: 60, Transient: 8}
+PAUSE = 60.0
 
-def call(client: ModelClient, messages: str, attempts: int = 3) -> tuple[str, str | None, str | None, int]:
-    """(status, error, response, attempts); the answer must be JSON."""
-    for n in range(1, attempts + 1):
+
+def failure_class(status: int | None, body: str = "") -> type[Exception] | None:
+    """The class of a failed HTTP call, by the rules of text.is_rate_limit and text.is_transient."""
+    if status == 429 or any(m in (body or "").lower() for m in T.RATE_LIMIT_MARKERS):
+        return RateLimited
+    return Transient if status in T.TRANSIENT_STATUS else None
+
+
+def call(client: ModelClient, messages: str, retries: dict[type[Exception], int] = RETRIES, pause=time.sleep) -> tuple[str, str | None, str | None, int]:
+    """(status, error, response, attempts); the answer must be JSON.
+
+    The classes of failure count apart, each with its own number of further
+    attempts; tokens are acquired before the first one only, by the caller.
+    """
+    left, attempts = dict(retries), 0
+    while True:
+        attempts += 1
         try:
             answer = client.complete(messages)
             json.loads(answer)
-            return "ok", None, answer, n
-        except Retryable as e:
-            if n == attempts:
-                return "error", f"{type(e).__name__}: {e}", None, n
+            return "ok", None, answer, attempts
         except Exception as e:  # noqa: BLE001  a bad row must not fail the job
-            return "error", f"{type(e).__name__}: {e}", None, n
-    raise AssertionError
+            kind = next((k for k in left if isinstance(e, k)), None)
+            if kind is None or left[kind] == 0:
+                return "error", f"{type(e).__name__}: {e}", None, attempts
+            left[kind] -= 1
+            pause(PAUSE)
 
 
-def call_model(work: DataFrame, client: ModelClient, key: str, messages: str = "messages", attempts: int = 3) -> DataFrame:
+def call_model(work: DataFrame, client: ModelClient, key: str, messages: str = "messages", retries: dict[type[Exception], int] = RETRIES, pause=time.sleep) -> DataFrame:
     """(key, status, error, response, attempts) for each row of work."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            rows = [call(client, m, attempts) for m in pdf[messages]]
+            rows = [call(client, m, retries, pause) for m in pdf[messages]]
             yield pd.DataFrame({key: pdf[key], **dict(zip(("status", "error", "response", "attempts"), zip(*rows, strict=True), strict=True))} if rows else {c: [] for c in (key, "status", "error", "response", "attempts")})
 
     part = work.select(key, messages)
@@ -101,3 +132,12 @@ def messages(system: str, user: Column, images: Column | None = None) -> Column:
 def message_text(parts: Column) -> Column:
     """The text parts of a message, a line each."""
     return F.array_join(F.transform(F.filter(parts, lambda p: p["type"] == "text"), lambda p: p["text"]), "\n")
+
+
+def charged_calls(work: DataFrame, client: ModelClient, key: str, limits: Column, limit: int, reserved: Column, arrived: str, model: str = "model", messages: str = "messages", **options) -> DataFrame:
+    """Calls behind the limiter: estimate, bucket, acquire once a call, call, log: (key, bucket, tokens, admitted, waited, status, error, response, attempts)."""
+    from . import budget
+
+    asked = work.withColumns({"bucket": budget.bucket_of(F.col(model), limits), "tokens": budget.text_tokens(F.col(messages)) + reserved})
+    gate = budget.admit(asked, "bucket", arrived, "tokens", key, limit).select(F.col("ident").alias(key), "bucket", "admitted", "waited")
+    return gate.join(asked.select(key, "tokens"), key).join(call_model(work, client, key, messages, **options), key)

@@ -34,10 +34,13 @@ def query(sql: str | None = None):
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    from . import papers, records_plan  # noqa: F401  they register themselves
+
     return dict(_QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
+    queries()
     return dict(SQL)
 
 
@@ -90,14 +93,6 @@ def block_flags(spark, d):
     return rows.select("doc_id", "pos", T.question_number(F.col("line")).alias("number"), T.is_option(F.col("line")).alias("is_option"), F.length(T.compact(F.col("line"))).alias("compact_chars"), "ordinal")
 
 
-@query(f"""WITH {LINES}
-SELECT doc_id, count(*) AS n_blocks, arg_min(line, pos) AS first_line FROM lines GROUP BY doc_id""")
-def page_packets(spark, d):
-    rows = layout.flatten_lines(table(spark, d, "documents"), ["doc_id"], "text").withColumnRenamed("line", "text")
-    p = layout.packets(rows, ["doc_id"], "pos", limit=1 << 30)
-    return p.select("doc_id", F.size("blocks").cast("long").alias("n_blocks"), F.element_at("blocks", 1)["text"].alias("first_line"))
-
-
 # ---------------------------------------------------------------- text
 
 
@@ -146,15 +141,6 @@ def html_rows(spark, d):
     return markup.elements(table(spark, d, "pages"), ["page_id"], "html", "li")
 
 
-@query("""SELECT page_id, 1 AS table_no, 1 AS "row", i::INT AS col, 'td' AS tag, 2 AS colspan, 1 AS rowspan,
-  trim(regexp_replace(replace(replace(replace(regexp_replace(raw[i], '<[^>]+>', '', 'g'), '&lt;', '<'), '&gt;', '>'), '&amp;', '&'), '\\s+', ' ', 'g')) AS text
-FROM (SELECT page_id, raw, unnest(range(1, len(raw) + 1)) AS i FROM (SELECT page_id, regexp_extract_all(html, '(?is)<li\\b[^>]*>(.*?)</li>', 1) AS raw FROM pages))""")
-def html_tables(spark, d):
-    """Cells of tables; pages here hold none, so list items are put into one."""
-    row = F.concat(F.lit("<table><tr>"), F.array_join(F.transform(F.regexp_extract_all("html", F.lit(r"(?is)<li\b[^>]*>(.*?)</li>")), lambda x: F.concat(F.lit("<td colspan='2'>"), x, F.lit("</td>"))), ""), F.lit("</tr></table>"))
-    return markup.html_tables(table(spark, d, "pages").withColumn("grid", row), ["page_id"], "grid")
-
-
 @query()
 def math_segments(spark, d):
     docs = table(spark, d, "documents")
@@ -188,16 +174,6 @@ def label_switch(spark, d):
     return table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", T.relabel(q, "A").alias("label"))
 
 
-@query("SELECT unnest([1, 2, 3, 5, 8, 9])::INT AS page")
-def range_expand(spark, d):
-    return spark.range(1).select(F.explode(T.expand_ranges(F.lit("1-3, 5,8-9"))).alias("page"))
-
-
-@query("SELECT * FROM (VALUES ('a=b', 10), ('c', 30)) t(model, tpm)")
-def model_limits(spark, d):
-    return spark.range(1).select(F.explode(T.model_limits(F.lit("a=b=10, c =30,bad=x,d=0"))).alias("model", "tpm"))
-
-
 @query("SELECT n_nationkey, 'data:text/plain;base64,' || base64(encode(n_name)) AS uri FROM nation")
 def data_uris(spark, d):
     return table(spark, d, "nation").select("n_nationkey", T.data_uri(F.col("n_name").cast("binary"), F.lit("text/plain")).alias("uri"))
@@ -214,12 +190,6 @@ def keyword_roles(spark, d):
     return table(spark, d, "conversations").select("conv_id", "turn", F.when(F.col("role") == "system", "commentary").when(F.col("turn") >= first, "answer").otherwise("question").alias("page_role"))
 
 
-@query("""SELECT conv_id AS run_id, turn AS page, 'question' AS role, 'paper_only' AS mode FROM conversations""")
-def page_roles(spark, d):
-    pages = table(spark, d, "conversations").select(F.col("conv_id").alias("run_id"), F.col("turn").alias("page"), "text")
-    return layout.page_roles(pages).drop("first_answer_page")
-
-
 @query("""WITH s AS (SELECT conv_id, min(turn) FILTER (role = 'assistant' AND turn > 0) AS stop FROM conversations GROUP BY conv_id)
 SELECT c.conv_id, string_agg(c.turn::VARCHAR, ',' ORDER BY c.turn) AS turns FROM conversations c JOIN s USING (conv_id) WHERE s.stop IS NULL OR c.turn < s.stop GROUP BY c.conv_id""")
 def take_while_surface(spark, d):
@@ -275,12 +245,6 @@ def token_estimate(spark, d):
     return budget.estimates(table(spark, d, "conversations"), "conv_id", "text", "turn")
 
 
-@query("SELECT conv_id, 'ok' AS status, 1 AS attempts FROM (SELECT DISTINCT conv_id FROM conversations)")
-def model_calls(spark, d):
-    work = table(spark, d, "conversations").groupBy("conv_id").agg(F.min_by("text", "turn").alias("text")).select("conv_id", models.messages("system", F.col("text")).alias("messages"))
-    return models.call_model(work, models.FixtureClient(default='{"answers": []}'), "conv_id").select("conv_id", "status", "attempts")
-
-
 # ---------------------------------------------------------------- documents and labels
 
 
@@ -338,35 +302,11 @@ def record_violations(spark, d):
     return r.where(F.array_contains(records.schema_violations(whole), "choice_without_options")).select("run_id", "question_no")
 
 
-@query()
-def record_warnings(spark, d):
-    r = records.content_warnings(_records(spark, d).withColumn("answer_ocr", F.lit("")))
-    return r.select("run_id", "question_no", F.array_join("warnings", "; ").alias("warnings"))
-
-
-@query()
-def record_issues(spark, d):
-    r = _records(spark, d).withColumns({"source_no": F.col("question_no"), "answer_status": F.lit("missing"), "placeholders": F.lit(None).cast("array<struct<kind:string,label:string,placeholder:string>>")})
-    return records.record_issues(r).select("run_id", "question_no", F.array_join(F.transform("found", lambda i: i["type"]), ",").alias("issues")).where("issues <> ''")
-
-
 @query()
 def record_audit(spark, d):
     return records.audit(_records(spark, d)).select("run_id", "question_no", "field", "option_key", "index", F.array_join("reasons", ",").alias("reasons"))
 
 
-@query()
-def record_fingerprints(spark, d):
-    return records.fingerprints(_records(spark, d))
-
-
-@query("""SELECT source AS run_id, count(*) AS question_count, count(*) AS success_count, 0::BIGINT AS error_count,
-  count(*) FILTER (doc_id % 4 = 0)::INT AS fill_blank, 0.0::DOUBLE AS total_elapsed_seconds FROM documents GROUP BY source""")
-def record_summary(spark, d):
-    s = records.summary(_records(spark, d).withColumn("elapsed", F.lit(0.0)))
-    return s.select("run_id", "question_count", "success_count", "error_count", F.coalesce(F.try_element_at("question_type_counts", F.lit("fill_blank")), F.lit(0)).alias("fill_blank"), "total_elapsed_seconds")
-
-
 @query()
 def lpt_assign(spark, d):
     docs = table(spark, d, "documents").select("source", "doc_id", F.coalesce(F.length("text"), F.lit(0)).alias("weight"))
@@ -595,11 +535,6 @@ def tpm_admission(spark, d):
     return budget.admit(table(spark, d, "events").withColumns({"ts": F.col("ts").cast("timestamp"), "tokens": F.floor("value")}), "event_type", "ts", "tokens", "event_id", 400)
 
 
-@query()
-def image_token_counts(spark, d):
-    return table(spark, d, "part").select("p_partkey", G.image_tokens(F.col("p_size") * 97, (F.col("p_partkey") % 5000) + 1).alias("tokens"))
-
-
 # ---------------------------------------------------------------- streaming windows, in batch
 
 

@@ -133,6 +133,29 @@ def run_ids(listing: DataFrame, marker: str) -> DataFrame:
     return listing.select(name.alias("run_id")).where("run_id <> ''").distinct().orderBy("run_id")
 
 
-def split_pages(pages: DataFrame, wanted: Column) -> DataFrame:
-    """Pages whose number is in the wanted list."""
-    return pages.where(F.array_contains(wanted, F.col("page")))
+def split_pages(pages: DataFrame, wanted: Column, keys: tuple[str, ...] = ()) -> DataFrame:
+    """Pages whose number is in the wanted list; a wanted page that a document (keys) lacks is an error when the rows are read."""
+    last = pages.groupBy(*keys).agg(F.max("page").alias("_last"))
+    # Without keys, `last` is one row.
+    rows = pages.join(last, list(keys)) if keys else pages.join(F.broadcast(last), F.lit(True))
+    out_of = F.exists(wanted, lambda p: (p < 1) | (p > F.col("_last")))
+    checked = F.when(out_of, F.raise_error(F.lit("page out of range")).cast("int")).otherwise(F.col("page"))
+    return rows.withColumn("page", checked).where(F.array_contains(wanted, F.col("page"))).drop("_last")
+
+
+def choose_article(images: DataFrame, index: int | None = None, method: str | None = None) -> DataFrame:
+    """Images of an article: of one index, or all; of one download method, or any."""
+    keep = (F.lit(index is None) | F.col("index").eqNullSafe(F.lit(index))) & (F.lit(method is None) | F.col("mode").eqNullSafe(F.lit(method)))
+    return images.where(keep)
+
+
+def image_source(url: Column, listing_hit: Column) -> Column:
+    """Where an image's size can be read: data for data URIs, file for known paths, else null."""
+    return F.when(F.startswith(url, F.lit("data:")), F.lit("data")).when(F.coalesce(listing_hit, F.lit(False)), F.lit("file"))
+
+
+def answer_text(full: Column, blocks: Column) -> Column:
+    """An answer's OCR text: the whole text if there is one, else its blocks as numbered sections."""
+    some = F.filter(blocks, lambda t: F.trim(t) != "")
+    parts = F.transform(some, lambda t, i: F.concat(F.lit("## OCR block "), (i + 1).cast("string"), F.lit("\n"), t))
+    return F.coalesce(F.nullif(full, F.lit("")), F.array_join(parts, "\n\n"))

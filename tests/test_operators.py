@@ -9,7 +9,9 @@ from hypothesis import strategies as st
 from pyspark.sql import Row
 from pyspark.sql import functions as F
 
+from leafmill.functions import mathtext as M
 from leafmill.operators import align, assets, budget, layout, markup, models, records, tables
+from leafmill.sources import readers
 
 
 def rows(df):
@@ -224,7 +226,7 @@ def test_issues_and_warnings(spark):
     kinds = [i.type for i in records.record_issues(df).first().found]
     assert kinds == ["question_no_mismatch", "unbalanced_dollar", "image_path_in_output", "missing_question_placeholder", "ocr_gap_in_input", "empty_answer"]
     w = records.content_warnings(df.withColumns({"answer_ocr": F.lit("y"), "question_ocr": F.lit("x ( )")})).first().warnings
-    assert w == sorted(["answer_ocr was provided but answer/analysis/rubric are all empty", "solution type but question text appears to contain a blank", "stem_latex[1] has unbalanced dollar signs"])
+    assert w == sorted([records.WARNINGS["no_answer"], records.WARNINGS["blank"], f"stem_latex[1] {records.WARNINGS['dollar']}"])
     assert records.field_set("question_surface") == ["stem_latex", "options_latex"] and records.field_set("a, b") == ["a", "b"]
 
 
@@ -356,14 +358,54 @@ def test_model_calls(spark, tmp_path):
         def complete(self, messages):
             if messages == "bad":
                 return "no json"
-            raise models.Retryable("later")
+            raise models.RateLimited("later") if messages == "busy" else models.Transient("later")
 
+    paused: list[float] = []
+    assert models.call(Flaky(), "busy", pause=paused.append)[::3] == ("error", 61) and paused == [60.0] * 60
+    assert models.failure_class(429) is models.failure_class(400, "Rate limit") is models.RateLimited
+    assert models.failure_class(503) is models.Transient and models.failure_class(404) is None
     work = spark.createDataFrame([(1, "bad"), (2, "x")], "k int, messages string")
-    got = {r.k: (r.status, r.attempts) for r in models.call_model(work, Flaky(), "k").collect()}
-    assert got == {1: ("error", 1), 2: ("error", 3)}
+    got = {r.k: (r.status, r.attempts) for r in models.call_model(work, Flaky(), "k", pause=lambda _: None).collect()}
+    assert got == {1: ("error", 1), 2: ("error", 9)}
     client = models.FixtureClient(default="{}")
     first = models.call_pending(work, client, "k", f"{tmp_path}/results")
     assert {r.k: r.response for r in first.collect()} == {1: "{}", 2: "{}"}
     more = models.call_pending(spark.createDataFrame([(2, "x"), (3, "y")], "k int, messages string"), client, "k", f"{tmp_path}/results")
     assert sorted(r.k for r in more.collect()) == [2, 3] and spark.read.parquet(f"{tmp_path}/results").count() == 3
     assert json.loads(spark.range(1).select(models.messages("s", F.lit("u")).alias("m")).first().m) == [{"role": "system", "content": "s"}, {"role": "user", "content": "u"}]
+
+
+def test_errors_that_rows_raise(spark):
+    labels = spark.createDataFrame([("r", 1, "A"), ("r", 1, "B")], "run_id string, question_no int, label string")
+    blocks = spark.createDataFrame([("r", "A", "q", 1, "p.png", [0.0, 0.0, 9.0, 9.0])], "run_id string, label string, stream string, page int, image string, bbox array<double>")
+    with pytest.raises(Exception, match="no block for B"):
+        layout.required_crops(labels, blocks).collect()
+    assert layout.required_crops(labels.where("label = 'A'"), blocks).count() == 1
+    rows = spark.createDataFrame([(1, ["x"]), (2, [])], "k int, labels array<string>")
+    with pytest.raises(Exception, match="no labels for 2"):
+        align.require(rows, "labels", ["k"], "labels").collect()
+    pages = spark.createDataFrame([("a", 1), ("a", 2), ("b", 1)], "run_id string, page int")
+    with pytest.raises(Exception, match="page out of range"):
+        readers.split_pages(pages, F.array(F.lit(2)), ("run_id",)).collect()
+    assert readers.split_pages(pages, F.array(F.lit(1)), ("run_id",)).count() == 2
+    leaf = {"type": "text", "lines": [{"spans": [{"type": "text", "content": "deep"}]}]}
+    for _ in range(3):
+        leaf = {"type": "list", "blocks": [leaf]}
+    tree = spark.createDataFrame([(1, json.dumps([{"preproc_blocks": [leaf]}]))], "k int, tree string")
+    assert [r.text for r in layout.flatten_tree(tree, ["k"], depth=4).collect()] == ["deep"]
+    with pytest.raises(Exception, match="below level 3"):
+        layout.flatten_tree(tree, ["k"], depth=3).collect()
+
+
+def test_best_role(spark):
+    rows = spark.createDataFrame([("the long stem of a question", "the long stem of a question", "another analysis text"), ("nothing alike here", "xxxxxxxxxxxx", "yyyyyyyyyyyy"), ("short", "short", "short")], "t string, stem string, analysis string")
+    got = M.best_role(rows, "t", {"stem": "stem", "analysis": "analysis"}).collect()
+    assert [(r.best_role, r.best_ratio) for r in got] == [("stem", 1.0), (None, None), (None, None)]
+
+
+def test_charged_calls(spark):
+    work = spark.createDataFrame([(i, "a" if i % 2 else "b", '{"n": 1}', i * 1_000_000) for i in range(6)], "k long, model string, messages string, at long").withColumn("at", F.timestamp_micros("at"))
+    limits = F.create_map(F.lit("a"), F.lit(50), F.lit("b"), F.lit(50))
+    got = {r.k: r for r in models.charged_calls(work, models.EchoClient(), "k", limits, 50, F.lit(18), "at").collect()}
+    assert {r.status for r in got.values()} == {"ok"} and {r.bucket for r in got.values()} == {"a", "b"}
+    assert {r.tokens for r in got.values()} == {20} and got[0].waited == got[2].waited == 0 and got[4].waited > 50
