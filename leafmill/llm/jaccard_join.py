@@ -20,9 +20,9 @@ reaches `percent`. Texts with one set are one class; classes are compared.
    link. Sets that are already linked are not compared again.
 5. Groups of several blocks: the group's hub (its smallest class) visits every
    block, so a group of near copies falls into one component in one pass. What
-   is not in the group's largest component is then searched against all of the
-   group, block by block; pairs inside that component need no comparison. Work
-   is the group's size times what lies outside its largest component.
+   is not in the group's largest component is then searched against the group,
+   in pairs of blocks; pairs inside that component need no comparison. Work is
+   the group's size times what lies outside its largest component.
 6. Links form components (graph.components).
 
 Nothing lists all pairs of a group; only links that join two parts leave a task.
@@ -53,8 +53,8 @@ K, PERCENT = 4, 85
 PRINT_BITS = 48
 #: Entries of the list of frequent shingles, and what makes one: texts of a slice that have it.
 HOT_MAX, HOT_TEXTS = 50_000, 3
-#: Shingles of a group (or of a block of a large group).
-GROUP_SHINGLES = 1 << 15
+#: Shingles of a group (or of a block of a large group); blocks of the second pass hold twice as many.
+GROUP_SHINGLES = 1 << 16
 #: Bytes of a class's name that name lists; groups that share them are one group.
 LABEL_BYTES = 5
 #: Bytes of sets in one batch that leaves a task.
@@ -371,11 +371,12 @@ def _search(percent: int):
     def search(keys, table):
         names = table.column("cls").to_pylist()
         sets = [np.frombuffer(x, np.uint64) for x in table.column("shingles").to_pylist()]
-        across = keys[2].as_py() >= 0
+        block, probe = keys[1].as_py(), keys[2].as_py()
+        across = probe >= 0
         links = []
         if len(sets) > 1:
             side, part = table.column("side").to_numpy(), np.array(table.column("part").to_pylist(), object)
-            links = divide_skip(sets, side, percent, part=part) if across else divide_skip(sets, None, percent)
+            links = divide_skip(sets, None if block == -1 - probe else side, percent, part=part) if across else divide_skip(sets, None, percent)
         return pa.table({"a": pa.array([names[i] for i, _ in links], pa.binary()), "b": pa.array([names[j] for _, j in links], pa.binary())})
 
     return search
@@ -389,15 +390,18 @@ _SHIPPED = [("pivot", pa.int64()), ("block", pa.int32()), ("probe", pa.int32()),
 def _targets(g: dict):
     """(block, probe, side) of the tasks that a member's set goes to.
 
-    First pass (no probes): its own block; the hub goes to all. Second pass: its
-    own block for each block of probes and, as a probe, every block.
+    First pass (no probes): its own block, with probe -1; the hub goes to all.
+    Second pass: blocks of the largest component meet blocks of the rest
+    (probes); blocks of the rest meet each other as (-1 - lower, higher).
     """
     if g["probes"] == 0:
         yield from ((b, -1, 0) for b in (range(g["blocks"]) if g["hub"] else (g["block"],)))
-        return
-    yield from ((g["block"], p, 0) for p in range(g["probes"]))
-    if g["probe"] >= 0:
-        yield from ((b, g["probe"], 1) for b in range(g["blocks"]))
+    elif g["probe"] < 0:
+        yield from ((g["block"], p, 0) for p in range(g["probes"]))
+    else:
+        mine = g["probe"]
+        yield from ((b, mine, 1) for b in range(g["blocks"]))
+        yield from ((-1 - min(mine, p), max(mine, p), int(mine > p)) for p in range(g["probes"]))
 
 
 def _ship(k: int):
@@ -472,11 +476,13 @@ def jaccard_classes(docs: DataFrame, id_col="doc_id", text_col="text", k: int =
     large = member.where("g.blocks > 1").join(roots.withColumnRenamed("node", "cls"), "cls", "left").withColumn("root", F.coalesce("root", "cls"))
     large = kit.save(large, "jaccard-large")
     top = large.groupBy("pivot", "root").agg(F.sum("n").alias("t")).groupBy("pivot").agg(F.max(F.struct("t", "root")).alias("top"), F.sum("t").alias("all"))
-    open_ = top.select("pivot", F.col("top.root").alias("top"), F.ceil((F.col("all") - F.col("top.t")) / group_shingles).cast("int").alias("probes")).where("probes > 0")
+    many = lambda c: F.ceil(c / (2 * group_shingles)).cast("int")
+    open_ = top.select("pivot", F.col("top.root").alias("top"), many(F.col("top.t")).alias("blocks"), many(F.col("all") - F.col("top.t")).alias("probes")).where("probes > 0")
+    rest = F.col("root") != F.col("top")
     again = large.join(open_, "pivot").select(
         "cls",
-        F.struct("pivot", F.col("g.block").alias("block"), F.col("g.blocks").alias("blocks"), F.lit(False).alias("hub"),
-                 F.when(F.col("root") != F.col("top"), within("probes")).otherwise(none).alias("probe"), "probes", F.col("root").alias("part")).alias("g"),
+        F.struct("pivot", F.when(~rest, within("blocks")).otherwise(none).alias("block"), "blocks", F.lit(False).alias("hub"),
+                 F.when(rest, within("probes")).otherwise(none).alias("probe"), "probes", F.col("root").alias("part")).alias("g"),
     )
     if open_.take(1):
         more = _links(slim, sets, again, k, percent)

@@ -20,6 +20,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: Bytes of text that one vectorised pass holds.
 SLICE_BYTES = 1 << 19
@@ -82,17 +83,23 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def _width(kind: T.DataType) -> int:
+    """Bytes of a value, about; of an array, of one item."""
+    if isinstance(kind, T.StructType):
+        return 8 + sum(_width(f.dataType) for f in kind)
+    return _width(kind.elementType) if isinstance(kind, T.ArrayType) else 24 if isinstance(kind, T.StringType | T.BinaryType) else 8
+
+
 def small(df: DataFrame) -> DataFrame:
     """A saved side, marked for broadcast where its summed bytes are at most BROADCAST_BYTES; else it is shuffled."""
     width = F.lit(16)
     for f in df.schema:
-        kind = f.dataType.typeName()
-        if kind in ("string", "binary"):
+        if isinstance(f.dataType, T.StringType | T.BinaryType):
             width += F.coalesce(F.octet_length(f.name), F.lit(0)) + 16
-        elif kind in ("array", "map", "struct"):
-            width += F.coalesce(F.octet_length(F.to_json(F.struct(f.name))), F.lit(0)) + 32
+        elif isinstance(f.dataType, T.ArrayType):
+            width += F.greatest(F.size(f.name), F.lit(0)) * _width(f.dataType) + 24
         else:
-            width += 8
+            width += _width(f.dataType)
     size = df.agg(F.sum(width.cast("long"))).first()[0] or 0
     return F.broadcast(df) if size <= BROADCAST_BYTES else df
 
