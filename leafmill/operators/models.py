@@ -140,4 +140,5 @@ def charged_calls(work: DataFrame, client: ModelClient, key: str, limits: Column
 
     asked = work.withColumns({"bucket": budget.bucket_of(F.col(model), limits), "tokens": budget.text_tokens(F.col(messages)) + reserved})
     gate = budget.admit(asked, "bucket", arrived, "tokens", key, limit).select(F.col("ident").alias(key), "bucket", "admitted", "waited")
-    return gate.join(asked.select(key, "tokens"), key).join(call_model(work, client, key, messages, **options), key)
+    told = call_model(work, client, key, messages, **options).join(asked.select(F.col(key).alias("_key"), "tokens"), F.col(key) == F.col("_key")).drop("_key")
+    return gate.join(told, key)
