@@ -25,7 +25,7 @@ from pyspark.sql import types as T
 #: Bytes of text that one vectorised pass holds.
 SLICE_BYTES = 1 << 19
 #: A side is broadcast while its measured bytes are at most this many.
-BROADCAST_BYTES = 32 << 20
+BROADCAST_BYTES = 48 << 20
 #: The largest id; it stands for a null id in orderings, so null ids come last.
 NO_ID = np.iinfo(np.int64).max
 
@@ -379,8 +379,10 @@ def exchange(messages: DataFrame, owners: int, answer: Callable[[list[bytes]], l
     return save(replies.groupBy("chunk").agg(F.sort_array(F.collect_list(F.struct("owner", "reply"))).alias("replies")), name)
 
 
-def join_replies(states: DataFrame, replies: DataFrame) -> DataFrame:
-    """Bring each chunk its replies; broadcast where their summed size is small."""
+def join_replies(states: DataFrame, replies: DataFrame, states_are_small: bool = False) -> DataFrame:
+    """Bring each chunk its replies; broadcast where their summed size is small, unless the states are as small themselves."""
+    if states_are_small:
+        return states.hint("shuffle_hash").join(replies.hint("shuffle_hash"), "chunk")
     total = replies.select(F.aggregate("replies", F.lit(0), lambda a, r: a + F.length(r["reply"]) + 24).alias("n")).agg(F.sum("n")).first()[0]
     return states.join(F.broadcast(replies) if (total or 0) <= BROADCAST_BYTES else replies, "chunk")
 
