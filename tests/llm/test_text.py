@@ -540,3 +540,25 @@ def test_pipeline(spark, tmp_path):
     assert ids[4] <= ids[3] and docs.agg(F.sum("taken")).first()[0] > 0
     ran = corpus_pipeline.run(spark, str(tmp_path))
     assert {r.doc_id for r in ran.collect()} == ids[4]
+
+
+def test_pipeline_takes_odd_rows(spark, tmp_path):
+    """Null ids and texts, repeated rows, columns with clashing names, and no documents at all."""
+    import corpus_pipeline
+
+    rows, labels = quality_rows(30)
+    rng = random.Random(3)
+    text = "\n".join(" ".join(words(rng, 30, 4000)).capitalize() + "." for _ in range(3))
+    rows += [(300, text, "en", "t"), (300, text, "en", "t"), (None, text, None, None), (None, " ".join(words(rng, 40, 4000)).capitalize() + ".", None, "t"), (301, None, "en", "t"), (None, None, None, None)]
+    docs = frame(spark, rows)
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    spark.createDataFrame([(0, " ".join(words(rng, 20, 4000)))], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    mixed = corpus_pipeline.run(spark, str(tmp_path)).collect()
+    assert [r.text for r in mixed if r.text == text] in ([text], [text, text]) and {r.doc_id for r in mixed if r.text == text} == {300}
+    assert sum(r.doc_id is None for r in mixed) <= 1 and all(0 < r.taken <= 2 * r.size for r in mixed)
+    none = docs.limit(0)
+    for _, stage in corpus_pipeline.STAGES:
+        none = stage(spark, none, str(tmp_path))
+        assert none.count() == 0
+        none = spark.createDataFrame([], none.schema)
