@@ -4,6 +4,13 @@ Each stage takes (spark, docs, sf_dir) and returns a DataFrame that is written
 as Parquet and read again as the next one's docs. All but the last return the
 columns of documents. Near-duplicate joining takes shingles of five words and
 a similarity of 0.8.
+
+Defined results: a null text counts as empty; rows with a null id are kept or
+dropped by their texts like others and come after all ids where one of a group
+stays; equal rows (id and text) are kept or dropped together; a very long text
+is one document throughout; an empty table gives an empty mix; columns besides
+id, text, source and label are carried through up to the last stage, whatever
+their names.
 """
 
 from __future__ import annotations
