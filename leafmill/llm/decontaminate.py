@@ -243,7 +243,7 @@ def _leaks(docs: DataFrame, benchmark: DataFrame, id_col: str, text_col: str, it
     out = None
     for block in range(blocks):
         rows = items.where(F.pmod(F.xxhash64("text"), F.lit(blocks)) == block).orderBy("item_id", "text").collect()
-        part = slim.mapInArrow(_scan(Items([(r.item_id, r.text) for r in rows], similarity)), "doc_id long, thash long, item_id long, item_words long, distance long, position long")
+        part = slim.mapInArrow(kit.lean(_scan(Items([(r.item_id, r.text) for r in rows], similarity))), "doc_id long, thash long, item_id long, item_words long, distance long, position long")
         out = part if out is None else out.unionByName(part)
     return out
 

@@ -113,9 +113,9 @@ def _groups(docs: DataFrame, id_col: str, text_col: str, owners: int | None = No
     spark = docs.sparkSession
     owners = owners or kit.parts(spark)
     slim = kit.keyed(docs, id_col, text_col)
-    chunks = kit.save(slim.mapInArrow(_pack(chunk_rows), "chunk long, ids binary, hashes binary, shas binary"), "digests")
-    replies = kit.exchange(chunks.select("chunk", "shas").mapInArrow(_send(owners), kit.MESSAGE), owners, kit.repeated_marks, "marks")
-    flagged = chunks.join(replies, "chunk").mapInArrow(_receive(owners), "doc_id long, thash long, text_sha256 string, suspect boolean")
+    chunks = kit.save(slim.mapInArrow(kit.lean(_pack(chunk_rows)), "chunk long, ids binary, hashes binary, shas binary"), "digests")
+    replies = kit.exchange(chunks.select("chunk", "shas").mapInArrow(kit.lean(_send(owners)), kit.MESSAGE), owners, kit.repeated_marks, "marks")
+    flagged = chunks.join(replies, "chunk").mapInArrow(kit.lean(_receive(owners)), "doc_id long, thash long, text_sha256 string, suspect boolean")
     flagged = kit.save(flagged, "flagged")
     suspects = flagged.where("suspect").select(F.col("doc_id").alias("suspect_id")).distinct()
     suspects = kit.save(suspects, "suspects")

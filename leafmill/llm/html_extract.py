@@ -247,4 +247,4 @@ def extract_pages(pages: DataFrame, id_col="page_id", url_col="url", html_col="h
                 )
 
     slim = pages.select(F.col(id_col).cast("long").alias("page_id"), F.col(url_col).cast("string").alias("url"), F.col(html_col).cast("string").alias("html"))
-    return slim.mapInArrow(run, "page_id long, url string, text string, n_chars long")
+    return slim.mapInArrow(kit.lean(run), "page_id long, url string, text string, n_chars long")

@@ -442,7 +442,7 @@ def _links(slim: DataFrame, sets: DataFrame, member: DataFrame, k: int, percent:
     wanted = kit.save(listed.join(one, "cls").select(F.col("doc_id").alias("m_id"), F.col("thash").alias("m_hash"), F.col("groups").cast(GROUPS)), "jaccard-wanted")
     on = F.col("doc_id").eqNullSafe(F.col("m_id")) & (F.col("thash") == F.col("m_hash"))
     held = kit.join_small(slim, wanted, on, "inner").select("text", "groups")
-    found = held.mapInArrow(_ship(k), SHIPPED).groupBy("pivot", "block", "probe").applyInArrow(_search(percent), "a binary, b binary")
+    found = held.mapInArrow(kit.lean(_ship(k)), SHIPPED).groupBy("pivot", "block", "probe").applyInArrow(_search(percent), "a binary, b binary")
     out = kit.save(found.where("a <> b").distinct(), "jaccard-links")
     kit.drop_saved(wanted)
     return out
@@ -453,14 +453,14 @@ def jaccard_classes(docs: DataFrame, id_col="doc_id", text_col="text", k: int =
     spark = docs.sparkSession
     owners = owners or kit.parts(spark)
     slim = kit.keyed(docs, id_col, text_col)
-    rows = kit.save(slim.mapInArrow(_survey(k), "kind string, doc_id long, thash long, n long, cls binary"), "jaccard-sets", by="kind")
+    rows = kit.save(slim.mapInArrow(kit.lean(_survey(k)), "kind string, doc_id long, thash long, n long, cls binary"), "jaccard-sets", by="kind")
     sets = rows.where("kind = 'set'").select("doc_id", "thash", "n", "cls")
     frequent = rows.where("kind = 'hot'").groupBy("thash").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "thash").limit(HOT_MAX)
     hot = np.sort(np.array([r.thash for r in frequent.collect()], np.int64).view(np.uint64))
-    chunks = kit.save(slim.select("text").mapInArrow(_prefixes(k, percent, hot, owners), kit.ROUTED), "jaccard-prefixes", by="kind")
+    chunks = kit.save(slim.select("text").mapInArrow(kit.lean(_prefixes(k, percent, hot, owners)), kit.ROUTED), "jaccard-prefixes", by="kind")
     replies = kit.exchange(chunks.where("kind = 'message'").select("owner", "chunk", "payload"), owners, _pivots, "jaccard-pivots")
     states = chunks.where("kind = 'state'").select("chunk", "payload")
-    members = kit.save(kit.join_replies(states, replies, states_are_small=True).mapInArrow(_members(percent), "pivot long, cls binary, n long").distinct(), "jaccard-members")
+    members = kit.save(kit.join_replies(states, replies, states_are_small=True).mapInArrow(kit.lean(_members(percent)), "pivot long, cls binary, n long").distinct(), "jaccard-members")
     kit.drop_saved(chunks)
     kit.drop_saved(replies)
     groups = members.groupBy("pivot").agg(F.count("*").alias("m"), F.sum("n").alias("total"), F.min("cls").alias("hub")).where("m > 1")

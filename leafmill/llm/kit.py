@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import atexit
 import contextlib
+import ctypes
 import hashlib
 import shutil
 import tempfile
@@ -109,6 +110,28 @@ def join_small(left: DataFrame, right: DataFrame, on, how: str) -> DataFrame:
     return left.join(small(right), on, how)
 
 
+# ---------------------------------------------------------------- workers
+
+
+def release() -> None:
+    """Hand memory that Arrow and the C library hold in reserve back to the system."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+
+
+def lean(run: Callable[[Iterable[pa.RecordBatch]], Iterator[pa.RecordBatch]]):
+    """`run` for mapInArrow, which releases its reserve as a task ends: workers outlive tasks, and idle ones count as memory."""
+
+    def trimmed(batches):
+        try:
+            yield from run(batches)
+        finally:
+            release()
+
+    return trimmed
+
+
 # ---------------------------------------------------------------- text access
 
 
@@ -375,7 +398,7 @@ def exchange(messages: DataFrame, owners: int, answer: Callable[[list[bytes]], l
             yield reply()
 
     # Sorted, so a task holds the payloads of one owner at a time.
-    replies = messages.repartition(owners, "owner").sortWithinPartitions("owner").mapInArrow(own, REPLY)
+    replies = messages.repartition(owners, "owner").sortWithinPartitions("owner").mapInArrow(lean(own), REPLY)
     return save(replies.groupBy("chunk").agg(F.sort_array(F.collect_list(F.struct("owner", "reply"))).alias("replies")), name)
 
 
@@ -504,10 +527,10 @@ def repeated_anchors(docs: DataFrame, anchors, bits: int, name: str, owners: int
                     ["doc_id", "thash", "marks"],
                 )
 
-    rows = save(docs.mapInArrow(scan, ROUTED), f"{name}-anchors", by="kind")
+    rows = save(docs.mapInArrow(lean(scan), ROUTED), f"{name}-anchors", by="kind")
     replies = exchange(rows.where("kind = 'message'").select("owner", "chunk", "payload"), owners, repeated_marks, f"{name}-replies")
     states = rows.where("kind = 'state'").select("chunk", "payload")
-    marks = join_replies(states, replies).mapInArrow(receive, "doc_id long, thash long, marks binary")
+    marks = join_replies(states, replies).mapInArrow(lean(receive), "doc_id long, thash long, marks binary")
     out = save(marks.dropDuplicates(["doc_id", "thash"]), f"{name}-marks")
     drop_saved(rows)
     drop_saved(replies)

@@ -261,7 +261,7 @@ def train(docs: DataFrame, pieces: list[str], id_col="doc_id", text_col="text",
                     found = [points[x:y].astype(np.uint32).tobytes().decode("utf-32-le") for x, y in zip(s[at], e[at], strict=True)]
                     yield pa.RecordBatch.from_arrays([pa.array([lang[a + i]] * len(found), pa.string()), pa.array(found, pa.string()), pa.array(times, pa.int64())], ["lang", "word", "n"])
 
-    got = pick.select("lang", "text").mapInArrow(words, "lang string, word string, n long").groupBy("lang", "word").agg(F.sum("n").alias("n")).collect()
+    got = pick.select("lang", "text").mapInArrow(kit.lean(words), "lang string, word string, n long").groupBy("lang", "word").agg(F.sum("n").alias("n")).collect()
     if not got:
         return [], None
     langs = sorted({r.lang for r in got})
@@ -311,5 +311,5 @@ def identify_language(docs: DataFrame, vocabulary: str = VOCABULARY, id_col="doc
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(names, pa.string()), pa.array(scores, pa.float64())], ["doc_id", "lang_pred", "score"])
 
     slim = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    out = slim.mapInArrow(run, "doc_id long, lang_pred string, score double")
+    out = slim.mapInArrow(kit.lean(run), "doc_id long, lang_pred string, score double")
     return out.select("doc_id", F.coalesce(fold("doc_id", folds) == test_fold, F.lit(False)).alias("held_out"), "lang_pred", "score")

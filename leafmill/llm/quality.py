@@ -190,7 +190,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col="doc_id", text_col="text",
     rows = rows.join(F.broadcast(pick), F.col("doc_id") == F.col("l_id"))
     rows = rows.select(F.concat_ws(".", F.md5(F.col("doc_id").cast("string").cast("binary")), F.hex(F.xxhash64("text"))).alias("key"), "label", "text")
     # Rows of a repeated id count each: cut again, then by lines.
-    rows = kit.save(rows.mapInArrow(features, "key string, label int, lines long, x binary").where(F.col("lines") <= max_lines // 10).orderBy("key", "label").limit(max_train), "quality-sample")
+    rows = kit.save(rows.mapInArrow(kit.lean(features), "key string, label int, lines long, x binary").where(F.col("lines") <= max_lines // 10).orderBy("key", "label").limit(max_train), "quality-sample")
     upto = rows.select("key", "lines").withColumn("total", F.sum("lines").over(Window.orderBy("key").rowsBetween(Window.unboundedPreceding, 0)))
     keys = upto.where(F.col("total") <= max_lines).select("key").distinct()
     fits = rows.join(F.broadcast(keys), "key", "left_semi")
@@ -219,7 +219,7 @@ def score_quality(docs: DataFrame, model, id_col="doc_id", text_col="text", colu
             yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in keep), pa.array(np.concatenate(s or [np.zeros(0)]), pa.float64())], [*keep, "quality_score"])
 
     slim = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"), *columns)
-    return slim.mapInArrow(run, slim.drop("text").schema.add("quality_score", "double"))
+    return slim.mapInArrow(kit.lean(run), slim.drop("text").schema.add("quality_score", "double"))
 
 
 def quality_filter(docs: DataFrame, labels: DataFrame, id_col="doc_id", text_col="text", label_col="quality", threshold: float = 0.5, **options) -> DataFrame:
@@ -233,7 +233,7 @@ def quality_filter(docs: DataFrame, labels: DataFrame, id_col="doc_id", text_col
             s = [score_texts(buf, starts, weights, link, prior) for _, _, buf, starts in kit.texts_of(text)]
             yield batch.filter(pa.array(np.concatenate(s or [np.zeros(0)]) >= threshold))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(kit.lean(run), docs.schema)
 
 
 def classify_quality(docs: DataFrame, labels: DataFrame, id_col="doc_id", text_col="text", label_col="quality", folds=FOLDS, test_fold=TEST_FOLD, max_train=MAX_TRAIN) -> DataFrame:

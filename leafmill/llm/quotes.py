@@ -238,7 +238,7 @@ def format_chats(conversations: DataFrame, conv_col="conv_id", turn_col="turn",
     slim = conversations.select(
         number(conv_col).alias("conv_id"), number(turn_col).alias("turn"), F.coalesce(F.col(role_col).cast("string"), F.lit("unknown")).alias("role"), F.col(text_col).cast("string").alias("text")
     )
-    parsed = kit.save(slim.mapInArrow(_parse_rows, "conv_id long, turn long, role string, body string, n_quotes long, told array<struct<depth:int,passage:string,whole:boolean>>"), "quote-messages")
+    parsed = kit.save(slim.mapInArrow(kit.lean(_parse_rows), "conv_id long, turn long, role string, body string, n_quotes long, told array<struct<depth:int,passage:string,whole:boolean>>"), "quote-messages")
     links = link_quotes(parsed)
     placed = kit.save(number_replies(links), "quote-places")
     told = kit.save(links.select("conv_id", "turn", F.col("parent.conv_id").alias("parent_conv"), F.col("parent.turn").alias("parent_turn"), "n_linked"), "quote-told")

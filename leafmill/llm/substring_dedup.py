@@ -249,14 +249,14 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     owners = owners or kit.parts(spark)
     slim = kit.keyed(docs, id_col, text_col)
     marks = kit.repeated_anchors(slim, anchors(window), PRINT_BITS, "substring", owners)
-    rows = kit.with_marks(slim, marks).mapInArrow(_split(window), "kind string, doc_id long, n_words long, kept_sha256 string, thash long, text string, marks binary")
+    rows = kit.with_marks(slim, marks).mapInArrow(kit.lean(_split(window)), "kind string, doc_id long, n_words long, kept_sha256 string, thash long, text string, marks binary")
     rows = kit.save(rows, "substring-split", by="kind")
     done = rows.where("kind = 'done'").select("doc_id", "n_words", F.lit(0).cast("long").alias("n_removed"), "kept_sha256")
     waiting = rows.where("kind = 'wait'").select("doc_id", "thash", "text", "marks")
     order = (F.col("doc_id").asc_nulls_last(), F.col("thash"))
     ranged = waiting.repartitionByRange(owners, *order).sortWithinPartitions(*order)
-    chunks = kit.save(ranged.mapInArrow(_windows(window, owners), kit.ROUTED), "substring-windows", by="kind")
+    chunks = kit.save(ranged.mapInArrow(kit.lean(_windows(window, owners)), kit.ROUTED), "substring-windows", by="kind")
     replies = kit.exchange(chunks.where("kind = 'message'").select("owner", "chunk", "payload"), owners, _after_first, "substring-first")
     states = chunks.where("kind = 'state'").select("chunk", "payload")
-    cut = kit.join_replies(states, replies).mapInArrow(_apply(window), "doc_id long, n_words long, n_removed long, kept_sha256 string")
+    cut = kit.join_replies(states, replies).mapInArrow(kit.lean(_apply(window)), "doc_id long, n_words long, n_removed long, kept_sha256 string")
     return done.unionByName(cut)

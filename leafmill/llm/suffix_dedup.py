@@ -393,11 +393,11 @@ def suffix_dedup(docs: DataFrame, id_col="doc_id", text_col="text", length: int
     slim = kit.keyed(docs, id_col, text_col)
     marks = kit.repeated_anchors(slim, anchors(length), PRINT_BITS, "suffix", owners)
     owners *= OWNERS
-    rows = kit.with_marks(slim, marks).mapInArrow(_chunks(length, owners), kit.ROUTED + ", doc_id long, n_bytes long, kept_sha256 string")
+    rows = kit.with_marks(slim, marks).mapInArrow(kit.lean(_chunks(length, owners)), kit.ROUTED + ", doc_id long, n_bytes long, kept_sha256 string")
     rows = kit.save(rows, "suffix-segments", by="kind")
     zero = F.lit(0).cast("long")
     done = rows.where("kind = 'done'").select("doc_id", "n_bytes", zero.alias("n_removed"), zero.alias("n_spans"), "kept_sha256")
     replies = kit.exchange(rows.where("kind = 'message'").select("owner", "chunk", "payload"), owners, _answer(length), "suffix-repeats")
     states = rows.where("kind = 'state'").select("chunk", "payload")
-    cut = kit.join_replies(states, replies).mapInArrow(_apply(length), "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
+    cut = kit.join_replies(states, replies).mapInArrow(kit.lean(_apply(length)), "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
     return done.unionByName(cut)
