@@ -83,11 +83,14 @@ def _mix(docs, id_col, text_col, source_col, weights, share, max_epochs, block_r
     starts = totals.withColumn("inner", before("block_size", ["source", "run"], "block"))
     starts = starts.join(runs, F.col("source").eqNullSafe(F.col("r_source")) & (F.col("run") == F.col("r_run")))
     starts = starts.select(F.col("source").alias("b_source"), F.col("block").alias("b_block"), (F.col("inner") + F.col("run_start")).alias("start"))
-    plan = starts.join(aim, F.col("b_source").eqNullSafe(F.col("a_source"))).drop("a_source")
-    rows = place(sized(docs, id_col, text_col, source_col, True) if with_text else sizes)
-    inside = Window.partitionBy("source", "block").orderBy("key", "doc_id", "size", "tie").rowsBetween(Window.unboundedPreceding, -1)
+    plan = starts.join(aim, F.col("b_source").eqNullSafe(F.col("a_source")))
+    # One name for source and block, null source too: window and join deal rows alike, so texts are shuffled once.
+    named = lambda block, source: F.concat(F.col(block).cast("string"), F.lit("/"), F.coalesce(F.concat(F.lit("="), F.col(source)), F.lit("")))
+    plan = plan.select(named("b_block", "b_source").alias("at"), "start", "source_size", "target")
+    rows = place(sized(docs, id_col, text_col, source_col, True) if with_text else sizes).withColumn("at", named("block", "source"))
+    inside = Window.partitionBy("at").orderBy("key", "doc_id", "size", "tie").rowsBetween(Window.unboundedPreceding, -1)
     local = rows.withColumn("local", F.coalesce(F.sum("size").over(inside), F.lit(0)))
-    out = local.join(plan, F.col("source").eqNullSafe(F.col("b_source")) & (F.col("block") == F.col("b_block")))
+    out = local.join(plan, "at")
     left = F.floor("target").cast("long") - F.col("start") - F.col("local")
     taken = sum((F.greatest(F.lit(0), F.least(F.col("size"), left - F.col("source_size") * e)) for e in range(max_epochs)), F.lit(0))
     return out.select("doc_id", "source", *(("text",) if with_text else ()), "size", "source_size", "target", taken.cast("long").alias("taken"))
