@@ -39,6 +39,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from . import kit
+
 PIECE = 1 << 16
 #: Width of the smoothing in lines, weight of hinted lines, and what share of the prose a region holds.
 SIGMA, HINT, MASS = 1.5, 0.1, 0.7
