@@ -7,8 +7,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from . import kit
+from .collocations import ORACLE as COLLOCATION_SQL
+from .collocations import collocations
 from .decontaminate import find_leaks
 from .exact_dedup import exact_groups
+from .filter_audit import ORACLE as AUDIT_SQL
+from .filter_audit import audit_filters
 from .html_extract import extract_pages
 from .jaccard_join import jaccard_components
 from .language_id import identify_language
@@ -18,6 +22,7 @@ from .quality import classify_quality
 from .quotes import build_chats
 from .substring_dedup import substring_dedup
 from .suffix_dedup import suffix_dedup
+from .toxicity import classify_toxicity
 
 
 def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -60,6 +65,18 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify_language(kit.read(spark, sf_dir, "documents"))
 
 
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit_filters(kit.read(spark, sf_dir, "documents"), kit.read(spark, sf_dir, "labels"))
+
+
+def op12_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return classify_toxicity(kit.read(spark, sf_dir, "documents"), kit.read(spark, sf_dir, "labels"))
+
+
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations(kit.read(spark, sf_dir, "documents"))
+
+
 EXACT_SQL = r"""
 WITH n AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS t FROM documents),
 g AS (SELECT t, min(doc_id) AS keep_id, count(*) AS group_size FROM n GROUP BY t)
@@ -115,4 +132,5 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 def oracle_sql() -> dict[str, str]:
     return {
         "op1_exact_dedup": EXACT_SQL, "op3_mix_sources": MIX_SQL, "op5_substring_dedup": SUBSTRING_SQL, "op6_suffix_dedup": SUFFIX_SQL, "op7_jaccard_join": JACCARD_SQL,
+        "op11_filter_audit": AUDIT_SQL, "op13_collocations": COLLOCATION_SQL,
     }
