@@ -7,7 +7,8 @@ PASSAGE words is the mean of its words' vectors, put through a linear softmax;
 a document is as toxic as its most toxic passage, since a few words in a
 long text would vanish in the mean of all. Vectors and softmax are trained
 together in numpy: each step takes the top passage of each document and
-carries the gradient back through it to the subwords (Adam).
+carries the gradient back through it to the subwords. Steps are as long as the
+gradient is along its direction, so what many documents share grows first.
 
 Training is on the driver, from at most `per_label` rows of each label, chosen
 by the hash of their ids, and as long as they have at most `max_chars`
@@ -17,8 +18,8 @@ are linear, a bucket's share of the logit is one number, so tasks get BUCKETS
 numbers and score distinct words once a slice.
 
 Features see text alone: never labels, language, source or id. Defined results:
-a null text or one without words scores as a passage without vectors; without
-training rows of both labels every score is 0; a null id is not held out and
+a null text or one without words scores as a passage without known subwords
+does (by PRIOR); without training rows of both labels every score is 0; a null id is not held out and
 never learned from; of repeated labels of one id the higher counts; repeated
 rows are scored each, alike; a score of just 0.5 is toxic; a very long text is
 scored whole; an empty table gives no rows; other columns may have any names.
@@ -38,7 +39,11 @@ FOLDS, TEST_FOLD, PER_LABEL, MAX_CHARS = 5, 0, 3000, 4_000_000
 BUCKETS = 1 << 18
 GRAMS = (3, 4, 5)
 DIMENSIONS, PASSAGE, STRIDE = 8, 8, 4
-STEPS, RATE, DECAY = 120, 0.05, 1e-5
+STEPS, DECAY = 200, 1e-3
+#: Length of a step in the vectors and in the softmax.
+RATES = (3.0, 0.05)
+#: Log-odds of a passage of which no subword is known: it is taken as clean.
+PRIOR = -2.0
 MARK = 0x5F  # stands for both ends of a word
 _LETTER = np.ones(0x80, bool)
 _LETTER[[c for c in range(0x80) if not chr(c).isalnum()]] = False
@@ -106,53 +111,59 @@ def passages(first: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 
 def means(values: np.ndarray, s: np.ndarray, e: np.ndarray) -> np.ndarray:
-    total = np.concatenate([np.zeros((1, *values.shape[1:])), np.cumsum(values, axis=0)])
-    size = (e - s).reshape(-1, *[1] * (values.ndim - 1))
-    return (total[e] - total[s]) / size
+    """Means over passages, summed word by word, so equal texts get equal means wherever they lie."""
+    total = np.zeros(len(s))
+    for k in range(PASSAGE):
+        inside = s + k < e
+        total[inside] += values[s[inside] + k]
+    return total / (e - s)
 
 
 def fit(points: np.ndarray, s: np.ndarray, e: np.ndarray, first: np.ndarray, label: np.ndarray, steps: int = STEPS, seed: int = 7) -> tuple[np.ndarray, float]:
-    """Each bucket's share of the logit of label 1, and the bias; every text has a word."""
+    """Each bucket's share of the log-odds of label 1, and the bias; every text has a word."""
     lead, word = distinct(points, s, e)
     buckets, of = subwords(points, s[lead], e[lead])
     used, sub = np.unique(buckets, return_inverse=True)
     size = np.diff(of)
     rng = np.random.default_rng(seed)
-    vectors = rng.normal(0, 0.1, (len(used), DIMENSIONS))
+    vectors = rng.normal(0, 0.01, (len(used), DIMENSIONS))
     softmax = rng.normal(0, 0.5, (DIMENSIONS, 2))
-    bias = np.zeros(2)
     ps, pe, begin = passages(first)
     weight = 0.5 / np.bincount(label, minlength=2)[label]
-    moments = [(np.zeros_like(x), np.zeros_like(x)) for x in (vectors, softmax, bias)]
+    speeds, scales = [np.zeros_like(x) for x in (vectors, softmax)], [0.0, 0.0]
     for step in range(1, steps + 1):
-        bags = np.add.reduceat(vectors[sub], of[:-1], axis=0) / size[:, None]
-        logits = means((bags @ softmax)[word], ps, pe) + bias
-        gap = logits[:, 1] - logits[:, 0]
+        # The softmax of means is the mean of softmax shares, so all words take one number a subword.
+        each = np.add.reduceat((vectors @ (softmax[:, 1] - softmax[:, 0]))[sub], of[:-1]) / size
+        gap = means(each[word], ps, pe) + PRIOR
         best = np.maximum.reduceat(gap, begin[:-1])
         hit = np.flatnonzero(gap == np.repeat(best, np.diff(begin)))
         top = hit[np.searchsorted(hit, begin[:-1])]
-        chance = 1 / (1 + np.exp(-best))
-        up = (chance - label) * weight
+        up = (1 / (1 + np.exp(-np.clip(best, -500, 500))) - label) * weight
         slope = np.stack([-up, up], axis=1)
         # Back to the words of the top passages, then to their subwords.
         long = pe[top] - ps[top]
-        at = np.repeat(ps[top] - (np.cumsum(long) - long), long) + np.arange(long.sum())
+        at = _runs(ps[top], long)
         share = np.repeat(slope / long[:, None], long, axis=0)
         touched, where = np.unique(word[at], return_inverse=True)
         d_word = np.stack([np.bincount(where, share[:, k], len(touched)) for k in (0, 1)], axis=1)
-        d_softmax = bags[touched].T @ d_word
-        d_bag = d_word @ softmax.T / size[touched][:, None]
         n = size[touched]
-        rows = np.repeat(of[touched] - (np.cumsum(n) - n), n) + np.arange(n.sum())
-        spread, to = np.repeat(d_bag, n, axis=0), sub[rows]
-        d_vectors = np.stack([np.bincount(to, spread[:, k], len(used)) for k in range(DIMENSIONS)], axis=1)
-        for x, grad, (m, v) in zip((vectors, softmax, bias), (d_vectors + DECAY * vectors, d_softmax + DECAY * softmax, slope.sum(0)), moments, strict=True):
-            m += 0.1 * (grad - m)
-            v += 0.01 * (grad * grad - v)
-            x -= RATE * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.99**step)) + 1e-7)
+        parts = sub[_runs(of[touched], n)]
+        bags = np.add.reduceat(vectors[parts], np.cumsum(n) - n, axis=0) / n[:, None]
+        spread = np.repeat(d_word @ softmax.T / n[:, None], n, axis=0)
+        d_vectors = np.stack([np.bincount(parts, spread[:, k], len(used)) for k in range(DIMENSIONS)], axis=1)
+        for i, (x, grad) in enumerate(((vectors, d_vectors), (softmax, bags.T @ d_word))):
+            speeds[i] += 0.1 * (grad - speeds[i])
+            scales[i] += 0.05 * (float((grad * grad).sum()) - scales[i])
+            x *= 1 - DECAY
+            x -= RATES[i] * (speeds[i] / (1 - 0.9**step)) / (np.sqrt(scales[i] / (1 - 0.95**step)) + 1e-12)
     out = np.zeros(BUCKETS, np.float32)
     out[used] = vectors @ (softmax[:, 1] - softmax[:, 0])
-    return out, float(bias[1] - bias[0])
+    return out, PRIOR
+
+
+def _runs(start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """Places start[i] .. start[i] + size[i] of all i, one after another."""
+    return np.repeat(start - (np.cumsum(size) - size), size) + np.arange(size.sum())
 
 
 def score_texts(buf: np.ndarray, starts: np.ndarray, shares: np.ndarray, bias: float) -> np.ndarray:
