@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import json
+from collections.abc import Iterator, Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types
 
 from ..functions import geometry as G
 from ..functions import text as T
@@ -22,33 +25,71 @@ def flatten_packets(packets: DataFrame, keys: Sequence[str] = ("run_id",)) -> Da
     return rows.select(*keys, "packet_page", "packet_order", "b.*").where(T.strip(F.coalesce("label", F.lit(""))) != "")
 
 
-def flatten_tree(docs: DataFrame, keys: Sequence[str], depth: int = 8, skip=("image_body", "chart_body")) -> DataFrame:
-    """Leaf lines of a layout tree held as JSON: (keys, page, path, type, text), by path in reading order.
-
-    `tree` is a JSON array of pages with preproc_blocks; a block has lines with
-    spans, or blocks of its own down to `depth` levels; deeper ones are an error.
+#: Lines that one Arrow batch of a walk holds.
+LEAVES_AT_ONCE = 10_000
+LEAF = "page int, path array<int>, type string, spans array<struct<type:string,content:string,html:string>>"
+
+
+def _leaves(tree: str | None, skip: frozenset[str]) -> Iterator[tuple[int, list[int], str | None, list[dict]]]:
+    """Page, path, block type and spans of each line, depth first; a tree that is no JSON array has none."""
+    try:
+        pages = json.loads(tree or "[]")
+    except ValueError:
+        return
+    listed = lambda x, key: x[key] if isinstance(x, dict) and isinstance(x.get(key), list) else []
+    as_text = lambda v: v if v is None or isinstance(v, str) else json.dumps(v, ensure_ascii=False)
+    for page, p in enumerate(pages if isinstance(pages, list) else []):
+        # A stack of its own, so the depth of a tree meets no limit of the language.
+        todo = [([i], b) for i, b in enumerate(listed(p, "preproc_blocks"))][::-1]
+        while todo:
+            path, block = todo.pop()
+            if not isinstance(block, dict) or block.get("type") in skip:
+                continue
+            for j, line in enumerate(listed(block, "lines")):
+                yield page, [*path, j], as_text(block.get("type")), [{k: as_text(x.get(k)) for k in ("type", "content", "html")} for x in listed(line, "spans") if isinstance(x, dict)]
+            todo += [([*path, k], c) for k, c in enumerate(listed(block, "blocks"))][::-1]
+
+
+def flatten_tree(docs: DataFrame, keys: Sequence[str], tree: str = "tree", skip=("image_body", "chart_body"), prefix: str = "") -> DataFrame:
+    """Leaf lines of a layout tree held as JSON: (keys, page, path, type, text), a row a line that has text.
+
+    The tree is a JSON array of pages with preproc_blocks; a block has lines with
+    spans, blocks of its own to any depth, or both. Paths in page order are the
+    reading order. Recursion of unknown depth is what built-in functions
+    cannot say, so one map pass walks each tree; memory is a tree's, and no row
+    is shuffled. `prefix` goes before the four names where keys have them.
     """
-    node = "array<string>"
-    level = docs.select(*keys, F.posexplode(F.from_json("tree", node)).alias("page", "p")).select(
-        *keys, "page", F.posexplode(F.from_json(F.get_json_object("p", "$.preproc_blocks"), node)).alias("i", "b")
-    ).withColumn("path", F.array("i")).drop("i")
-    leaves = None
-    for _ in range(depth):
-        kind = F.get_json_object("b", "$.type")
-        level = level.where(~F.coalesce(kind.isin(*skip), F.lit(False)))
-        here = level.select(*keys, "page", "path", kind.alias("type"), F.posexplode(F.from_json(F.get_json_object("b", "$.lines"), node)).alias("j", "l"))
-        leaves = here if leaves is None else leaves.unionByName(here)
-        level = level.select(*keys, "page", "path", F.posexplode(F.from_json(F.get_json_object("b", "$.blocks"), node)).alias("k", "c")).select(
-            *keys, "page", F.concat("path", F.array("k")).alias("path"), F.col("c").alias("b")
-        )
-    deeper = level.where(~F.coalesce(F.get_json_object("b", "$.type").isin(*skip), F.lit(False)))
-    # The message reads the block, so it is raised for blocks that are there and nowhere else.
-    lost = F.raise_error(F.concat(F.lit(f"the layout has blocks below level {depth}: "), F.substring("b", 1, 40))).cast("string")
-    leaves = leaves.unionByName(deeper.select(*keys, "page", "path", F.lit(None).cast("string").alias("type"), F.lit(0).alias("j"), lost.alias("l")))
-    spans = F.from_json(F.get_json_object("l", "$.spans"), "array<struct<type:string,content:string,html:string>>")
-    words = F.array_join(F.transform(spans, lambda s: F.coalesce(T.span_content(s["type"], s["content"], s["html"]), F.lit(""))), " ")
-    out = leaves.select(*keys, "page", F.concat("path", F.array("j")).alias("path"), "type", T.collapse(words).alias("text"))
-    return out.where("text <> ''")
+    names = [prefix + c for c in ("page", "path", "type", "text")]
+    if set(names) & set(keys):
+        raise ValueError(f"keys {sorted(set(names) & set(keys))} clash with result columns; give a prefix")
+    picked = docs.select(*(F.col(k).alias(f"k{i}") for i, k in enumerate(keys)), F.col(tree).cast("string").alias("tree"))
+    fields = picked.drop("tree").schema
+    held, hidden = types._parse_datatype_string(LEAF), frozenset(skip)
+    arrow = pa.schema([("page", pa.int32()), ("path", pa.list_(pa.int32())), ("type", pa.string()), ("spans", pa.list_(pa.struct([(c, pa.string()) for c in ("type", "content", "html")])))])
+
+    def walk(batches):
+        for batch in batches:
+            rows, of = [], []
+            for i in range(batch.num_rows):
+                for leaf in _leaves(batch.column("tree")[i].as_py(), hidden):
+                    rows.append(dict(zip(arrow.names, leaf, strict=True)))
+                    of.append(i)
+                    if len(rows) == LEAVES_AT_ONCE:
+                        yield _joined(batch, rows, of, arrow)
+                        rows, of = [], []
+            yield _joined(batch, rows, of, arrow)
+
+    leaves = picked.mapInArrow(walk, types.StructType([*fields, *held]))
+    words = F.array_join(F.transform("spans", lambda s: F.coalesce(T.span_content(s["type"], s["content"], s["html"]), F.lit(""))), " ")
+    out = leaves.withColumn("words", T.collapse(words)).where("words <> ''")
+    return out.select(*(F.col(f"k{i}").alias(k) for i, k in enumerate(keys)), *(F.col(c).alias(n) for c, n in zip(("page", "path", "type", "words"), names, strict=True)))
+
+
+def _joined(batch: pa.RecordBatch, rows: list[dict], of: list[int], arrow: pa.Schema) -> pa.RecordBatch:
+    """Leaves behind the key columns of the row each came from."""
+    keys = [c for c in batch.schema.names if c != "tree"]
+    leaves = pa.RecordBatch.from_pylist(rows, arrow)
+    return pa.RecordBatch.from_arrays([*(batch.column(c).take(pa.array(of, pa.int32())) for c in keys), *leaves.columns], [*keys, *arrow.names])
 
 
 def reading_order(*candidates: Column) -> Column:

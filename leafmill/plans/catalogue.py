@@ -141,16 +141,44 @@ def html_rows(spark, d):
     return markup.elements(table(spark, d, "pages"), ["page_id"], "html", "li")
 
 
-@query()
+def segment_sql(source: str, keys: str) -> str:
+    """CTEs that cut the column v of a table into text and dollar math (documents hold no backslash): seg (keys, g, m, s)."""
+    return f"""
+tok AS (SELECT {keys}, i, t, regexp_full_match(t, '(?s)\$\$.*\$\$|\$[^$]+\$') AS m
+  FROM (SELECT {keys}, unnest(x) AS t, generate_subscripts(x, 1) AS i FROM (SELECT {keys}, regexp_extract_all(v, '(?s)\$\$.*?\$\$|\$[^$]+\$|\$\$|\$|[^$]+') AS x FROM {source}))),
+run AS (SELECT *, sum(CASE WHEN m OR before THEN 1 ELSE 0 END) OVER (PARTITION BY {keys} ORDER BY i) AS g FROM (SELECT *, lag(m) OVER (PARTITION BY {keys} ORDER BY i) AS before FROM tok)),
+seg AS (SELECT {keys}, g, bool_or(m) AS m, string_agg(t, '' ORDER BY i) AS s FROM run GROUP BY {keys}, g)"""
+
+
+def lint_sql(keys: str) -> str:
+    """Reasons of the blocks of seg: what a text outside of dollars must not hold."""
+    outside = lambda name, pattern: f"CASE WHEN bool_or(NOT m AND regexp_matches(regexp_replace(s, '<[^>]+>', ' ', 'g'), '{pattern}')) THEN '{name}' END"
+    reasons = ", ".join(outside(n, x) for n, x in (("latex_command_outside_math", M.COMMAND), ("math_relation_outside_math", M.RELATION), ("subsup_outside_math", M.SUB_SUP)))
+    return f"""SELECT {keys}, concat_ws(',', {reasons}) AS reasons FROM seg GROUP BY {keys} HAVING NOT regexp_full_match(string_agg(s, '' ORDER BY g), '{M.PLACEHOLDER}')"""
+
+
+@query(f"""WITH src AS (SELECT doc_id, coalesce(text, '') AS v FROM documents), {segment_sql("src", "doc_id")}
+SELECT doc_id, (row_number() OVER (PARTITION BY doc_id ORDER BY g) - 1)::INT AS pos, m AS is_math, s AS segment FROM seg""")
 def math_segments(spark, d):
     docs = table(spark, d, "documents")
-    return docs.select("doc_id", F.posexplode(M.segments("text")).alias("pos", "s")).select("doc_id", "pos", "s.is_math", "s.segment")
+    return docs.select("doc_id", F.posexplode(M.segments(F.col("text"))).alias("pos", "s")).select("doc_id", "pos", "s.is_math", "s.segment")
 
 
-@query()
+@query(f"""WITH {LINES}, src AS (SELECT 'd' || doc_id AS id, pos, trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS v FROM lines), {segment_sql("src", "id, pos")},
+found AS ({lint_sql("id, pos")})
+SELECT id, pos::INT AS pos, reasons FROM found WHERE reasons <> ''
+UNION ALL SELECT 'p' || p_partkey, 0, CASE p_partkey % 6 WHEN 0 THEN 'math_relation_outside_math' WHEN 1 THEN 'left_right_count_mismatch' WHEN 2 THEN 'math_condition_split_across_text_connector' ELSE 'latex_command_outside_math,subsup_outside_math' END
+FROM part WHERE p_partkey % 6 < 4""")
 def math_lint(spark, d):
-    rows = layout.flatten_lines(table(spark, d, "documents"), ["doc_id"], "text").where(F.rlike("line", F.lit(r"[$^_\\=<>]")))
-    return M.with_lint(rows, "line").select("doc_id", "pos", F.array_join("reasons", ",").alias("reasons")).where("reasons <> ''")
+    """Lines of documents, and parts written as formulas with and without faults."""
+    lines = layout.flatten_lines(table(spark, d, "documents"), ["doc_id"], "text").select(F.concat(F.lit("d"), "doc_id").alias("id"), "pos", "line")
+    size, name = F.col("p_size").cast("string"), F.col("p_name")
+    forms = [
+        F.concat(F.lit("x = "), size, F.lit(" and $y$")), F.concat(F.lit(r"$\left( "), size, F.lit("$")), F.concat(F.lit(r"$x \mid "), size, F.lit("$，使得 $z$")),
+        F.concat(F.lit(r"\frac{1}{"), size, F.lit("} a_1")), name, F.concat(F.lit(r"$\left( x_1 < 2 \right)$ "), name),
+    ]
+    parts = table(spark, d, "part").select(F.concat(F.lit("p"), "p_partkey").alias("id"), F.lit(0).alias("pos"), F.element_at(F.array(*forms), (F.col("p_partkey") % 6 + 1).cast("int")).alias("line"))
+    return M.with_lint(lines.unionByName(parts), "line").select("id", "pos", F.array_join("reasons", ",").alias("reasons")).where("reasons <> ''")
 
 
 @query("""SELECT doc_id, md5(regexp_replace(regexp_replace(replace(text, '$', ''), '\\(\\s*\\)', '', 'g'), '\\s+', '', 'g')) AS fingerprint FROM documents""")
@@ -302,11 +330,42 @@ def record_violations(spark, d):
     return r.where(F.array_contains(records.schema_violations(whole), "choice_without_options")).select("run_id", "question_no")
 
 
-@query()
+@query(f"""WITH {LINES}, r AS (SELECT source AS run_id, doc_id::INT AS question_no, pos, CASE WHEN pos < 2 THEN 'stem_latex' ELSE 'analysis_latex' END AS field, line FROM lines),
+src AS (SELECT run_id, question_no, field, row_number() OVER (PARTITION BY run_id, question_no, field ORDER BY pos) AS index, trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS v FROM r), {segment_sql("src", "run_id, question_no, field, index")},
+found AS ({lint_sql("run_id, question_no, field, index")}),
+stem AS (SELECT source AS run_id, doc_id::INT AS question_no, coalesce((SELECT string_agg(line, chr(10) ORDER BY pos) FROM r WHERE r.question_no = documents.doc_id AND field = 'stem_latex'), '') AS v FROM documents WHERE doc_id % 4 IN (1, 2)),
+n AS (SELECT *, len(regexp_extract_all(v, '(?i)<choice_blank>|（\\s*）|\\(\\s*\\)')) AS n FROM stem)
+SELECT run_id, question_no, field, NULL::VARCHAR AS option_key, index::INT AS index, reasons FROM found WHERE reasons <> ''
+UNION ALL SELECT run_id, question_no, 'stem_latex', NULL, 0, CASE WHEN n = 0 THEN 'missing_choice_blank' ELSE 'duplicate_choice_blank' END FROM n WHERE n <> 1""")
 def record_audit(spark, d):
     return records.audit(_records(spark, d)).select("run_id", "question_no", "field", "option_key", "index", F.array_join("reasons", ",").alias("reasons"))
 
 
+@query(r"""WITH x AS (SELECT p_partkey, p_name AS n, p_size AS z, p_partkey % 4 AS k, CASE p_partkey % 4 WHEN 0 THEN '<blank>' WHEN 3 THEN '' ELSE '<choice_blank>' END AS b FROM part)
+SELECT p_partkey, CASE WHEN k = 3 THEN n || ' ____ | $<blank> + ' || z || '$ is' ELSE n || ' ' || b || ' | $+ ' || z || '$ ' || b || ' is' END || ' | see <table><tr></tr></table>' AS stem,
+  '$x < ' || z || '$' AS a, '$y>1 \text{ 或 } ' || n || '$' AS b, '$C$ | ' || n || '。' AS answer, n AS analysis, 0 AS rubrics,
+  'unknown_table_placeholder_removed,' || CASE WHEN k = 3 THEN 'blank_token_inside_math' ELSE 'blank_token_moved_out_of_math' END AS issues FROM x""")
+def normalised_records(spark, d):
+    """Parts as model records: numbers, blanks in and out of formulas, option math, tables and visual placeholders."""
+    n, z = F.col("p_name"), F.col("p_size").cast("string")
+    block = lambda *x: F.concat(*(F.lit(c) if isinstance(c, str) else c for c in x))
+    none = F.array().cast("array<string>")
+    marks = [("table", "Q-B1", "<table01>", "<table><tr></tr></table>"), ("image", "Q-B2", "<image01>", None)]
+    raw = table(spark, d, "part").select(
+        "p_partkey", F.col("p_partkey").alias("question_no"), F.element_at(F.array(*(F.lit(t) for t in records.QUESTION_TYPES)), (F.col("p_partkey") % 4 + 1).cast("int")).alias("question_type"),
+        F.array(block(F.col("p_partkey").cast("string"), ". ", n, " ____"), block("$<blank> + ", z, "$ is"), F.lit("see <table01> <table09>")).alias("stem_latex"),
+        F.struct(F.array(block("(A) x < ", z)).alias("A"), F.array(block("B. y>1 或 ", n)).alias("B"), none.alias("C"), none.alias("D")).alias("options_latex"),
+        F.array(F.lit("C"), block(n, "。")).alias("answer_latex"), F.array(block("<image01> ", n)).alias("analysis_latex"), F.array(F.lit("<chart2>")).alias("rubric_latex"), F.array().cast(f"array<{records.ISSUE}>").alias("issues"),
+        F.array(*(F.struct(*(F.lit(v).cast("string").alias(k) for k, v in zip(("kind", "label", "placeholder", "html"), m, strict=True))) for m in marks)).alias("placeholders"),
+        F.col("p_partkey").alias("source_no"), F.lit("found").alias("answer_status"),
+    )
+    joined = lambda c: F.array_join(c, " | ")
+    return records.normalise(raw).select(
+        "p_partkey", joined("stem_latex").alias("stem"), joined("options_latex.A").alias("a"), joined("options_latex.B").alias("b"), joined("answer_latex").alias("answer"), joined("analysis_latex").alias("analysis"),
+        F.size("rubric_latex").alias("rubrics"), F.array_join(F.transform("issues", lambda i: i["type"]), ",").alias("issues"),
+    )
+
+
 @query()
 def lpt_assign(spark, d):
     docs = table(spark, d, "documents").select("source", "doc_id", F.coalesce(F.length("text"), F.lit(0)).alias("weight"))

@@ -292,17 +292,18 @@ def phases_of_images(spark, d):
 
 @query(f"""WITH {LINES} SELECT doc_id, pos::INT AS pos, trim(regexp_replace(line, '\\s+', ' ', 'g')) AS text FROM lines""")
 def layout_leaves(spark, d):
-    """Lines of documents as a layout tree: a page of a block each, some blocks two levels down."""
+    """Lines of documents as a layout tree: a page of a block each, nested up to twelve levels down."""
     lines = layout.flatten_lines(table(spark, d, "documents"), ["doc_id"], "text")
     span = F.array(F.struct(F.array(F.struct(F.lit("text").alias("type"), F.col("line").alias("content"))).alias("spans")))
     leaf = F.to_json(F.struct(F.lit("text").alias("type"), span.alias("lines")))
-    block = F.when(F.col("pos") % 3 == 0, F.concat(F.lit('{"type":"list","blocks":[{"type":"list","blocks":['), leaf, F.lit("]}]}"))).otherwise(leaf)
+    down = (F.col("pos") % 13).cast("int")
+    block = F.concat(F.repeat(F.lit('{"type":"list","blocks":['), down), leaf, F.repeat(F.lit("]}"), down))
     skipped = F.lit('{"type":"image_body","lines":[{"spans":[{"type":"text","content":"never"}]}]}')
     each = lines.select("doc_id", "pos", F.concat(block, F.lit(","), skipped).alias("b"))
     tree = each.groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct("pos", "b"))).alias("x"))
     pages = F.array_join(F.transform("x", lambda v: F.concat(F.lit('{"preproc_blocks":['), v["b"], F.lit("]}"))), ",")
     docs = tree.select("doc_id", F.concat(F.lit("["), pages, F.lit("]")).alias("tree"), F.transform("x", lambda v: v["pos"]).alias("at"))
-    got = layout.flatten_tree(docs.select("doc_id", "tree"), ["doc_id"], depth=3).join(docs.select("doc_id", "at"), "doc_id")
+    got = layout.flatten_tree(docs.select("doc_id", "tree"), ["doc_id"]).join(docs.select("doc_id", "at"), "doc_id")
     return got.select("doc_id", F.element_at("at", F.col("page") + 1).alias("pos"), "text")
 
 

@@ -1,8 +1,8 @@
 """Expressions on literal rows, expected values derived by hand."""
 
+import random
+
 import pytest
-from hypothesis import given
-from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from leafmill.functions import arrays as A
@@ -99,31 +99,74 @@ def test_union_box(spark):
     assert rows.where("a > 99").agg(G.union_box(*(F.col(c) for c in "abcd"), 8, 100, 100).alias("x")).first().x is None
 
 
-def test_segments():
-    assert M.segment(r"a $x$ b \$ c $$y$$") == [(False, "a "), (True, "$x$"), (False, r" b \$ c "), (True, "$$y$$")]
-    assert M.segment("a $x") == [(False, "a $x")]
-    assert M.segment(r"\(a\) \[b\]") == [(True, r"\(a\)"), (False, " "), (True, r"\[b\]")]
-    assert M.segment(None) == []
-
-
-@given(st.text(alphabet="a$\\()[] \n", max_size=30))
-def test_segments_are_lossless(value):
-    assert "".join(s for _, s in M.segment(value)) == value
-
-
-def test_blanks():
-    assert M.normal_blanks("x ____ y", "fill_blank") == ("x <blank> y", False)
-    assert M.normal_blanks("x (  )", "single_choice") == ("x <choice_blank>", False)
-    assert M.normal_blanks("$a<blank>$", "fill_blank") == ("$a$ <blank>", True)
-    assert M.normal_blanks("x ____", "solution") == ("x ____", False)
-    assert M.blanks_in_math("$a<blank>$ <blank>") == ["<blank>"]
-
-
-def test_option_math():
-    assert M.option_math("0 < a < 1 且 x > 2。") == r"$0 < a < 1 \text{ 且 } x > 2$。"
-    assert M.option_math("甲 > 1") == "甲 > 1"
-    assert M.option_math("$x$") == "$x$"
-    assert M.option_math("<image01>") == "<image01>"
+def segments_of(spark, values):
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "i int, v string").select("i", M.segments(F.col("v")).alias("s"))
+    got = {r.i: [(x.is_math, x.segment) for x in r.s] for r in df.collect()}
+    return [got[i] for i in range(len(values))]
+
+
+def segments_by_scan(value):
+    """Character by character: where an opening has its close, what lies between is math."""
+    escaped = lambda i: (i - len(value[:i].rstrip("\\"))) % 2 == 1
+    out, begin, at = [], 0, 0
+    while at < len(value):
+        pair = next(((a, b) for a, b in ((r"\(", r"\)"), (r"\[", r"\]"), ("$$", "$$"), ("$", "$")) if value.startswith(a, at) and (a[0] == "\\" or not escaped(at))), None)
+        if pair is None:
+            at += 1
+            continue
+        end = at + len(pair[0])
+        while (end := value.find(pair[1], end)) >= 0 and escaped(end):
+            end += len(pair[1])
+        if end < 0:
+            at += len(pair[0])
+            continue
+        end += len(pair[1])
+        out += [(False, value[begin:at])] * (at > begin) + [(True, value[at:end])]
+        begin = at = end
+    return out + [(False, value[begin:])] * (begin < len(value))
+
+
+def test_segments(spark):
+    values = [r"a $x$ b \$ c $$y$$", "a $x", r"\(a\) \[b\]", None, r"\\(a\)", r"\\$a$", "$$a$ b", "$$$x$", r"\$$x$", r"$a\$b$", r"\(a\\)b\)", "$a\nb$ c"]
+    got = segments_of(spark, values)
+    assert got[:4] == [[(False, "a "), (True, "$x$"), (False, r" b \$ c "), (True, "$$y$$")], [(False, "a $x")], [(True, r"\(a\)"), (False, " "), (True, r"\[b\]")], []]
+    assert got == [segments_by_scan(v or "") for v in values]
+
+
+def test_segments_of_any_text(spark):
+    rng = random.Random(7)
+    values = ["".join(rng.choice("a$$\\\\()[] \n") for _ in range(rng.randrange(1, 40))) for _ in range(4000)]
+    values += [r"\$$$", r"$$a\$$$", "\\" * 5 + "$$x$$", "$$$$", "$$$", "$x" + " \\y" * 20000 + "$", "a\\" * 30000 + "$"]
+    got = segments_of(spark, values)
+    assert all("".join(s for _, s in g) == v for v, g in zip(values, got, strict=True))
+    assert [v for v, g in zip(values, got, strict=True) if g != segments_by_scan(v)] == []
+
+
+def test_blanks(spark):
+    cases = [
+        ("x ____ y", "fill_blank", "x <blank> y", False), ("x (  )", "single_choice", "x <choice_blank>", False), ("$a<blank>$", "fill_blank", "$a$ <blank>", True), ("x ____", "solution", "x ____", False),
+        ("x ()", "fill_blank", "x ()", False), ("x () （<blank>）", "multiple_choice", "x <choice_blank> <choice_blank>", False), ("$<blank>$ is", "fill_blank", "<blank> is", True), (r"\_ and a\_b and \\_", "fill_blank", r"<blank> and a\_b and \\_", False),
+        (r"is $\underline{\quad}$ or \underline{ \hspace{2em} }", "fill_blank", "is <blank> or<blank>", False), (r"\(a  <blank>  b < blank >\) c", "fill_blank", r"\(a b\) <blank> <blank> c", True), (None, "fill_blank", "", False), ("", None, "", False), (None, None, "", False),
+    ]
+    df = spark.createDataFrame([(i, *c) for i, c in enumerate(cases)], "i int, t string, q string, want string, moved boolean")
+    got = df.select("i", M.normal_blanks(F.col("t"), F.col("q")).alias("b"), M.blanks_in_math(F.col("t")).alias("inside")).orderBy("i").collect()
+    assert [(r.b.text, r.b.moved) for r in got] == [c[2:] for c in cases]
+    assert got[2].inside == ["<blank>"] and got[0].inside == []
+
+
+def test_parts(spark):
+    cases = {"$x$": ("$", "x", "$"), "$$x$$": ("$$", "x", "$$"), r"\(x\)": (r"\(", "x", r"\)"), r"\[x y\]": (r"\[", "x y", r"\]"), "plain": ("", "plain", ""), "$$$$": ("$$", "", "$$")}
+    got = spark.createDataFrame([(c,) for c in cases], "s string").select("s", M.parts(F.col("s")).alias("p")).collect()
+    assert {r.s: tuple(r.p) for r in got} == cases
+
+
+def test_option_math(spark):
+    cases = {
+        "0 < a < 1 且 x > 2。": r"$0 < a < 1 \text{ 且 } x > 2$。", "甲 > 1": "甲 > 1", "$x$": "$x$", "<image01>": "<image01>", r"x<2 \text{且} y>1 或 z=3": r"$x<2 \text{ 且 } y>1 \text{ 或 } z=3$",
+        r"\frac{1}{2} \text{当且仅}": r"\frac{1}{2} \text{当且仅}", "word": "word", " x = 1. ": "$x = 1$.", "$x$ 或 y>1": r"$x \text{ 或 } y>1$", r"\text{或  且} x=1": r"$\text{或 且} x=1$", "": "",
+    }
+    got = spark.createDataFrame([(c,) for c in cases], "s string").select("s", M.option_math(F.col("s")).alias("o")).collect()
+    assert {r.s: r.o for r in got} == cases
 
 
 def test_standalone(spark):

@@ -1,6 +1,7 @@
 """Operators on small tables, expected values derived by hand."""
 
 import json
+from collections import Counter
 import random
 
 import pytest
@@ -299,11 +300,31 @@ def test_contexts_and_tables(spark):
 def test_normalise(spark):
     df = parsed(spark, {"question_no": 3, "question_type": "single_choice", "stem_latex": ["3. pick ( )", "$a<blank>$"], "options_latex": {"A": ["(A) 1"], "B": ["B. 2"], "C": [], "D": []}, "answer_latex": ["A"]})
     r = records.normalise(df).first()
-    assert r.stem_latex[0].startswith("pick <choice_blank>") and r.options_latex.A == ["1"] and r.options_latex.B == ["2"] and r.answer_latex == ["$A$"]
+    assert r.stem_latex == ["pick <choice_blank>", "$a$ <choice_blank>"]
+    assert (r.options_latex.A, r.options_latex.B, r.options_latex.C, r.answer_latex) == (["$1$"], ["$2$"], [], ["$A$"])
     assert [i.type for i in r.issues] == ["blank_token_moved_out_of_math"]
     assert spark.range(1).select(records.context_text(F.array(F.lit("a"), F.lit(" "), F.lit("b  c"))).alias("x")).first().x == "a\nb c"
 
 
+def test_normalise_keeps_blocks_apart(spark):
+    """A formula that one block leaves open does not close in the next; option math, tables and placeholders."""
+    df = parsed(
+        spark, {
+            "question_no": 3, "question_type": "fill_blank", "stem_latex": ["a", "$<blank>$ b", "open $ here", "x $ ____", "see <table01> <table02> <table09>", "<image01>", "<Chart7>"],
+            "options_latex": {"A": ["x < 2"], "B": ["(B) y>1 或 z=3。"], "C": ["<image02> <table02>"], "D": []}, "answer_latex": ["x<2", "<table02> 是", "<image01> 故"], "analysis_latex": [], "rubric_latex": ["<figure3>"],
+        },
+    )
+    marks = [("table", "Q-B1", "<table01>", "<table>\n <tr></tr></table>"), ("table", "A-B2", "<table02>", ""), ("image", "Q-B3", "<image01>", None), ("image", "Q-B4", "<image02>", None), (None, None, None, None)]
+    df = df.withColumn("placeholders", F.from_json(F.lit(json.dumps([dict(zip(("kind", "label", "placeholder", "html"), m, strict=True)) for m in marks])), records.MARKS))
+    r = records.normalise(df.withColumns({"source_no": F.lit(4), "answer_status": F.lit("found")})).first()
+    assert r.stem_latex == ["a", "<blank> b", "open $ here", "x $ <blank>", "see <table> <tr></tr></table>"]
+    assert (r.options_latex.A, r.options_latex.B, r.options_latex.C) == (["$x < 2$"], [r"$y>1 \text{ 或 } z=3$。"], [])
+    assert (r.answer_latex, r.rubric_latex) == (["$x<2$", "<table02> 是", "故"], [])
+    found = Counter(i.type for i in r.issues)
+    assert found == {"blank_token_moved_out_of_math": 1, "disallowed_table_placeholder_removed": 2, "unknown_table_placeholder_removed": 1, "question_no_mismatch": 1, "unresolved_table_placeholder": 1}
+    assert set(r.asDict()) == {*df.columns, "source_no", "answer_status"}
+
+
 # ---------------------------------------------------------------- budget
 
 
@@ -388,13 +409,24 @@ def test_errors_that_rows_raise(spark):
     with pytest.raises(Exception, match="page out of range"):
         readers.split_pages(pages, F.array(F.lit(2)), ("run_id",)).collect()
     assert readers.split_pages(pages, F.array(F.lit(1)), ("run_id",)).count() == 2
-    leaf = {"type": "text", "lines": [{"spans": [{"type": "text", "content": "deep"}]}]}
-    for _ in range(3):
-        leaf = {"type": "list", "blocks": [leaf]}
-    tree = spark.createDataFrame([(1, json.dumps([{"preproc_blocks": [leaf]}]))], "k int, tree string")
-    assert [r.text for r in layout.flatten_tree(tree, ["k"], depth=4).collect()] == ["deep"]
-    with pytest.raises(Exception, match="below level 3"):
-        layout.flatten_tree(tree, ["k"], depth=3).collect()
+
+
+def test_trees_of_any_depth_and_keys_of_any_name(spark):
+    text = lambda t: {"type": "text", "lines": [{"spans": [{"type": "text", "content": t}]}]}
+    deep = text("deep")
+    for _ in range(300):
+        deep = {"type": "list", "blocks": [deep, text("beside")], "lines": [{"spans": [{"content": 7, "type": "text"}]}]}
+    hidden = {"type": "chart_body", "blocks": [text("never")]}
+    df = spark.createDataFrame([(1, 2, "p", json.dumps([{"preproc_blocks": [deep, hidden, None, "x"]}, 3])), (2, 3, "q", None), (3, 4, None, "no json"), (4, 5, "r", "{}")], "k int, page int, path string, tree string")
+    got = layout.flatten_tree(df, ["k", "page", "path"], prefix="leaf_").collect()
+    assert got[0].asDict().keys() == {"k", "page", "path", "leaf_page", "leaf_path", "leaf_type", "leaf_text"}
+    assert len(got) == 601 and {(r.k, r.page, r.path) for r in got} == {(1, 2, "p")}
+    assert [r.leaf_path for r in got if r.leaf_text == "deep"] == [[0] * 301 + [0]]
+    assert sum(r.leaf_text == "7" for r in got) == 300
+    with pytest.raises(ValueError, match="clash"):
+        layout.flatten_tree(df, ["page"])
+    names = layout.flatten_tree(spark.createDataFrame([(1, 2, 3, 4, 5, 6, json.dumps([{"preproc_blocks": [text("a")]}]))], "k int, i int, b int, c int, l int, words int, tree string"), ["k", "i", "b", "c", "l", "words"])
+    assert names.count() == 1
 
 
 def test_best_role(spark):
