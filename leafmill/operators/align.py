@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 from ..functions import arrays as A
 from ..functions import geometry as G
 from ..functions import text as T
-from .tables import last_wins, top_k
+from .nearest import nearest_groups
+from .tables import last_wins
 
 
 def range_join(points: DataFrame, ranges: DataFrame, point: str, low: str, high: str, width: float, keys: Sequence[str] = ()) -> DataFrame:
@@ -51,14 +52,14 @@ def surface(labels: Column) -> Column:
 
 
 def nearest_intervals(points: DataFrame, intervals: DataFrame, keys: Sequence[str], point: str, low: str, high: str, ident: str, k: int = 6) -> DataFrame:
-    """For each point the k nearest intervals of its keys: distance 0 inside, else to the nearer end; ranked by distance and ident.
+    """Points with the k nearest intervals of their keys: distance 0 inside, else to the nearer end; ranked by distance and ident.
 
-    The join is on the keys (a run), whose intervals are a question list.
+    ident names an interval within its keys; points of one value are looked up once.
     """
-    d = points.join(intervals, list(keys))
-    inside = F.col(point).between(F.col(low), F.col(high))
-    d = d.withColumn("distance", F.when(inside, F.lit(0)).otherwise(F.least(F.abs(F.col(point) - F.col(low)), F.abs(F.col(point) - F.col(high)))))
-    return top_k(d, [*keys, *[c for c in points.columns if c not in keys]], [F.col("distance"), F.col(ident)], k)
+    values = points.select(*keys, F.col(point).alias("_point")).distinct()
+    near = nearest_groups(values.withColumn("_at", F.col("_point")), intervals, keys, "_at", ("_point", "_point"), ident, (low, high), k)
+    near = near.withColumnRenamed("_at", point)
+    return points.join(near, [*keys, point]).join(intervals, [*keys, ident])
 
 
 def align(questions: DataFrame, answers: DataFrame, run: str = "run_id") -> DataFrame:
@@ -145,7 +146,9 @@ def groups_of_stream(groups: DataFrame, answers: DataFrame, stream: str, run: st
     return named.agg(A.ordered_distinct(F.transform(listed, lambda x: x["label"])).alias("labels"))
 
 
-def nearest_questions(assets: DataFrame, blocks: DataFrame, distance: Column, run: str = "run_id", k: int = 6) -> DataFrame:
-    """For each asset (run, asset) the k nearest questions by the least distance of their blocks: (.., question_no, distance, rank)."""
-    least = assets.join(blocks, run).withColumn("_d", distance).groupBy(run, "asset", "question_no").agg(F.min("_d").alias("distance"))
-    return top_k(least, [run, "asset"], [F.col("distance"), F.col("question_no")], k)
+def nearest_questions(assets: DataFrame, blocks: DataFrame, span: tuple[str, str] = ("top", "bottom"), run: str = "run_id", k: int = 6) -> DataFrame:
+    """(run, asset, question_no, distance, rank): for each asset the k nearest questions by their nearest block in reading order.
+
+    Spans are places in the run's reading coordinate (page offsets and y).
+    """
+    return nearest_groups(assets, blocks, [run], "asset", span, "question_no", span, k)

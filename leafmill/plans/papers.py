@@ -178,13 +178,14 @@ def reading_distances(spark, d):
     return near.select("p_partkey", "other", r.alias("r")).select("p_partkey", "other", "r.*")
 
 
-@query("""WITH x AS (SELECT a.p_brand AS run_id, a.p_partkey AS asset, (b.p_partkey % 20)::INT AS question_no, min(abs(a.p_retailprice - b.p_retailprice)) AS distance FROM part a JOIN part b ON a.p_brand = b.p_brand AND a.p_partkey % 25 = 0 GROUP BY 1, 2, 3)
+@query("""WITH x AS (SELECT a.p_brand AS run_id, a.p_partkey AS asset, (b.p_partkey % 20)::INT AS question_no,
+  min(greatest(a.p_retailprice - (b.p_retailprice + 20), b.p_retailprice - (a.p_retailprice + 30), 0.0)) AS distance FROM part a JOIN part b ON a.p_brand = b.p_brand GROUP BY 1, 2, 3)
 SELECT run_id, asset, question_no, distance, r::INT AS rank FROM (SELECT *, row_number() OVER (PARTITION BY run_id, asset ORDER BY distance, question_no) AS r FROM x) WHERE r <= 6""")
 def nearest_questions(spark, d):
-    part = table(spark, d, "part").select(F.col("p_brand").alias("run_id"), "p_partkey", "p_retailprice")
-    a = part.where("p_partkey % 25 = 0").select("run_id", F.col("p_partkey").alias("asset"), F.col("p_retailprice").alias("y"))
-    b = part.select("run_id", (F.col("p_partkey") % 20).cast("int").alias("question_no"), "p_retailprice")
-    return align.nearest_questions(a, b, F.abs(F.col("y") - F.col("p_retailprice")))
+    part = table(spark, d, "part").select(F.col("p_brand").alias("run_id"), "p_partkey", F.col("p_retailprice").cast("double").alias("top"))
+    a = part.select("run_id", F.col("p_partkey").alias("asset"), "top", (F.col("top") + 30).alias("bottom"))
+    b = part.select("run_id", (F.col("p_partkey") % 20).cast("int").alias("question_no"), "top", (F.col("top") + 20).alias("bottom"))
+    return align.nearest_questions(a, b)
 
 
 # ---------------------------------------------------------------- text

@@ -441,3 +441,33 @@ def test_charged_calls(spark):
     got = {r.k: r for r in models.charged_calls(work, models.EchoClient(), "k", limits, 50, F.lit(18), "at").collect()}
     assert {r.status for r in got.values()} == {"ok"} and {r.bucket for r in got.values()} == {"a", "b"}
     assert {r.tokens for r in got.values()} == {20} and got[0].waited == got[2].waited == 0 and got[4].waited > 50
+
+
+@pytest.mark.parametrize("cell_rows", [4, 512])
+def test_nearest_spans_by_brute_force(spark, monkeypatch, cell_rows):
+    """Many cells and one: long and short spans, ties, copies, a hot key, keys on one side only, nulls."""
+    from leafmill.operators import nearest
+
+    monkeypatch.setattr(nearest, "CELL_ROWS", cell_rows)
+    rng = random.Random(cell_rows)
+    spans = lambda n, key: [(key, i, float(a := rng.randrange(60)), float(a + rng.choice([0, 0, 1, 3, 25]))) for i in range(n)]
+    queries = spans(60, "hot") + spans(5, "few") + spans(2, "alone") + [("hot", 99, None, 1.0), ("hot", 98, 5.0, 1.0), (None, 97, 1.0, 2.0), ("hot", 0, 59.0, 59.0)]
+    items = [(key, g % 12, a, b) for key, g, a, b in spans(150, "hot") + spans(3, "few") + spans(4, "none")] + [("few", None, 1.0, 2.0), ("hot", 3, None, None), (None, 1, 1.0, 2.0)]
+    schema = "key string, {} long, lo double, hi double"
+    got = nearest.nearest_groups(spark.createDataFrame(queries, schema.format("q")), spark.createDataFrame(items, schema.format("g")), ["key"], "q", ("lo", "hi"), "g", ("lo", "hi"), 4)
+    want = set()
+    for key, q in {(x[0], x[1]) for x in queries if x[0]}:
+        least = {}
+        for _, _, lo, hi in (x for x in queries if x[:2] == (key, q) and x[2] is not None and x[2] <= x[3]):
+            for _, g, a, b in (x for x in items if x[0] == key and x[1] is not None and x[2] is not None):
+                least[g] = min(least.get(g, 1e9), max(a - hi, lo - b, 0.0))
+        want |= {(key, q, g, d, r) for r, (d, g) in enumerate(sorted((d, g) for g, d in least.items())[:4], 1)}
+    assert {tuple(r) for r in got.select("key", "q", "g", "distance", "rank").collect()} == want
+    assert got.where("key = 'none' or key is null").count() == 0
+
+
+def test_nearest_intervals_keeps_rows(spark):
+    points = spark.createDataFrame([("r", "a", 5.0), ("r", "b", 5.0), ("s", "c", 1.0), ("t", "d", None)], "run string, name string, at double")
+    intervals = spark.createDataFrame([("r", 1, 0.0, 4.0, "x"), ("r", 2, 4.0, 9.0, "y"), ("r", 3, 90.0, 99.0, "z")], "run string, no int, lo double, hi double, note string")
+    got = align.nearest_intervals(points, intervals, ["run"], "at", "lo", "hi", "no", 2).select("name", "no", "note", "distance", "rank")
+    assert sorted(tuple(r) for r in got.collect()) == [("a", 1, "x", 1.0, 2), ("a", 2, "y", 0.0, 1), ("b", 1, "x", 1.0, 2), ("b", 2, "y", 0.0, 1)]
