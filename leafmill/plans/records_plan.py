@@ -9,8 +9,8 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as T
-from ..operators import align, assets, layout, markup, records
-from ..sources import readers, writers
+from ..operators import align, assets, layout, markup, records, stages
+from ..sources import commits, readers, writers
 from .catalogue import LINES, _records, query, table
 from .papers import BLOCKS_SQL, EXAM_SQL, KIND_SQL, _blocks, exam
 
@@ -344,18 +344,29 @@ def record_files(spark, d):
 
 @query("""SELECT c_nationkey, count(*) FILTER (c_custkey % 2 = 0) AS n, CASE WHEN c_nationkey % 2 = 0 THEN 'new' ELSE 'old' END AS version FROM customer GROUP BY 1""")
 def run_overwrites(spark, d):
-    """A table by run whose even runs are written again, then a backed-up write in place."""
+    """A table by run whose even runs are written again, then a write in place whose former version stays."""
     at = scratch(spark, "runs")
     c = table(spark, d, "customer").select("c_custkey", "c_nationkey", F.lit("old").alias("version"))
     writers.write_runs(c, f"{at}/t", "c_nationkey")
     writers.write_runs(c.where("c_nationkey % 2 = 0").withColumn("version", F.lit("new")), f"{at}/t", "c_nationkey")
-    writers.write_back(spark.read.parquet(f"{at}/t"), f"{at}/b", f"{at}/backup")
-    writers.write_back(spark.read.parquet(f"{at}/b").where("c_custkey % 2 = 0"), f"{at}/b", f"{at}/backup")
-    kept, whole = spark.read.parquet(f"{at}/b"), spark.read.parquet(f"{at}/backup").select("c_nationkey", "version").distinct()
+    first = writers.write_back(spark.read.parquet(f"{at}/t"), f"{at}/b")
+    writers.write_back(commits.read_table(spark, f"{at}/b").where("c_custkey % 2 = 0"), f"{at}/b", first)
+    kept, whole = commits.read_table(spark, f"{at}/b"), commits.read_table(spark, f"{at}/b", first).select("c_nationkey", "version").distinct()
     n = kept.groupBy("c_nationkey").agg(F.count("*").alias("n"))
     return whole.join(n, "c_nationkey", "left").select(F.col("c_nationkey").cast("int").alias("c_nationkey"), F.coalesce("n", F.lit(0)).cast("long").alias("n"), "version")
 
 
+@query("""SELECT c_nationkey AS run_id, count(*) AS n, CASE WHEN c_nationkey % 5 = 0 THEN 'second' ELSE 'first' END AS made, round(sum(c_acctbal + CASE WHEN c_nationkey % 5 = 0 THEN 1 ELSE 0 END), 2) AS total FROM customer WHERE c_nationkey % 7 <> 0 GROUP BY 1""")
+def stage_reuse(spark, d):
+    """A stage over runs, called again after a fifth of them changed and a seventh went: only changed runs are made again."""
+    at = scratch(spark, "stage")
+    c = table(spark, d, "customer").select(F.col("c_nationkey").alias("run_id"), "c_custkey", F.col("c_acctbal").cast("double").alias("balance"))
+    made = lambda when: lambda rows: rows.groupBy("run_id").agg(F.count("*").alias("n"), F.lit(when).alias("made"), F.round(F.sum("balance"), 2).alias("total"))
+    stages.run_stage(c, at, made("first"))
+    changed = c.where("run_id % 7 <> 0").withColumn("balance", F.col("balance") + F.when(F.col("run_id") % 5 == 0, 1.0).otherwise(0.0))
+    return stages.run_stage(changed, at, made("second"))
+
+
 @query("""SELECT n_regionkey AS run_id, '<p>' || replace(n_name, 'A', '&amp;') || '</p>' AS html FROM nation""")
 def rendered_texts(spark, d):
     """Blocks rendered to HTML and written a folder a run, as text files."""

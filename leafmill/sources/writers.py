@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .readers import exists
+from .commits import publish
 
 
 def write_runs(df: DataFrame, path: str, run: str = "run_id") -> None:
@@ -27,17 +27,14 @@ def write_texts(df: DataFrame, path: str, run: str = "run_id", column: str = "ht
     df.select(run, F.col(column).alias("value")).write.mode("overwrite").partitionBy(run).option("lineSep", "\n").text(path)
 
 
-def write_back(df: DataFrame, path: str, backup: str) -> None:
-    """Overwrite a table that df may have been read from: backed up once, staged, then moved."""
-    spark = df.sparkSession
-    if exists(spark, path) and not exists(spark, backup):
-        spark.read.parquet(path).write.parquet(backup)
-    df.write.mode("overwrite").parquet(staged := f"{path}._staged")
-    fs = spark._jvm.org.apache.hadoop.fs.Path(path).getFileSystem(spark._jsc.hadoopConfiguration())
-    to, now = spark._jvm.org.apache.hadoop.fs.Path(path), spark._jvm.org.apache.hadoop.fs.Path(staged)
-    fs.delete(to, True)
-    if not fs.rename(now, to):
-        raise OSError(f"{staged} could not be moved to {path}")
+def write_back(df: DataFrame, path: str, after: int | None = None) -> int:
+    """Overwrite a table that df may have been read from, as a new version of it; returns the version's number.
+
+    commits.read_table reads the last version; the files from before the first
+    write-back stay where they are, as its backup (version 0). `after` is the
+    version df was read from: if another came meanwhile, this one fails.
+    """
+    return publish(df, path, after)
 
 
 def manifest_counts(items: DataFrame) -> DataFrame:

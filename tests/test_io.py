@@ -5,8 +5,9 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
+from leafmill.operators import stages
 from leafmill.operators.records import RECORD
-from leafmill.sources import readers, writers
+from leafmill.sources import commits, readers, writers
 from leafmill.streaming import flows
 
 
@@ -74,9 +75,9 @@ def test_sinks(spark, tmp_path):
     assert sorted((r.run_id, r.x) for r in spark.read.parquet(f"{tmp_path}/t").collect()) == [("r", 9), ("s", 2)]
     df.write.parquet(f"{tmp_path}/bank")
     for _ in range(2):
-        writers.write_back(spark.read.parquet(f"{tmp_path}/bank").withColumn("x", F.col("x") + 1), f"{tmp_path}/bank", f"{tmp_path}/backup")
-    assert sorted(r.x for r in spark.read.parquet(f"{tmp_path}/bank").collect()) == [3, 4]
-    assert sorted(r.x for r in spark.read.parquet(f"{tmp_path}/backup").collect()) == [1, 2]
+        writers.write_back(commits.read_table(spark, f"{tmp_path}/bank").withColumn("x", F.col("x") + 1), f"{tmp_path}/bank")
+    assert sorted(r.x for r in commits.read_table(spark, f"{tmp_path}/bank").collect()) == [3, 4]
+    assert sorted(r.x for r in commits.read_table(spark, f"{tmp_path}/bank", 0).collect()) == [1, 2]
     for _ in range(2):
         writers.append_log(df, f"{tmp_path}/log")
     assert readers.read_jsonl(spark, f"{tmp_path}/log", "run_id string, x int, created_at string").where("created_at is not null").count() == 4
@@ -131,3 +132,77 @@ def test_exactly_once(spark, tmp_path):
     finally:
         q.stop()
     assert sorted(r.ident for r in spark.read.parquet(f"{tmp_path}/out").collect()) == [1, 2]
+
+
+def test_a_write_that_fails_leaves_the_table(spark, tmp_path, monkeypatch):
+    at = f"{tmp_path}/bank"
+    table = lambda: sorted(r.x for r in commits.read_table(spark, at).collect())
+    up = lambda: commits.read_table(spark, at).withColumn("x", F.col("x") + 1)
+    spark.createDataFrame([(1,), (2,)], "x int").write.parquet(at)
+    assert writers.write_back(up(), at) == 1
+    with monkeypatch.context() as m:  # the data is there, the commit is not
+        m.setattr(commits, "commit", lambda *a: (_ for _ in ()).throw(OSError("lost")))
+        with pytest.raises(OSError, match="lost"):
+            writers.write_back(up(), at)
+    assert table() == [2, 3]
+    (tmp_path / "bank" / "_commits" / f"{2:020d}.json").write_text('{"folder": "x')  # a commit that was cut off
+    assert table() == [2, 3] and commits.version(spark, at) == 2
+    assert writers.write_back(up(), at, 2) == 3
+    assert table() == [3, 4]
+    with pytest.raises(commits.Conflict):
+        writers.write_back(up(), at, 2)
+    assert table() == [3, 4]
+    with pytest.raises(Exception, match="no version 2"):
+        commits.read_table(spark, at, 2)
+    assert commits.publish(spark.createDataFrame([], "x int"), f"{tmp_path}/new") == 1
+    assert commits.read_table(spark, f"{tmp_path}/new").count() == 0
+
+
+def test_stages_run_again_only_where_inputs_changed(spark, tmp_path, monkeypatch):
+    seen = []
+
+    def stage(rows):
+        seen.append(sorted(r.run_id or "" for r in rows.select("run_id").distinct().collect()))
+        return rows.groupBy("run_id").agg(F.sum("x").alias("total"), F.count("*").alias("n"))
+
+    def call(rows, version="1"):
+        source = f"{tmp_path}/in{len(seen)}-{version}"
+        spark.createDataFrame(rows, "run_id string, x long").write.mode("overwrite").partitionBy("run_id").parquet(source)
+        inputs = spark.read.schema("x long, run_id string").parquet(source)
+        return {(r.run_id, r.total, r.n) for r in stages.run_stage(inputs, f"{tmp_path}/stage", stage, version=version).collect()}
+
+    first = [("001", 1), ("001", 2), ("1", 5), ("b", 7), ("b", 7), (None, 9)]
+    assert call(first) == {("001", 3, 2), ("1", 5, 1), ("b", 14, 2), (None, 9, 1)}
+    assert call(first[::-1]) == call(first) == {("001", 3, 2), ("1", 5, 1), ("b", 14, 2), (None, 9, 1)}
+    assert seen == [["", "001", "1", "b"]]
+    second = [("001", 1), ("001", 2), ("b", 7), (None, 9), ("new", 1)]
+    with monkeypatch.context() as m:
+        m.setattr(commits, "commit", lambda *a: (_ for _ in ()).throw(OSError("lost")))
+        with pytest.raises(OSError, match="lost"):
+            call(second)
+    assert seen[1:] == [["b", "new"]]
+    assert call(second) == {("001", 3, 2), ("b", 7, 1), (None, 9, 1), ("new", 1, 1)}
+    assert seen[2:] == [["b", "new"]]
+    assert call(second, "2") == {("001", 3, 2), ("b", 7, 1), (None, 9, 1), ("new", 1, 1)}
+    assert seen[3:] == [["", "001", "b", "new"]]
+    assert call(first, "2") == {("001", 3, 2), ("1", 5, 1), ("b", 14, 2), (None, 9, 1)}
+    assert seen[4:] == [["1", "b"]]
+
+
+def test_unchanged_runs_are_pruned(spark, tmp_path):
+    spark.createDataFrame([(f"r{i}", i) for i in range(6)], "run_id string, x long").write.partitionBy("run_id").parquet(f"{tmp_path}/in")
+    inputs = spark.read.parquet(f"{tmp_path}/in")
+    changed = spark.createDataFrame([("r1",), ("r4",)], "run_id string")
+    few = stages.only_runs(inputs, changed)
+    assert {r.run_id for r in few.collect()} == {"r1", "r4"}
+    plan = few._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [run_id" in plan and "r4" in plan
+    prints = {r.run_id: r.fingerprint for r in stages.fingerprints(inputs.union(inputs.where("x = 2"))).collect()}
+    again = {r.run_id: r.fingerprint for r in stages.fingerprints(inputs.repartition(3)).collect()}
+    assert [k for k in prints if prints[k] != again[k]] == ["r2"]
+
+
+def test_many_changed_runs_are_joined(spark, monkeypatch):
+    monkeypatch.setattr(stages, "NAMED_RUNS", 1)
+    rows = spark.createDataFrame([("a", 1), ("b", 2), (None, 3)], "run_id string, x int")
+    assert sorted(r.x for r in stages.only_runs(rows, rows.where("x > 1").select("run_id")).collect()) == [2, 3]
