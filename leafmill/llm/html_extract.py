@@ -10,9 +10,11 @@ threshold between prose and the rest.
 Structure is a feature, not the decision:
 
 - elements that HTML itself defines as no prose (scripts, styles, menus,
-  footers, asides, controls ...) give lines of ratio 0;
-- a block whose class, id or role hints at boilerplate has its lines weighed
-  by HINT, unless it holds more than half of the page's prose: then the hint is
+  footers, asides, controls ...) give lines of ratio 0, and so do blocks named
+  as readers' comments, however long they are beside the article, and links
+  alone in a header outside of its headings (share bars);
+- a block whose class, id or role hints at other boilerplate has its lines
+  weighed by HINT, unless it encloses all prose of the page: then the hint is
   wrong and is dropped (a wrapper named after a sidebar, a page in one form);
 - a region, the innermost element that holds MASS of the characters of the
   lines above the threshold, is where the article is. A page's <article> or
@@ -58,16 +60,19 @@ SMALL = frozenset("html body p h1 h2 h3 h4 h5 h6 li dt dd pre blockquote figcapt
 BOILERPLATE = frozenset(
     "ad ads advert adverts advertisement advertising adsense banner sponsor sponsored promo promotion nav navbar navigation menu breadcrumb breadcrumbs header masthead "
     "footer foot sidebar aside widget widgets cookie cookies consent notice notices alert popup modal newsletter subscribe share sharing social related recommended "
-    "recommendations comment comments disqus reply replies respond login signup search form".split()
+    "recommendations comment comments discussion discussions disclaimer disclaimers disqus reply replies respond login signup search form".split()
 )
+#: Those that name what readers write; an article is never inside.
+READERS = frozenset("comment comments discussion discussions disqus reply replies respond".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 BESIDE = frozenset("top bottom left right side site page main article post user reader readers box block bar area list section inner outer links posts articles stories text".split())
 SPACES = re.compile(r"\s+")
 
 
-def is_boilerplate(names: str) -> bool:
-    """Whether a class, id or role hints at boilerplate: one of the names is made of such words and of words that may stand beside them."""
+def is_boilerplate(names: str, words: frozenset[str] = BOILERPLATE) -> bool:
+    """Whether a class, id or role hints at boilerplate: one of the names is made of such words, one of `words` among them, and of words that may stand beside them."""
     tokens = [{w for w in re.split(r"[-_:]+", t) if w} for t in names.lower().split()]
-    return any(t & BOILERPLATE and t <= BOILERPLATE | BESIDE for t in tokens)
+    return any(t & words and t <= BOILERPLATE | BESIDE for t in tokens)
 
 
 class Line:
@@ -97,7 +102,9 @@ class Lines(HTMLParser):
             _, _, hint, dropped, marked = self.open[-1] if self.open else ("", 0, None, False, False)
             blocks = [(t, i) for t, i, *_ in self.open if t in BLOCK]
             around = tuple(i for t, i in blocks[:-1] if t not in SMALL)
-            self.lines.append(Line(text, self.tags, min(self.linked, len(text)), tuple(i for _, i in blocks), around, hint, not dropped, marked))
+            tags = {t for t, *_ in self.open}
+            shared = "header" in tags and not tags & HEADINGS and self.linked >= len(text)
+            self.lines.append(Line(text, self.tags, min(self.linked, len(text)), tuple(i for _, i in blocks), around, hint, not dropped and not shared, marked))
             self.tags = 0
         self.text, self.linked = [], 0
 
@@ -105,9 +112,10 @@ class Lines(HTMLParser):
         _, _, hint, dropped, marked = self.open[-1] if self.open else ("", 0, None, False, False)
         self.elements += 1
         names = " ".join(v for k, v in attrs if v and k in ("class", "id", "role"))
-        if tag == "form" or (names and tag not in CONTENT and tag not in ("html", "body") and is_boilerplate(names)):
+        named = names and tag not in CONTENT and tag not in ("html", "body")
+        if tag == "form" or (named and is_boilerplate(names)):
             hint = self.elements
-        dropped = dropped or tag in DROP or (tag == "header" and not marked)
+        dropped = dropped or tag in DROP or (tag == "header" and not marked) or bool(named and is_boilerplate(names, READERS))
         self.open.append((tag, self.elements, hint, dropped, marked or tag in CONTENT))
         self.links += tag == "a"
 
@@ -188,14 +196,14 @@ def content(lines: list[Line], sigma: float = SIGMA, hint: float = HINT, mass: f
     may = [x.may for x in lines]
     if any(x.may and x.marked and len(x.text) > x.linked for x in lines):
         may = [x.may and x.marked for x in lines]
-    prose = [len(x.text) if ok else 0 for x, ok in zip(lines, may, strict=True)]
-    # A hint at what holds most of the prose is wrong.
+    prose = [len(x.text) - x.linked if ok else 0 for x, ok in zip(lines, may, strict=True)]
+    # A hint at what encloses all prose is wrong.
     held: dict[int, int] = {}
     for x, n in zip(lines, prose, strict=True):
         if x.hint is not None:
             for i in x.path:
                 held[i] = held.get(i, 0) + n
-    hinted = [x.hint is not None and 2 * held.get(x.hint, 0) <= sum(prose) for x in lines]
+    hinted = [x.hint is not None and held.get(x.hint, 0) < max(1, sum(prose)) for x in lines]
     ratio = [
         (hint if h else 1.0) * max(0, len(x.text) - 2 * x.linked) / max(1, x.tags) if ok else 0.0
         for x, ok, h in zip(lines, may, hinted, strict=True)

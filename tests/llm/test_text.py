@@ -336,6 +336,23 @@ def test_wrong_hints_do_not_lose_the_article():
     assert html_extract.extract(f"<article>{paragraphs}{related}</article>").split("\n")[-2:] == ["Related work", "Others have written of this before, and at length."]
 
 
+def test_comments_notices_and_share_bars_go_however_long():
+    remarks = "".join(f"<p>Remark {i}: a reader says a good deal about this, and more than the article itself ever did.</p>" for i in range(12))
+    two = "<p>The first of two sentences.</p><p>The second one is here.</p>"
+    want = "The first of two sentences.\nThe second one is here."
+    for page in (
+        f"<article>{two}<section class='comments'>{remarks}</section></article>",
+        f"<body><div class='content'>{two}</div><section class='comments'>{remarks}</section></body>",
+        f"<main>{two}<div class='discussion'>{remarks}</div></main>",
+        f"<article>{two}<div class='disclaimer'>This site uses cookies.</div></article>",
+        f"<article><header><a href='/s'>Share</a><div><a href='/t'>Tweet</a></div></header>{two}</article>",
+        f"<body><div id='comments-list'>{remarks}</div><div class='content'>{two}</div></body>",
+    ):
+        assert html_extract.extract(page) == want, page
+    assert html_extract.extract(f"<article><header><h1><a href='/x'>Title</a></h1><p>By <a href='/me'>me</a></p></header>{two}</article>") == f"Title\nBy me\n{want}"
+    assert html_extract.extract(f"<body><div class='comments'>{remarks}</div></body>") == ""
+
+
 def test_ratios_smoothing_and_clusters_select():
     """No mark and no hint: dense lines are the article; a short line between them is carried by smoothing."""
     links = "".join(f"<p><a href='/{i}'>Link {i}</a></p>" for i in range(12))
