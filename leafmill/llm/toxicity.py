@@ -79,18 +79,38 @@ def marked_words(points: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np
 
 def subwords(points: np.ndarray, s: np.ndarray, e: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Buckets of each word and its n-grams, and the first one of each word."""
-    each = [kit.rolling_hash(points, s, e)]
-    word = [np.arange(len(s))]
-    for n in GRAMS:
-        count = np.maximum(e - s - n + 1, 0)
-        w = np.repeat(np.arange(len(s)), count)
-        at = np.arange(len(w)) - np.repeat(np.cumsum(count) - count, count) + s[w]
-        each.append(kit.rolling_hash(points, at, at + n))
-        word.append(w)
-    word = np.concatenate(word)
-    order = np.argsort(word, kind="stable")
-    buckets = (np.concatenate(each)[order] % np.uint64(BUCKETS)).astype(np.int32)
-    return buckets, np.searchsorted(word[order], np.arange(len(s) + 1))
+    counts = [np.maximum(e - s - n + 1, 0) for n in GRAMS]
+    of = np.concatenate([[0], np.cumsum(1 + sum(counts))])
+    out = np.empty(of[-1], np.int32)
+    out[of[:-1]] = kit.rolling_hash(points, s, e) % np.uint64(BUCKETS)
+    at = of[:-1] + 1
+    for n, count in zip(GRAMS, counts, strict=True):
+        begin = _runs(s, count)
+        out[_runs(at, count)] = kit.rolling_hash(points, begin, begin + n) % np.uint64(BUCKETS)
+        at += count
+    return out, of
+
+
+def vocabulary(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The words of the texts as numbers, the first word of each text, and subwords() of the distinct words; slice by slice."""
+    starts = np.concatenate([[0], np.cumsum([len(t) for t in texts])]).astype(np.int64)
+    known, prints, counts, parts, sizes = np.zeros(0, np.uint64), [], [], [], []
+    for a, b in kit.slices(starts):
+        buf = np.frombuffer(b"".join(texts[a:b]), np.uint8)
+        points, s, e, first = marked_words(*code_points(buf, starts[a : b + 1] - starts[a]))
+        mine = kit.rolling_hash(points, s, e)
+        seen, lead = np.unique(mine, return_index=True)
+        lead = lead[~np.isin(seen, known)]
+        buckets, of = subwords(points, s[lead], e[lead])
+        known = np.concatenate([known, mine[lead]])
+        prints.append(mine)
+        counts.append(np.diff(first))
+        parts.append(buckets)
+        sizes.append(np.diff(of))
+    order = np.argsort(known)
+    word = order[np.searchsorted(known[order], np.concatenate(prints or [known]))]
+    join = lambda x: np.concatenate([[0], np.cumsum(np.concatenate(x or [np.zeros(0, np.int64)]))]).astype(np.int64)
+    return word, join(counts), np.concatenate(parts or [np.zeros(0, np.int32)]), join(sizes)
 
 
 def distinct(points: np.ndarray, s: np.ndarray, e: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -119,11 +139,10 @@ def means(values: np.ndarray, s: np.ndarray, e: np.ndarray) -> np.ndarray:
     return total / (e - s)
 
 
-def fit(points: np.ndarray, s: np.ndarray, e: np.ndarray, first: np.ndarray, label: np.ndarray, steps: int = STEPS, seed: int = 7) -> tuple[np.ndarray, float]:
+def fit(word: np.ndarray, first: np.ndarray, buckets: np.ndarray, of: np.ndarray, label: np.ndarray, steps: int = STEPS, seed: int = 7) -> tuple[np.ndarray, float]:
     """Each bucket's share of the log-odds of label 1, and the bias; every text has a word."""
-    lead, word = distinct(points, s, e)
-    buckets, of = subwords(points, s[lead], e[lead])
-    used, sub = np.unique(buckets, return_inverse=True)
+    used = np.unique(buckets)
+    sub = np.searchsorted(used, buckets).astype(np.int32)
     size = np.diff(of)
     rng = np.random.default_rng(seed)
     vectors = rng.normal(0, 0.01, (len(used), DIMENSIONS))
@@ -195,14 +214,12 @@ def train(docs: DataFrame, labels: DataFrame, id_col="doc_id", text_col="text",
         upto = F.sum(F.length("text")).over(Window.orderBy("key", "tie").rowsBetween(Window.unboundedPreceding, 0))
         got += [(y, r.text) for r in few.withColumn("upto", upto).where(F.col("upto") <= max_chars).orderBy("key", "tie").select("text").collect()]
         kit.drop_saved(few)
-    texts = [t.encode() for _, t in got]
-    starts = np.concatenate([[0], np.cumsum([len(t) for t in texts])]).astype(np.int64)
-    points, s, e, first = marked_words(*code_points(np.frombuffer(b"".join(texts), np.uint8), starts))
+    word, first, buckets, of = vocabulary([t.encode() for _, t in got])
     some = np.diff(first) > 0
     label = np.array([y for y, _ in got], np.int64)[some] if got else np.zeros(0, np.int64)
     if len(np.unique(label)) < 2:
         return None
-    return fit(points, s, e, np.append(first[:-1][some], first[-1]), label)
+    return fit(word, np.append(first[:-1][some], first[-1]), buckets, of, label)
 
 
 def score_toxicity(docs: DataFrame, model, id_col="doc_id", text_col="text") -> DataFrame:
