@@ -103,7 +103,7 @@ def sync(bank: DataFrame, alignment: DataFrame, key: str = "question_no", fields
 
 
 TABLES = "struct<tables:array<struct<label:string,role:string,entries:array<struct<question_no:string,answer_text:string,confidence:string,reason:string>>,confidence:string,reason:string>>,risks:array<string>>"
-TABLE_ROLES = ("answer_key_table", "rubric_table", "noise", "uncertain")
+TABLE_ROLES = ("answer_key_table", "rubric_table", "solution_table", "noise", "uncertain")
 
 
 def asset_contexts(assets: DataFrame, candidates: DataFrame, prefill: DataFrame, mode: str, run: str = "run_id") -> DataFrame:
@@ -125,15 +125,31 @@ def table_contexts(blocks: DataFrame, candidates: DataFrame, run: str = "run_id"
     return t.groupBy(run, "page").agg(F.array_sort(F.collect_list(row)).alias("tables"))
 
 
+def _named_tables(responses: DataFrame, run: str, column: str) -> DataFrame:
+    """(run, label, role, entries, confidence, reason): of the tables that an answer names, the last of each label; unknown roles are uncertain."""
+    t = responses.select(run, F.posexplode(F.from_json(column, TABLES)["tables"]).alias("_i", "t")).where("t.label is not null").select(run, "_i", "t.*")
+    t = last_wins(t, [run, "label"], ["_i"])
+    name = T.strip(F.col("role"))
+    return t.withColumn("role", F.when(name.isin(*TABLE_ROLES), name).otherwise("uncertain"))
+
+
+def table_roles(responses: DataFrame, contexts: DataFrame, run: str = "run_id", column: str = "response") -> DataFrame:
+    """(run, label, role, confidence, reason) of every table asked about (run, tables with labels); one that the answer leaves out is uncertain."""
+    asked = contexts.select(run, F.explode("tables").alias("t")).select(run, F.col("t.label").alias("label")).distinct()
+    j = asked.join(_named_tables(responses, run, column), [run, "label"], "left")
+    return j.select(run, "label", F.coalesce("role", F.lit("uncertain")).alias("role"), G.confidence(F.col("confidence")).alias("confidence"), F.coalesce("reason", F.lit("")).alias("reason"))
+
+
 def table_entries(responses: DataFrame, candidates: DataFrame, run: str = "run_id", column: str = "response") -> DataFrame:
     """Entries of answer-key tables in model responses: (run, label, role, question_no, answer_text, confidence, ordinal).
 
-    Unknown roles are uncertain and have no entries; where a table has
-    candidates, other questions go; numbers that are none go.
+    Only answer keys have entries; where a table has candidates, other questions
+    go; so do numbers that are none and blank answers. Answers are short
+    answers: a single letter is set between dollars.
     """
-    t = responses.select(run, F.posexplode(F.from_json(column, TABLES)["tables"]).alias("_i", "t")).select(run, "_i", "t.*")
-    role = F.when(F.col("role").isin(*TABLE_ROLES), F.col("role")).otherwise("uncertain")
-    e = t.withColumn("role", role).where("role = 'answer_key_table'").select(run, "label", "role", "_i", F.posexplode("entries").alias("_j", "e"))
+    t = _named_tables(responses, run, column)
+    e = t.where("role = 'answer_key_table'").select(run, "label", "role", "_i", F.posexplode("entries").alias("_j", "e"))
     e = e.withColumn("question_no", F.col("e.question_no").try_cast("int")).where("question_no is not null").join(candidates, [run, "label"], "left")
     e = e.where(F.coalesce(F.size("candidates") <= 0, F.lit(True)) | F.array_contains("candidates", F.col("question_no")))
-    return e.select(run, "label", "role", "question_no", T.strip(F.col("e.answer_text")).alias("answer_text"), G.confidence(F.col("e.confidence")).alias("confidence"), F.struct("_i", "_j").alias("ordinal"))
+    e = e.withColumn("answer_text", T.short_answer(F.col("e.answer_text"))).where("answer_text <> ''")
+    return e.select(run, "label", "role", "question_no", "answer_text", G.confidence(F.col("e.confidence")).alias("confidence"), F.struct("_i", "_j").alias("ordinal"))

@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text as T
+from ..sources.readers import holds_rows
 from .tables import pending
 
 RESULT = "status string, error string, response string, attempts int"
@@ -107,13 +108,7 @@ def call_model(work: DataFrame, client: ModelClient, key: str, messages: str = "
 def call_pending(work: DataFrame, client: ModelClient, key: str, path: str, **options) -> DataFrame:
     """Answers of all work: those stored at path, and new ones, which are stored first so no retry asks twice."""
     spark = work.sparkSession
-    try:
-        done = spark.read.parquet(path).where("status = 'ok'")
-        work_left = pending(work, done, key)
-    except Exception as e:  # noqa: BLE001
-        if "PATH_NOT_FOUND" not in str(e) and "UNABLE_TO_INFER" not in str(e):
-            raise
-        work_left = work
+    work_left = pending(work, spark.read.parquet(path).where("status = 'ok'"), key) if holds_rows(spark, path) else work
     call_model(work_left, client, key, **options).write.mode("append").parquet(path)
     return work.select(key).join(spark.read.parquet(path).dropDuplicates([key, "status"]), key, "left")
 

@@ -82,7 +82,7 @@ def reject_reasons(status: Column, findings: Column, unchanged: Column) -> Colum
 
 
 def group_counts(df: DataFrame, columns: Sequence[str], value: str = "value") -> DataFrame:
-    """Counts by each column on its own, unpivoted to (field, value, n): one pass with grouping sets."""
+    """Counts by each column on its own, unpivoted to (field, value, n): a row a column before the map-side sums, one shuffle."""
     names = df.select(*(F.col(c).cast("string").alias(c) for c in columns))
     long = names.select(F.explode(F.array(*(F.struct(F.lit(c).alias("field"), F.col(c).alias(value)) for c in columns))).alias("e")).select("e.*")
     return long.groupBy("field", value).agg(F.count("*").alias("n"))

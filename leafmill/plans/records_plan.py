@@ -19,7 +19,7 @@ def scratch(spark: SparkSession, name: str) -> str:
     """A new folder that all executors share; a local one only where the session names none and runs locally."""
     at = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not at:
-        if not spark.sparkContext.master.startswith("local"):
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         at = "file://" + tempfile.mkdtemp(prefix="leafmill-files-")
         spark.conf.set("spark.checkpoint.dir", at)
@@ -92,7 +92,7 @@ def placeholder_letters(spark, d):
 
 
 @query(f"""WITH {BLOCKS_SQL}, a AS (SELECT *, {KIND_SQL} AS kind FROM blocks)
-SELECT p_brand AS run_id, (p_size % 3)::INT AS page, count(*) FILTER (kind = 'table')::INT AS tables, (SELECT count(*) FROM part) >= 0 AS seen,
+SELECT p_brand AS run_id, (p_size % 3)::INT AS page, count(*) FILTER (kind = 'table')::INT AS tables,
   string_agg(CASE WHEN length(trim(p_name)) <= 12 THEN trim(p_name) ELSE left(trim(p_name), 11) || '…' END || CASE WHEN p_partkey % 2 = 0 THEN '2' ELSE '0' END, '|' ORDER BY label || p_partkey) AS texts
 FROM a WHERE kind = 'table' GROUP BY 1, 2""")
 def table_contexts(spark, d):
@@ -100,7 +100,7 @@ def table_contexts(spark, d):
     c = b.where("p_partkey % 2 = 0").select("run_id", "label", F.array(F.lit(1), F.lit(2)).alias("candidates"))
     got = assets.table_contexts(b.drop("p_partkey"), c, limit=12)
     texts = F.transform("tables", lambda t: F.concat(t["text"], F.size(t["candidates"]).cast("string")))
-    return got.select("run_id", "page", F.size("tables").alias("tables"), F.lit(True).alias("seen"), F.array_join(texts, "|").alias("texts"))
+    return got.select("run_id", "page", F.size("tables").alias("tables"), F.array_join(texts, "|").alias("texts"))
 
 
 @query(f"""WITH {BLOCKS_SQL}, a AS (SELECT *, {KIND_SQL} AS kind FROM blocks), k AS (SELECT *, CASE p_partkey % 3 WHEN 0 THEN 'stem_figure' WHEN 1 THEN 'answer_figure' END AS pre FROM a WHERE kind IS NOT NULL)
@@ -161,6 +161,18 @@ def answer_tables(spark, d):
     return assets.table_entries(answers, candidates).select("run_id", "label", "question_no", "answer_text", "confidence")
 
 
+@query("""SELECT s_nationkey AS run_id, 'T' || s_suppkey AS label, CASE s_suppkey % 8 WHEN 0 THEN 'answer_key_table' WHEN 1 THEN 'rubric_table' WHEN 2 THEN 'solution_table' WHEN 3 THEN 'noise' ELSE 'uncertain' END AS role,
+  CASE WHEN s_suppkey % 8 < 6 THEN least(1.0, (s_suppkey % 8) / 4.0) ELSE 0 END::DOUBLE AS confidence, CASE WHEN s_suppkey % 8 < 6 THEN s_name ELSE '' END AS reason FROM supplier""")
+def table_roles(spark, d):
+    """Suppliers as tables of an answer page: known roles, an unknown one, none, and tables that the answer leaves out or names twice."""
+    s = table(spark, d, "supplier")
+    roles = F.array(*(F.lit(r) for r in (*assets.TABLE_ROLES[:4], "riddle", None)))
+    item = lambda role, why: F.struct(F.concat(F.lit("T"), "s_suppkey").alias("label"), role.alias("role"), (F.col("s_suppkey") % 8 / 4).cast("string").alias("confidence"), why.alias("reason"))
+    told = F.when(F.col("s_suppkey") % 8 < 6, F.array(item(F.lit("noise"), F.lit("first try")), item(F.element_at(roles, (F.least(F.col("s_suppkey") % 8, F.lit(5)) + 1).cast("int")), F.col("s_name"))))
+    pages = s.groupBy(F.col("s_nationkey").alias("run_id")).agg(F.collect_list(F.struct(F.concat(F.lit("T"), "s_suppkey").alias("label"))).alias("tables"), F.to_json(F.struct(F.flatten(F.collect_list(told)).alias("tables"))).alias("response"))
+    return assets.table_roles(pages, pages)
+
+
 @query("""SELECT doc_id, concat_ws(',', CASE WHEN doc_id % 4 = 3 THEN 'not_json' END, CASE WHEN doc_id % 4 = 2 THEN 'extra_key:more' END, CASE WHEN doc_id % 4 = 1 THEN 'question_type' END, CASE WHEN doc_id % 4 = 0 THEN 'choice_without_options' END) AS violations FROM documents""")
 def parsed_records(spark, d):
     """Records as a model writes them: a choice without options, an unknown type, one key too many, no JSON."""

@@ -20,6 +20,11 @@ def exists(spark: SparkSession, path: str) -> bool:
     return bool(found is not None and len(found))
 
 
+def holds_rows(spark: SparkSession, path: str) -> bool:
+    """Whether a Parquet table at path has data files, in it or in its partitions; other failures are not taken for a missing table."""
+    return any(exists(spark, f"{path}/{depth}*.parquet") for depth in ("", "*/", "*/*/"))
+
+
 def read_json(spark: SparkSession, path: str, schema: str | T.StructType, default: DataFrame | None = None) -> DataFrame:
     """Whole-file JSON; a missing path is the default, or an error without one."""
     if not exists(spark, path):

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.budget import Limiter
+from ..sources.readers import holds_rows
 
 
 def _late(df: DataFrame, ts: str, delay: str) -> DataFrame:
@@ -66,11 +67,8 @@ def exactly_once(df: DataFrame, path: str, key: str):
     def write(batch: DataFrame, _: int) -> None:
         spark = batch.sparkSession
         new = batch.dropDuplicates([key])
-        try:
+        if holds_rows(spark, path):
             new = new.join(spark.read.parquet(path).select(key), key, "left_anti")
-        except Exception as e:  # noqa: BLE001
-            if "PATH_NOT_FOUND" not in str(e) and "UNABLE_TO_INFER" not in str(e):
-                raise
         new.write.mode("append").parquet(path)
 
     return df.writeStream.foreachBatch(write)

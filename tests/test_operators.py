@@ -294,7 +294,7 @@ def test_contexts_and_tables(spark):
     assert [(t.label, t.candidates, t.text) for t in assets.table_contexts(b, sets).first().tables] == [("T1", [1, 2], "x y")]
     answer = json.dumps({"tables": [{"label": "T1", "role": "answer_key_table", "entries": [{"question_no": "1", "answer_text": " A ", "confidence": "2"}, {"question_no": 9, "answer_text": "B"}, {"question_no": "?"}]}, {"label": "T2", "role": "odd", "entries": [{"question_no": 1}]}]})
     got = assets.table_entries(spark.createDataFrame([("r", answer)], "run_id string, response string"), sets)
-    assert rows(got.select("label", "question_no", "answer_text", "confidence")) == [("T1", 1, "A", 1.0)]
+    assert rows(got.select("label", "question_no", "answer_text", "confidence")) == [("T1", 1, "$A$", 1.0)]
 
 
 def test_normalise(spark):
