@@ -8,6 +8,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..functions import images
 from ..functions import text as T
 from ..operators import align, assets, layout, markup, records, stages
 from ..sources import commits, readers, writers
@@ -379,6 +380,32 @@ def stage_reuse(spark, d):
     return stages.run_stage(changed, at, made("second"))
 
 
+@query("""SELECT p_partkey, CASE p_partkey % 7 WHEN 0 THEN 'png' WHEN 1 THEN 'gif' WHEN 2 THEN 'jpeg' WHEN 6 THEN NULL ELSE 'webp' END AS format,
+  CASE WHEN p_partkey % 7 < 6 THEN p_size * 20 END::INT AS width, CASE WHEN p_partkey % 7 < 6 THEN p_partkey % 9000 + 1 END::INT AS height FROM part""")
+def image_headers(spark, d):
+    """Parts as the first bytes of images of their size: PNG, GIF, JPEG behind other markers, the three kinds of WEBP, and no image."""
+    w, h = F.col("p_size").cast("long") * 20, (F.col("p_partkey") % 9000 + 1).cast("long")
+    big = lambda v, n: F.lpad(F.hex(v), 2 * n, "0")
+    little = lambda v, n: F.concat(*(F.lpad(F.hex(F.shiftright(v, 8 * i).bitwiseAND(F.lit(255).cast("long"))), 2, "0") for i in range(n)))
+    code = lambda *x: F.concat(*(F.lit(v.hex()) if isinstance(v, bytes) else v for v in x))
+    webp = lambda kind, *x: code(b"RIFF\0\0\0\0WEBP", kind, b"\0\0\0\0", *x)
+    forms = [
+        code(b"\x89PNG\r\n\x1a\n\0\0\0\rIHDR", big(w, 4), big(h, 4)), code(b"GIF89a", little(w, 2), little(h, 2)),
+        code(b"\xff\xd8\xff\xe0\0\x04ab\xff\xff\xdb\0\x03q\xff\xc2\0\x11\x08", big(h, 2), big(w, 2)), webp(b"VP8 ", b"\0\0\0\x9d\x01\x2a", little(w, 2), little(h, 2)),
+        webp(b"VP8L", b"\x2f", little(w - 1 + (h - 1) * 16384, 4)), webp(b"VP8X", b"\0\0\0\0", little(w - 1, 3), little(h - 1, 3)), F.hex("p_name"),
+    ]
+    head = F.element_at(F.array(*forms), (F.col("p_partkey") % len(forms) + 1).cast("int"))
+    return table(spark, d, "part").select("p_partkey", images.image_facts(F.unhex(head)).alias("f")).select("p_partkey", "f.*")
+
+
+@query("""WITH i AS (SELECT c_nationkey AS article_url, 'u' || c_custkey % 50 AS url, min(c_custkey) AS index FROM customer GROUP BY 1, 2), s AS (SELECT c_nationkey AS article_url, 'u' || c_custkey % 50 AS url, min(-c_custkey) AS first_at FROM customer WHERE c_custkey % 3 = 0 GROUP BY 1, 2)
+SELECT i.article_url, i.url, i.index, row_number() OVER (PARTITION BY i.article_url ORDER BY first_at NULLS LAST, index)::INT AS place FROM i LEFT JOIN s USING (article_url, url)""")
+def images_in_page_order(spark, d):
+    c = table(spark, d, "customer").select(F.col("c_nationkey").alias("article_url"), F.concat(F.lit("u"), F.col("c_custkey") % 50).alias("url"), "c_custkey")
+    listed = c.groupBy("article_url", "url").agg(F.min("c_custkey").alias("index"))
+    return readers.dom_order(listed, c.where("c_custkey % 3 = 0").select("article_url", "url", (-F.col("c_custkey")).alias("at")))
+
+
 @query("""SELECT n_regionkey AS run_id, '<p>' || replace(n_name, 'A', '&amp;') || '</p>' AS html FROM nation""")
 def rendered_texts(spark, d):
     """Blocks rendered to HTML and written a folder a run, as text files."""

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.images import image_facts
 from ..operators.tables import last_wins
 
 BLOCK = "struct<label:string,block_id:string,type:string,bbox:array<double>,text:string,page:int,figure_id:string,order:int>"
@@ -164,3 +165,19 @@ def answer_text(full: Column, blocks: Column) -> Column:
     some = F.filter(blocks, lambda t: F.trim(t) != "")
     parts = F.transform(some, lambda t, i: F.concat(F.lit("## OCR block "), (i + 1).cast("string"), F.lit("\n"), t))
     return F.coalesce(F.nullif(full, F.lit("")), F.array_join(parts, "\n\n"))
+
+
+def image_files(spark: SparkSession, path: str) -> DataFrame:
+    """(path, bytes, format, width, height) of the image files under a path; only their headers are looked at, no pixel is decoded."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+    return files.select("path", F.col("length").alias("bytes"), image_facts(F.col("content")).alias("f")).select("path", "bytes", "f.*")
+
+
+def dom_order(images: DataFrame, sequence: DataFrame, article: str = "article_url") -> DataFrame:
+    """Images (article, url, index) with `place`, their order on the page: those in its sequence (article, url, at) by their first place there, then the rest by index.
+
+    Both orders are a page's, so a window holds one article's images.
+    """
+    first = sequence.where("url is not null").groupBy(article, "url").agg(F.min("at").alias("_at"))
+    order = Window.partitionBy(article).orderBy(F.col("_at").asc_nulls_last(), "index", "url")
+    return images.join(first, [article, "url"], "left").withColumn("place", F.row_number().over(order)).drop("_at")

@@ -206,3 +206,29 @@ def test_many_changed_runs_are_joined(spark, monkeypatch):
     monkeypatch.setattr(stages, "NAMED_RUNS", 1)
     rows = spark.createDataFrame([("a", 1), ("b", 2), (None, 3)], "run_id string, x int")
     assert sorted(r.x for r in stages.only_runs(rows, rows.where("x > 1").select("run_id")).collect()) == [2, 3]
+
+
+def test_image_files(spark, tmp_path):
+    at = tmp_path / "pictures"
+    (at / "deep").mkdir(parents=True)
+    big, little = (lambda v, n: v.to_bytes(n, "big")), (lambda v, n: v.to_bytes(n, "little"))
+    files = {
+        "a.png": (b"\x89PNG\r\n\x1a\n\0\0\0\rIHDR" + big(640, 4) + big(70000, 4) + b"rest", ("png", 640, 70000)), "b.gif": (b"GIF87a" + little(300, 2) + little(2, 2), ("gif", 300, 2)),
+        "deep/c.jpg": (b"\xff\xd8\xff\xe1" + big(2000, 2) + b"\xff" * 1998 + b"\xff\xd0\xff\xc4" + big(2, 2) + b"\xff\xc0" + big(17, 2) + b"\x08" + big(480, 2) + big(641, 2), ("jpeg", 641, 480)),
+        "cut.jpg": (b"\xff\xd8\xff\xe1" + big(2000, 2) + b"x", ("jpeg", None, None)), "cut.png": (b"\x89PNG\r\n\x1a\n\0\0", ("png", None, None)),
+        "v.webp": (b"RIFF\0\0\0\0WEBPVP8 \0\0\0\0\0\0\0\x9d\x01\x2a" + little(0x4000 + 100, 2) + little(50, 2), ("webp", 100, 50)),
+        "l.webp": (b"RIFF\0\0\0\0WEBPVP8L\0\0\0\0\x2f" + little(99 | 16383 << 14, 4), ("webp", 100, 16384)), "x.webp": (b"RIFF\0\0\0\0WEBPVP8X\0\0\0\0\0\0\0\0" + little(70000, 3) + little(0, 3), ("webp", 70001, 1)),
+        "none.bin": (b"plain", (None, None, None)), "one": (b"\xff", (None, None, None)),
+    }
+    for name, (data, _) in files.items():
+        (at / name).write_bytes(data)
+    got = {r.path.split("pictures/")[1]: r for r in readers.image_files(spark, str(at)).collect()}
+    assert {k: (r.format, r.width, r.height) for k, r in got.items()} == {k: want for k, (_, want) in files.items()}
+    assert got["b.gif"].bytes == 10
+
+
+def test_page_order(spark):
+    images = spark.createDataFrame([("p", "a", 0), ("p", "b", 1), ("p", "c", 2), ("q", "a", 0), ("p", None, 3)], "article_url string, url string, index int")
+    seq = spark.createDataFrame([("p", "c", 1), ("p", "b", 5), ("p", "c", 9), ("p", None, 0), ("p", "gone", 2)], "article_url string, url string, at int")
+    got = {(r.article_url, r.url): r.place for r in readers.dom_order(images, seq).collect()}
+    assert got == {("p", "c"): 1, ("p", "b"): 2, ("p", "a"): 3, ("p", None): 4, ("q", "a"): 1}
