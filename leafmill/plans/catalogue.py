@@ -143,7 +143,7 @@ def html_rows(spark, d):
 
 def segment_sql(source: str, keys: str) -> str:
     """CTEs that cut the column v of a table into text and dollar math (documents hold no backslash): seg (keys, g, m, s)."""
-    return f"""
+    return rf"""
 tok AS (SELECT {keys}, i, t, regexp_full_match(t, '(?s)\$\$.*\$\$|\$[^$]+\$') AS m
   FROM (SELECT {keys}, unnest(x) AS t, generate_subscripts(x, 1) AS i FROM (SELECT {keys}, regexp_extract_all(v, '(?s)\$\$.*?\$\$|\$[^$]+\$|\$\$|\$|[^$]+') AS x FROM {source}))),
 run AS (SELECT *, sum(CASE WHEN m OR before THEN 1 ELSE 0 END) OVER (PARTITION BY {keys} ORDER BY i) AS g FROM (SELECT *, lag(m) OVER (PARTITION BY {keys} ORDER BY i) AS before FROM tok)),
