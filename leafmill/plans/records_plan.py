@@ -410,15 +410,30 @@ def images_in_page_order(spark, d):
 def rendered_texts(spark, d):
     """Blocks rendered to HTML and written a folder a run, as text files."""
     at = scratch(spark, "texts")
-    rows = table(spark, d, "nation").select(F.col("n_regionkey").alias("run_id"), F.concat(F.lit("<p>"), markup.render_block(F.replace("n_name", F.lit("A"), F.lit("&"))), F.lit("</p>")).alias("html"))
+    rows = table(spark, d, "nation").select(F.col("n_regionkey").alias("run_id"), F.concat(F.lit("<p>"), markup.render_inline(F.replace("n_name", F.lit("A"), F.lit("&"))), F.lit("</p>")).alias("html"))
     writers.write_texts(rows, at)
     return spark.read.text(at).select(F.col("run_id").cast("int").alias("run_id"), F.col("value").alias("html"))
 
 
-@query(f"""WITH {LINES} SELECT doc_id, pos::INT AS pos, replace(replace(replace(replace(replace(line, '&', '&amp;'), '<', '&lt;'), '>', '&gt;'), '"', '&quot;'), '''', '&#x27;') || '<span class="blank"></span><br>x' AS html FROM lines""")
+ESCAPED = "replace(replace(replace(replace(replace({}, '&', '&amp;'), '<', '&lt;'), '>', '&gt;'), '\"', '&quot;'), '\'\'', '&#x27;')"
+BLANKS_SQL = """'<span class="blank"></span>' AS b, '<span class="choice-blank"><span class="choice-blank-space"></span></span>' AS c"""
+
+
+@query(f"""WITH {LINES}, x AS (SELECT doc_id, pos::INT AS pos, ltrim(translate(line, '$\\_', ''), ' ' || chr(9) || chr(11) || chr(12) || chr(13)) AS t, {BLANKS_SQL} FROM lines), e AS (SELECT *, {ESCAPED.format("t")} AS e FROM x)
+SELECT doc_id, pos, '<p class="text-block">' || CASE (doc_id + pos) % 4
+  WHEN 0 THEN e || '.' WHEN 1 THEN e || ' \\(a_{{1}} &lt; \\underline{{\\hspace{{3em}}}}\\) ' || b || '<br>' || c
+  WHEN 2 THEN e || ' ' || c || ' ' || b || ' $x &amp; (\\hspace{{1.8em}})$'
+  ELSE e || ':</p><div class="table-wrap"><table class="html-table"><tr><th colspan="2">' || pos || '</th></tr><tr><td rowspan="20">$x &lt; ' || doc_id || '$</td><td>' || b || '</td></tr></table></div><p class="text-block">end' END || '</p>' AS html FROM e""")
 def rendered_blocks(spark, d):
-    rows = layout.flatten_lines(table(spark, d, "documents"), ["doc_id"], "text")
-    return rows.select("doc_id", "pos", markup.render_block(F.concat("line", F.lit("<choice_blank>\nx"))).alias("html"))
+    """Lines of documents as blocks with formulas, blanks of all kinds and tables."""
+    rows = layout.flatten_lines(table(spark, d, "documents"), ["doc_id"], "text").withColumn("line", F.translate("line", "$\\_", ""))
+    grid = F.concat(
+        F.lit(":\n<Table border=1><tr><th colspan='2'>"), F.col("pos").cast("string"), F.lit("</th></tr><tr><td></td></tr><tr><td rowspan=50>$x &lt; "), F.col("doc_id").cast("string"),
+        F.lit("$</td><td>__</td></tr></TABLE><table></table> end "),
+    )
+    forms = F.array(F.lit(".<table><tr><td> </td></tr></table>"), F.lit(" \\(a_{1} < ___\\) <blank>\n<choice_blank>\n"), F.lit(" （ __ ） \\blankline{} $x & <choice_blank>$"), grid)
+    blocks = rows.select("doc_id", "pos", F.concat("line", F.element_at(forms, ((F.col("doc_id") + F.col("pos")) % 4 + 1).cast("int"))).alias("block"))
+    return markup.with_tables(blocks, F.array("block")).select("doc_id", "pos", markup.render_block(F.col("block"), F.col("tables")).alias("html"))
 
 
 @query("""SELECT run_id, page, n_regionkey FROM (SELECT n_regionkey, n_regionkey AS run_id, (row_number() OVER (PARTITION BY n_regionkey ORDER BY n_nationkey))::INT AS page FROM nation) WHERE page IN (1, 3)""")
@@ -472,7 +487,7 @@ def page_packets(spark, d):
 
 
 @query("""WITH x AS (SELECT l_orderkey, list((l_linenumber, l_partkey, l_suppkey) ORDER BY l_linenumber, l_partkey, l_suppkey, l_extendedprice) AS c FROM lineitem GROUP BY 1)
-SELECT l_orderkey, 1 AS table_no, 1 AS "row", i::INT AS col, 'th' AS tag, CASE WHEN i = 1 THEN 2 ELSE 1 END AS colspan, 1 AS rowspan, 'n' || c[i][1] AS text FROM (SELECT *, unnest(range(1, len(c) + 1)) AS i FROM x)
+SELECT l_orderkey, 1 AS table_no, 1 AS "row", i::INT AS col, 'th' AS tag, CASE WHEN i = 1 THEN 2 ELSE 20 END AS colspan, 1 AS rowspan, 'n' || c[i][1] AS text FROM (SELECT *, unnest(range(1, len(c) + 1)) AS i FROM x)
 UNION ALL SELECT l_orderkey, 1, 3, i::INT, 'td', 1, CASE WHEN i = 1 THEN 3 ELSE 1 END, c[i][2] || ' & ' || c[i][3] FROM (SELECT *, unnest(range(1, len(c) + 1)) AS i FROM x)""")
 def html_tables(spark, d):
     """Orders as tables: a header row with a wide cell, a blank row, a row of cells with markup, references and a high cell."""

@@ -366,11 +366,36 @@ def test_budget_tables(spark):
 # ---------------------------------------------------------------- markup and models
 
 
+def test_rendered_records(spark):
+    """Formulas keep their TeX, tables their cells, options their images; what is missing is named."""
+    record = {
+        "question_no": 3, "stem_latex": ["$x<1$ (__) <x>", " ", "t <table><tr><td colspan='2'>$a$ ____</td></tr></table> u", "<table></table>"],
+        "options_latex": {"A": ["A."], "B": ["$b$"], "C": ["see <image02> <"], "D": []}, "answer_latex": ["$y = <blank>$"], "issues": [{"type": "odd", "severity": "error", "message": "<m>"}],
+    }
+    df = parsed(spark, record).withColumns({
+        "visual_assets": F.from_json(F.lit('[{"role":"stem_figure","label":"F1"},{"role":"stem_figure","label":"F1"},{"role":"answer_figure","label":"F2"}]'), "array<struct<role:string,label:string>>"),
+        "asset_sources": F.create_map(F.lit("F1"), F.lit("a/f&1.png"), F.lit("A1"), F.lit("a/1.png"), F.lit("C1"), F.lit("a/c.png")),
+        "option_assets": F.from_json(F.lit('{"A":{"placeholder":"<image01>","label":"A1"},"C":{"placeholder":"<image02>","label":"C1"},"D":{"label":"D1"}}'), "map<string,struct<placeholder:string,label:string>>"),
+    })
+    page = markup.render_questions(df).first().html
+    choice = '<span class="choice-blank"><span class="choice-blank-space"></span></span>'
+    for part in (
+        '<section class="question" id="q03"><h2>Q3 <span>', f'<div class="stem"><p class="text-block">$x&lt;1$ {choice} &lt;x&gt;</p>',
+        '<p class="text-block">t</p><div class="table-wrap"><table class="html-table"><tr><td colspan="2">$a$ <span class="blank"></span></td></tr></table></div><p class="text-block">u</p></div>',
+        '<div class="option-key">A.</div><div class="option-body"><p class="text-block"><img class="option-asset" src="a/1.png" alt="A1"></p></div>',
+        '<div class="option-key">B.</div><div class="option-body"><p class="text-block">$b$</p></div>', 'see <img class="option-asset" src="a/c.png" alt="C1"> &lt;',
+        '<div class="option-key">D.</div><div class="option-body"><span class="missing-asset">D1</span></div>', '<div class="figures"><img class="figure" src="a/f&amp;1.png" alt="F1"></div>',
+        r"$y = \underline{\hspace{3em}}$", '<div class="qa-section answer-figures"><h3>答案配图</h3><div class="qa-body"><div class="figures"><span class="missing-asset">F2</span>', "<li><b>error</b> odd: &lt;m&gt;</li>",
+    ):
+        assert part in page, (part, page)
+    assert "解析" not in page and page.endswith("</section>")
+
+
 def test_tables_and_pages(spark):
     cells = markup.table_cells("<table><tr><th colspan=3>a</th></tr><tr><td> </td></tr><tr><td rowspan='99'>b<br>c<td>d &amp; e</table> x <table><tr><td>z</table>")
-    assert cells == [(1, 1, 1, "th", 3, 1, "a"), (1, 3, 1, "td", 1, 1, "b c"), (1, 3, 2, "td", 1, 1, "d & e"), (2, 1, 1, "td", 1, 1, "z")]
+    assert cells == [(1, 1, 1, "th", 3, 1, "a"), (1, 3, 1, "td", 1, 20, "b c"), (1, 3, 2, "td", 1, 1, "d & e"), (2, 1, 1, "td", 1, 1, "z")]
     page = markup.render_runs(parsed(spark, {"stem_latex": ["a < b <blank>"], "issues": [{"type": "left_right_present", "severity": "info", "message": "m"}]})).first().html
-    assert "<p>a &lt; b <span class=\"blank\"></span></p>" in page and "left_right_present" not in page
+    assert '<p class="text-block">a &lt; b <span class="blank"></span></p>' in page and "left_right_present" not in page
     assert markup.render_index(["b", "a", "b"]).count("<li>") == 2
 
 
