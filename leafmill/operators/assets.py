@@ -13,6 +13,10 @@ from .tables import changed_fields, last_wins
 QUESTION_ROLES = ("stem_figure", "option_figure", "stem_table", "option_table")
 ANSWER_ROLES = ("answer_figure", "analysis_figure", "rubric_table")
 OPEN_ROLES = ("noise", "uncertain")
+# Blocks that have a file, and where in a run's folder it may lie; the last holds files by name alone.
+FILED = ("image", "chart", "table", "interline_equation")
+SIDES = ("paper", "answer")
+FOLDERS = ("", "mineru_extract/", "mineru_extract/images/")
 SYNCED = ("visual_assets", "figure_labels", "table_labels", "option_asset_placeholders", "source_answer_labels")
 
 
@@ -106,6 +110,33 @@ TABLES = "struct<tables:array<struct<label:string,role:string,entries:array<stru
 TABLE_ROLES = ("answer_key_table", "rubric_table", "solution_table", "noise", "uncertain")
 
 
+def source_candidates(folder: Column, path: Column) -> Column:
+    """Where the file of a layout item may lie in a run's folder, in order."""
+    whole = F.replace(path, F.lit("\\"), F.lit("/"))
+    name = F.regexp_extract(whole, "[^/]*$", 0)
+    return F.array(*(F.concat(folder, F.lit(f"/{side}/{part}"), name if part.endswith("images/") else whole) for side in SIDES for part in FOLDERS))
+
+
+def asset_map(blocks: DataFrame, layout: DataFrame, listing: DataFrame, run: str = "run_id") -> DataFrame:
+    """(run, label, source): the file of every label of a block that has one; null where there is none.
+
+    blocks: run, folder, stream, pos, label, type, block_id, figure_id; layout:
+    run, stream, key, path, a key once in a run and stream; listing: path. A
+    block's item is that of its block_id, else of its figure_id. Of the blocks
+    of a label the first whose file exists counts, those of questions first.
+    """
+    have = F.lower("type").isin(*FILED) & (F.col("label") != "")
+    rows = blocks.where(have).select(run, "folder", "stream", "pos", "label", "block_id", "figure_id")
+    for c in ("block_id", "figure_id"):
+        item = layout.where("key <> ''").select(run, "stream", F.col("key").alias(c), F.struct(F.nullif("path", F.lit("")).alias("path")).alias(f"_{c}"))
+        rows = rows.join(item, [run, "stream", c], "left")
+    rows = rows.withColumn("_path", F.coalesce("_block_id", "_figure_id")["path"])
+    tries = rows.select(run, "label", (F.col("stream") != "question").alias("side"), "pos", F.posexplode_outer(source_candidates(F.col("folder"), F.col("_path"))).alias("nth", "source"))
+    found = tries.join(listing.select(F.col("path").alias("source"), F.lit(True).alias("_is")).distinct(), "source", "left")
+    best = F.min(F.when(F.col("_is"), F.struct("side", "pos", "nth", "source")))
+    return found.groupBy(run, "label").agg(best["source"].alias("source"))
+
+
 def asset_contexts(assets: DataFrame, candidates: DataFrame, prefill: DataFrame, mode: str, run: str = "run_id") -> DataFrame:
     """What a model is asked about a page's assets: (run, stream, page, assets), candidates ranked, prefilled roles kept only where allowed; pages without an asset give no row.
 

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from ..functions import images
 from ..functions import text as T
 from ..operators import align, assets, layout, markup, records, stages
-from ..sources import commits, readers, writers
+from ..sources import commits, copies, readers, writers
 from .catalogue import LINES, _records, query, table
 from .papers import BLOCKS_SQL, EXAM_SQL, KIND_SQL, _blocks, exam
 
@@ -415,6 +415,28 @@ def rendered_texts(spark, d):
     return spark.read.text(at).select(F.col("run_id").cast("int").alias("run_id"), F.col("value").alias("html"))
 
 
+@query("""WITH f AS (SELECT substring(p_brand, 7) AS folder, sha256(string_agg(p_name, ',' ORDER BY p_partkey, p_name) || chr(10)) || '.txt' AS file, sum(length(p_name) + 1) AS bytes FROM part GROUP BY 1)
+SELECT p_partkey, CASE WHEN p_partkey % 5 < 3 THEN file END AS file, CASE WHEN p_partkey % 5 < 3 THEN bytes END::BIGINT AS bytes FROM part JOIN f ON folder = substring(p_brand, 7) WHERE p_partkey % 5 < 4""")
+def asset_copies(spark, d):
+    """A text file a brand; parts as blocks whose file is that of their brand by either key, a lost one, none, or a block without a file; copied and looked up."""
+    at, k = scratch(spark, "assets"), F.col("p_partkey")
+    part = table(spark, d, "part").withColumn("run_id", F.substring("p_brand", 7, 9))
+    texts = part.groupBy("run_id").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("p_partkey", "p_name"))), lambda x: x["p_name"]), ",").alias("html"))
+    writers.write_texts(texts, f"{at}/paper")
+    names = readers.page_files(spark, f"{at}/paper/*", "*.txt").select(F.regexp_extract("path", "/paper/(run_id=([^/]+)/.*)", 2).alias("run_id"), F.regexp_extract("path", "/paper/(.*)", 1).alias("name"))
+    stream = lambda odd: F.when(odd, "answer").otherwise("question")
+    items = names.select("run_id", "name", F.explode(F.sequence(F.lit(0), F.lit(7))).alias("i"))
+    path = F.when(F.col("i") % 4 == 3, F.lit("lost.txt")).otherwise(F.replace("name", F.lit("/"), F.lit("\\")))
+    items = items.select("run_id", stream(F.col("i") > 3).alias("stream"), F.concat(F.lit("block"), F.col("i") % 4).alias("key"), path.alias("path"))
+    key = F.concat(F.lit("block"), k % 5)
+    blocks = part.select(
+        "run_id", F.lit(at).alias("folder"), stream(k % 2 == 1).alias("stream"), k.alias("pos"), k.cast("string").alias("label"), F.when(k % 5 < 4, "Image").otherwise("text").alias("type"),
+        F.when(k % 5 != 1, key).otherwise("").alias("block_id"), F.when(k % 5 == 1, key).alias("figure_id"),
+    )
+    sources = assets.asset_map(blocks, items, names.select(F.concat(F.lit(f"{at}/paper/"), "name").alias("path")))
+    return sources.join(copies.copy_files(sources, f"{at}/copies"), "source", "left").select(F.col("label").cast("long").alias("p_partkey"), "file", "bytes")
+
+
 ESCAPED = "replace(replace(replace(replace(replace({}, '&', '&amp;'), '<', '&lt;'), '>', '&gt;'), '\"', '&quot;'), '\'\'', '&#x27;')"
 BLANKS_SQL = """'<span class="blank"></span>' AS b, '<span class="choice-blank"><span class="choice-blank-space"></span></span>' AS c"""
 

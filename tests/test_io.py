@@ -232,3 +232,37 @@ def test_page_order(spark):
     seq = spark.createDataFrame([("p", "c", 1), ("p", "b", 5), ("p", "c", 9), ("p", None, 0), ("p", "gone", 2)], "article_url string, url string, at int")
     got = {(r.article_url, r.url): r.place for r in readers.dom_order(images, seq).collect()}
     assert got == {("p", "c"): 1, ("p", "b"): 2, ("p", "a"): 3, ("p", None): 4, ("q", "a"): 1}
+
+
+def test_copies_are_named_by_content(spark, tmp_path):
+    """Equal files are one copy, missing ones are rows with nulls, a second run leaves no parts and changes nothing."""
+    from leafmill.sources import copies
+
+    (tmp_path / "a.PNG").write_bytes(b"same")
+    (tmp_path / "b c.png").write_bytes(b"same")
+    (tmp_path / "d").write_bytes(bytes(3 << 20))
+    names = ["a.PNG", "b c.png", "d", "gone.png", "a.PNG"]
+    rows = spark.createDataFrame([(str(tmp_path / n), 1) for n in names] + [(None, 2), (str(tmp_path), 3)], "source string, file int")
+    target = tmp_path / "copies"
+    for _ in range(2):
+        got = {r.source.rsplit("/", 1)[1]: (r.file, r.bytes) for r in copies.copy_files(rows, f"file://{target}").collect()}
+        assert got["a.PNG"] == got["b c.png"] and got["a.PNG"][1] == 4 and got["d"][0].endswith(".png") and got["d"][1] == 3 << 20
+        assert got["gone.png"] == got[tmp_path.name] == (None, None) and len(got) == 5
+        assert sorted(p.name for p in target.iterdir()) == sorted({got["a.PNG"][0], got["d"][0]})
+    assert (target / got["d"][0]).read_bytes() == bytes(3 << 20)
+    assert copies.copy_files(rows.limit(0), str(target)).count() == 0
+
+
+def test_asset_map_takes_the_first_block_whose_file_exists(spark):
+    from leafmill.operators import assets
+
+    block = "run_id string, folder string, stream string, pos int, label string, type string, block_id string, figure_id string"
+    rows = [
+        ("r", "/d", "answer", 0, "L1", "image", "k1", None), ("r", "/d", "question", 9, "L1", "chart", "k2", "k1"), ("r", "/d", "question", 3, "L1", "image", "k3", ""),
+        ("r", "/d", "question", 1, "L2", "text", "k2", ""), ("r", "/d", "question", 2, "L3", "Table", None, "k2"), ("r", "/d", "question", 4, "L4", "image", "k4", "k2"), ("r", "/d", "answer", 5, "L5", None, "k1", ""),
+    ]
+    items = spark.createDataFrame([("r", "question", "k2", "x\\y.png"), ("r", "question", "k3", "none.png"), ("r", "question", "k4", ""), ("r", "answer", "k1", "z.png"), ("r", "question", "", "q")], "run_id string, stream string, key string, path string")
+    listing = spark.createDataFrame([("/d/paper/mineru_extract/images/y.png",), ("/d/answer/x/y.png",), ("/d/answer/z.png",)], "path string")
+    got = {r.label: r.source for r in assets.asset_map(spark.createDataFrame(rows, block), items, listing).collect()}
+    # An item found by the first key counts, even without a path.
+    assert got == {"L1": "/d/paper/mineru_extract/images/y.png", "L3": "/d/paper/mineru_extract/images/y.png", "L4": None}
