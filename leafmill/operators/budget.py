@@ -8,6 +8,9 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions import text as T
+from ..functions import tokens
+
 # Fixed values of the limiter.
 WINDOW_SECONDS, RESERVE, LEAST_WAIT, SLACK = 60.0, 2048, 0.25, 0.05
 BOUNDARY_TOKENS = 2
@@ -29,6 +32,19 @@ def estimates(messages: DataFrame, conv: str, text: str, order: str, chars: int
     return part.withColumn("total_tokens", F.greatest(F.lit(1).cast("long"), F.col("text_tokens") + F.col("message_count") - 1 + reserved))
 
 
+def token_estimates(messages: DataFrame, conv: str, role: str, text: str, reserved: int = RESERVE, path: str = tokens.VOCABULARY) -> DataFrame:
+    """(conv, text_tokens, message_count, total_tokens): tokens of a conversation's lines ``role: text`` joined by line feeds, and with the reserve.
+
+    Messages are counted one by one and never joined: a line feed between two of
+    them is one token of its own, since no word of the vocabulary's pattern
+    holds a line feed and what follows it. A blank role is ``user``.
+    """
+    line = F.concat(T.or_default(F.col(role), "user"), F.lit(": "), F.coalesce(F.col(text), F.lit("")))
+    counted = messages.select(conv, tokens.token_count(line, path).alias("_n"))
+    part = counted.groupBy(conv).agg((F.sum("_n") + F.count("*") - 1).alias("text_tokens"), F.count("*").alias("message_count"))
+    return part.withColumn("total_tokens", F.greatest(F.lit(1).cast("long"), F.col("text_tokens") + reserved))
+
+
 def total(text: Column, image: Column, images: Column, reserved: Column) -> Column:
     return F.greatest(F.lit(1), text + image + images * BOUNDARY_TOKENS + reserved)
 

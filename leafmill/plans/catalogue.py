@@ -273,6 +273,12 @@ def token_estimate(spark, d):
     return budget.estimates(table(spark, d, "conversations"), "conv_id", "text", "turn")
 
 
+@query()
+def token_estimate_exact(spark, d):
+    """Subword tokens of whole conversations."""
+    return budget.token_estimates(table(spark, d, "conversations"), "conv_id", "role", "text")
+
+
 # ---------------------------------------------------------------- documents and labels
 
 

@@ -189,3 +189,42 @@ def test_match_ratio_finds_text_after_the_cut():
 
     long = "".join(f"word{i}" for i in range(100))
     assert list(mathtext.match_ratio.func(pd.Series([long + "the passage held", "short"]), pd.Series(["the passage held", "short"]))) == [1.0, 0.0]
+
+
+def _plain_encoding():
+    import base64
+
+    import tiktoken
+
+    from leafmill.functions import tokens
+
+    lines = open(tokens.VOCABULARY, "rb").read().split(b"\n")
+    ranks = {base64.b64decode(a): int(b) for a, b in (x.split() for x in lines if x)}
+    return tiktoken.Encoding("own", pat_str=tokens.WORDS, mergeable_ranks=ranks, special_tokens={})
+
+
+def test_encoder_equals_a_known_one():
+    import random
+
+    from leafmill.functions import tokens
+
+    known, own, rng = _plain_encoding(), tokens.Encoder(), random.Random(5)
+    alphabet = "aab e\n\t '.,s12é中文字🙂ßΩ-_"
+    texts = ["", " ", "\n", "it's we'll", "a" * 5000, "中文" * 3000, "ab" * 999 + " " * 700 + "x", *("".join(rng.choices(alphabet, k=rng.randrange(1, 200))) for _ in range(400))]
+    for text in texts:
+        assert own.encode(text) == known.encode_ordinary(text), text[:80]
+    assert own.encode(None) == []
+
+
+def test_token_estimates_equal_joined_conversations(spark):
+    from leafmill.operators import budget
+
+    rows = [(1, "user", "Hi there "), (1, None, "  line\n\n"), (1, " ", ""), (2, "assistant", None), (3, "user", "\n"), (3, "a", "x" * 3000), (None, "user", "no conversation")]
+    df = spark.createDataFrame(rows, "conv_id long, role string, text string")
+    known, joined = _plain_encoding(), {}
+    for conv, role, text in rows:
+        joined.setdefault(conv, []).append(f"{(role or '').strip() or 'user'}: {text or ''}")
+    got = {r.conv_id: r for r in budget.token_estimates(df, "conv_id", "role", "text").collect()}
+    assert {k: r.text_tokens for k, r in got.items()} == {k: len(known.encode_ordinary("\n".join(v))) for k, v in joined.items()}
+    assert got[1].total_tokens == got[1].text_tokens + 2048 and got[1].message_count == 3
+    assert budget.token_estimates(df.limit(0), "conv_id", "role", "text").count() == 0
