@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from ..functions import arrays as A
 from ..functions import geometry as G
+from ..functions import mathtext as M
 from ..functions import text as T
 from ..operators import align, assets, budget, layout, markup, models, records, tables
 from ..sources import readers
@@ -253,6 +254,19 @@ def image_token_counts(spark, d):
     return table(spark, d, "part").select("p_partkey", G.image_tokens(F.col("p_size") * 97, (F.col("p_partkey") % 5000) + 1).alias("tokens"))
 
 
+@query("""WITH x AS (SELECT doc_id, substring(text, 20, 200) AS t, 8 + doc_id % 9 AS k FROM documents)
+SELECT doc_id, CASE WHEN doc_id % 3 = 2 THEN CASE WHEN k >= 10 THEN 'analysis' END WHEN length(regexp_replace(t, '[\\s$\\\\{}()\\[\\]（）,，.。:：;；]+', '', 'g')) >= 8 THEN CASE doc_id % 3 WHEN 0 THEN 'stem' ELSE 'analysis' END END AS best_role,
+  CASE WHEN doc_id % 3 = 2 THEN CASE WHEN k >= 10 THEN k / 16.0 END WHEN length(regexp_replace(t, '[\\s$\\\\{}()\\[\\]（）,，.。:：;；]+', '', 'g')) >= 8 THEN 1 END::DOUBLE AS best_ratio FROM x""")
+def text_roles(spark, d):
+    """A passage of each document, and of every third 16 letters against 8 to 16 of them, beside the whole text and texts without any."""
+    third, near = F.col("doc_id") % 3, F.expr("concat(substring('abcdefghijklmnop', 1, 8 + doc_id % 9), substring('0123456789', 1, 8 - doc_id % 9))")
+    rows = table(spark, d, "documents").select(
+        "doc_id", F.when(third == 2, "Abcdefgh (ijklmnop)").otherwise(F.substring("text", 20, 200)).alias("t"), F.when(third == 1, "0123 4567 89").otherwise(F.col("text")).alias("stem"),
+        F.lit("0123 4567 89 #").alias("answer"), F.when(third == 0, "@@@@@@@@@@@@").when(third == 1, F.col("text")).otherwise(near).alias("analysis"),
+    )
+    return M.best_role(rows, "t", {"stem": "stem", "answer": "answer", "analysis": "analysis"}).select("doc_id", "best_role", "best_ratio")
+
+
 @query("""SELECT conv_id, turn, '[{"role":"system","content":"be brief"},{"role":"user","content":' || to_json(text)::VARCHAR || '}]' AS messages, text || chr(10) || role AS shown FROM conversations""")
 def chat_messages(spark, d):
     parts = F.array(F.struct(F.lit("text").alias("type"), F.col("text").alias("text")), F.struct(F.lit("image").alias("type"), F.lit("no").alias("text")), F.struct(F.lit("text").alias("type"), F.col("role").alias("text")))

@@ -228,3 +228,35 @@ def test_token_estimates_equal_joined_conversations(spark):
     assert {k: r.text_tokens for k, r in got.items()} == {k: len(known.encode_ordinary("\n".join(v))) for k, v in joined.items()}
     assert got[1].total_tokens == got[1].text_tokens + 2048 and got[1].message_count == 3
     assert budget.token_estimates(df.limit(0), "conv_id", "role", "text").count() == 0
+
+
+def test_similarity_equals_the_known_measure():
+    import random
+    from difflib import SequenceMatcher
+
+    rng = random.Random(3)
+    for _ in range(300):
+        a, b = ("".join(rng.choices("abc题🙂", k=rng.randrange(0, 40))) for _ in range(2))
+        b = b if rng.random() < 0.5 else a[: rng.randrange(0, 40)] + b
+        assert M.similarity(a, b) == SequenceMatcher(None, a, b, autojunk=False).ratio(), (a, b)
+    long = "".join(rng.choices("abcdefgh", k=600))
+    assert M.similarity(long, long[3:]) == SequenceMatcher(None, long[:260], long[3:263], autojunk=False).ratio()
+
+
+def test_best_role_equals_comparing_every_pair(spark):
+    """What the bounds decide is what the measure would say, for random near and far texts, nulls and blanks."""
+    import random
+
+    import pandas as pd
+
+    rng, rows = random.Random(11), []
+    for i in range(200):
+        a = "".join(rng.choices("abcdef 题，$", k=rng.randrange(0, 60)))
+        edit = "".join(c if rng.random() < 0.8 else rng.choice("xyz") for c in a)
+        rows.append((i, rng.choice([a, a, None]), rng.choice([edit, a[3:], "other text of no kin", None]), "".join(rng.choices("abcdef", k=30))))
+    df = spark.createDataFrame(rows, "i int, t string, p string, q string")
+    got = {r.i: (r.best_role, r.best_ratio) for r in M.best_role(df, "t", {"p": "p", "q": "q"}).collect()}
+    for i, t, p, q in rows:
+        x, y = M.match_ratio.func(pd.Series([t, t]), pd.Series([p, q]))
+        best = (("p", x) if x >= y else ("q", y)) if max(x, y) >= 0.58 else (None, None)
+        assert got[i] == best, (t, p, q)
