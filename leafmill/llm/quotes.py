@@ -2,7 +2,7 @@
 
 Each message is parsed into its own words and its quoted passages: runs of
 lines with one depth of ``>`` marks (attribution lines that announce a quote
-go). Passages, their paragraphs and their lines are normalised (white space,
+belong to it). Passages, their paragraphs and their lines are normalised (white space,
 case, punctuation at the ends) and hashed, as are the own words of every
 message; a quote joins the message it repeats:
 
@@ -25,8 +25,10 @@ turn, a reply behind what it replies to, replies to one message by conversation
 and turn. The trees are numbered without paths: an Euler tour (enter a message,
 its replies one by one, leave it) is a linked list, and pointer doubling ranks
 it, so a thread of n replies takes log2 n rounds of n rows. ``build_chats``
-writes each chat in parts of PART messages in that order, without quotes, so
-no chat is gathered in one row or task, however long it is.
+writes each chat in parts of PART messages in that order, so no chat is
+gathered in one row or task, however long it is. Quotes found in full, whole or
+line by line, are left out; a quote that is not, with the line that announces
+it, stays as written, since its words are nowhere else.
 
 Windows by turn go in two levels (blocks of turns, then inside a block), so a
 phrase that a whole conversation repeats is no single task.
@@ -41,6 +43,7 @@ whatever their names.
 
 from __future__ import annotations
 
+import hashlib
 import re
 
 import pyarrow as pa
@@ -58,36 +61,40 @@ MIN_PASSAGE = 12
 FIRST = -(1 << 62)
 #: Binary logarithms of the turns of a block and of the conversations of a block of replies, and messages of a part.
 TURNS, CONVERSATIONS, PART = 10, 10, 256
+TOLD = "told array<struct<depth:int,passage:string,whole:boolean,quote:long,line:boolean,lines:int>>, pieces array<struct<quote:long,text:string>>"
 
 
-def parse(text: str | None) -> tuple[str, list[tuple[int, str]]]:
-    """Own words of a message and its quoted passages with their depths, in order."""
-    own: list[str] = []
-    quotes: list[tuple[int, list[str]]] = []
-    quoting = 0
+def runs(text: str | None) -> list[tuple[int, str, str]]:
+    """The message cut where the depth of quoting changes: (depth, lines as written, lines without marks), in order.
+
+    The line that announces a quote stands at the head of its lines as written.
+    """
+    found: list[tuple[int, list[str], list[str]]] = []
     for line in (text or "").split("\n"):
         m = MARK.match(line)
         depth = m[1].count(">") if m else 0
-        if depth:
-            if not quoting:
-                while own and not own[-1].strip():
-                    own.pop()
-                if own and ATTRIBUTION.match(own[-1].strip()):
-                    own.pop()
-            if depth != quoting:
-                quotes.append((depth, []))
-            quotes[-1][1].append(m[2])
-        else:
-            own.append(line)
-        quoting = depth
-    body = re.sub(r"\n{3,}", "\n\n", "\n".join(own)).strip()
-    kept = []
-    for depth, lines in quotes:
-        while lines and ATTRIBUTION.match(lines[-1].strip()):
-            lines.pop()
-        if any(x.strip() for x in lines):
-            kept.append((depth, "\n".join(lines)))
-    return body, kept
+        if not found or found[-1][0] != depth:
+            head: list[str] = []
+            if depth and found and not found[-1][0]:
+                _, written, plain = found[-1]
+                while written and not written[-1].strip():
+                    written.pop(), plain.pop()
+                if written and ATTRIBUTION.match(written[-1].strip()):
+                    head, _ = [written.pop()], plain.pop()
+            found.append((depth, head, []))
+        found[-1][1].append(line)
+        found[-1][2].append(m[2] if m else line)
+    for depth, _, plain in found:
+        while depth and plain and ATTRIBUTION.match(plain[-1].strip()):
+            plain.pop()
+    return [(depth, "\n".join(written), "\n".join(plain)) for depth, written, plain in found if written]
+
+
+def parse(text: str | None) -> tuple[str, list[tuple[int, str]]]:
+    """Own words of a message and its quoted passages with their depths, in order."""
+    cut = runs(text)
+    body = re.sub(r"\n{3,}", "\n\n", "\n".join(written for depth, written, _ in cut if not depth)).strip()
+    return body, [(depth, plain) for depth, _, plain in cut if depth and plain.strip()]
 
 
 def normal(text: str) -> str:
@@ -100,19 +107,30 @@ def passages(text: str) -> set[str]:
     return {p for p in map(normal, every) if p}
 
 
+def _name(passage: str) -> int:
+    """What a quote goes by: a hash of its normalised text, so the same quote of repeated rows is one."""
+    return int.from_bytes(hashlib.blake2b(passage.encode("utf-8", "replace"), digest_size=8).digest(), "little", signed=True)
+
+
 def _parse_rows(batches):
+    passage = pa.struct([("depth", pa.int32()), ("passage", pa.string()), ("whole", pa.bool_()), ("quote", pa.int64()), ("line", pa.bool_()), ("lines", pa.int32())])
+    kind, piece = pa.list_(passage), pa.list_(pa.struct([("quote", pa.int64()), ("text", pa.string())]))
     for batch in batches:
-        body, n_quotes, told = [], [], []
+        body, n_quotes, told, pieces = [], [], [], []
         for text in batch.column("text"):
-            own, quotes = parse(text.as_py())
+            text = text.as_py()
+            own, quotes = parse(text)
             body.append(own)
             n_quotes.append(len(quotes))
-            each = [(d, normal(t), sorted(passages(t))) for d, t in [(0, own), *quotes]]
-            told.append([{"depth": d, "passage": p, "whole": p == whole} for d, whole, found in each for p in found])
-        kind = pa.list_(pa.struct([("depth", pa.int32()), ("passage", pa.string()), ("whole", pa.bool_())]))
+            found = []
+            for depth, said in [(0, own), *quotes]:
+                whole, lines = normal(said), {p for p in map(normal, said.split("\n")) if p} if depth else set()
+                found += [{"depth": depth, "passage": p, "whole": p == whole, "quote": _name(whole), "line": p in lines, "lines": len(lines)} for p in sorted(passages(said))]
+            told.append(found)
+            pieces.append([{"quote": _name(normal(plain)) if depth and normal(plain) else None, "text": written} for depth, written, plain in runs(text)] if quotes else [])
         yield pa.RecordBatch.from_arrays(
-            [*(batch.column(c) for c in ("conv_id", "turn", "role")), pa.array(body, pa.string()), pa.array(n_quotes, pa.int64()), pa.array(told, kind)],
-            ["conv_id", "turn", "role", "body", "n_quotes", "told"],
+            [*(batch.column(c) for c in ("conv_id", "turn", "role")), pa.array(body, pa.string()), pa.array(n_quotes, pa.int64()), pa.array(told, kind), pa.array(pieces, piece)],
+            ["conv_id", "turn", "role", "body", "n_quotes", "told", "pieces"],
         )
 
 
@@ -128,12 +146,12 @@ def before(df: DataFrame, keys: list[str], by: str, columns: dict, agg, width: i
 
 
 def link_quotes(messages: DataFrame) -> DataFrame:
-    """(conv_id, turn, parent, ordered, n_linked) of the messages whose quotes were found, saved; no null ids."""
+    """(conv_id, turn, parent, ordered, n_linked, gone) of the messages whose quotes were found, saved; no null ids. gone: the quotes found in full."""
     n = F.length("p.passage")
     # A short passage is hashed with its conversation, so it never meets others'.
     place = F.when(n < MIN_PASSAGE, F.concat(F.col("conv_id").cast("string"), F.lit("\n"))).otherwise(F.lit(""))
     hashed = messages.select("conv_id", "turn", F.explode("told").alias("p")).select(
-        "conv_id", "turn", F.col("p.depth").alias("depth"), "p.whole", n.alias("n"), F.sha2(F.concat(place, F.col("p.passage")).cast("binary"), 256).alias("hash")
+        "conv_id", "turn", F.col("p.depth").alias("depth"), "p.whole", "p.quote", "p.line", "p.lines", n.alias("n"), F.sha2(F.concat(place, F.col("p.passage")).cast("binary"), 256).alias("hash")
     )
     quoted = hashed.where("depth > 0").select("hash").distinct()
     # Only passages that someone quotes go on.
@@ -149,11 +167,15 @@ def link_quotes(messages: DataFrame) -> DataFrame:
     me = F.struct("conv_id", "turn")
     fits = lambda c: F.col(c).isNotNull() & ((F.col(f"{c}.conv_id") != F.col("conv_id")) | (F.col(c) < me))
     found = near.join(origin, "hash", "left").select(
-        "conv_id", "turn", "depth", "n",
+        "conv_id", "turn", "depth", "n", "hash", "whole", "quote", "line", "lines",
         F.when(F.col("near").isNotNull(), F.struct("conv_id", F.col("near").alias("turn"))).when(fits("first"), F.col("first")).when(fits("second"), F.col("second")).alias("source"),
     ).where("source is not null")
     best = lambda which: F.max(F.when((F.col("depth") == 1) & which, F.struct("n", "source")))["source"]
     links = found.groupBy("conv_id", "turn").agg(best(F.lit(True)).alias("parent"), best(F.col("source") < me).alias("ordered"), F.count("*").alias("n_linked"))
+    # Quotes that are found: whole, or line by line.
+    each = found.groupBy("conv_id", "turn", "quote").agg(((F.max("whole")) | (F.count_distinct(F.when(F.col("line"), F.col("hash"))) == F.max("lines"))).alias("all"))
+    gone = each.where("all").groupBy("conv_id", "turn").agg(F.collect_set("quote").alias("gone"))
+    links = links.join(gone, ["conv_id", "turn"], "left")
     return break_cycles(kit.save(links, "quote-links"))
 
 
@@ -183,7 +205,7 @@ def break_cycles(links: DataFrame) -> DataFrame:
         if alive == 0 or not cut.take(1):
             kit.drop_saved(state)
             return links
-        new = links.join(cut, ["conv_id", "turn"], "left").select("conv_id", "turn", F.when(F.col("cut"), F.col("ordered")).otherwise(F.col("parent")).alias("parent"), "ordered", "n_linked")
+        new = links.join(cut, ["conv_id", "turn"], "left").select("conv_id", "turn", F.when(F.col("cut"), F.col("ordered")).otherwise(F.col("parent")).alias("parent"), "ordered", "n_linked", "gone")
         new = kit.save(new, "quote-links")
         kit.drop_saved(state)
         kit.drop_saved(links)
@@ -238,10 +260,10 @@ def format_chats(conversations: DataFrame, conv_col="conv_id", turn_col="turn",
     slim = conversations.select(
         number(conv_col).alias("conv_id"), number(turn_col).alias("turn"), F.coalesce(F.col(role_col).cast("string"), F.lit("unknown")).alias("role"), F.col(text_col).cast("string").alias("text")
     )
-    parsed = kit.save(slim.mapInArrow(kit.lean(_parse_rows), "conv_id long, turn long, role string, body string, n_quotes long, told array<struct<depth:int,passage:string,whole:boolean>>"), "quote-messages")
+    parsed = kit.save(slim.mapInArrow(kit.lean(_parse_rows), "conv_id long, turn long, role string, body string, n_quotes long, " + TOLD), "quote-messages")
     links = link_quotes(parsed)
     placed = kit.save(number_replies(links), "quote-places")
-    told = kit.save(links.select("conv_id", "turn", F.col("parent.conv_id").alias("parent_conv"), F.col("parent.turn").alias("parent_turn"), "n_linked"), "quote-told")
+    told = kit.save(links.select("conv_id", "turn", F.col("parent.conv_id").alias("parent_conv"), F.col("parent.turn").alias("parent_turn"), "n_linked", "gone"), "quote-told")
     # Places in a chat: how many messages its earlier trees have, then the place in the tree.
     keys = parsed.groupBy("conv_id", "turn").agg(F.count("*").alias("copies"))
     keys = kit.join_small(keys, placed, ["conv_id", "turn"], "left").select(
@@ -251,9 +273,14 @@ def format_chats(conversations: DataFrame, conv_col="conv_id", turn_col="turn",
     trees = before(keys.groupBy("chat", "root").agg(F.sum("copies").alias("size")), ["chat"], "root", {"start": F.col("size")}, F.sum, TURNS).select("chat", "root", "start")
     inner = before(keys, ["chat", "root"], "place", {"inner": F.col("copies")}, F.sum, TURNS)
     keys = inner.join(trees, ["chat", "root"]).select("conv_id", "turn", "chat", "depth", (F.col("start") + F.col("inner")).alias("start"))
-    same = Window.partitionBy("conv_id", "turn").orderBy("role", F.xxhash64("body"))
+    same = Window.partitionBy("conv_id", "turn").orderBy("role", F.xxhash64("body", "pieces"))
     out = parsed.drop("told").withColumn("copy", F.row_number().over(same) - 1).join(keys, ["conv_id", "turn"])
     out = kit.join_small(out, told, ["conv_id", "turn"], "left")
+    # A quote without an original is nowhere else, so it stays where it stood.
+    lost = lambda p: p["quote"].isNotNull() & ~F.coalesce(F.array_contains("gone", p["quote"]), F.lit(False))
+    kept = F.array_join(F.transform(F.filter("pieces", lambda p: p["quote"].isNull() | lost(p)), lambda p: p["text"]), "\n")
+    kept = F.regexp_replace(F.regexp_replace(kept, "\n{3,}", "\n\n"), r"(?U)^\s+|\s+$", "")
+    out = out.withColumn("body", F.when(F.exists("pieces", lost), kept).otherwise(F.col("body")))
     back = lambda c: F.when(F.col(c) != FIRST, F.col(c))
     return out.select(
         back("chat").alias("chat_id"), (F.col("start") + F.col("copy")).alias("position"), back("conv_id").alias("conv_id"), back("turn").alias("turn"), "depth", "role",

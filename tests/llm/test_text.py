@@ -422,6 +422,21 @@ def test_quotes(spark):
     assert quotes.format_chats(df.limit(0)).count() == 0
 
 
+def test_quotes_without_an_original_stay(spark):
+    """Only what is found elsewhere goes: whole quotes, quotes whose every line is found, not those with a line of their own; copies of a row apart."""
+    rows = [
+        (1, 0, "a", "The first long sentence here.\nAnd then a second sentence."), (1, 1, "b", "Something else in between."),
+        (1, 2, "a", "Al wrote:\n> The first long sentence here.\nmine"), (1, 3, "b", "> And then a second sentence.\n> Something else in between.\nboth lines"),
+        (1, 4, "a", "top\n\nAl wrote:\n> And then a second sentence.\n> never said by anyone\n\nbottom"), (2, 0, "a", "> nowhere to be found\n> > deeper one\n"),
+        (3, 0, "a", "> nowhere to be found\nx"), (3, 0, "a", "> The first long sentence here.\nx"), (3, 1, "a", ">\n> \nblank"),
+    ]
+    got = sorted((r.conv_id, r.turn, r.formatted.split("\n", 1)[1].removesuffix("\n<|end|>\n")) for r in quotes.format_chats(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")).collect())
+    assert got == [
+        (1, 0, rows[0][3]), (1, 1, rows[1][3]), (1, 2, "mine"), (1, 3, "both lines"), (1, 4, "top\n\nAl wrote:\n> And then a second sentence.\n> never said by anyone\n\nbottom"),
+        (2, 0, "> nowhere to be found\n> > deeper one"), (3, 0, "> nowhere to be found\nx"), (3, 0, "x"), (3, 1, "blank"),
+    ]
+
+
 def test_quotes_of_later_conversations_and_short_ones(spark):
     a, b, c, d = (f"a sentence that conversation {x} begins with" for x in "abcd")
     rows = [
