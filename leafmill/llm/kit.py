@@ -65,12 +65,37 @@ def save(df: DataFrame, name: str, by: str | None = None) -> DataFrame:
     return back
 
 
-def drop_saved(df: DataFrame) -> None:
-    """Delete a table that save() wrote and no result reads any more."""
+def save_chunks(rows: DataFrame, name: str, buckets: int) -> DataFrame:
+    """Write rows with a `kind` and a `chunk` of chunk_ids() as a table bucketed by the task that made the chunk, and read it back.
+
+    with_told() then brings each chunk what belongs to it without moving the chunks.
+    """
+    spark = rows.sparkSession
+    table = f"leafmill_{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark)}/leafmill-{name}-{table[9:]}"
+    made = rows.withColumn("part", F.shiftright("chunk", 32))
+    made.write.partitionBy("kind").bucketBy(buckets, "part").option("compression", "zstd").option("path", path).saveAsTable(table)
+    back = spark.table(table)
+    back.leafmill_path = path
+    return back
+
+
+def with_told(chunks: DataFrame, told: DataFrame, how: str = "inner") -> DataFrame:
+    """Join chunks of save_chunks() with told, a row a chunk, by chunk: only told is shuffled, at any size.
+
+    The table is bucketed by part, so part alone is the key; the chunk is compared as a condition, few chunks share a part.
+    """
+    told = told.withColumnRenamed("chunk", "told_chunk").withColumn("told_part", F.shiftright("told_chunk", 32))
+    on = (chunks["part"] == F.col("told_part")) & (chunks["chunk"] - F.col("told_chunk") == 0)
+    return chunks.join(told.hint("shuffle_hash"), on, how)
+
+
+def drop_saved(df: DataFrame, kind: str | None = None) -> None:
+    """Delete a table that save() or save_chunks() wrote, or one kind of its rows, once no result reads it any more."""
     path = getattr(df, "leafmill_path", None)
     if path:
         jvm = df.sparkSession._jvm
-        where = jvm.org.apache.hadoop.fs.Path(path)
+        where = jvm.org.apache.hadoop.fs.Path(f"{path}/kind={kind}" if kind else path)
         with contextlib.suppress(Exception):
             where.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(where, True)
 

@@ -59,7 +59,9 @@ def test_exact(spark):
     assert "doc_id" in exact_dedup.exact_dedup(frame(spark, rows)).columns
 
 
-def test_substring(spark):
+@pytest.mark.parametrize("chunk_bytes", [1, 2000, 1 << 22])
+def test_substring(spark, monkeypatch, chunk_bytes):
+    monkeypatch.setattr(substring_dedup, "CHUNK_BYTES", chunk_bytes)
     rows = corpus()
     window = 20
     firsts: dict = {}
@@ -81,6 +83,15 @@ def test_substring(spark):
     assert sum(r[2] for r in want) > 100
 
 
+def test_substring_moves_texts_once(spark):
+    """Behind the range partitioning no plan shuffles or broadcasts the chunks: their side of the last join is a bucketed scan."""
+    got = substring_dedup.substring_dedup(frame(spark, corpus()), owners=8)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "Bucketed: true" in plan and "Broadcast" not in plan
+    join = plan[plan.index("ShuffledHashJoin") :]
+    assert "Exchange" not in join[: join.index("Bucketed: true")]
+
+
 @pytest.mark.parametrize("window", range(2, 24))
 def test_covers_meet(window):
     v, on, k = substring_dedup.cover_of(window)
