@@ -460,7 +460,7 @@ def jaccard_classes(docs: DataFrame, id_col="doc_id", text_col="text", k: int =
     chunks = kit.save(slim.select("text").mapInArrow(kit.lean(_prefixes(k, percent, hot, owners)), kit.ROUTED), "jaccard-prefixes", by="kind")
     replies = kit.exchange(chunks.where("kind = 'message'").select("owner", "chunk", "payload"), owners, _pivots, "jaccard-pivots")
     states = chunks.where("kind = 'state'").select("chunk", "payload")
-    members = kit.save(kit.join_replies(states, replies, states_are_small=True).mapInArrow(kit.lean(_members(percent)), "pivot long, cls binary, n long").distinct(), "jaccard-members")
+    members = kit.save(kit.join_replies(states, replies).mapInArrow(kit.lean(_members(percent)), "pivot long, cls binary, n long").distinct(), "jaccard-members")
     kit.drop_saved(chunks)
     kit.drop_saved(replies)
     groups = members.groupBy("pivot").agg(F.count("*").alias("m"), F.sum("n").alias("total"), F.min("cls").alias("hub")).where("m > 1")

@@ -105,6 +105,12 @@ def parts(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
 
 
+def owners_for(docs: DataFrame, text_col: str, share: int) -> int:
+    """Owners of fingerprints: as many as shuffle partitions, more where each would have over `share` bytes of text."""
+    size = docs.agg(F.sum(F.octet_length(text_col).cast("long"))).first()[0] or 0
+    return max(parts(docs.sparkSession), -(-size // share))
+
+
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
@@ -427,12 +433,9 @@ def exchange(messages: DataFrame, owners: int, answer: Callable[[list[bytes]], l
     return save(replies.groupBy("chunk").agg(F.sort_array(F.collect_list(F.struct("owner", "reply"))).alias("replies")), name)
 
 
-def join_replies(states: DataFrame, replies: DataFrame, states_are_small: bool = False) -> DataFrame:
-    """Bring each chunk its replies; broadcast where their summed size is small, unless the states are as small themselves."""
-    if states_are_small:
-        return states.hint("shuffle_hash").join(replies.hint("shuffle_hash"), "chunk")
-    total = replies.select(F.aggregate("replies", F.lit(0), lambda a, r: a + F.length(r["reply"]) + 24).alias("n")).agg(F.sum("n")).first()[0]
-    return states.join(F.broadcast(replies) if (total or 0) <= BROADCAST_BYTES else replies, "chunk")
+def join_replies(states: DataFrame, replies: DataFrame) -> DataFrame:
+    """Bring each chunk its replies; the states hold no texts, so both sides are shuffled."""
+    return states.hint("shuffle_hash").join(replies.hint("shuffle_hash"), "chunk")
 
 
 def repeated_marks(payloads: list[bytes]) -> list[bytes]:
@@ -459,7 +462,7 @@ def emit(schema: list[tuple[str, pa.DataType]], *columns) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(arrays, [n for n, _ in schema])
 
 
-# ---------------------------------------------------------------- repeated anchors
+# ---------------------------------------------------------------- messages and texts
 
 #: Anchors of one chunk.
 CHUNK_ANCHORS = 1 << 20
@@ -491,83 +494,5 @@ def texts_of(batch: pa.RecordBatch) -> Iterator[tuple[int, int, np.ndarray, np.n
         yield a, b, buf[off[a] : off[b]], off[a : b + 1] - off[a]
 
 
-def repeated_anchors(docs: DataFrame, anchors, bits: int, name: str, owners: int | None = None) -> DataFrame:
-    """Which anchors of each text occur anywhere else: saved rows doc_id, thash, marks (a bitmap).
-
-    anchors(bytes, offsets) gives fingerprints of `bits` bits in text order and
-    their number in each text. Only compressed sorted fingerprints and bitmaps
-    are exchanged; texts without a repeated anchor give no row.
-    """
-    owners = owners or parts(docs.sparkSession)
-
-    def scan(batches):
-        import pickle
-
-        chunk = chunk_ids()
-        held: list[tuple] = []
-        n = 0
-
-        def flush():
-            ids, thash, counts, prints = (np.concatenate(x) for x in zip(*held, strict=True))
-            seen, back, times = np.unique(prints, return_inverse=True, return_counts=True)
-            cuts = list(by_owner(seen, bits, owners))
-            k = next(chunk)
-            yield routed("state", [-1], k, [pickle.dumps((ids, thash, counts, back.astype(np.uint32), np.packbits(times > 1), cuts))])
-            if cuts:
-                yield routed("message", [o for o, _, _ in cuts], k, [rice_encode(seen[a:b]) for _, a, b in cuts])
-
-        for batch in batches:
-            ids, thash = ids_of(batch.column("doc_id")), batch.column("thash").to_numpy(zero_copy_only=False)
-            for a, b, buf, starts in texts_of(batch):
-                prints, counts = anchors(buf, starts)
-                held.append((ids[a:b], thash[a:b], counts.astype(np.int32), prints))
-                n += len(prints)
-                if n >= CHUNK_ANCHORS:
-                    yield from flush()
-                    held.clear()
-                    n = 0
-        if n:
-            yield from flush()
-
-    def receive(batches):
-        import pickle
-
-        for batch in batches:
-            for payload, replies in zip(batch.column("payload").to_pylist(), batch.column("replies").to_pylist(), strict=True):
-                ids, thash, counts, back, local, cuts = pickle.loads(payload)
-                marks = np.unpackbits(local, count=cuts[-1][2]).astype(bool)
-                told = {r["owner"]: r["reply"] for r in replies}
-                for o, a, b in cuts:
-                    marks[a:b] |= np.unpackbits(np.frombuffer(told[o], np.uint8), count=b - a).astype(bool)
-                each = marks[back]
-                ends = np.cumsum(counts, dtype=np.int64)
-                total = np.concatenate([[0], np.cumsum(each)])
-                any_ = np.flatnonzero(total[ends] > total[ends - counts])
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        ids_back(ids[any_]),
-                        pa.array(thash[any_], pa.int64()),
-                        pa.array([np.packbits(each[ends[i] - counts[i] : ends[i]]).tobytes() for i in any_], pa.binary()),
-                    ],
-                    ["doc_id", "thash", "marks"],
-                )
-
-    rows = save(docs.mapInArrow(lean(scan), ROUTED), f"{name}-anchors", by="kind")
-    replies = exchange(rows.where("kind = 'message'").select("owner", "chunk", "payload"), owners, repeated_marks, f"{name}-replies")
-    states = rows.where("kind = 'state'").select("chunk", "payload")
-    marks = join_replies(states, replies).mapInArrow(lean(receive), "doc_id long, thash long, marks binary")
-    out = save(marks.dropDuplicates(["doc_id", "thash"]), f"{name}-marks")
-    drop_saved(rows)
-    drop_saved(replies)
-    return out
-
-
-def with_marks(docs: DataFrame, marks: DataFrame) -> DataFrame:
-    """doc_id, thash, text and marks (null: no repeated anchor)."""
-    m = marks.withColumnsRenamed({"doc_id": "m_id", "thash": "m_hash"})
-    on = F.col("doc_id").eqNullSafe(F.col("m_id")) & (F.col("thash") == F.col("m_hash"))
-    return join_small(docs, m, on, "left").select("doc_id", "thash", "text", "marks")
-
-
 def unmark(marks: bytes, n: int) -> np.ndarray:
     return np.unpackbits(np.frombuffer(marks, np.uint8), count=n).astype(bool)

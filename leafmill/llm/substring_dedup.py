@@ -277,9 +277,7 @@ def _apply(batches):
 
 def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, owners: int | None = None) -> DataFrame:
     """doc_id, n_words, n_removed, kept_sha256 after removing each word that a window seen earlier covers."""
-    if not owners:
-        size = docs.agg(F.sum(F.octet_length(text_col).cast("long"))).first()[0] or 0
-        owners = max(kit.parts(docs.sparkSession), -(-size // OWNER_BYTES))
+    owners = owners or kit.owners_for(docs, text_col, OWNER_BYTES)
     order = (F.col("doc_id").asc_nulls_last(), F.col("thash"))
     ranged = kit.keyed(docs, id_col, text_col).repartitionByRange(owners, *order).sortWithinPartitions(*order)
     chunks = kit.save_chunks(ranged.mapInArrow(kit.lean(_chunks(window, owners)), kit.ROUTED), "substring-chunks", owners)

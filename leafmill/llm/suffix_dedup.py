@@ -3,8 +3,10 @@
 Bytes that a `length`-byte string covers go if the string starts anywhere else.
 
 1. Routing. Equal strings choose equal anchors: the smallest hash among the
-   ANCHOR-byte grams inside them. Anchors are exchanged as compressed
-   fingerprints; only those that occur twice go on (kit.repeated_anchors).
+   ANCHOR-byte grams inside them. Texts are cut into chunks where they are read,
+   as a table bucketed by the task that read them; each chunk sends its anchors
+   to their owners as compressed fingerprints, and only those that occur twice
+   go on.
    A marked anchor's segment is the stretch of all windows that chose it, so
    any two equal windows lie in two segments of one anchor.
 2. Each chunk sends its distinct segments, with whether it holds them twice,
@@ -17,7 +19,11 @@ Bytes that a `length`-byte string covers go if the string starts anywhere else.
    come in increasing order and the search stops below `length`. Boundaries
    still without a value separate suffixes that share `length` bytes; a run of
    such suffixes with weight two or more repeats.
-4. Bitmaps of the repeated starts go back; covered bytes are removed.
+4. Bitmaps of the repeated starts go back; the covered spans go to the chunks,
+   which lose them.
+
+Texts are never shuffled and nothing is broadcast, at any size: answers go to
+the chunks' buckets. Owners grow with the bytes of the texts.
 
 An anchor whose segments are all equal needs no transform: its one segment
 repeats by its weight. An anchor with more than SPLIT bytes of segments (a hot
@@ -26,7 +32,8 @@ all windows of an offset range share, which equal windows have in common.
 
 Defined results: a null text is empty; matches never cross texts; copies of a
 row count as elsewhere even under one id; null ids come out as null; an empty
-table gives no rows; other columns are not read.
+table gives no rows; other columns are not read, whatever their names. Very
+long texts are handled whole: memory follows the longest text.
 """
 
 from __future__ import annotations
@@ -45,8 +52,8 @@ LENGTH, PRINT_BITS = 200, 48
 BATCH, SPLIT = 1 << 18, 2 << 20
 #: Owners of segments for each shuffle partition: segments are long, so an owner has few.
 OWNERS = 4
-#: Bytes of waiting texts in one chunk.
-CHUNK_BYTES = 4 << 20
+#: Bytes of text of one chunk, about, and of all texts for each owner of anchors.
+CHUNK_BYTES, OWNER_BYTES = 4 << 20, 64 << 20
 _LOW = np.uint64((1 << 24) - 1)
 
 
@@ -276,128 +283,172 @@ def _answer(length: int):
 
 
 def _chunks(length: int, owners: int):
-    """Texts without a marked anchor are done; of the others, segments to owners and the state to cut them."""
-    names = ["kind", "owner", "chunk", "payload", "doc_id", "n_bytes", "kept_sha256"]
-
-    def rows(batch: pa.RecordBatch) -> pa.RecordBatch:
-        n = batch.num_rows
-        return pa.RecordBatch.from_arrays([*batch.columns, pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64()), pa.nulls(n, pa.string())], names)
+    """Texts to chunks, with the places of their anchors among the chunk's distinct ones, and these for the owners."""
+    find = anchors(length)
 
     def scan(batches):
         chunk = kit.chunk_ids()
-        docs: list[tuple] = []
-        index: dict[bytes, int] = {}
-        prints: list[int] = []
-        places: list[int] = []
-        twice: list[bool] = []
-        held = 0
+        held: list[tuple] = []
+        prints: list[np.ndarray] = []
+        counts: list[np.ndarray] = []
+        size = 0
 
         def flush():
-            order = np.argsort(np.array(prints, np.uint64), kind="stable")
-            rank = np.empty(len(order), np.int64)
-            rank[order] = np.arange(len(order))
-            keys = np.array(prints, np.uint64)[order]
-            segments = list(index)
-            cuts = list(kit.by_owner(keys, PRINT_BITS, owners))
-            size = np.array([len(segments[i]) for i in order], np.int32)
-            c = next(chunk)
-            yield rows(kit.routed("state", [-1], c, [pickle.dumps((docs, rank, size - length + 1, cuts))]))
-            at, two = np.array(places, np.int32)[order], np.array(twice, np.int8)[order]
-            for o, a, b in cuts:
-                payload = pickle.dumps((keys[a:b], at[a:b], two[a:b], size[a:b], b"".join(segments[i] for i in order[a:b])))
-                yield rows(kit.routed("message", [o], c, [payload]))
+            seen, back, times = np.unique(np.concatenate(prints), return_inverse=True, return_counts=True)
+            cuts = list(kit.by_owner(seen, PRINT_BITS, owners))
+            k = next(chunk)
+            state = (held, np.concatenate(counts).astype(np.int32), back.astype(np.uint32), np.packbits(times > 1), len(seen), cuts)
+            yield kit.routed("state", [-1], k, [pickle.dumps(state)])
+            if cuts:
+                yield kit.routed("message", [o for o, _, _ in cuts], k, [kit.rice_encode(seen[a:b]) for _, a, b in cuts])
 
         for batch in batches:
-            ids, marks = kit.ids_of(batch.column("doc_id")), batch.column("marks").to_pylist()
-            done: list[tuple] = []
+            ids = kit.ids_of(batch.column("doc_id")).tolist()
             for a, b, buf, starts in kit.texts_of(batch):
-                data = buf.tobytes()
-                busy = [i for i in range(b - a) if marks[a + i] is not None]
-                for i in range(b - a):
-                    if marks[a + i] is None:
-                        done.append((ids[a + i], int(starts[i + 1] - starts[i]), hashlib.sha256(data[starts[i] : starts[i + 1]]).hexdigest()))
-                if not busy:
-                    continue
-                own = b"".join(data[starts[i] : starts[i + 1]] for i in busy)
-                begin = np.concatenate([[0], np.cumsum([starts[i + 1] - starts[i] for i in busy])])
-                place, grams, doc, first, many = choose(np.frombuffer(own, np.uint8), begin, length)
-                cut = np.searchsorted(doc, np.arange(len(busy) + 1))
-                for at, i in enumerate(busy):
-                    x, y = cut[at], cut[at + 1]
-                    on = np.flatnonzero(kit.unmark(marks[a + i], y - x)) + x
-                    segs, lows = [], []
-                    for j in on.tolist():
-                        s, m = int(first[j]), int(many[j])
-                        seg = own[s : s + m + length - 1]
-                        k = index.setdefault(seg, len(index))
-                        if k == len(prints):
-                            prints.append(int(grams[j]) >> (64 - PRINT_BITS))
-                            places.append(int(place[j]) - s)
-                            twice.append(False)
-                        else:
-                            twice[k] = True
-                        segs.append(k)
-                        lows.append(s - int(begin[at]))
-                    docs.append((int(ids[a + i]), data[starts[i] : starts[i + 1]], np.array(segs, np.int32), np.array(lows, np.int64)))
-                    held += int(starts[i + 1] - starts[i])
-                    if held >= CHUNK_BYTES:
-                        yield from flush()
-                        docs.clear()
-                        index.clear()
-                        prints.clear()
-                        places.clear()
-                        twice.clear()
-                        held = 0
-            if done:
-                n = len(done)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(["done"] * n), pa.nulls(n, pa.int32()), pa.nulls(n, pa.int64()), pa.nulls(n, pa.binary()), kit.ids_back(np.array([d[0] for d in done])),
-                     pa.array([d[1] for d in done], pa.int64()), pa.array([d[2] for d in done])], names,
-                )
-        if docs:
+                found, many = find(buf, starts)
+                prints.append(found)
+                counts.append(many)
+                data, cuts = buf.tobytes(), starts.tolist()
+                held += [(ids[a + i], data[cuts[i] : cuts[i + 1]]) for i in range(b - a)]
+                size += len(data)
+                if size >= CHUNK_BYTES:
+                    yield from flush()
+                    for kept in (held, prints, counts):
+                        kept.clear()
+                    size = 0
+        if held:
             yield from flush()
 
     return scan
 
 
-def _apply(length: int):
-    def apply(batches):
+def _segments(length: int, owners: int):
+    """Chunks with their marked anchors: distinct segments to owners, and the state to apply the answers to."""
+
+    def send(chunk, state, replies):
+        held, counts, back, local, n, cuts = state
+        marked = np.unpackbits(local, count=n).astype(bool)
+        told = {r["owner"]: r["reply"] for r in replies}
+        for o, a, b in cuts:
+            marked[a:b] |= kit.unmark(told[o], b - a)
+        each = marked[back]
+        ends = np.cumsum(counts, dtype=np.int64)
+        total = np.concatenate([[0], np.cumsum(each)])
+        busy = np.flatnonzero(total[ends] > total[ends - counts])
+        if not len(busy):
+            return
+        index: dict[bytes, int] = {}
+        prints: list[int] = []
+        places: list[int] = []
+        twice: list[bool] = []
+        segs: list[int] = []
+        lows: list[int] = []
+        begin = np.cumsum([0, *(len(t) for _, t in held)])
+        own = np.cumsum([0, *(len(held[i][1]) for i in busy.tolist())])
+        for a, b in kit.slices(own):
+            data = b"".join(held[i][1] for i in busy[a:b].tolist())
+            place, grams, doc, first, many = choose(np.frombuffer(data, np.uint8), own[a : b + 1] - own[a], length)
+            on = np.flatnonzero(np.concatenate([each[ends[i] - counts[i] : ends[i]] for i in busy[a:b].tolist()]))
+            # From places among the busy texts of the slice to places in the chunk.
+            low = first + begin[busy[a + doc]] - (own[a + doc] - own[a])
+            for j in on.tolist():
+                s, m = int(first[j]), int(many[j])
+                k = index.setdefault(data[s : s + m + length - 1], len(index))
+                if k == len(prints):
+                    prints.append(int(grams[j]) >> (64 - PRINT_BITS))
+                    places.append(int(place[j]) - s)
+                    twice.append(False)
+                else:
+                    twice[k] = True
+                segs.append(k)
+                lows.append(int(low[j]))
+        order = np.argsort(np.array(prints, np.uint64), kind="stable")
+        rank = np.empty(len(order), np.int32)
+        rank[order] = np.arange(len(order))
+        keys = np.array(prints, np.uint64)[order]
+        segments = list(index)
+        size = np.array([len(segments[i]) for i in order], np.int32)
+        cuts = list(kit.by_owner(keys, PRINT_BITS, owners))
+        yield kit.routed("state", [-1], chunk, [pickle.dumps((begin, rank[segs], np.array(lows), size - length + 1, cuts))])
+        at, two = np.array(places, np.int32)[order], np.array(twice, np.int8)[order]
+        for o, a, b in cuts:
+            payload = pickle.dumps((keys[a:b], at[a:b], two[a:b], size[a:b], b"".join(segments[i] for i in order[a:b])))
+            yield kit.routed("message", [o], chunk, [payload])
+
+    def scan(batches):
+        for batch in batches:
+            for i in range(batch.num_rows):
+                chunk, payload, replies = (batch.column(c)[i].as_py() for c in ("chunk", "payload", "replies"))
+                yield from send(chunk, pickle.loads(payload), replies)
+
+    return scan
+
+
+def _verdicts(length: int):
+    """The spans that go from each chunk, as places in its joined texts; no row where nothing goes."""
+
+    def judge(batches):
         for batch in batches:
-            for payload, replies in zip(batch.column("payload").to_pylist(), batch.column("replies").to_pylist(), strict=True):
-                docs, rank, many, cuts = pickle.loads(payload)
+            for i in range(batch.num_rows):
+                chunk, payload, replies = (batch.column(c)[i].as_py() for c in ("chunk", "payload", "replies"))
+                begin, ranks, lows, many, cuts = pickle.loads(payload)
                 told = {r["owner"]: r["reply"] for r in replies}
                 ends = np.cumsum(many, dtype=np.int64)
                 again = np.concatenate([kit.unmark(told[o], int(ends[b - 1] - ends[a] + many[a])) for o, a, b in cuts])
-                out = []
-                for doc_id, text, segs, lows in docs:
-                    buf = np.frombuffer(text, np.uint8)
-                    cover = np.zeros(len(buf) + 1, np.int32)
-                    for k, lo in zip(rank[segs], lows, strict=True):
-                        hit = np.flatnonzero(again[ends[k] - many[k] : ends[k]]) + lo
-                        cover[hit] += 1
-                        cover[hit + length] -= 1
-                    gone = np.cumsum(cover)[:-1] > 0
-                    spans = int(gone[0]) + int((gone[1:] & ~gone[:-1]).sum())
-                    out.append((doc_id, len(buf), int(gone.sum()), spans, hashlib.sha256(buf[~gone].tobytes()).hexdigest()))
-                yield pa.RecordBatch.from_arrays(
-                    [kit.ids_back(np.array([r[0] for r in out])), *(pa.array([r[i] for r in out], t) for i, t in ((1, pa.int64()), (2, pa.int64()), (3, pa.int64()), (4, pa.string())))],
-                    ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"],
-                )
-
-    return apply
+                cover = np.zeros(begin[-1] + 1, np.int32)
+                for k, lo in zip(ranks.tolist(), lows.tolist(), strict=True):
+                    hit = np.flatnonzero(again[ends[k] - many[k] : ends[k]]) + lo
+                    cover[hit] += 1
+                    cover[hit + length] -= 1
+                edge = np.zeros(begin[-1] + 2, np.int8)
+                edge[1:-1] = np.cumsum(cover)[:-1] > 0
+                # Spans that touch across two texts are two.
+                turns = np.diff(edge)
+                inner = begin[(begin > 0) & (begin < begin[-1])]
+                inner = np.unique(inner[(edge[inner] > 0) & (edge[inner + 1] > 0)])
+                spans = np.sort(np.concatenate([np.flatnonzero(turns > 0), inner])), np.sort(np.concatenate([np.flatnonzero(turns < 0), inner]))
+                if len(spans[0]):
+                    yield pa.RecordBatch.from_arrays([pa.array([chunk]), pa.array([pickle.dumps(spans)])], ["chunk", "gone"])
+
+    return judge
+
+
+def _apply(batches):
+    for batch in batches:
+        for i in range(batch.num_rows):
+            held, gone = pickle.loads(batch.column("payload")[i].as_py())[0], batch.column("gone")[i].as_py()
+            lo, hi = pickle.loads(gone) if gone else (np.zeros(0, np.int64),) * 2
+            begin = np.cumsum([0, *(len(t) for _, t in held)])
+            cut = np.searchsorted(lo, begin)
+            rows = []
+            for (doc_id, text), at, a, b in zip(held, begin[:-1].tolist(), cut[:-1].tolist(), cut[1:].tolist(), strict=True):
+                digest, last = hashlib.sha256(), 0
+                view = memoryview(text)
+                for x, y in zip((lo[a:b] - at).tolist(), (hi[a:b] - at).tolist(), strict=True):
+                    digest.update(view[last:x])
+                    last = y
+                digest.update(view[last:])
+                rows.append((doc_id, len(text), int((hi[a:b] - lo[a:b]).sum()), b - a, digest.hexdigest()))
+            yield pa.RecordBatch.from_arrays(
+                [kit.ids_back(np.array([r[0] for r in rows])), *(pa.array([r[j] for r in rows], t) for j, t in ((1, pa.int64()), (2, pa.int64()), (3, pa.int64()), (4, pa.string())))],
+                ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"],
+            )
 
 
 def suffix_dedup(docs: DataFrame, id_col="doc_id", text_col="text", length: int = LENGTH, owners: int | None = None) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256 after removing all repeated bytes."""
-    owners = owners or kit.parts(docs.sparkSession)
-    slim = kit.keyed(docs, id_col, text_col)
-    marks = kit.repeated_anchors(slim, anchors(length), PRINT_BITS, "suffix", owners)
-    owners *= OWNERS
-    rows = kit.with_marks(slim, marks).mapInArrow(kit.lean(_chunks(length, owners)), kit.ROUTED + ", doc_id long, n_bytes long, kept_sha256 string")
-    rows = kit.save(rows, "suffix-segments", by="kind")
-    zero = F.lit(0).cast("long")
-    done = rows.where("kind = 'done'").select("doc_id", "n_bytes", zero.alias("n_removed"), zero.alias("n_spans"), "kept_sha256")
-    replies = kit.exchange(rows.where("kind = 'message'").select("owner", "chunk", "payload"), owners, _answer(length), "suffix-repeats")
-    states = rows.where("kind = 'state'").select("chunk", "payload")
-    cut = kit.join_replies(states, replies).mapInArrow(kit.lean(_apply(length)), "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
-    return done.unionByName(cut)
+    owners = owners or kit.owners_for(docs, text_col, OWNER_BYTES)
+    keepers = owners * OWNERS
+    slim = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(text_col, F.lit("")).alias("text"))
+    chunks = kit.save_chunks(slim.mapInArrow(kit.lean(_chunks(length, owners)), kit.ROUTED), "suffix-chunks", owners)
+    texts = chunks.where("kind = 'state'")
+    marks = kit.exchange(chunks.where("kind = 'message'").select("owner", "chunk", "payload"), owners, kit.repeated_marks, "suffix-marks")
+    kit.drop_saved(chunks, "message")
+    sent = kit.with_told(texts, marks).select("chunk", "payload", "replies").mapInArrow(kit.lean(_segments(length, keepers)), kit.ROUTED)
+    segments = kit.save_chunks(sent, "suffix-segments", owners)
+    repeats = kit.exchange(segments.where("kind = 'message'").select("owner", "chunk", "payload"), keepers, _answer(length), "suffix-repeats")
+    kit.drop_saved(segments, "message")
+    kit.drop_saved(marks)
+    judged = kit.with_told(segments.where("kind = 'state'"), repeats).select("chunk", "payload", "replies")
+    gone = judged.mapInArrow(kit.lean(_verdicts(length)), "chunk long, gone binary")
+    return kit.with_told(texts, gone, "left").select("payload", "gone").mapInArrow(kit.lean(_apply), "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")

@@ -83,9 +83,10 @@ def test_substring(spark, monkeypatch, chunk_bytes):
     assert sum(r[2] for r in want) > 100
 
 
-def test_substring_moves_texts_once(spark):
-    """Behind the range partitioning no plan shuffles or broadcasts the chunks: their side of the last join is a bucketed scan."""
-    got = substring_dedup.substring_dedup(frame(spark, corpus()), owners=8)
+@pytest.mark.parametrize("dedup", [substring_dedup.substring_dedup, suffix_dedup.suffix_dedup])
+def test_answers_go_to_the_chunks(spark, dedup):
+    """No plan shuffles or broadcasts the chunks: their side of the last join is a bucketed scan."""
+    got = dedup(frame(spark, corpus()), owners=8)
     plan = got._jdf.queryExecution().executedPlan().toString()
     assert "Bucketed: true" in plan and "Broadcast" not in plan
     join = plan[plan.index("ShuffledHashJoin") :]
@@ -128,8 +129,10 @@ def suffix_want(rows, length):
     return sorted(want, key=repr)
 
 
-@pytest.mark.parametrize("length", [40, 200])
-def test_suffix(spark, length):
+@pytest.mark.parametrize(("length", "chunk_bytes"), [(40, 1), (40, 4 << 20), (200, 3000), (200, 4 << 20)])
+def test_suffix(spark, monkeypatch, length, chunk_bytes):
+    monkeypatch.setattr(suffix_dedup, "CHUNK_BYTES", chunk_bytes)
+    monkeypatch.setattr(kit.slices, "__defaults__", (min(chunk_bytes, kit.SLICE_BYTES),))
     rows = corpus()
     got = suffix_dedup.suffix_dedup(frame(spark, rows), length=length, owners=3)
     assert rows_of(got.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")) == suffix_want(rows, length)
