@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from html import escape
 from html.parser import HTMLParser
 
 import pandas as pd
@@ -264,7 +263,8 @@ def render_runs(records: DataFrame, run: str = "run_id") -> DataFrame:
     return parts.select(run, F.concat(head, body, F.lit("</body></html>")).alias("html"))
 
 
-def render_index(runs: list[str]) -> str:
-    """Links to the pages of all runs, in order."""
-    items = "".join(f'<li><a href="{escape(r)}.html">{escape(r)}</a></li>' for r in sorted(set(runs)))
-    return f"<!DOCTYPE html><html><body><ul>{items}</ul></body></html>"
+def render_index(runs: DataFrame, rendered: DataFrame, run: str = "run_id") -> DataFrame:
+    """(run, line): a link to the page of each run that is listed or rendered, once, in order; write_texts makes the index of them."""
+    name = T.escape_html(F.col(run))
+    line = F.concat(F.lit('<li><a href="'), name, F.lit('.html">'), name, F.lit("</a></li>"))
+    return runs.select(run).union(rendered.select(run)).where(F.col(run).isNotNull()).distinct().select(run, line.alias("line")).orderBy(run)

@@ -549,3 +549,20 @@ def record_warnings(spark, d):
         "answer_latex": F.array(F.when(k(3), "a\\n b").when(k(3, 1), "根据输入").otherwise("fine")),
     })
     return records.content_warnings(r).select("run_id", "question_no", F.array_join("warnings", "; ").alias("warnings"))
+
+
+@query("""WITH r AS (SELECT p_type || ' & ' || p_brand AS run_id FROM part UNION SELECT '<' || event_type || '>' FROM events),
+e AS (SELECT run_id, replace(replace(replace(run_id, '&', '&amp;'), '<', '&lt;'), '>', '&gt;') AS name FROM r WHERE run_id IS NOT NULL)
+SELECT run_id, '<li><a href="' || name || '.html">' || name || '</a></li>' AS line FROM e""")
+def run_index(spark, d):
+    """The index of runs that parts name or events rendered."""
+    named = table(spark, d, "part").select(F.concat("p_type", F.lit(" & "), "p_brand").alias("run_id"))
+    rendered = table(spark, d, "events").select(F.concat(F.lit("<"), "event_type", F.lit(">")).alias("run_id"))
+    return markup.render_index(named, rendered)
+
+
+@query("""SELECT user_id, (epoch_us(max(ts)) - epoch_us(min(ts)) + 500) // 1000 / 1000.0 AS elapsed FROM events GROUP BY 1""")
+def elapsed_seconds(spark, d):
+    """Seconds between the first and the last event of each user."""
+    ends = table(spark, d, "events").groupBy("user_id").agg(F.min("ts").alias("a"), F.max("ts").alias("b"))
+    return ends.select("user_id", records.elapsed(F.col("a"), F.col("b")).alias("elapsed"))

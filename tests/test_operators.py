@@ -396,7 +396,14 @@ def test_tables_and_pages(spark):
     assert cells == [(1, 1, 1, "th", 3, 1, "a"), (1, 3, 1, "td", 1, 20, "b c"), (1, 3, 2, "td", 1, 1, "d & e"), (2, 1, 1, "td", 1, 1, "z")]
     page = markup.render_runs(parsed(spark, {"stem_latex": ["a < b <blank>"], "issues": [{"type": "left_right_present", "severity": "info", "message": "m"}]})).first().html
     assert '<p class="text-block">a &lt; b <span class="blank"></span></p>' in page and "left_right_present" not in page
-    assert markup.render_index(["b", "a", "b"]).count("<li>") == 2
+    index = markup.render_index(spark.createDataFrame([("b",), ("a<",), (None,)], "run_id string"), spark.createDataFrame([("b",), ("c",)], "run_id string")).collect()
+    assert [tuple(r) for r in index] == [(r, f'<li><a href="{e}.html">{e}</a></li>') for r, e in (("a<", "a&lt;"), ("b", "b"), ("c", "c"))]
+
+
+def test_elapsed(spark):
+    times = spark.sql("select timestamp'2024-01-01 00:00:00' as a, timestamp'2024-01-01 00:01:02.0045' as b, cast(null as timestamp) as c")
+    row = times.select(records.elapsed(times.a, times.b), records.elapsed(times.b, times.a), records.elapsed(times.a, times.c)).first()
+    assert tuple(row) == (62.005, -62.005, None)
 
 
 def test_model_calls(spark, tmp_path):
