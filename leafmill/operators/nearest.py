@@ -13,6 +13,10 @@ A query meets the items of its two end cells, and those lists; between its end
 cells every item is at distance 0, so `any` is enough there. Distances inside a
 cell are one numpy table at a time. So the rows that are made follow queries
 times k, and no task gets a whole key.
+
+Bounds and the placed sides are saved to the shared folder: the list of cuts
+stands in one plan only, and the plan of the answer, which reads each side
+several times, stays small for the driver. No side that grows is broadcast.
 """
 
 from __future__ import annotations
@@ -25,6 +29,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types
 
+from ..llm.kit import save
 from .tables import top_k
 
 #: Ends of spans that a cell is made for, and the most cells of a key.
@@ -98,11 +103,11 @@ def nearest_groups(
     q = queries.select(*own, F.col(query).alias("_id"), number(span[0]).alias("_lo"), number(span[1]).alias("_hi")).dropna().where("_lo <= _hi").distinct()
     # Of equal spans the k smallest groups are enough.
     t = items.select(*own, F.col(group).alias("_group"), number(item_span[0]).alias("_lo"), number(item_span[1]).alias("_hi")).dropna().where("_lo <= _hi").distinct()
-    t = top_k(t, [*keys, "_lo", "_hi"], ["_group"], k).drop("rank")
+    t = save(top_k(t, [*keys, "_lo", "_hi"], ["_group"], k).drop("rank"), "nearest-items")
     ends = lambda d: d.select(*keys, F.explode(F.array("_lo", "_hi")).alias("_v"))
-    bounds = _bounds(ends(t).unionAll(ends(q)), keys)
+    bounds = save(_bounds(ends(t).unionAll(ends(q)), keys), "nearest-bounds")
     placed = lambda d: d.join(bounds, list(keys)).withColumns({"_c": _cell(F.col("_lo")), "_d": _cell(F.col("_hi"))}).drop("_bounds")
-    q, t = placed(q), placed(t)
+    q, t = save(placed(q), "nearest-queries"), save(placed(t), "nearest-placed")
 
     at = lambda d, cells: d.withColumn("_cell", F.explode(cells))
     inner = lambda: F.when(F.col("_d") - F.col("_c") > 1, F.sequence(F.col("_c") + 1, F.col("_d") - 1))
@@ -123,7 +128,7 @@ def nearest_groups(
     answer = types.StructType([*(q.schema[c] for c in keys), q.schema["_id"], t.schema["_group"], types.StructField("distance", types.DoubleType())])
     pairs = asked.select(*keys, "_cell", "_id", "_lo", "_hi").groupBy(*keys, "_cell").cogroup(known.groupBy(*keys, "_cell"))
     here = pairs.applyInPandas(_tables(keys, k), answer)
-    between = at(q, inner()).join(touched, [*keys, "_cell"]).select(*keys, "_id", "_group", F.lit(0.0).alias("distance"))
+    between = at(q, inner()).join(touched.hint("shuffle_hash"), [*keys, "_cell"]).select(*keys, "_id", "_group", F.lit(0.0).alias("distance"))
     found = here.unionAll(between).groupBy(*keys, "_id", "_group").agg(F.min("distance").alias("distance"))
     best = top_k(found, [*keys, "_id"], [F.col("distance"), F.col("_group")], k)
     return best.withColumnsRenamed({"_id": query, "_group": group})
