@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from collections import deque
+from collections.abc import Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -110,16 +111,28 @@ def admit(requests: DataFrame, bucket: str, ts: str, tokens: str, ident: str, li
     """(bucket, ident, arrived, admitted, waited, reserved): each bucket's requests in order of arrival.
 
     A request is considered when the one before it is admitted, so a bucket is
-    folded in order by one task; buckets are models, not rows.
+    folded in order by one task; buckets are models, not rows. Spark sorts them
+    (on disk where they are many), and the fold takes them batch by batch, so
+    its memory follows a batch and the requests of one window.
     """
     rows = requests.select(F.col(bucket).cast("string").alias("bucket"), F.col(ident).alias("ident"), (F.unix_micros(F.col(ts)) / 1e6).alias("arrived"), F.col(tokens).cast("long").alias("tokens"))
 
-    def fold(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["arrived", "ident"])
-        gate, clock, out = Limiter(limit, shared), 0.0, []
-        for b, i, t, n in pdf[["bucket", "ident", "arrived", "tokens"]].itertuples(index=False):
-            clock, _, got = gate.acquire(max(clock, t), n)
-            out.append((b, i, t, clock, round(clock - t, 6), got))
-        return pd.DataFrame(out, columns=["bucket", "ident", "arrived", "admitted", "waited", "reserved"])
-
-    return rows.groupBy("bucket").applyInPandas(fold, "bucket string, ident long, arrived double, admitted double, waited double, reserved long")
+    def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, gate, clock = None, None, 0.0
+        for batch in batches:
+            names, arrivals, sizes = (batch.column(c).to_pylist() for c in ("bucket", "arrived", "tokens"))
+            at, waited, reserved = [], [], []
+            for b, t, n in zip(names, arrivals, sizes, strict=True):
+                if gate is None or b != now:
+                    now, gate, clock = b, Limiter(limit, shared), 0.0
+                # A request without a time comes last, at the bucket's clock.
+                clock, _, got = gate.acquire(clock if t is None else max(clock, t), n)
+                at.append(clock)
+                waited.append(None if t is None else round(clock - t, 6))
+                reserved.append(got)
+            made = [batch.column("bucket"), batch.column("ident"), batch.column("arrived"), pa.array(at, pa.float64()), pa.array(waited, pa.float64()), pa.array(reserved, pa.int64())]
+            yield pa.RecordBatch.from_arrays(made, ["bucket", "ident", "arrived", "admitted", "waited", "reserved"])
+
+    order = [F.col("bucket"), *(F.col(c).asc_nulls_last() for c in ("arrived", "ident", "tokens"))]
+    kind = rows.schema["ident"].dataType.simpleString()
+    return rows.repartition("bucket").sortWithinPartitions(*order).mapInArrow(fold, f"bucket string, ident {kind}, arrived double, admitted double, waited double, reserved long")

@@ -4,7 +4,7 @@ import random
 
 from pyspark.sql import functions as F
 
-from leafmill.operators import nearest
+from leafmill.operators import budget, nearest
 
 
 def test_nearest_plan_stays_small(spark, monkeypatch):
@@ -16,3 +16,24 @@ def test_nearest_plan_stays_small(spark, monkeypatch):
     # The list of cuts stood in every branch of the plan, which the driver holds as text.
     assert len(got._jdf.queryExecution().toString()) < 200_000
     assert got.count() == 400 * 3
+
+
+def test_admission_takes_a_bucket_batch_by_batch(spark):
+    """Batches of five rows: a bucket goes on from batch to batch, the next one starts anew, and a request without a time comes last."""
+    rows = [(b, i, float(i // 3 * 7) if i < 40 else None, i % 9 * 60) for b in ("x", "y", None) for i in range(41)]
+    table = spark.createDataFrame(rows, "b string, id long, at double, n long").withColumn("ts", F.timestamp_micros((F.col("at") * 1_000_000).cast("long")))
+    held = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch", "10000")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "5")
+    try:
+        out = budget.admit(table, "b", "ts", "n", "id", 400)
+        assert "MapInArrow" in out._jdf.queryExecution().toString()
+        got = {(r.bucket, r.ident): (r.admitted, r.waited, r.reserved) for r in out.collect()}
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", held)
+    want = {}
+    for b in ("x", "y", None):
+        gate, clock = budget.Limiter(400), 0.0
+        for _, i, t, n in (r for r in rows if r[0] == b):
+            clock, _, size = gate.acquire(clock if t is None else max(clock, t), n)
+            want[b, i] = clock, None if t is None else round(clock - t, 6), size
+    assert got == want
