@@ -1,9 +1,12 @@
 """Plans and memory that must not grow with a group, and results that stay as they were."""
 
 import random
+import tracemalloc
 
+import numpy as np
 from pyspark.sql import functions as F
 
+from leafmill.llm import collocations
 from leafmill.operators import budget, nearest
 
 
@@ -37,3 +40,16 @@ def test_admission_takes_a_bucket_batch_by_batch(spark):
             clock, _, size = gate.acquire(clock if t is None else max(clock, t), n)
             want[b, i] = clock, None if t is None else round(clock - t, 6), size
     assert got == want
+
+
+def test_shards_take_few_bytes_a_word():
+    rng, n = np.random.default_rng(1), 1 << 16
+    ids, piece = rng.integers(0, 5000, n), np.sort(rng.integers(0, n // 8, n))
+    tracemalloc.start()
+    try:
+        order, lcp = collocations.suffix_array(ids, piece, 3)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert peak < 80 * n
+    assert sorted(order.tolist()) == list(range(n)) and 1 <= lcp.max() <= 3
