@@ -4,10 +4,12 @@ import random
 import tracemalloc
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from leafmill.llm import collocations
 from leafmill.operators import budget, nearest
+from leafmill.plans import catalogue
 
 
 def test_nearest_plan_stays_small(spark, monkeypatch):
@@ -53,3 +55,10 @@ def test_shards_take_few_bytes_a_word():
         tracemalloc.stop()
     assert peak < 80 * n
     assert sorted(order.tolist()) == list(range(n)) and 1 <= lcp.max() <= 3
+
+
+@pytest.mark.parametrize("name", ["normalised_records", "html_tables"])
+def test_long_work_is_dealt_over_tasks(spark, name):
+    """A table of one row group must not leave the expressions or the parser to one task."""
+    plan = catalogue.queries()[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().toString()
+    assert "REPARTITION_BY_NUM" in plan
