@@ -1,13 +1,15 @@
 """Plans and memory that must not grow with a group, and results that stay as they were."""
 
+import pathlib
 import random
 import tracemalloc
 
 import numpy as np
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
-from leafmill.llm import collocations
+from leafmill.llm import collocations, kit
 from leafmill.operators import budget, nearest
 from leafmill.plans import catalogue
 
@@ -62,3 +64,21 @@ def test_long_work_is_dealt_over_tasks(spark, name):
     """A table of one row group must not leave the expressions or the parser to one task."""
     plan = catalogue.queries()[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().toString()
     assert "REPARTITION_BY_NUM" in plan
+
+
+def test_chunk_tables_have_small_row_groups(spark):
+    """A task's chunks were one row group, sorted in memory first, and read again as one batch."""
+
+    def chunks(batches):
+        list(batches)
+        ids, rng = kit.chunk_ids(), np.random.default_rng(2)
+        for i in range(60):
+            kind = "message" if i % 3 else "state"
+            yield kit.routed(kind, [i], next(ids), [kit.pack((i, rng.bytes(1 << 20)))])
+
+    table = kit.save_chunks(spark.range(1, numPartitions=1).mapInArrow(chunks, kit.ROUTED), "wide", 3)
+    files = list(pathlib.Path(table.leafmill_path.removeprefix("file:")).rglob("*.parquet"))
+    groups = [pq.ParquetFile(f).metadata.row_group(g).total_byte_size for f in files for g in range(pq.ParquetFile(f).metadata.num_row_groups)]
+    assert len(files) == 2 and sum(groups) > 60 << 20 and max(groups) < 12 << 20
+    got = {r.owner: kit.unpack(r.payload) for r in table.collect()}
+    assert all(got[i][0] == i and len(got[i][1]) == 1 << 20 for i in range(60))
