@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from leafmill.llm import collocations, kit
-from leafmill.operators import budget, nearest
+from leafmill.operators import align, budget, nearest
 from leafmill.plans import catalogue
 
 
@@ -82,3 +82,16 @@ def test_chunk_tables_have_small_row_groups(spark):
     assert len(files) == 2 and sum(groups) > 60 << 20 and max(groups) < 12 << 20
     got = {r.owner: kit.unpack(r.payload) for r in table.collect()}
     assert all(got[i][0] == i and len(got[i][1]) == 1 << 20 for i in range(60))
+
+
+def test_pairs_of_one_key_are_dealt_over_tasks(spark, tmp_path):
+    """Parts of one brand, whose pairs were one task's, in arrays shorter than the side; a null brand has no pairs."""
+    part = spark.createDataFrame([(i, "b" if i % 7 else None, i % 9, float(i)) for i in range(400)], "p_partkey long, p_brand string, p_size int, p_retailprice double")
+    part.coalesce(1).write.parquet(f"{tmp_path}/part.parquet")
+    got = catalogue.queries()["reading_distances"](spark, str(tmp_path)).select("p_partkey", "other", F.spark_partition_id().alias("task")).collect()
+    want = sorted((a, b) for a in range(0, 400, 50) for b in range(400) if a % 7 and b % 7)
+    assert sorted((r.p_partkey, r.other) for r in got) == want and len({r.task for r in got}) > 1
+    left = part.select("p_brand", "p_partkey").where("p_partkey % 50 = 0")
+    pairs = align.key_pairs(left, part.select("p_brand", F.col("p_partkey").alias("other")), "p_brand", block=2)
+    assert sorted((r.p_partkey, r.other) for r in pairs.collect()) == want
+    assert align.key_pairs(left.limit(0), part.select("p_brand", F.col("p_partkey").alias("other")), "p_brand").count() == 0
