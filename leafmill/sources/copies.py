@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 PIECE = 1 << 20
 
 
-def _open(path: str):
+def open_path(path: str):
     """The file system of a path or URI, and the path in it."""
     from pyarrow import fs
 
@@ -32,7 +32,7 @@ def copy_file(source: str, target: str) -> tuple[str, int] | None:
     """(name, bytes) of the copy in the folder target; None where there is no such file."""
     from pyarrow import fs
 
-    (there, path), (here, folder) = _open(source), _open(target)
+    (there, path), (here, folder) = open_path(source), open_path(target)
     if there.get_file_info(path).type != fs.FileType.File:
         return None
     here.create_dir(folder, recursive=True)

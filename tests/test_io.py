@@ -266,3 +266,33 @@ def test_asset_map_takes_the_first_block_whose_file_exists(spark):
     got = {r.label: r.source for r in assets.asset_map(spark.createDataFrame(rows, block), items, listing).collect()}
     # An item found by the first key counts, even without a path.
     assert got == {"L1": "/d/paper/mineru_extract/images/y.png", "L3": "/d/paper/mineru_extract/images/y.png", "L4": None}
+
+
+def test_blocks_of_one_path_are_not_multiplied_or_sorted_in_one_task(spark):
+    """Every block stood six times in one task's sort, however few the splits; now each path is tried once and labels are dealt."""
+    from leafmill.operators import assets
+
+    k = F.col("id")
+    blocks = spark.range(0, 3000, 1, 1).select(
+        F.lit("r").alias("run_id"), F.lit("/d").alias("folder"), F.when(k % 2 == 0, "question").otherwise("answer").alias("stream"), k.alias("pos"), k.cast("string").alias("label"),
+        F.lit("image").alias("type"), F.when(k % 3 > 0, F.lit("k")).alias("block_id"), F.when(k % 3 == 0, F.lit("gone")).alias("figure_id"),
+    )
+    items = spark.createDataFrame([("r", s, key, path) for s in ("question", "answer") for key, path in (("k", "x.png"), ("gone", "lost.png"))], "run_id string, stream string, key string, path string")
+    out = assets.asset_map(blocks, items, spark.createDataFrame([("/d/answer/x.png",), ("/d/paper/mineru_extract/x.png",)], "path string"))
+    plan = out._jdf.queryExecution().toString()
+    assert "Generate" not in plan and "REPARTITION_BY_NUM" in plan
+    got = {int(r.label): r.source for r in out.collect()}
+    assert got == {i: "/d/paper/mineru_extract/x.png" if i % 3 else None for i in range(3000)}
+
+
+def test_joined_texts_are_written_batch_by_batch(spark, tmp_path):
+    rows = [(r, i, None if i == 3 else f"{r}{i}") for i in range(50) for r in ("a", "b/c")] + [("none", 1, None), (None, 1, "x")]
+    held = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch", "10000")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        for _ in range(2):
+            writers.write_joined(spark.createDataFrame(rows, "run_id string, i int, v string").repartition(3), f"file://{tmp_path}/out", "v", ["i"])
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", held)
+    got = {p.parent.name: p.read_text() for p in (tmp_path / "out").rglob("*") if p.is_file()}
+    assert got == {f"run_id={q}": ",".join(f"{r}{i}" for i in range(50) if i != 3) + "\n" for r, q in (("a", "a"), ("b/c", "b%2Fc"))} | {"run_id=none": "\n"}
