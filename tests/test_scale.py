@@ -95,3 +95,20 @@ def test_pairs_of_one_key_are_dealt_over_tasks(spark, tmp_path):
     pairs = align.key_pairs(left, part.select("p_brand", F.col("p_partkey").alias("other")), "p_brand", block=2)
     assert sorted((r.p_partkey, r.other) for r in pairs.collect()) == want
     assert align.key_pairs(left.limit(0), part.select("p_brand", F.col("p_partkey").alias("other")), "p_brand").count() == 0
+
+
+def test_phrases_leave_shards_once_with_their_totals(spark):
+    """Every shard sent each of its phrases as text; now as a number, and one shard emits it with its total, also above 255."""
+    for bits in (24, 25, 31):
+        seen = collocations._scatter(np.arange(1 << 16, dtype=np.uint64), bits)
+        assert len(np.unique(seen)) == 1 << 16 and int(seen.max()) < 1 << bits
+    keys, counts = np.array([2, 5, 9, 5, 9, 12], np.uint64), [np.array([299, 150, 1], np.uint32), np.array([150, 1, 400], np.uint32)]
+    (m1, r1, f1, t1), (m2, r2, f2, t2) = (collocations._told(x, 3) for x in collocations._judge(keys, counts, 300))
+    assert (m1.tolist(), r1.tolist(), f1.tolist(), t1.tolist()) == ([False, True, False], [0], [True], [300])
+    assert (m2.tolist(), r2.tolist(), f2.tolist(), t2.tolist()) == ([True, False, True], [0, 1], [False, True], [400])
+    rows = [(i, "New york city " * 5 + ". lone", lang) for i in range(80) for lang in ("en", "fr")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    out = collocations.count_phrases(docs, min_count=300, chunk_words=40, owners=3)
+    got = sorted(tuple(r) for r in out.collect())
+    want = {"new": 400, "york": 400, "city": 400, "new york": 400, "york city": 400, "city new": 320, "new york city": 400, "york city new": 320, "city new york": 320}
+    assert got == sorted((lang, len(p.split()), p, n) for lang in ("en", "fr") for p, n in (want | {"": 80 * 16}).items())
