@@ -97,6 +97,19 @@ def test_pairs_of_one_key_are_dealt_over_tasks(spark, tmp_path):
     assert align.key_pairs(left.limit(0), part.select("p_brand", F.col("p_partkey").alias("other")), "p_brand").count() == 0
 
 
+def test_pairs_write_the_other_side_once(spark, monkeypatch):
+    """Each shuffle partition was sent a copy of the left side; few rows are broadcast now, many are still copied, to the same pairs."""
+    both = spark.createDataFrame([("ab"[i % 2], i, i % 9) for i in range(300)] + [(None, 300, 1)], "key string, name int, size int")
+    left, right = both.where("name % 10 < 2").select("key", "size", "name"), both.select("key", F.col("size").alias("page"), F.col("name").alias("other"))
+    want = sorted((a, a % 9, b, b % 9) for a in range(300) if a % 10 < 2 for b in range(300) if a % 2 == b % 2)
+    for limit, copied in ((48 << 20, False), (0, True)):
+        monkeypatch.setattr(kit, "BROADCAST_BYTES", limit)
+        pairs = align.key_pairs(left, right, "key", block=512)
+        plan = pairs._jdf.queryExecution().executedPlan().toString()
+        assert ("BroadcastHashJoin" in plan, "sequence(0, 3" in pairs._jdf.queryExecution().toString()) == (not copied, copied)
+        assert sorted((r.name, r["size"], r.other, r.page) for r in pairs.collect()) == want
+
+
 def test_phrases_leave_shards_once_with_their_totals(spark):
     """Every shard sent each of its phrases as text; now as a number, and one shard emits it with its total, also above 255."""
     for bits in (24, 25, 31):
