@@ -25,6 +25,33 @@ def test_nearest_plan_stays_small(spark, monkeypatch):
     assert got.count() == 400 * 3
 
 
+def test_wide_spans_list_no_cells(spark, monkeypatch):
+    """A span was a row for each cell it reaches over, on either side; also a query of two spans, and the join of answers that are not few."""
+    monkeypatch.setattr(nearest, "CELL_ROWS", 2)
+    rng = random.Random(5)
+
+    def rows(n):
+        return [(key, i % (n - 9), float(x := rng.randrange(3000)), float(x + rng.choice((0, 5, 900, 2800)))) for key in ("a", "b") for i in range(n)]
+
+    queries, items = rows(70), [(key, g % 23, lo, hi) for key, g, lo, hi in rows(120)]
+    q, t = (spark.createDataFrame(r, "key string, name int, lo double, hi double") for r in (queries, items))
+    want = []
+    for key, name in {r[:2] for r in queries}:
+        best = {}
+        for lo, hi in (r[2:] for r in queries if r[:2] == (key, name)):
+            for _, g, low, high in (i for i in items if i[0] == key):
+                best[g] = min(best.get(g, 1e9), max(low - hi, lo - high, 0.0))
+        want += [(key, name, g, d, i + 1) for i, (d, g) in enumerate(sorted((d, g) for g, d in best.items())[:4])]
+    for limit in (48 << 20, 0):
+        monkeypatch.setattr(kit, "BROADCAST_BYTES", limit)
+        got = nearest.nearest_groups(q, t.withColumnRenamed("name", "g"), ["key"], "name", ("lo", "hi"), "g", ("lo", "hi"), 4)
+        assert sorted(tuple(r) for r in got.select("key", "name", "g", "distance", "rank").collect()) == sorted(want)
+    asked = []
+    monkeypatch.setattr(nearest, "save", lambda df, name: asked.append((name, df._jdf.queryExecution().toString())) or kit.save(df, name))
+    nearest.nearest_groups(q, t.withColumnRenamed("name", "g"), ["key"], "name", ("lo", "hi"), "g", ("lo", "hi"), 4)
+    assert "nearest-best" in dict(asked) and not any("sequence(" in plan for _, plan in asked)
+
+
 def test_admission_takes_a_bucket_batch_by_batch(spark):
     """Batches of five rows: a bucket goes on from batch to batch, the next one starts anew, and a request without a time comes last."""
     rows = [(b, i, float(i // 3 * 7) if i < 40 else None, i % 9 * 60) for b in ("x", "y", None) for i in range(41)]
